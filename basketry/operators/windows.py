@@ -186,5 +186,34 @@ def min_max_scale(df: DataFrame, column: str, partition: Sequence[str] = (),
     return d.drop("_lo", "_hi") if partition else d
 
 
-def rank_within(df: DataFrame, group: str, value: str, out: str = "dense_rank") -> Column:
-    return df.withColumn(out, F.dense_rank().over(W.partitionBy(group).orderBy(value)))
+def prefix_sums(df: DataFrame, order: str, values: Sequence[str], buckets: int = 64,
+                prefix: str = "cum") -> DataFrame:
+    """Exclusive running sums of ``values`` in ascending ``order``, distributed.
+
+    A running sum over a global order would put every row in one window
+    partition. Instead rows are cut into ``buckets`` ranges of ``order`` by
+    approximate quantiles (one scalar array); per-bucket totals (``buckets``
+    rows) get their own running offset; each bucket then runs a local window.
+    Rows with equal ``order`` values fall in the same bucket; the order must
+    be unique per row for the running sum to be unambiguous (callers pass
+    distinct keys, e.g. distinct scores).
+    """
+    qs = [i / buckets for i in range(1, buckets)]
+    # bucket bounds: a fixed-size quantile summary (``buckets`` - 1 numbers)
+    bounds = sorted(set(df.approxQuantile(order, qs, 1.0 / (4 * buckets))))
+    if not bounds:
+        bucket = F.lit(0)
+    else:
+        arr = F.array(*[F.lit(float(b)) for b in bounds])
+        bucket = F.size(F.filter(arr, lambda b: b < F.col(order).cast("double")))
+    d = df.withColumn("_bk", bucket)
+    tot = d.groupBy("_bk").agg(*[F.sum(v).alias(f"_t_{v}") for v in values])
+    wb = W.orderBy("_bk").rowsBetween(W.unboundedPreceding, -1)
+    off = tot.select("_bk", *[F.coalesce(F.sum(f"_t_{v}").over(wb), F.lit(0)).alias(f"_o_{v}")
+                              for v in values])
+    # at most ``buckets`` rows: a bounded broadcast
+    d = d.join(F.broadcast(off), "_bk", "left")
+    wl = W.partitionBy("_bk").orderBy(order).rowsBetween(W.unboundedPreceding, -1)
+    d = d.withColumns({f"{prefix}_{v}": F.col(f"_o_{v}") + F.coalesce(F.sum(v).over(wl), F.lit(0))
+                       for v in values})
+    return d.drop("_bk", *[f"_o_{v}" for v in values])

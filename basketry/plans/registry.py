@@ -55,3 +55,22 @@ def rounded(df: DataFrame, digits: dict[str, int]) -> DataFrame:
 def R(expr: str, digits: int = 4) -> str:
     """SQL text of ``rnd``."""
     return f"ROUND(({expr}) * CAST({NUDGE!r} AS DOUBLE), {digits})"
+
+
+def sig(c, digits: int = 10) -> Column:
+    """Round to ``digits`` significant digits (for metrics of any magnitude)."""
+    col = F.col(c) if isinstance(c, str) else c
+    scale = F.pow(F.lit(10.0), F.floor(F.log10(F.abs(col))))
+    return F.when(col == 0, F.lit(0.0)).otherwise(
+        F.round(col / scale * F.lit(NUDGE), digits - 1) * scale)
+
+
+def sigd(df: DataFrame, cols, digits: int = 10) -> DataFrame:
+    return df.withColumns({c: sig(c, digits) for c in cols})
+
+
+def S(expr: str, digits: int = 10) -> str:
+    """SQL text of ``sig``."""
+    scale = f"pow(10.0, floor(log10(abs({expr}))))"
+    return (f"CASE WHEN ({expr}) = 0 THEN 0.0 ELSE "
+            f"ROUND(({expr}) / {scale} * CAST({NUDGE!r} AS DOUBLE), {digits - 1}) * {scale} END")
