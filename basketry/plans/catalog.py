@@ -1,4 +1,5 @@
 """Imports every query module so the registry is complete."""
 
-from . import q_channels, q_clean, q_customers, q_metrics, q_products, q_stats, q_time  # noqa: F401
+from . import (q_channels, q_clean, q_customers, q_metrics, q_products, q_stats,  # noqa: F401
+               q_time, q_timeseries)
 from .registry import QUERIES  # noqa: F401
