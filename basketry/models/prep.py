@@ -23,19 +23,20 @@ def zscore(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = None,
            center: bool = True, population: bool = True, suffix: str = "") -> DataFrame:
     """(x − mean) / std with statistics from ``fit_on`` (train) or ``df``.
 
-    Population std matches scikit-learn's StandardScaler; the statistics
-    are scalar subqueries over the fitting frame (one aggregation).
+    Population std matches scikit-learn's StandardScaler. Fitting is one
+    aggregation whose single summary row (mean and std per column) becomes
+    literals of the transform.
     """
     src = fit_on if fit_on is not None else df
+    # fit: one aggregation, a 2·d-number summary (as Spark ML scalers do)
     stats = src.agg(*[F.avg(c).alias(f"m_{c}") for c in cols],
                     *[(F.stddev_pop(c) if population else F.stddev_samp(c)).alias(f"s_{c}")
-                      for c in cols])
+                      for c in cols]).first()
     out = {}
     for c in cols:
-        m = stats.select(f"m_{c}").scalar()
-        s = stats.select(f"s_{c}").scalar()
-        num = (F.col(c) - m) if center else F.col(c)
-        out[f"{c}{suffix}"] = F.when(s == 0, F.lit(0.0)).otherwise(num / s)
+        m, s = stats[f"m_{c}"], stats[f"s_{c}"]
+        num = (F.col(c) - F.lit(m)) if center else F.col(c)
+        out[f"{c}{suffix}"] = (F.lit(0.0) if not s else num / F.lit(s))
     return df.withColumns(out)
 
 

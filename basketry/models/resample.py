@@ -128,12 +128,13 @@ def knn_impute(df: DataFrame, cols: Sequence[str], key: Sequence[str], k: int =
     the row has. Rows without nulls pass through unchanged.
     """
     cols = list(cols)
+    df = cut_lineage(df)
     stats = df.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)],
-                   *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(cols)])
+                   *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(cols)]).first()
     z = {}
     for i, c in enumerate(cols):
-        m, s = stats.select(f"m{i}").scalar(), stats.select(f"s{i}").scalar()
-        z[f"_z_{c}"] = F.when((s.isNull()) | (s == 0), F.lit(0.0)).otherwise((F.col(c) - m) / s)
+        m, s = stats[f"m{i}"], stats[f"s{i}"]
+        z[f"_z_{c}"] = F.lit(0.0) if not s else (F.col(c) - F.lit(m)) / F.lit(s)
     rid = F.xxhash64(*[F.col(c) for c in key], F.lit(7))
     d = df.withColumn("_rid", rid).withColumns(z)
     any_null = None

@@ -87,17 +87,18 @@ def string_columns(df: DataFrame) -> list[str]:
 def impute_mean(df: DataFrame, cols: Sequence[str] | None = None, suffix: str = "_imputed") -> DataFrame:
     """Add ``<c>_imputed`` = c with null / NaN replaced by the column mean (P5).
 
-    All means come from one aggregation (Catalyst merges the scalar
-    subqueries over the same input), nothing is collected.
+    One column: the mean is a scalar subquery. Several columns: one
+    aggregation whose summary row (one mean per column) becomes literals.
     """
     cols = list(cols) if cols is not None else numeric_columns(df)
     if not cols:
         return df
     means = df.agg(*[F.avg(F.when(~F.isnan(F.col(c).cast("double")), F.col(c)))
                      .alias(c) for c in cols])
+    row = means.first() if len(cols) > 1 else None
     out = {}
     for c in cols:
-        m = means.select(c).scalar()
+        m = means.select(c).scalar() if row is None else F.lit(row[c])
         missing = F.col(c).isNull() | F.isnan(F.col(c).cast("double"))
         out[f"{c}{suffix}"] = F.when(missing, m).otherwise(F.col(c).cast("double"))
     return df.withColumns(out)

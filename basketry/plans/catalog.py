@@ -1,5 +1,5 @@
 """Imports every query module so the registry is complete."""
 
-from . import (q_channels, q_clean, q_customers, q_features, q_metrics, q_models,  # noqa: F401
-               q_products, q_stats, q_time, q_timeseries)
+from . import (q_channels, q_clean, q_customers, q_features, q_io, q_metrics,  # noqa: F401
+               q_models, q_products, q_stats, q_time, q_timeseries)
 from .registry import QUERIES  # noqa: F401

@@ -34,6 +34,9 @@ def get_session(master: str | None = None, app: str = "basketry",
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if master and master.startswith("local"):
+        # local mode: the driver JVM is the whole cluster
+        conf.setdefault("spark.driver.memory", os.environ.get("BASKETRY_DRIVER_MEMORY", "8g"))
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
