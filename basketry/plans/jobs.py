@@ -266,7 +266,12 @@ def random_search_job(spark, sf_dir, n_iter: int = 6) -> DataFrame:
     maps = T.sampled_param_maps(est, space, n_iter=n_iter)
     _, trials = T.cross_validate(est, maps, T.auc_evaluator("churn"), x, ["customer_id"],
                                  folds=3, parallelism=4)
-    return trials
+    # the trials table is the study record: written as JSON to shared storage (IO7)
+    import uuid
+    from ..sources import files as IO
+    path = IO.shared_path(spark, "studies", f"random-search-{uuid.uuid4().hex}")
+    IO.write_table(trials.coalesce(1), path, fmt="json")
+    return spark.read.schema(trials.schema).json(path)
 
 
 def walk_forward_job(spark, sf_dir, folds: int = 10) -> DataFrame:
@@ -408,3 +413,53 @@ def baseline_job(spark, sf_dir) -> DataFrame:
                         M.classification_metrics(L.mode_baseline(ctr, cte, "churn"), "churn",
                                                  "prediction"))
     return reg.unionByName(cls)
+
+
+# ---------------------------------------------------------------- A40
+def cubic_trend_job(spark, sf_dir) -> DataFrame:
+    """Cubic polynomial trend of monthly demand: least squares on t, t², t³."""
+    tx = transactions(spark, sf_dir, ["transaction_date", "total_sales", "discount_applied",
+                                      "unit_price"])
+    m = A.product_demand_by_month(tx)
+    m = m.withColumns({"t1": F.col("time_index").cast("double"),
+                       "t2": F.pow(F.col("time_index"), 2), "t3": F.pow(F.col("time_index"), 3)})
+    x = VectorAssembler(inputCols=["t1", "t2", "t3"], outputCol="features").transform(m)
+    model = L.LinearRegression(featuresCol="features", labelCol="sales", solver="normal").fit(x)
+    return model.transform(x).select("month", "time_index", "sales",
+                                     F.col("prediction").alias("cubic_trend"))
+
+
+# ---------------------------------------------------------------- M3, M10
+def unknown_level_job(spark, sf_dir) -> DataFrame:
+    """Encoder fitted on a random 80% split keeps a slot for levels unseen in training."""
+    from pyspark.ml import Pipeline
+    tx = transactions(spark, sf_dir, ["transaction_id", "line_number", "product_id", "supplier_id",
+                                      "product_brand", "total_sales"])
+    train, test = Mp.random_split(tx, ["transaction_id", "line_number", "product_id",
+                                       "supplier_id"])
+    # brands absent from a sub-sample of train show up as unknown in test
+    train = train.where(F.col("product_brand") != "Brand#11")
+    enc = Pipeline(stages=Mp.one_hot_stages(["product_brand"], drop_first=False,
+                                            keep_unknown=True)).fit(train)
+    out = enc.transform(test).withColumn("slot", vector_to_array("product_brand_ohe"))
+    n_known = len(enc.stages[0].labels)
+    return (out.groupBy(F.when(F.col("product_brand_idx") == n_known, "unknown")
+                        .otherwise("known").alias("level_kind"))
+               .agg(F.count(F.lit(1)).alias("rows"), F.max(F.size("slot")).alias("width")))
+
+
+# ---------------------------------------------------------------- L8
+def high_demand_job(spark, sf_dir) -> DataFrame:
+    """Decision tree: is a product high-demand (quantity above the median) from
+    its price and discount profile."""
+    tx = transactions(spark, sf_dir, ["product_id", "quantity", "unit_price", "discount_applied"])
+    pm = tx.groupBy("product_id").agg(F.sum("quantity").alias("qty"),
+                                      F.avg("unit_price").alias("price"),
+                                      F.avg("discount_applied").alias("discount"))
+    med = pm.select(F.percentile_approx("qty", 0.5, 10000)).scalar()
+    pm = pm.withColumn("high_demand", (F.col("qty") > med).cast("double"))
+    x = VectorAssembler(inputCols=["price", "discount"], outputCol="features").transform(pm)
+    train, test = Mp.random_split(x, ["product_id"])
+    tree = L.classifiers(label="high_demand")["decision_tree"].fit(train)
+    return _metrics_rows("high_demand", "decision_tree",
+                         M.classification_metrics(tree.transform(test), "high_demand", "prediction"))

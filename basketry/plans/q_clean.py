@@ -161,3 +161,87 @@ def q_numeric_null_profile(spark, sf_dir):
     # schema-driven: keep the numeric columns of a mixed projection
     tx = transactions(spark, sf_dir, [*_NUM, "channel", "product_category"])
     return A.null_counts(tx.select(*P.numeric_columns(tx)))
+
+
+_TX_WIDE = tx_sql(["transaction_id", "customer_id", "product_id", "product_category",
+                   "transaction_date", "quantity", "unit_price", "store_state"])
+
+
+@query("wide_csv_split", f"""WITH tx AS ({_TX_WIDE})
+SELECT 'customer' AS part, CAST(count(DISTINCT customer_id) AS BIGINT) AS rows FROM tx
+UNION ALL SELECT 'product', CAST(count(DISTINCT product_id) AS BIGINT) FROM tx
+UNION ALL SELECT 'transaction', CAST(count(*) AS BIGINT) FROM tx
+UNION ALL SELECT 'store', CAST(count(*) AS BIGINT) FROM tx
+UNION ALL SELECT 'weekend_lines', CAST(sum(CASE WHEN isodow(transaction_date) >= 6 THEN 1 ELSE 0 END) AS BIGINT) FROM tx
+UNION ALL SELECT 'parsed_dates', CAST(count(transaction_date) AS BIGINT) FROM tx""",
+       covers=("P1", "P2", "P3", "IO1", "IO6"))
+def q_wide_csv_split(spark, sf_dir):
+    """The wide retail CSV (text ids, MM-dd-yyyy dates, Yes/No flags) written to
+    shared storage, read back with the declared schema, cleaned and split."""
+    import uuid
+    from ..sources import files as IO
+    tx = transactions(spark, sf_dir, ["transaction_id", "customer_id", "product_id",
+                                      "product_category", "transaction_date", "quantity",
+                                      "unit_price", "store_state"])
+    wide = tx.select(
+        F.col("customer_id").cast("string").alias("customer_id"),
+        F.col("transaction_id").cast("string").alias("transaction_id"),
+        F.date_format("transaction_date", "MM-dd-yyyy").alias("transaction_date"),
+        F.col("product_id").cast("string").alias("product_id"), "product_category", "quantity",
+        "unit_price", "store_state",
+        F.when(F.weekday("transaction_date") >= 5, "Yes").otherwise("No").alias("weekend"))
+    path = IO.shared_path(spark, "io", f"wide-{uuid.uuid4().hex}")
+    IO.write_table(wide, path, fmt="csv")
+    back = IO.read_csv(spark, path, schema=IO.schema_for(wide.columns))
+    back = P.clean_types(back, double_cols=["quantity", "unit_price"],
+                         date_cols=["transaction_date"], date_format="MM-dd-yyyy")
+    parts = P.split_tables(back.withColumn("weekend_flag", P.yes_no_flag("weekend")))
+    tx_part = parts["transaction"]
+    rows = [parts["customer"].select(F.lit("customer").alias("part"), F.count(F.lit(1)).alias("rows")),
+            parts["product"].select(F.lit("product").alias("part"), F.count(F.lit(1)).alias("rows")),
+            tx_part.select(F.lit("transaction").alias("part"), F.count(F.lit(1)).alias("rows")),
+            parts["store"].select(F.lit("store").alias("part"), F.count(F.lit(1)).alias("rows")),
+            tx_part.select(F.lit("weekend_lines").alias("part"),
+                           F.sum("weekend_flag").cast("long").alias("rows")),
+            tx_part.select(F.lit("parsed_dates").alias("part"),
+                           F.count("transaction_date").alias("rows"))]
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    return out
+
+
+_DAILY = tx_sql(["transaction_date", "total_sales"])
+
+
+@query("train_mean_imputation", f"""WITH tx AS ({_DAILY}),
+d AS (SELECT transaction_date AS ds, sum(total_sales) AS y FROM tx WHERE transaction_date IS NOT NULL GROUP BY 1),
+l AS (SELECT ds, y, lag(y, 7) OVER (ORDER BY ds) AS lag_7, row_number() OVER (ORDER BY ds) AS rn,
+             count(*) OVER () AS n FROM d),
+m AS (SELECT avg(lag_7) AS mu FROM l WHERE rn <= floor(n * 0.8))
+SELECT ds, CASE WHEN rn <= floor(n * 0.8) THEN 'train' ELSE 'test' END AS split,
+       {R("coalesce(lag_7, (SELECT mu FROM m))")} AS lag_7_imputed FROM l""", covers=("P8", "M9"))
+def q_train_mean_imputation(spark, sf_dir):
+    """Imputer fitted on the training days only, applied to train and test."""
+    from ..models import prep as Mp
+    d = A.daily_sales(transactions(spark, sf_dir, ["transaction_date", "total_sales"]))
+    d = Wn.lag_features(d, "y", [7], order=["ds"])
+    train, test = Mp.time_split(d, "ds", 0.8)
+    model = P.fit_mean_imputer(train, ["lag_7"])
+    out = (model.transform(train.withColumn("lag_7", F.col("lag_7").cast("double")))
+           .withColumn("split", F.lit("train"))
+           .unionByName(model.transform(test.withColumn("lag_7", F.col("lag_7").cast("double")))
+                        .withColumn("split", F.lit("test"))))
+    return rounded(out.select("ds", "split", "lag_7_imputed"), {"lag_7_imputed": 4})
+
+
+@query("segment_string_index", """
+WITH c AS (SELECT c_mktsegment AS market_segment, count(*) AS n FROM customer GROUP BY 1)
+SELECT market_segment, CAST(row_number() OVER (ORDER BY n DESC, market_segment) - 1 AS DOUBLE) AS segment_index
+FROM c""", covers=("M4",))
+def q_segment_string_index(spark, sf_dir):
+    """StringIndexer (most frequent first, ties alphabetical) fitted on customers."""
+    from ..models.prep import string_index
+    c = table(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("market_segment"))
+    model = string_index("market_segment", "segment_index").fit(c)
+    return model.transform(c.distinct())

@@ -219,3 +219,39 @@ def q_forecast_residuals(spark, sf_dir):
     out = out.select("ds", "residual", "std_residual_sqrt", F.col("index").cast("int"),
                      F.col("residual_rank").cast("int"), "theoretical_quantile")
     return rounded(out, {"residual": 4, "std_residual_sqrt": 6, "theoretical_quantile": 6})
+
+
+_WEIGHTS = {"naive_lag1": 0.5, "naive_lag7": 0.3, "moving_avg7": 0.2}
+
+
+@query("model_contributions", f"""WITH {FORECAST_CTE},
+w AS (SELECT * FROM (VALUES ('naive_lag1', 0.5), ('naive_lag7', 0.3), ('moving_avg7', 0.2)) t(model, weight))
+SELECT p.region, p.ds, p.model, {R("p.y")} AS y, {R("p.prediction")} AS prediction,
+       CAST(w.weight AS DOUBLE) AS weight, {R("w.weight * p.prediction")} AS contribution
+FROM p JOIN w ON p.model = w.model""", covers=("E16",))
+def q_model_contributions(spark, sf_dir):
+    long = forecast_long(spark, sf_dir)
+    # the weights are one literal per model: a map lookup, no join
+    wmap = F.create_map(*[x for m, w in _WEIGHTS.items() for x in (F.lit(m), F.lit(float(w)))])
+    out = long.withColumn("weight", wmap[F.col("model")]).withColumn(
+        "contribution", F.col("weight") * F.col("prediction"))
+    return rounded(out, {"y": 4, "prediction": 4, "contribution": 4})
+
+
+@query("interval_plot_points", f"""WITH {FORECAST_CTE},
+iv AS (SELECT region, ds, avg(y) AS y, avg(prediction) AS m, stddev_pop(prediction) AS s FROM p GROUP BY 1, 2),
+o AS (SELECT *, row_number() OVER (ORDER BY y, region, ds) AS pos FROM iv)
+SELECT region, ds, {R("y")} AS y, {R("m")} AS mean_prediction, {R("m - 1.96 * s")} AS lower_bound,
+       {R("m + 1.96 * s")} AS upper_bound, CAST(pos AS INTEGER) AS position
+FROM o WHERE pos <= 100""", covers=("T7", "E14"))
+def q_interval_plot_points(spark, sf_dir):
+    long = forecast_long(spark, sf_dir)
+    iv = M.prediction_interval(long, ["region", "ds"]).join(
+        long.groupBy("region", "ds").agg(F.avg("y").alias("y")), ["region", "ds"])
+    # the first 100 points by actual value: a top-k (per-partition limit, then merge)
+    top = iv.orderBy("y", "region", "ds").limit(100)
+    from pyspark.sql import Window as W
+    out = top.withColumn("position", F.row_number().over(W.orderBy("y", "region", "ds")))
+    out = out.select("region", "ds", "y", "mean_prediction", "lower_bound", "upper_bound",
+                     F.col("position").cast("int"))
+    return rounded(out, {"y": 4, "mean_prediction": 4, "lower_bound": 4, "upper_bound": 4})

@@ -158,3 +158,33 @@ def q_model_matrix(spark, sf_dir):
 @query("baseline_models", covers=("L4",))
 def q_baseline_models(spark, sf_dir):
     return J.baseline_job(spark, sf_dir)
+
+
+@query("sampled_lines", covers=("P14", "T6"))
+def q_sampled_lines(spark, sf_dir):
+    """A deterministic 1,000-line sample (hash order); the limit is the feature."""
+    from ..operators.clean import sample_rows
+    from ..sources.tables import transactions
+    tx = transactions(spark, sf_dir, ["transaction_id", "line_number", "product_id", "supplier_id",
+                                      "quantity", "total_sales"])
+    return sample_rows(tx, 1000, ["transaction_id", "line_number", "product_id", "supplier_id"])
+
+
+@query("cubic_demand_trend", covers=("A40", "A27"))
+def q_cubic_demand_trend(spark, sf_dir):
+    return J.cubic_trend_job(spark, sf_dir)
+
+
+@query("unknown_level_encoding", covers=("M3", "M10"))
+def q_unknown_level_encoding(spark, sf_dir):
+    return J.unknown_level_job(spark, sf_dir)
+
+
+@query("high_demand_tree", covers=("L8",))
+def q_high_demand_tree(spark, sf_dir):
+    return J.high_demand_job(spark, sf_dir)
+
+
+@query("churn_svm_and_tree", covers=("L9", "L8", "E19"))
+def q_churn_svm_and_tree(spark, sf_dir):
+    return J.churn_job(spark, sf_dir, models=("linear_svc", "decision_tree"))

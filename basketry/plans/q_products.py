@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import aggregates as A
 from ..operators import windows as Wn
 from ..sources.tables import transactions, tx_sql
-from .registry import query, rounded
+from .registry import R, query, rounded
 
 _TX_P = tx_sql(["product_id", "quantity", "unit_price"])
 
@@ -141,3 +141,22 @@ def q_product_demand_by_month(spark, sf_dir):
                                       "unit_price"])
     return rounded(A.product_demand_by_month(tx), {"sales": 4, "avg_discount": 4,
                                                    "avg_price": 4})
+
+
+_TX_BASKET = tx_sql(["transaction_id", "quantity", "unit_price"])
+
+
+@query("basket_size", f"""WITH tx AS ({_TX_BASKET}),
+b AS (SELECT transaction_id, sum(quantity) * sum(unit_price) AS pos, sum(quantity * unit_price) AS sop
+      FROM tx WHERE transaction_id IS NOT NULL GROUP BY 1)
+SELECT {R("avg(pos)")} AS avg_basket_product_of_sums, {R("avg(sop)")} AS avg_basket_sum_of_products
+FROM b""", covers=("A4",))
+def q_basket_size(spark, sf_dir):
+    tx = transactions(spark, sf_dir, ["transaction_id", "quantity", "unit_price"])
+    a = A.basket_size(tx, formula="product_of_sums").withColumnRenamed(
+        "avg_basket_size", "avg_basket_product_of_sums")
+    b = A.basket_size(tx, formula="sum_of_products").withColumnRenamed(
+        "avg_basket_size", "avg_basket_sum_of_products")
+    out = a.select(F.col("avg_basket_product_of_sums"),
+                   b.select("avg_basket_sum_of_products").scalar().alias("avg_basket_sum_of_products"))
+    return rounded(out, {"avg_basket_product_of_sums": 4, "avg_basket_sum_of_products": 4})

@@ -48,6 +48,12 @@ RETAIL_SCHEMA = T.StructType([T.StructField(n, t) for n, t in [
     ("days_since_last_purchase", _I), ("distance_to_store", _D)]])
 
 
+def schema_for(columns: Sequence[str], base: T.StructType = RETAIL_SCHEMA) -> T.StructType:
+    """The declared types of ``columns``, in file order (CSV binds by position)."""
+    by_name = {f.name: f for f in base.fields}
+    return T.StructType([by_name[c] for c in columns])
+
+
 class SourceMissing(FileNotFoundError):
     pass
 
