@@ -303,3 +303,11 @@ def test_correlation_matrix_long_form(spark):
     got = {(r.column_a, r.column_b): r.correlation for r in A.correlation_matrix(df, ["a", "b"]).collect()}
     assert got[("a", "a")] == pytest.approx(1.0)
     assert got[("a", "b")] == pytest.approx(np.corrcoef([1, 2, 3], [2, 4.1, 5.9])[0, 1])
+
+
+def test_missing_source_is_clear(spark, tmp_path):
+    from basketry.sources.files import SourceMissing, read_csv, read_parquet
+    with pytest.raises(SourceMissing):
+        read_parquet(spark, str(tmp_path / "nope.parquet"))
+    with pytest.raises(SourceMissing):
+        read_csv(spark, str(tmp_path / "nope.csv"))
