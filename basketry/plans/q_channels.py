@@ -10,8 +10,8 @@ _TX_CH = tx_sql(["channel", "total_sales", "customer_id"])
 
 
 @query("channel_sales", f"""WITH tx AS ({_TX_CH})
-SELECT channel, ROUND((sum(total_sales)) * CAST(1.00000000001 AS DOUBLE), 4) AS total_sales, CAST(count(*) AS BIGINT) AS transactions,
-       ROUND((sum(total_sales) / count(*)) * CAST(1.00000000001 AS DOUBLE), 4) AS avg_basket,
+SELECT channel, ROUND((sum(total_sales)) + sign(sum(total_sales)) * least(abs(sum(total_sales)) * 1e-11, 1e-7), 4) AS total_sales, CAST(count(*) AS BIGINT) AS transactions,
+       ROUND((sum(total_sales) / count(*)) + sign(sum(total_sales) / count(*)) * least(abs(sum(total_sales) / count(*)) * 1e-11, 1e-7), 4) AS avg_basket,
        CAST(count(DISTINCT customer_id) AS BIGINT) AS unique_customers
 FROM tx WHERE channel IS NOT NULL GROUP BY channel""", covers=("A13", "J11", "E25"))
 def q_channel_sales(spark, sf_dir):
@@ -23,7 +23,7 @@ _TX_CHM = tx_sql(["channel", "transaction_date", "total_sales"])
 
 
 @query("channel_monthly_sales", f"""WITH tx AS ({_TX_CHM})
-SELECT channel, date_trunc('month', transaction_date)::DATE AS month, ROUND((sum(total_sales)) * CAST(1.00000000001 AS DOUBLE), 4) AS sales
+SELECT channel, date_trunc('month', transaction_date)::DATE AS month, ROUND((sum(total_sales)) + sign(sum(total_sales)) * least(abs(sum(total_sales)) * 1e-11, 1e-7), 4) AS sales
 FROM tx WHERE channel IS NOT NULL AND transaction_date IS NOT NULL GROUP BY 1, 2""",
        covers=("A14",))
 def q_channel_monthly_sales(spark, sf_dir):
@@ -32,7 +32,7 @@ def q_channel_monthly_sales(spark, sf_dir):
 
 
 @query("channel_hourly_sales", """
-SELECT event_type, CAST(hour(ts) AS INTEGER) AS hour, ROUND((sum(value)) * CAST(1.00000000001 AS DOUBLE), 4) AS sales,
+SELECT event_type, CAST(hour(ts) AS INTEGER) AS hour, ROUND((sum(value)) + sign(sum(value)) * least(abs(sum(value)) * 1e-11, 1e-7), 4) AS sales,
        CAST(count(*) AS BIGINT) AS events
 FROM events WHERE event_type IS NOT NULL AND ts IS NOT NULL GROUP BY 1, 2""", covers=("A15",))
 def q_channel_hourly_sales(spark, sf_dir):
@@ -43,12 +43,12 @@ _TX_CI = tx_sql(["channel", "total_sales", "quantity", "discount_applied"])
 
 
 @query("channel_conditional_means", f"""WITH tx AS ({_TX_CI})
-SELECT ROUND((avg(CASE WHEN channel = 'online' THEN total_sales END)) * CAST(1.00000000001 AS DOUBLE), 4) AS avg_online_total_sales,
-       ROUND((avg(CASE WHEN channel = 'online' THEN quantity END)) * CAST(1.00000000001 AS DOUBLE), 4) AS avg_online_quantity,
-       ROUND((avg(CASE WHEN channel = 'online' THEN discount_applied END)) * CAST(1.00000000001 AS DOUBLE), 4) AS avg_online_discount_applied,
-       ROUND((avg(CASE WHEN channel = 'in_store' THEN total_sales END)) * CAST(1.00000000001 AS DOUBLE), 4) AS avg_in_store_total_sales,
-       ROUND((avg(CASE WHEN channel = 'in_store' THEN quantity END)) * CAST(1.00000000001 AS DOUBLE), 4) AS avg_in_store_quantity,
-       ROUND((avg(CASE WHEN channel = 'in_store' THEN discount_applied END)) * CAST(1.00000000001 AS DOUBLE), 4) AS avg_in_store_discount_applied
+SELECT ROUND((avg(CASE WHEN channel = 'online' THEN total_sales END)) + sign(avg(CASE WHEN channel = 'online' THEN total_sales END)) * least(abs(avg(CASE WHEN channel = 'online' THEN total_sales END)) * 1e-11, 1e-7), 4) AS avg_online_total_sales,
+       ROUND((avg(CASE WHEN channel = 'online' THEN quantity END)) + sign(avg(CASE WHEN channel = 'online' THEN quantity END)) * least(abs(avg(CASE WHEN channel = 'online' THEN quantity END)) * 1e-11, 1e-7), 4) AS avg_online_quantity,
+       ROUND((avg(CASE WHEN channel = 'online' THEN discount_applied END)) + sign(avg(CASE WHEN channel = 'online' THEN discount_applied END)) * least(abs(avg(CASE WHEN channel = 'online' THEN discount_applied END)) * 1e-11, 1e-7), 4) AS avg_online_discount_applied,
+       ROUND((avg(CASE WHEN channel = 'in_store' THEN total_sales END)) + sign(avg(CASE WHEN channel = 'in_store' THEN total_sales END)) * least(abs(avg(CASE WHEN channel = 'in_store' THEN total_sales END)) * 1e-11, 1e-7), 4) AS avg_in_store_total_sales,
+       ROUND((avg(CASE WHEN channel = 'in_store' THEN quantity END)) + sign(avg(CASE WHEN channel = 'in_store' THEN quantity END)) * least(abs(avg(CASE WHEN channel = 'in_store' THEN quantity END)) * 1e-11, 1e-7), 4) AS avg_in_store_quantity,
+       ROUND((avg(CASE WHEN channel = 'in_store' THEN discount_applied END)) + sign(avg(CASE WHEN channel = 'in_store' THEN discount_applied END)) * least(abs(avg(CASE WHEN channel = 'in_store' THEN discount_applied END)) * 1e-11, 1e-7), 4) AS avg_in_store_discount_applied
 FROM tx""", covers=("A34",))
 def q_channel_conditional_means(spark, sf_dir):
     tx = transactions(spark, sf_dir, ["channel", "total_sales", "quantity", "discount_applied"])
@@ -61,8 +61,8 @@ _TX_PV = tx_sql(["region", "channel", "total_sales"])
 
 
 @query("region_channel_pivot", f"""WITH tx AS ({_TX_PV})
-SELECT region, ROUND((avg(CASE WHEN channel = 'in_store' THEN total_sales END)) * CAST(1.00000000001 AS DOUBLE), 4) AS in_store,
-       ROUND((avg(CASE WHEN channel = 'online' THEN total_sales END)) * CAST(1.00000000001 AS DOUBLE), 4) AS online
+SELECT region, ROUND((avg(CASE WHEN channel = 'in_store' THEN total_sales END)) + sign(avg(CASE WHEN channel = 'in_store' THEN total_sales END)) * least(abs(avg(CASE WHEN channel = 'in_store' THEN total_sales END)) * 1e-11, 1e-7), 4) AS in_store,
+       ROUND((avg(CASE WHEN channel = 'online' THEN total_sales END)) + sign(avg(CASE WHEN channel = 'online' THEN total_sales END)) * least(abs(avg(CASE WHEN channel = 'online' THEN total_sales END)) * 1e-11, 1e-7), 4) AS online
 FROM tx WHERE region IS NOT NULL GROUP BY region""", covers=("A36",))
 def q_region_channel_pivot(spark, sf_dir):
     tx = transactions(spark, sf_dir, ["region", "channel", "total_sales"])

@@ -35,7 +35,7 @@ def rfm_frame(spark, sf_dir, churn_days=90):
 
 
 @query("rfm_churn", f"""WITH {RFM_CTE}
-SELECT customer_id, last_purchase, first_purchase, frequency, ROUND((monetary) * CAST(1.00000000001 AS DOUBLE), 4) AS monetary,
+SELECT customer_id, last_purchase, first_purchase, frequency, ROUND((monetary) + sign(monetary) * least(abs(monetary) * 1e-11, 1e-7), 4) AS monetary,
        recency, tenure, churn FROM rfm""", covers=("A1", "P17", "J2", "J3", "F6"))
 def q_rfm_churn(spark, sf_dir):
     return rounded(rfm_frame(spark, sf_dir), {"monetary": 4})
@@ -43,7 +43,7 @@ def q_rfm_churn(spark, sf_dir):
 
 @query("churn_class_share", f"""WITH {RFM_CTE}
 SELECT churn, CAST(count(*) AS BIGINT) AS count,
-       ROUND((count(*) / sum(count(*)) OVER ()) * CAST(1.00000000001 AS DOUBLE), 6) AS share
+       ROUND((count(*) / sum(count(*)) OVER ()) + sign(count(*) / sum(count(*)) OVER ()) * least(abs(count(*) / sum(count(*)) OVER ()) * 1e-11, 1e-7), 6) AS share
 FROM rfm GROUP BY churn""", covers=("A24",))
 def q_churn_class_share(spark, sf_dir):
     return rounded(A.class_share(rfm_frame(spark, sf_dir), "churn"), {"share": 6})
@@ -70,7 +70,7 @@ cm AS (SELECT customer_id, count(transaction_id) AS transactions_count,
        FROM tx WHERE customer_id IS NOT NULL GROUP BY customer_id)
 SELECT c.c_custkey AS customer_id, c.c_mktsegment AS market_segment,
        CAST(cm.transactions_count AS BIGINT) AS transactions_count,
-       ROUND((cm.average_spent) * CAST(1.00000000001 AS DOUBLE), 4) AS average_spent,
+       ROUND((cm.average_spent) + sign(cm.average_spent) * least(abs(cm.average_spent) * 1e-11, 1e-7), 4) AS average_spent,
        CAST(cm.days_since_first_purchase AS INTEGER) AS days_since_first_purchase,
        CAST(cm.days_since_last_purchase AS INTEGER) AS days_since_last_purchase
 FROM customer c LEFT JOIN cm ON c.c_custkey = cm.customer_id""", covers=("A2", "J1"))
@@ -88,18 +88,18 @@ _TX_A7 = tx_sql(["customer_id", "total_sales", "quantity", "discount_applied", "
 
 @query("customer_feature_stats", f"""WITH tx AS ({_TX_A7})
 SELECT customer_id,
-  ROUND((sum(total_sales)) * CAST(1.00000000001 AS DOUBLE), 4) AS customer_total_sales_sum,
-  ROUND((avg(total_sales)) * CAST(1.00000000001 AS DOUBLE), 4) AS customer_total_sales_mean,
-  ROUND((stddev_samp(total_sales)) * CAST(1.00000000001 AS DOUBLE), 4) AS customer_total_sales_std,
+  ROUND((sum(total_sales)) + sign(sum(total_sales)) * least(abs(sum(total_sales)) * 1e-11, 1e-7), 4) AS customer_total_sales_sum,
+  ROUND((avg(total_sales)) + sign(avg(total_sales)) * least(abs(avg(total_sales)) * 1e-11, 1e-7), 4) AS customer_total_sales_mean,
+  ROUND((stddev_samp(total_sales)) + sign(stddev_samp(total_sales)) * least(abs(stddev_samp(total_sales)) * 1e-11, 1e-7), 4) AS customer_total_sales_std,
   CAST(count(total_sales) AS BIGINT) AS customer_total_sales_count,
-  ROUND((sum(quantity)) * CAST(1.00000000001 AS DOUBLE), 4) AS customer_quantity_sum,
-  ROUND((avg(quantity)) * CAST(1.00000000001 AS DOUBLE), 4) AS customer_quantity_mean,
-  ROUND((avg(discount_applied)) * CAST(1.00000000001 AS DOUBLE), 4) AS customer_discount_applied_mean,
-  ROUND((max(discount_applied)) * CAST(1.00000000001 AS DOUBLE), 4) AS customer_discount_applied_max,
+  ROUND((sum(quantity)) + sign(sum(quantity)) * least(abs(sum(quantity)) * 1e-11, 1e-7), 4) AS customer_quantity_sum,
+  ROUND((avg(quantity)) + sign(avg(quantity)) * least(abs(avg(quantity)) * 1e-11, 1e-7), 4) AS customer_quantity_mean,
+  ROUND((avg(discount_applied)) + sign(avg(discount_applied)) * least(abs(avg(discount_applied)) * 1e-11, 1e-7), 4) AS customer_discount_applied_mean,
+  ROUND((max(discount_applied)) + sign(max(discount_applied)) * least(abs(max(discount_applied)) * 1e-11, 1e-7), 4) AS customer_discount_applied_max,
   min(transaction_date) AS customer_transaction_date_min,
   max(transaction_date) AS customer_transaction_date_max,
   CAST(date_diff('day', min(transaction_date), max(transaction_date)) AS INTEGER) AS customer_lifetime_days,
-  ROUND((count(total_sales) / (date_diff('day', min(transaction_date), max(transaction_date)) + 1)) * CAST(1.00000000001 AS DOUBLE), 6)
+  ROUND((count(total_sales) / (date_diff('day', min(transaction_date), max(transaction_date)) + 1)) + sign(count(total_sales) / (date_diff('day', min(transaction_date), max(transaction_date)) + 1)) * least(abs(count(total_sales) / (date_diff('day', min(transaction_date), max(transaction_date)) + 1)) * 1e-11, 1e-7), 6)
     AS customer_purchase_frequency
 FROM tx WHERE customer_id IS NOT NULL GROUP BY customer_id""", covers=("A7",))
 def q_customer_feature_stats(spark, sf_dir):
@@ -120,8 +120,8 @@ clv AS (SELECT customer_id, avg(total_sales) AS avg_order_value,
 
 
 @query("customer_lifetime_value", f"""WITH {CLV_CTE}
-SELECT customer_id, ROUND((avg_order_value) * CAST(1.00000000001 AS DOUBLE), 4) AS avg_order_value, purchase_frequency, lifespan_days,
-       ROUND((avg_order_value * purchase_frequency * (lifespan_days / 365.0)) * CAST(1.00000000001 AS DOUBLE), 4) AS customer_lifetime_value
+SELECT customer_id, ROUND((avg_order_value) + sign(avg_order_value) * least(abs(avg_order_value) * 1e-11, 1e-7), 4) AS avg_order_value, purchase_frequency, lifespan_days,
+       ROUND((avg_order_value * purchase_frequency * (lifespan_days / 365.0)) + sign(avg_order_value * purchase_frequency * (lifespan_days / 365.0)) * least(abs(avg_order_value * purchase_frequency * (lifespan_days / 365.0)) * 1e-11, 1e-7), 4) AS customer_lifetime_value
 FROM clv""", covers=("A9",))
 def q_clv(spark, sf_dir):
     tx = transactions(spark, sf_dir, ["customer_id", "total_sales", "transaction_id",
@@ -132,9 +132,9 @@ def q_clv(spark, sf_dir):
 
 @query("avg_sales_by_clv", f"""WITH {CLV_CTE},
 v AS (SELECT customer_id,
-        ROUND((avg_order_value * purchase_frequency * (lifespan_days / 365.0)) * CAST(1.00000000001 AS DOUBLE), 4) AS customer_lifetime_value
+        ROUND((avg_order_value * purchase_frequency * (lifespan_days / 365.0)) + sign(avg_order_value * purchase_frequency * (lifespan_days / 365.0)) * least(abs(avg_order_value * purchase_frequency * (lifespan_days / 365.0)) * 1e-11, 1e-7), 4) AS customer_lifetime_value
       FROM clv)
-SELECT v.customer_lifetime_value, ROUND((avg(tx.total_sales)) * CAST(1.00000000001 AS DOUBLE), 4) AS average_sales
+SELECT v.customer_lifetime_value, ROUND((avg(tx.total_sales)) + sign(avg(tx.total_sales)) * least(abs(avg(tx.total_sales)) * 1e-11, 1e-7), 4) AS average_sales
 FROM v JOIN tx ON v.customer_id = tx.customer_id
 GROUP BY v.customer_lifetime_value""", covers=("A25", "J4"))
 def q_avg_sales_by_clv(spark, sf_dir):
@@ -154,7 +154,7 @@ _TX_VAR = tx_sql(["customer_id", "transaction_id", "line_number", "product_categ
 v AS (SELECT customer_id, CAST(count(DISTINCT product_category) AS BIGINT) AS product_variety
       FROM tx WHERE customer_id IS NOT NULL AND product_category IS NOT NULL GROUP BY customer_id)
 SELECT tx.customer_id, tx.transaction_id, tx.line_number, tx.quantity, v.product_variety,
-       ROUND((tx.quantity * coalesce(v.product_variety, 0)) * CAST(1.00000000001 AS DOUBLE), 4) AS average_basket_size
+       ROUND((tx.quantity * coalesce(v.product_variety, 0)) + sign(tx.quantity * coalesce(v.product_variety, 0)) * least(abs(tx.quantity * coalesce(v.product_variety, 0)) * 1e-11, 1e-7), 4) AS average_basket_size
 FROM tx LEFT JOIN v ON tx.customer_id = v.customer_id""", covers=("A12", "J5", "W9"))
 def q_category_variety(spark, sf_dir):
     tx = transactions(spark, sf_dir, ["customer_id", "transaction_id", "line_number",

@@ -84,7 +84,7 @@ def q_forecast_report_pivot(spark, sf_dir):
 
 
 @query("forecast_quality_gate", f"""WITH {METRICS_SQL_CTE}
-SELECT model, metric, {S("value")} AS value, 0.85 AS threshold, CAST(value >= 0.85 AS INTEGER) AS passed
+SELECT model, metric, {S("value")} AS value, CAST(0.85 AS DOUBLE) AS threshold, CAST(value >= 0.85 AS INTEGER) AS passed
 FROM m WHERE metric = 'r2'""", covers=("P20",))
 def q_forecast_quality_gate(spark, sf_dir):
     gate = quality_gate(forecast_metrics_frame(spark, sf_dir))

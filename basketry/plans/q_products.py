@@ -13,8 +13,8 @@ _TX_P = tx_sql(["product_id", "quantity", "unit_price"])
 
 
 @query("product_metrics", f"""WITH tx AS ({_TX_P})
-SELECT product_id, ROUND((sum(quantity)) * CAST(1.00000000001 AS DOUBLE), 4) AS total_quantity_sold,
-       ROUND((sum(quantity * unit_price)) * CAST(1.00000000001 AS DOUBLE), 4) AS total_revenue, ROUND((avg(unit_price)) * CAST(1.00000000001 AS DOUBLE), 4) AS avg_price
+SELECT product_id, ROUND((sum(quantity)) + sign(sum(quantity)) * least(abs(sum(quantity)) * 1e-11, 1e-7), 4) AS total_quantity_sold,
+       ROUND((sum(quantity * unit_price)) + sign(sum(quantity * unit_price)) * least(abs(sum(quantity * unit_price)) * 1e-11, 1e-7), 4) AS total_revenue, ROUND((avg(unit_price)) + sign(avg(unit_price)) * least(abs(avg(unit_price)) * 1e-11, 1e-7), 4) AS avg_price
 FROM tx WHERE product_id IS NOT NULL GROUP BY product_id""", covers=("A5",))
 def q_product_metrics(spark, sf_dir):
     tx = transactions(spark, sf_dir, ["product_id", "quantity", "unit_price"])
@@ -39,8 +39,8 @@ def promo_frame(spark, sf_dir):
 
 
 @query("product_promo_metrics", f"""WITH {PROMO_CTE}
-SELECT product_id, ROUND((total_sales) * CAST(1.00000000001 AS DOUBLE), 4) AS total_sales, ROUND((total_quantity) * CAST(1.00000000001 AS DOUBLE), 4) AS total_quantity,
-       ROUND((avg_discount) * CAST(1.00000000001 AS DOUBLE), 4) AS avg_discount, ROUND((avg_items_per_txn) * CAST(1.00000000001 AS DOUBLE), 4) AS avg_items_per_txn
+SELECT product_id, ROUND((total_sales) + sign(total_sales) * least(abs(total_sales) * 1e-11, 1e-7), 4) AS total_sales, ROUND((total_quantity) + sign(total_quantity) * least(abs(total_quantity) * 1e-11, 1e-7), 4) AS total_quantity,
+       ROUND((avg_discount) + sign(avg_discount) * least(abs(avg_discount) * 1e-11, 1e-7), 4) AS avg_discount, ROUND((avg_items_per_txn) + sign(avg_items_per_txn) * least(abs(avg_items_per_txn) * 1e-11, 1e-7), 4) AS avg_items_per_txn
 FROM pm WHERE total_sales IS NOT NULL AND total_quantity IS NOT NULL
   AND avg_discount IS NOT NULL AND avg_items_per_txn IS NOT NULL""", covers=("A6", "P9"))
 def q_product_promo_metrics(spark, sf_dir):
@@ -56,13 +56,13 @@ g AS (SELECT product_id, sum(total_sales) AS s, avg(total_sales) AS m, count(tot
              sum(quantity) AS qs, avg(quantity) AS qm, avg(unit_price) AS pm, stddev_samp(unit_price) AS ps,
              avg(discount_applied) AS dm, count(discount_applied) AS dn
       FROM tx WHERE product_id IS NOT NULL GROUP BY product_id)
-SELECT product_id, ROUND((s) * CAST(1.00000000001 AS DOUBLE), 4) AS product_total_sales_sum, ROUND((m) * CAST(1.00000000001 AS DOUBLE), 4) AS product_total_sales_mean,
-       CAST(n AS BIGINT) AS product_total_sales_count, ROUND((qs) * CAST(1.00000000001 AS DOUBLE), 4) AS product_quantity_sum,
-       ROUND((qm) * CAST(1.00000000001 AS DOUBLE), 4) AS product_quantity_mean, ROUND((pm) * CAST(1.00000000001 AS DOUBLE), 4) AS product_unit_price_mean,
-       ROUND((ps) * CAST(1.00000000001 AS DOUBLE), 4) AS product_unit_price_std, ROUND((dm) * CAST(1.00000000001 AS DOUBLE), 4) AS product_discount_applied_mean,
+SELECT product_id, ROUND((s) + sign(s) * least(abs(s) * 1e-11, 1e-7), 4) AS product_total_sales_sum, ROUND((m) + sign(m) * least(abs(m) * 1e-11, 1e-7), 4) AS product_total_sales_mean,
+       CAST(n AS BIGINT) AS product_total_sales_count, ROUND((qs) + sign(qs) * least(abs(qs) * 1e-11, 1e-7), 4) AS product_quantity_sum,
+       ROUND((qm) + sign(qm) * least(abs(qm) * 1e-11, 1e-7), 4) AS product_quantity_mean, ROUND((pm) + sign(pm) * least(abs(pm) * 1e-11, 1e-7), 4) AS product_unit_price_mean,
+       ROUND((ps) + sign(ps) * least(abs(ps) * 1e-11, 1e-7), 4) AS product_unit_price_std, ROUND((dm) + sign(dm) * least(abs(dm) * 1e-11, 1e-7), 4) AS product_discount_applied_mean,
        CAST(dn AS BIGINT) AS product_discount_applied_count,
-       ROUND((n / (SELECT max(n) FROM g)) * CAST(1.00000000001 AS DOUBLE), 6) AS product_popularity_score,
-       ROUND((dn / n) * CAST(1.00000000001 AS DOUBLE), 6) AS product_discount_frequency
+       ROUND((n / (SELECT max(n) FROM g)) + sign(n / (SELECT max(n) FROM g)) * least(abs(n / (SELECT max(n) FROM g)) * 1e-11, 1e-7), 6) AS product_popularity_score,
+       ROUND((dn / n) + sign(dn / n) * least(abs(dn / n) * 1e-11, 1e-7), 6) AS product_discount_frequency
 FROM g""", covers=("A8", "W13"))
 def q_product_feature_stats(spark, sf_dir):
     tx = transactions(spark, sf_dir, ["product_id", "total_sales", "quantity", "unit_price",
@@ -77,7 +77,7 @@ _TX_CAT = tx_sql(["product_category", "total_sales"])
 
 
 @query("sales_by_category", f"""WITH tx AS ({_TX_CAT})
-SELECT product_category, ROUND((sum(total_sales)) * CAST(1.00000000001 AS DOUBLE), 4) AS sales FROM tx
+SELECT product_category, ROUND((sum(total_sales)) + sign(sum(total_sales)) * least(abs(sum(total_sales)) * 1e-11, 1e-7), 4) AS sales FROM tx
 WHERE product_category IS NOT NULL GROUP BY product_category""", covers=("A23", "T1"))
 def q_sales_by_category(spark, sf_dir):
     tx = transactions(spark, sf_dir, ["product_category", "total_sales"])
@@ -91,7 +91,7 @@ top AS (SELECT product_id FROM tx WHERE product_id IS NOT NULL GROUP BY product_
 
 
 @query("top_products", f"""WITH tx AS ({_TX_TOP})
-SELECT product_id, ROUND((sum(total_sales)) * CAST(1.00000000001 AS DOUBLE), 4) AS sales FROM tx WHERE product_id IS NOT NULL
+SELECT product_id, ROUND((sum(total_sales)) + sign(sum(total_sales)) * least(abs(sum(total_sales)) * 1e-11, 1e-7), 4) AS sales FROM tx WHERE product_id IS NOT NULL
 GROUP BY product_id ORDER BY sum(total_sales) DESC, product_id LIMIT 10""", covers=("T3", "T2"))
 def q_top_products(spark, sf_dir):
     tx = transactions(spark, sf_dir, ["product_id", "transaction_date", "total_sales"])
@@ -101,7 +101,7 @@ def q_top_products(spark, sf_dir):
 
 
 @query("top_products_by_month", f"""WITH {TOP_CTE}
-SELECT product_id, CAST(month(transaction_date) AS INTEGER) AS month, ROUND((sum(total_sales)) * CAST(1.00000000001 AS DOUBLE), 4) AS sales
+SELECT product_id, CAST(month(transaction_date) AS INTEGER) AS month, ROUND((sum(total_sales)) + sign(sum(total_sales)) * least(abs(sum(total_sales)) * 1e-11, 1e-7), 4) AS sales
 FROM tx WHERE product_id IN (SELECT product_id FROM top) AND transaction_date IS NOT NULL
 GROUP BY 1, 2""", covers=("A41", "J10"))
 def q_top_products_by_month(spark, sf_dir):
@@ -116,7 +116,7 @@ _TX_CH_P = tx_sql(["channel", "product_id", "total_sales"])
 g AS (SELECT channel, product_id, sum(total_sales) AS sales FROM tx
       WHERE channel IS NOT NULL AND product_id IS NOT NULL GROUP BY 1, 2),
 r AS (SELECT *, row_number() OVER (PARTITION BY channel ORDER BY sales DESC, product_id) AS rank FROM g)
-SELECT channel, product_id, ROUND((sales) * CAST(1.00000000001 AS DOUBLE), 4) AS sales, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 5""",
+SELECT channel, product_id, ROUND((sales) + sign(sales) * least(abs(sales) * 1e-11, 1e-7), 4) AS sales, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 5""",
        covers=("W11",))
 def q_top_products_per_channel(spark, sf_dir):
     tx = transactions(spark, sf_dir, ["channel", "product_id", "total_sales"])
@@ -133,8 +133,8 @@ _TX_DEM = tx_sql(["transaction_date", "total_sales", "discount_applied", "unit_p
 m AS (SELECT date_trunc('month', transaction_date)::DATE AS month, sum(total_sales) AS sales,
              avg(discount_applied) AS avg_discount, avg(unit_price) AS avg_price
       FROM tx WHERE transaction_date IS NOT NULL GROUP BY 1)
-SELECT month, ROUND((sales) * CAST(1.00000000001 AS DOUBLE), 4) AS sales, ROUND((avg_discount) * CAST(1.00000000001 AS DOUBLE), 4) AS avg_discount,
-       ROUND((avg_price) * CAST(1.00000000001 AS DOUBLE), 4) AS avg_price, CAST(row_number() OVER (ORDER BY month) - 1 AS INTEGER) AS time_index
+SELECT month, ROUND((sales) + sign(sales) * least(abs(sales) * 1e-11, 1e-7), 4) AS sales, ROUND((avg_discount) + sign(avg_discount) * least(abs(avg_discount) * 1e-11, 1e-7), 4) AS avg_discount,
+       ROUND((avg_price) + sign(avg_price) * least(abs(avg_price) * 1e-11, 1e-7), 4) AS avg_price, CAST(row_number() OVER (ORDER BY month) - 1 AS INTEGER) AS time_index
 FROM m""", covers=("A27", "W10"))
 def q_product_demand_by_month(spark, sf_dir):
     tx = transactions(spark, sf_dir, ["transaction_date", "total_sales", "discount_applied",

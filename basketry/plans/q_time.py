@@ -16,7 +16,7 @@ _TX_MS = tx_sql(["transaction_date", "quantity", "unit_price"])
 
 
 @query("monthly_sales", f"""WITH tx AS ({_TX_MS})
-SELECT strftime(transaction_date, '%Y-%m') AS month, ROUND((sum(quantity * unit_price)) * CAST(1.00000000001 AS DOUBLE), 4) AS sales
+SELECT strftime(transaction_date, '%Y-%m') AS month, ROUND((sum(quantity * unit_price)) + sign(sum(quantity * unit_price)) * least(abs(sum(quantity * unit_price)) * 1e-11, 1e-7), 4) AS sales
 FROM tx WHERE transaction_date IS NOT NULL GROUP BY 1""", covers=("A3", "P22"))
 def q_monthly_sales(spark, sf_dir):
     tx = transactions(spark, sf_dir, ["transaction_date", "quantity", "unit_price"])
@@ -28,12 +28,12 @@ _TX_DS = tx_sql(["transaction_date", "total_sales"])
 
 @query("sales_by_period", f"""WITH tx AS ({_TX_DS})
 SELECT 'week' AS grain, date_trunc('week', transaction_date)::DATE AS period_start,
-       ROUND((sum(total_sales)) * CAST(1.00000000001 AS DOUBLE), 4) AS sales FROM tx WHERE transaction_date IS NOT NULL GROUP BY 2
+       ROUND((sum(total_sales)) + sign(sum(total_sales)) * least(abs(sum(total_sales)) * 1e-11, 1e-7), 4) AS sales FROM tx WHERE transaction_date IS NOT NULL GROUP BY 2
 UNION ALL
-SELECT 'month', date_trunc('month', transaction_date)::DATE, ROUND((sum(total_sales)) * CAST(1.00000000001 AS DOUBLE), 4)
+SELECT 'month', date_trunc('month', transaction_date)::DATE, ROUND((sum(total_sales)) + sign(sum(total_sales)) * least(abs(sum(total_sales)) * 1e-11, 1e-7), 4)
 FROM tx WHERE transaction_date IS NOT NULL GROUP BY 2
 UNION ALL
-SELECT 'year', date_trunc('year', transaction_date)::DATE, ROUND((sum(total_sales)) * CAST(1.00000000001 AS DOUBLE), 4)
+SELECT 'year', date_trunc('year', transaction_date)::DATE, ROUND((sum(total_sales)) + sign(sum(total_sales)) * least(abs(sum(total_sales)) * 1e-11, 1e-7), 4)
 FROM tx WHERE transaction_date IS NOT NULL GROUP BY 2""", covers=("A16", "T8"))
 def q_sales_by_period(spark, sf_dir):
     tx = transactions(spark, sf_dir, ["transaction_date", "total_sales"])
@@ -43,10 +43,10 @@ def q_sales_by_period(spark, sf_dir):
 
 
 @query("sales_by_month_and_week", f"""WITH tx AS ({_TX_DS})
-SELECT 'month' AS kind, CAST(month(transaction_date) AS INTEGER) AS period, ROUND((sum(total_sales)) * CAST(1.00000000001 AS DOUBLE), 4) AS sales
+SELECT 'month' AS kind, CAST(month(transaction_date) AS INTEGER) AS period, ROUND((sum(total_sales)) + sign(sum(total_sales)) * least(abs(sum(total_sales)) * 1e-11, 1e-7), 4) AS sales
 FROM tx WHERE transaction_date IS NOT NULL GROUP BY 2
 UNION ALL
-SELECT 'iso_week', CAST(weekofyear(transaction_date) AS INTEGER), ROUND((sum(total_sales)) * CAST(1.00000000001 AS DOUBLE), 4)
+SELECT 'iso_week', CAST(weekofyear(transaction_date) AS INTEGER), ROUND((sum(total_sales)) + sign(sum(total_sales)) * least(abs(sum(total_sales)) * 1e-11, 1e-7), 4)
 FROM tx WHERE transaction_date IS NOT NULL GROUP BY 2""", covers=("A17", "F1"))
 def q_sales_by_month_and_week(spark, sf_dir):
     tx = transactions(spark, sf_dir, ["transaction_date", "total_sales"])
@@ -54,7 +54,7 @@ def q_sales_by_month_and_week(spark, sf_dir):
 
 
 @query("daily_sales", f"""WITH tx AS ({_TX_DS})
-SELECT transaction_date AS ds, ROUND((sum(total_sales)) * CAST(1.00000000001 AS DOUBLE), 4) AS y FROM tx
+SELECT transaction_date AS ds, ROUND((sum(total_sales)) + sign(sum(total_sales)) * least(abs(sum(total_sales)) * 1e-11, 1e-7), 4) AS y FROM tx
 WHERE transaction_date IS NOT NULL GROUP BY 1""", covers=("A21",))
 def q_daily_sales(spark, sf_dir):
     tx = transactions(spark, sf_dir, ["transaction_date", "total_sales"])
@@ -63,7 +63,7 @@ def q_daily_sales(spark, sf_dir):
 
 @query("month_of_year_profile", f"""WITH tx AS ({_TX_DS}),
 d AS (SELECT transaction_date AS ds, sum(total_sales) AS y FROM tx WHERE transaction_date IS NOT NULL GROUP BY 1)
-SELECT CAST(month(ds) AS INTEGER) AS month, ROUND((sum(y)) * CAST(1.00000000001 AS DOUBLE), 4) AS sum_sales, ROUND((avg(y)) * CAST(1.00000000001 AS DOUBLE), 4) AS mean_sales,
+SELECT CAST(month(ds) AS INTEGER) AS month, ROUND((sum(y)) + sign(sum(y)) * least(abs(sum(y)) * 1e-11, 1e-7), 4) AS sum_sales, ROUND((avg(y)) + sign(avg(y)) * least(abs(avg(y)) * 1e-11, 1e-7), 4) AS mean_sales,
        CAST(count(y) AS BIGINT) AS n_days FROM d GROUP BY 1""", covers=("A22",))
 def q_month_of_year_profile(spark, sf_dir):
     tx = transactions(spark, sf_dir, ["transaction_date", "total_sales"])
@@ -76,7 +76,7 @@ m AS (SELECT date_trunc('month', transaction_date)::DATE AS mon, sum(total_sales
       WHERE transaction_date IS NOT NULL GROUP BY 1),
 grid AS (SELECT unnest(generate_series((SELECT min(mon) FROM m), (SELECT max(mon) FROM m),
                                        INTERVAL 1 MONTH))::DATE AS mon)
-SELECT last_day(grid.mon) AS month_end, ROUND((coalesce(m.s, 0.0)) * CAST(1.00000000001 AS DOUBLE), 4) AS sales
+SELECT last_day(grid.mon) AS month_end, ROUND((coalesce(m.s, 0.0)) + sign(coalesce(m.s, 0.0)) * least(abs(coalesce(m.s, 0.0)) * 1e-11, 1e-7), 4) AS sales
 FROM grid LEFT JOIN m ON grid.mon = m.mon""", covers=("A18",))
 def q_month_end_resample(spark, sf_dir):
     tx = transactions(spark, sf_dir, ["transaction_date", "total_sales"])
@@ -95,7 +95,7 @@ w AS (SELECT transaction_date + CAST((7 - isodow(transaction_date)) % 7 AS INTEG
              sum(total_sales) AS s FROM tx WHERE transaction_date IS NOT NULL GROUP BY 1),
 grid AS (SELECT unnest(generate_series((SELECT min(week_end) FROM w), (SELECT max(week_end) FROM w),
                                        INTERVAL 7 DAY))::DATE AS week_end)
-SELECT grid.week_end, ROUND((coalesce(w.s, 0.0)) * CAST(1.00000000001 AS DOUBLE), 4) AS sales
+SELECT grid.week_end, ROUND((coalesce(w.s, 0.0)) + sign(coalesce(w.s, 0.0)) * least(abs(coalesce(w.s, 0.0)) * 1e-11, 1e-7), 4) AS sales
 FROM grid LEFT JOIN w ON grid.week_end = w.week_end""", covers=("A19",))
 def q_weekly_resample_sunday(spark, sf_dir):
     tx = transactions(spark, sf_dir, ["transaction_date", "total_sales"])
@@ -114,7 +114,7 @@ def q_weekly_resample_sunday(spark, sf_dir):
 @query("daily_asfreq", f"""WITH tx AS ({_TX_DS}),
 d AS (SELECT transaction_date AS ds, sum(total_sales) AS y FROM tx WHERE transaction_date IS NOT NULL GROUP BY 1),
 grid AS (SELECT unnest(generate_series((SELECT min(ds) FROM d), (SELECT max(ds) FROM d), INTERVAL 1 DAY))::DATE AS ds)
-SELECT grid.ds, ROUND((d.y) * CAST(1.00000000001 AS DOUBLE), 4) AS y FROM grid LEFT JOIN d ON grid.ds = d.ds""", covers=("A20",))
+SELECT grid.ds, ROUND((d.y) + sign(d.y) * least(abs(d.y) * 1e-11, 1e-7), 4) AS y FROM grid LEFT JOIN d ON grid.ds = d.ds""", covers=("A20",))
 def q_daily_asfreq(spark, sf_dir):
     tx = transactions(spark, sf_dir, ["transaction_date", "total_sales"])
     d = A.daily_sales(tx)
@@ -129,7 +129,7 @@ _TX_ROW = tx_sql(["transaction_id", "line_number", "product_id", "transaction_da
 r AS (SELECT *, strftime(transaction_date, '%Y-%m') AS year_month FROM tx),
 m AS (SELECT year_month, sum(total_sales) AS monthly_sales_trends FROM r WHERE year_month IS NOT NULL GROUP BY 1)
 SELECT r.transaction_id, r.line_number, r.product_id, r.year_month,
-       ROUND((m.monthly_sales_trends) * CAST(1.00000000001 AS DOUBLE), 4) AS monthly_sales_trends
+       ROUND((m.monthly_sales_trends) + sign(m.monthly_sales_trends) * least(abs(m.monthly_sales_trends) * 1e-11, 1e-7), 4) AS monthly_sales_trends
 FROM r LEFT JOIN m ON r.year_month = m.year_month""", covers=("A10", "J5"))
 def q_monthly_trend_feature(spark, sf_dir):
     tx = transactions(spark, sf_dir, ["transaction_id", "line_number", "product_id",
@@ -143,7 +143,7 @@ def q_monthly_trend_feature(spark, sf_dir):
 r AS (SELECT *, CAST(month(transaction_date) AS INTEGER) AS month FROM tx),
 m AS (SELECT month, avg(total_sales) AS seasonal_sales_trends FROM r WHERE month IS NOT NULL GROUP BY 1)
 SELECT r.transaction_id, r.line_number, r.product_id, r.month,
-       ROUND((m.seasonal_sales_trends) * CAST(1.00000000001 AS DOUBLE), 4) AS seasonal_sales_trends
+       ROUND((m.seasonal_sales_trends) + sign(m.seasonal_sales_trends) * least(abs(m.seasonal_sales_trends) * 1e-11, 1e-7), 4) AS seasonal_sales_trends
 FROM r LEFT JOIN m ON r.month = m.month""", covers=("A11", "F5"))
 def q_seasonal_trend_feature(spark, sf_dir):
     tx = transactions(spark, sf_dir, ["transaction_id", "line_number", "product_id",
@@ -169,8 +169,8 @@ _LAGS = (1, 2, 3, 7, 14, 30)
 
 
 @query("daily_lag_features", f"""WITH {REGION_DAILY_CTE}
-SELECT region, ds, ROUND((y) * CAST(1.00000000001 AS DOUBLE), 4) AS y,
-  {", ".join(f"ROUND((lag(y, {n}) OVER (PARTITION BY region ORDER BY ds)) * CAST(1.00000000001 AS DOUBLE), 4) AS lag_{n}" for n in _LAGS)}
+SELECT region, ds, ROUND((y) + sign(y) * least(abs(y) * 1e-11, 1e-7), 4) AS y,
+  {", ".join(f"ROUND((lag(y, {n}) OVER (PARTITION BY region ORDER BY ds)) + sign(lag(y, {n}) OVER (PARTITION BY region ORDER BY ds)) * least(abs(lag(y, {n}) OVER (PARTITION BY region ORDER BY ds)) * 1e-11, 1e-7), 4) AS lag_{n}" for n in _LAGS)}
 FROM d""", covers=("W1", "W2", "W3"))
 def q_daily_lag_features(spark, sf_dir):
     out = Wn.lag_features(region_daily(spark, sf_dir), "y", _LAGS, order=["ds"],
@@ -186,11 +186,11 @@ def _roll_sql(n, stat, shift=0):
     frame = f"ROWS BETWEEN {n - 1 + shift} PRECEDING AND {'CURRENT ROW' if not shift else f'{shift} PRECEDING'}"
     w = f"OVER (PARTITION BY region ORDER BY ds {frame})"
     name = f"rolling_{stat}_{n}" + (f"_lag{shift}" if shift else "")
-    return f"ROUND((CASE WHEN count(y) {w} = {n} THEN {_RSTATS[stat]}(y) {w} END) * CAST(1.00000000001 AS DOUBLE), 4) AS {name}"
+    return f"ROUND((CASE WHEN count(y) {w} = {n} THEN {_RSTATS[stat]}(y) {w} END) + sign(CASE WHEN count(y) {w} = {n} THEN {_RSTATS[stat]}(y) {w} END) * least(abs(CASE WHEN count(y) {w} = {n} THEN {_RSTATS[stat]}(y) {w} END) * 1e-11, 1e-7), 4) AS {name}"
 
 
 @query("daily_rolling_features", f"""WITH {REGION_DAILY_CTE}
-SELECT region, ds, ROUND((y) * CAST(1.00000000001 AS DOUBLE), 4) AS y,
+SELECT region, ds, ROUND((y) + sign(y) * least(abs(y) * 1e-11, 1e-7), 4) AS y,
   {", ".join(_roll_sql(n, s) for n in _ROLL for s in _RSTATS)}
 FROM d""", covers=("W4", "W5"))
 def q_daily_rolling_features(spark, sf_dir):
@@ -200,7 +200,7 @@ def q_daily_rolling_features(spark, sf_dir):
 
 
 @query("daily_lagged_rolling", f"""WITH {REGION_DAILY_CTE}
-SELECT region, ds, ROUND((y) * CAST(1.00000000001 AS DOUBLE), 4) AS y, {_roll_sql(7, "mean", 1)}, {_roll_sql(7, "std", 1)}
+SELECT region, ds, ROUND((y) + sign(y) * least(abs(y) * 1e-11, 1e-7), 4) AS y, {_roll_sql(7, "mean", 1)}, {_roll_sql(7, "std", 1)}
 FROM d""", covers=("W6",))
 def q_daily_lagged_rolling(spark, sf_dir):
     out = Wn.rolling_stats(region_daily(spark, sf_dir), "y", [7], order=["ds"],
@@ -209,9 +209,11 @@ def q_daily_lagged_rolling(spark, sf_dir):
 
 
 @query("daily_minmax_scaled", f"""WITH {REGION_DAILY_CTE}
-SELECT region, ds, ROUND((y) * CAST(1.00000000001 AS DOUBLE), 4) AS y,
+SELECT region, ds, ROUND((y) + sign(y) * least(abs(y) * 1e-11, 1e-7), 4) AS y,
   ROUND((CASE WHEN max(y) OVER (PARTITION BY region) = min(y) OVER (PARTITION BY region) THEN 0.0
-        ELSE (y - min(y) OVER (PARTITION BY region)) / (max(y) OVER (PARTITION BY region) - min(y) OVER (PARTITION BY region)) END) * CAST(1.00000000001 AS DOUBLE), 6)
+        ELSE (y - min(y) OVER (PARTITION BY region)) / (max(y) OVER (PARTITION BY region) - min(y) OVER (PARTITION BY region)) END) + sign(CASE WHEN max(y) OVER (PARTITION BY region) = min(y) OVER (PARTITION BY region) THEN 0.0
+        ELSE (y - min(y) OVER (PARTITION BY region)) / (max(y) OVER (PARTITION BY region) - min(y) OVER (PARTITION BY region)) END) * least(abs(CASE WHEN max(y) OVER (PARTITION BY region) = min(y) OVER (PARTITION BY region) THEN 0.0
+        ELSE (y - min(y) OVER (PARTITION BY region)) / (max(y) OVER (PARTITION BY region) - min(y) OVER (PARTITION BY region)) END) * 1e-11, 1e-7), 6)
     AS y_scaled
 FROM d""", covers=("W17",))
 def q_daily_minmax_scaled(spark, sf_dir):
@@ -228,7 +230,7 @@ def daily(spark, sf_dir):
 
 
 @query("daily_sequences", f"""WITH {DAILY_CTE},
-r AS (SELECT ds, ROUND(y * CAST(1.00000000001 AS DOUBLE), 4) AS y FROM d),
+r AS (SELECT ds, ROUND(y + sign(y) * least(abs(y) * 1e-11, 1e-7), 4) AS y FROM d),
 s AS (SELECT ds, y, list(y) OVER (ORDER BY ds ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS sequence FROM r)
 SELECT ds, sequence, y AS target FROM s WHERE len(sequence) = 7""", covers=("W16",))
 def q_daily_sequences(spark, sf_dir):
@@ -245,8 +247,8 @@ ind2 AS (SELECT ds, ma_30, volatility_30, coalesce(CAST(y > ma_30 AS INTEGER), 0
 grid AS (SELECT unnest(generate_series((SELECT min(ds) FROM d), (SELECT max(ds) FROM d), INTERVAL 1 DAY))::DATE AS ds),
 g AS (SELECT grid.ds, ind2.ma_30, ind2.volatility_30, ind2.sentiment FROM grid LEFT JOIN ind2 ON grid.ds = ind2.ds)
 SELECT ds,
-  ROUND((last_value(ma_30 IGNORE NULLS) OVER o) * CAST(1.00000000001 AS DOUBLE), 4) AS ma_30,
-  ROUND((last_value(volatility_30 IGNORE NULLS) OVER o) * CAST(1.00000000001 AS DOUBLE), 4) AS volatility_30,
+  ROUND((last_value(ma_30 IGNORE NULLS) OVER o) + sign(last_value(ma_30 IGNORE NULLS) OVER o) * least(abs(last_value(ma_30 IGNORE NULLS) OVER o) * 1e-11, 1e-7), 4) AS ma_30,
+  ROUND((last_value(volatility_30 IGNORE NULLS) OVER o) + sign(last_value(volatility_30 IGNORE NULLS) OVER o) * least(abs(last_value(volatility_30 IGNORE NULLS) OVER o) * 1e-11, 1e-7), 4) AS volatility_30,
   last_value(sentiment IGNORE NULLS) OVER o AS sentiment
 FROM g WINDOW o AS (ORDER BY ds ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
        covers=("W7", "J7", "P21"))
@@ -273,7 +275,7 @@ g AS (SELECT grid.ds, last_value(ind.ma_30 IGNORE NULLS) OVER (ORDER BY grid.ds
       FROM grid LEFT JOIN ind ON grid.ds = ind.ds),
 rows AS ({_TX_J6})
 SELECT rows.transaction_id, rows.line_number, rows.product_id, rows.transaction_date,
-       ROUND((coalesce(g.ma_30, 4000.0)) * CAST(1.00000000001 AS DOUBLE), 4) AS ma_30
+       ROUND((coalesce(g.ma_30, 4000.0)) + sign(coalesce(g.ma_30, 4000.0)) * least(abs(coalesce(g.ma_30, 4000.0)) * 1e-11, 1e-7), 4) AS ma_30
 FROM rows LEFT JOIN g ON rows.transaction_date = g.ds""", covers=("J6", "P21"))
 def q_rows_with_indicators(spark, sf_dir):
     ind = indicators_asof(spark, sf_dir).select("ds", "ma_30")
@@ -300,9 +302,9 @@ SELECT ds, CAST(year(ds) AS INTEGER) AS year, CAST(month(ds) AS INTEGER) AS mont
   CAST(ds = last_day(ds) AS INTEGER) AS is_month_end,
   CAST(ds = date_trunc('quarter', ds) AS INTEGER) AS is_quarter_start,
   CAST(ds = CAST(date_trunc('quarter', ds) + INTERVAL 3 MONTH - INTERVAL 1 DAY AS DATE) AS INTEGER) AS is_quarter_end,
-  ROUND((sin(month(ds) * 2 * pi() / 12)) * CAST(1.00000000001 AS DOUBLE), 6) + 0.0 AS month_sin, ROUND((cos(month(ds) * 2 * pi() / 12)) * CAST(1.00000000001 AS DOUBLE), 6) + 0.0 AS month_cos,
-  ROUND((sin((isodow(ds) - 1) * 2 * pi() / 7)) * CAST(1.00000000001 AS DOUBLE), 6) + 0.0 AS day_of_week_sin,
-  ROUND((cos((isodow(ds) - 1) * 2 * pi() / 7)) * CAST(1.00000000001 AS DOUBLE), 6) + 0.0 AS day_of_week_cos
+  ROUND((sin(month(ds) * 2 * pi() / 12)) + sign(sin(month(ds) * 2 * pi() / 12)) * least(abs(sin(month(ds) * 2 * pi() / 12)) * 1e-11, 1e-7), 6) + 0.0 AS month_sin, ROUND((cos(month(ds) * 2 * pi() / 12)) + sign(cos(month(ds) * 2 * pi() / 12)) * least(abs(cos(month(ds) * 2 * pi() / 12)) * 1e-11, 1e-7), 6) + 0.0 AS month_cos,
+  ROUND((sin((isodow(ds) - 1) * 2 * pi() / 7)) + sign(sin((isodow(ds) - 1) * 2 * pi() / 7)) * least(abs(sin((isodow(ds) - 1) * 2 * pi() / 7)) * 1e-11, 1e-7), 6) + 0.0 AS day_of_week_sin,
+  ROUND((cos((isodow(ds) - 1) * 2 * pi() / 7)) + sign(cos((isodow(ds) - 1) * 2 * pi() / 7)) * least(abs(cos((isodow(ds) - 1) * 2 * pi() / 7)) * 1e-11, 1e-7), 6) + 0.0 AS day_of_week_cos
 FROM d""", covers=("F1", "F2", "F3", "F4", "F5"))
 def q_calendar_features(spark, sf_dir):
     d = (transactions(spark, sf_dir, ["transaction_date"])

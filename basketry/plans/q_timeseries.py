@@ -61,7 +61,7 @@ x AS (SELECT region, ds, y, lag(y) OVER (PARTITION BY region ORDER BY ds) AS x F
 g AS (SELECT region, regr_slope(y - x, x) AS b, regr_sxx(y - x, x) AS sxx, regr_syy(y - x, x) AS syy,
              regr_count(y - x, x) AS n FROM x GROUP BY region),
 s AS (SELECT region, b / sqrt((syy - b * b * sxx) / (n - 2) / sxx) AS stat, n FROM g)
-SELECT region, {S("stat")} AS adf_statistic, -2.86 AS critical_5pct,
+SELECT region, {S("stat")} AS adf_statistic, CAST(-2.86 AS DOUBLE) AS critical_5pct,
        CAST(stat < -2.86 AS INTEGER) AS is_stationary, CAST(n AS BIGINT) AS n FROM s""",
        covers=("L14",))
 def q_region_stationarity(spark, sf_dir):
