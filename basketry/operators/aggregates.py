@@ -335,11 +335,12 @@ def product_demand_by_month(df: DataFrame, date="transaction_date", sales="total
 
 
 # ---------------------------------------------------------------- A28
-def box_stats(df: DataFrame, group: str, value: str, exact: bool = True) -> DataFrame:
+def box_stats(df: DataFrame, group: str, value: str, exact: bool = False) -> DataFrame:
     """Quartiles, IQR whiskers (1.5·IQR, clipped to data) and sort order by median.
 
-    ``exact`` uses ``percentile`` (linear, like pandas); at scale use
-    ``exact=False`` for ``percentile_approx`` (bounded memory per group).
+    Default: ``percentile_approx`` (a fixed-size sketch per group, merged
+    map-side). ``exact`` uses ``percentile`` (linear, like pandas), whose
+    buffer is a map of distinct value → count: for bounded-domain values.
     """
     if exact:
         q = F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))

@@ -86,7 +86,7 @@ def churn_job(spark, sf_dir, models=("logistic_regression", "random_forest", "gr
     feats = churn_features(spark, sf_dir)
     train, test = Mp.stratified_split(feats, ["customer_id"], "churn")
     pipe = Mp.feature_pipeline(CHURN_NUMERIC, CHURN_CATEGORICAL).fit(train)
-    tr, te = pipe.transform(train), pipe.transform(test)
+    tr, te = pipe.transform(train), pipe.transform(test).cache()
     if oversample:
         from ..models.resample import smote
         tr = smote(tr, "churn", key="customer_id")
@@ -94,6 +94,7 @@ def churn_job(spark, sf_dir, models=("logistic_regression", "random_forest", "gr
     else:
         tr = Mp.balanced_class_weights(tr, "churn")
         weight = "class_weight"
+    tr = tr.cache()  # read once per boosting / tree iteration
     ests = L.classifiers(label="churn", weight=weight, fast=fast)
     rows = []
     for name in models:
@@ -111,7 +112,7 @@ def forecast_job(spark, sf_dir, models=("linear_regression", "random_forest", "g
     d = forecast_features(spark, sf_dir).withColumnRenamed("y", "label")
     train, test = Mp.time_split(d, "ds", 0.8)
     va = VectorAssembler(inputCols=FORECAST_NUMERIC, outputCol="features")
-    tr, te = va.transform(train), va.transform(test)
+    tr, te = va.transform(train).cache(), va.transform(test).cache()
     ests = L.regressors(fast=fast)
     rows = []
     for name in models:
@@ -139,7 +140,7 @@ def segmentation_job(spark, sf_dir, k: int = 4, pca_k: int = 2) -> DataFrame:
     """z-score → k-means → PCA(2) → cluster profile with silhouette."""
     f = Mp.zscore(segment_features(spark, sf_dir), SEGMENT_NUMERIC, suffix="_z")
     va = VectorAssembler(inputCols=[f"{c}_z" for c in SEGMENT_NUMERIC], outputCol="features")
-    x = va.transform(f)
+    x = va.transform(f).cache()
     km = L.kmeans(k).fit(x)
     clustered = km.transform(x)
     pca = Mp.pca_stage(pca_k).fit(clustered)
@@ -179,7 +180,7 @@ def promotion_job(spark, sf_dir, k: int = 3) -> DataFrame:
     pm = A.product_promo_metrics(A.items_per_transaction(tx))
     z = Mp.zscore(pm, PROMO_NUMERIC, suffix="_z")
     x = VectorAssembler(inputCols=[f"{c}_z" for c in PROMO_NUMERIC], outputCol="features"
-                        ).transform(z)
+                        ).transform(z).cache()
     clustered = L.kmeans(k).fit(x).transform(x)
     labelled = L.performance_labels(clustered, "cluster", "total_sales")
     summary = labelled.groupBy("performance_level").agg(
@@ -249,7 +250,7 @@ def scoring_job(spark, sf_dir, k: int = 4) -> DataFrame:
 def grid_search_job(spark, sf_dir) -> DataFrame:
     """Grid search CV (3 folds) for logistic regression on churn features."""
     feats = churn_features(spark, sf_dir)
-    x = Mp.feature_pipeline(CHURN_NUMERIC, CHURN_CATEGORICAL).fit(feats).transform(feats)
+    x = Mp.feature_pipeline(CHURN_NUMERIC, CHURN_CATEGORICAL).fit(feats).transform(feats).cache()
     est = L.classifiers(label="churn")["logistic_regression"]
     grid = T.param_grid(est, {"regParam": [0.01, 0.1, 1.0], "elasticNetParam": [0.0, 0.5]})
     _, trials = T.cross_validate(est, grid, T.auc_evaluator("churn"), x, ["customer_id"],
@@ -260,7 +261,7 @@ def grid_search_job(spark, sf_dir) -> DataFrame:
 def random_search_job(spark, sf_dir, n_iter: int = 6) -> DataFrame:
     """Randomised search over a random-forest space."""
     feats = churn_features(spark, sf_dir)
-    x = Mp.feature_pipeline(CHURN_NUMERIC, CHURN_CATEGORICAL).fit(feats).transform(feats)
+    x = Mp.feature_pipeline(CHURN_NUMERIC, CHURN_CATEGORICAL).fit(feats).transform(feats).cache()
     est = L.classifiers(label="churn", fast=True)["random_forest"]
     space = {"numTrees": [10, 20, 40], "maxDepth": [3, 5, 8], "minInstancesPerNode": [1, 5]}
     maps = T.sampled_param_maps(est, space, n_iter=n_iter)
@@ -296,7 +297,7 @@ def learning_curve_job(spark, sf_dir) -> DataFrame:
 def importance_job(spark, sf_dir, top: int = 15) -> DataFrame:
     feats = churn_features(spark, sf_dir)
     pipe = Mp.feature_pipeline(CHURN_NUMERIC, CHURN_CATEGORICAL, drop_first=True).fit(feats)
-    x = pipe.transform(feats)
+    x = pipe.transform(feats).cache()
     n_seg = len(pipe.stages[0].labels) - 1
     names = CHURN_NUMERIC + [f"market_segment_{i}" for i in range(n_seg)]
     ests = L.classifiers(label="churn", fast=True)
