@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..sources import files as IO
 from ..sources.tables import transactions, tx_sql
-from ..streaming.channel_stream import run_to_table
+from ..streaming.channel_stream import run_to_table, utc_text
 from .registry import R, query, rounded
 
 _TX = tx_sql(["product_category", "channel", "quantity", "total_sales"])
@@ -56,6 +56,6 @@ def q_streaming_hourly_event_sales(spark, sf_dir):
     name = f"hourly_{uuid.uuid4().hex[:12]}"
     ckpt = IO.shared_path(spark, "streams", name)
     t = run_to_table(spark, sf_dir, ckpt, name, glob="events.parquet", output_mode="complete")
-    out = t.select(F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
+    out = t.select(utc_text(spark, F.col("w.start")).alias("window_start"),
                    "event_type", "sales", "events")
     return rounded(out, {"sales": 4})

@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Event time is read as TIMESTAMP (watermarks need it): the stored wall-clock
+# values are taken as UTC instants; ``utc_text`` renders them back in UTC.
 EVENT_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampType()),
     T.StructField("user_id", T.LongType()), T.StructField("event_type", T.StringType()),
@@ -28,6 +30,12 @@ def event_stream(spark: SparkSession, directory: str, glob: str = "*.parquet",
     return r.parquet(directory)
 
 
+def utc_text(spark: SparkSession, col, fmt: str = "yyyy-MM-dd HH:mm:ss"):
+    """Render a TIMESTAMP as UTC wall-clock text, whatever the session time zone."""
+    tz = spark.conf.get("spark.sql.session.timeZone")
+    return F.date_format(F.to_utc_timestamp(col, tz), fmt)
+
+
 def hourly_channel_sales(events: DataFrame, watermark: str = "2 hours",
                          window: str = "1 hour") -> DataFrame:
     """Windowed sums per event type; state older than the watermark is dropped."""
