@@ -334,7 +334,12 @@ def feature_selection_job(spark, sf_dir, k: int = 5) -> DataFrame:
 # ---------------------------------------------------------------- E28, E29, E30
 def basic_features_job(spark, sf_dir) -> DataFrame:
     """Calendar → monthly trend → CLV → days between → variety → seasonal → KNN
-    fill → z-score → lags → rolling (E28), per transaction line."""
+    fill → z-score → lags → rolling (E28), per transaction line.
+
+    The nearest-neighbour fill runs on the customer-grain feature table (one
+    row per customer, the grain where these features live), not on lines:
+    exact kNN costs |rows with gaps| × |complete rows|, so the grain matters.
+    """
     from ..models.resample import knn_impute
     cols = ["transaction_id", "line_number", "product_id", "supplier_id", "customer_id",
             "transaction_date", "quantity", "extended_price", "total_sales", "product_category"]
@@ -343,18 +348,20 @@ def basic_features_job(spark, sf_dir) -> DataFrame:
     d = tx.withColumns({k: parts[k] for k in ("year", "month", "quarter", "day", "day_of_week",
                                               "is_weekend")})
     d = A.monthly_trend_feature(d)
-    clv = A.customer_lifetime_value(tx).drop("purchase_frequency")
-    d = d.join(clv, "customer_id", "left")
     d = Wn.days_between_purchases(d, order=["transaction_id", "line_number", "product_id",
                                             "supplier_id", "quantity", "extended_price"])
     d = A.category_variety(d)
     stats = (d.where(F.col("month").isNotNull()).groupBy("month")
               .agg(F.avg("total_sales").alias("seasonal_sales_trends")))
     d = d.join(F.broadcast(stats), "month", "left")
-    num = ["quantity", "total_sales", "avg_order_value", "customer_lifetime_value",
-           "days_between_purchases"]
-    d = knn_impute(d, num, key=["transaction_id", "line_number", "product_id", "supplier_id"], k=5)
-    d = Mp.zscore(d, num, suffix="_z")
+    cust_num = ["avg_order_value", "purchase_frequency", "lifespan_days",
+                "customer_lifetime_value"]
+    cust = A.customer_lifetime_value(tx)
+    cust = knn_impute(cust.withColumns({c: F.col(c).cast("double") for c in cust_num}),
+                      cust_num, key=["customer_id"], k=5)
+    cust = Mp.zscore(cust, cust_num, suffix="_z")
+    d = d.join(cust, "customer_id", "left")
+    d = Mp.zscore(d, ["quantity", "total_sales", "days_between_purchases"], suffix="_z")
     daily = A.daily_sales(tx, keys=["product_category"])
     daily = Wn.lag_features(daily, "y", [1, 2, 3], order=["ds"], partition=["product_category"])
     daily = Wn.rolling_stats(daily, "y", [3], order=["ds"], partition=["product_category"])
