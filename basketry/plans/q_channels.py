@@ -6,29 +6,29 @@ from ..operators import aggregates as A
 from ..sources.tables import events, transactions, tx_sql
 from .registry import query, rounded
 
-_TX_CH = tx_sql(["channel", "total_sales", "customer_id"])
+_TX_CH = tx_sql(["channel", "gross_sales", "customer_id"])
 
 
 @query("channel_sales", f"""WITH tx AS ({_TX_CH})
-SELECT channel, ROUND((sum(total_sales)) + sign(sum(total_sales)) * least(abs(sum(total_sales)) * 1e-11, 1e-7), 4) AS total_sales, CAST(count(*) AS BIGINT) AS transactions,
-       ROUND((sum(total_sales) / count(*)) + sign(sum(total_sales) / count(*)) * least(abs(sum(total_sales) / count(*)) * 1e-11, 1e-7), 4) AS avg_basket,
+SELECT channel, ROUND((sum(gross_sales)) + sign(sum(gross_sales)) * least(abs(sum(gross_sales)) * 1e-11, 1e-7), 4) AS total_sales, CAST(count(*) AS BIGINT) AS transactions,
+       ROUND((sum(gross_sales) / count(*)) + sign(sum(gross_sales) / count(*)) * least(abs(sum(gross_sales) / count(*)) * 1e-11, 1e-7), 4) AS avg_basket,
        CAST(count(DISTINCT customer_id) AS BIGINT) AS unique_customers
 FROM tx WHERE channel IS NOT NULL GROUP BY channel""", covers=("A13", "J11", "E25"))
 def q_channel_sales(spark, sf_dir):
-    tx = transactions(spark, sf_dir, ["channel", "total_sales", "customer_id"])
-    return rounded(A.channel_sales(tx), {"total_sales": 4, "avg_basket": 4})
+    tx = transactions(spark, sf_dir, ["channel", "gross_sales", "customer_id"])
+    return rounded(A.channel_sales(tx, sales="gross_sales"), {"total_sales": 4, "avg_basket": 4})
 
 
-_TX_CHM = tx_sql(["channel", "transaction_date", "total_sales"])
+_TX_CHM = tx_sql(["channel", "transaction_date", "gross_sales"])
 
 
 @query("channel_monthly_sales", f"""WITH tx AS ({_TX_CHM})
-SELECT channel, date_trunc('month', transaction_date)::DATE AS month, ROUND((sum(total_sales)) + sign(sum(total_sales)) * least(abs(sum(total_sales)) * 1e-11, 1e-7), 4) AS sales
+SELECT channel, date_trunc('month', transaction_date)::DATE AS month, ROUND((sum(gross_sales)) + sign(sum(gross_sales)) * least(abs(sum(gross_sales)) * 1e-11, 1e-7), 4) AS sales
 FROM tx WHERE channel IS NOT NULL AND transaction_date IS NOT NULL GROUP BY 1, 2""",
        covers=("A14",))
 def q_channel_monthly_sales(spark, sf_dir):
-    tx = transactions(spark, sf_dir, ["channel", "transaction_date", "total_sales"])
-    return rounded(A.channel_monthly_sales(tx), {"sales": 4})
+    tx = transactions(spark, sf_dir, ["channel", "transaction_date", "gross_sales"])
+    return rounded(A.channel_monthly_sales(tx, sales="gross_sales"), {"sales": 4})
 
 
 @query("channel_hourly_sales", """

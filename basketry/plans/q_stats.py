@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import aggregates as A
 from ..sources.tables import transactions, tx_sql
-from .q_time import DAILY_CTE, daily
+from .q_time import GROSS_DAILY_CTE, gross_daily
 from .registry import R, query, rounded
 
 _TX_BOX = tx_sql(["product_category", "quantity"])
@@ -155,7 +155,7 @@ def q_brand_frequency_encoding(spark, sf_dir):
     return rounded(A.frequency_encode(tx, "product_brand"), {"product_brand_freq": 6})
 
 
-@query("sales_trend_fit", f"""WITH {DAILY_CTE},
+@query("sales_trend_fit", f"""WITH {GROSS_DAILY_CTE},
 t AS (SELECT ds, y, row_number() OVER (ORDER BY ds) - 1 AS t FROM d)
 SELECT {R("regr_slope(y, t)", 6)} AS slope, {R("regr_intercept(y, t)", 4)} AS intercept,
        {R("regr_r2(y, t)", 6)} AS r2, CAST(regr_count(y, t) AS BIGINT) AS n,
@@ -164,6 +164,26 @@ SELECT {R("regr_slope(y, t)", 6)} AS slope, {R("regr_intercept(y, t)", 4)} AS in
 FROM t""", covers=("A39", "F17", "W10", "E27"))
 def q_sales_trend_fit(spark, sf_dir):
     from ..operators.windows import time_index
-    t = time_index(daily(spark, sf_dir), ["ds"], out="t")
+    t = time_index(gross_daily(spark, sf_dir), ["ds"], out="t")
     out = A.linear_fit(t, "y", "t").withColumn("n", F.col("n").cast("long"))
     return rounded(out, {"slope": 6, "intercept": 4, "r2": 6})
+
+
+_TX_HC = tx_sql(["transaction_id", "line_number", "product_id", "product_brand", "product_category",
+                 "product_name", "market_segment"])
+
+
+@query("high_cardinality_encoding", f"""WITH tx AS ({_TX_HC}),
+c AS (SELECT product_name, count(*) AS n FROM tx WHERE product_name IS NOT NULL GROUP BY 1)
+SELECT tx.transaction_id, tx.line_number, tx.product_id, tx.product_brand, tx.product_category,
+       tx.market_segment, {R("c.n / (SELECT sum(n) FROM c)", 8)} AS product_name
+FROM tx LEFT JOIN c ON tx.product_name = c.product_name""", covers=("A35", "E29"))
+def q_high_cardinality_encoding(spark, sf_dir):
+    """Columns with more than 50 distinct values are replaced by their value share;
+    the others (brand 25, category 6, segment 5 values) stay as they are."""
+    tx = transactions(spark, sf_dir, ["transaction_id", "line_number", "product_id",
+                                      "product_brand", "product_category", "product_name",
+                                      "market_segment"])
+    out = A.frequency_encode_wide(tx, ["product_brand", "product_category", "product_name",
+                                       "market_segment"], min_distinct=50)
+    return rounded(out, {"product_name": 8})

@@ -24,20 +24,21 @@ def q_monthly_sales(spark, sf_dir):
 
 
 _TX_DS = tx_sql(["transaction_date", "total_sales"])
+_TX_GS = tx_sql(["transaction_date", "gross_sales"])
 
 
-@query("sales_by_period", f"""WITH tx AS ({_TX_DS})
+@query("sales_by_period", f"""WITH tx AS ({_TX_GS})
 SELECT 'week' AS grain, date_trunc('week', transaction_date)::DATE AS period_start,
-       ROUND((sum(total_sales)) + sign(sum(total_sales)) * least(abs(sum(total_sales)) * 1e-11, 1e-7), 4) AS sales FROM tx WHERE transaction_date IS NOT NULL GROUP BY 2
+       ROUND((sum(gross_sales)) + sign(sum(gross_sales)) * least(abs(sum(gross_sales)) * 1e-11, 1e-7), 4) AS sales FROM tx WHERE transaction_date IS NOT NULL GROUP BY 2
 UNION ALL
-SELECT 'month', date_trunc('month', transaction_date)::DATE, ROUND((sum(total_sales)) + sign(sum(total_sales)) * least(abs(sum(total_sales)) * 1e-11, 1e-7), 4)
+SELECT 'month', date_trunc('month', transaction_date)::DATE, ROUND((sum(gross_sales)) + sign(sum(gross_sales)) * least(abs(sum(gross_sales)) * 1e-11, 1e-7), 4)
 FROM tx WHERE transaction_date IS NOT NULL GROUP BY 2
 UNION ALL
-SELECT 'year', date_trunc('year', transaction_date)::DATE, ROUND((sum(total_sales)) + sign(sum(total_sales)) * least(abs(sum(total_sales)) * 1e-11, 1e-7), 4)
+SELECT 'year', date_trunc('year', transaction_date)::DATE, ROUND((sum(gross_sales)) + sign(sum(gross_sales)) * least(abs(sum(gross_sales)) * 1e-11, 1e-7), 4)
 FROM tx WHERE transaction_date IS NOT NULL GROUP BY 2""", covers=("A16", "T8"))
 def q_sales_by_period(spark, sf_dir):
-    tx = transactions(spark, sf_dir, ["transaction_date", "total_sales"])
-    parts = [A.sales_by_period(tx, g) for g in ("week", "month", "year")]
+    tx = transactions(spark, sf_dir, ["transaction_date", "gross_sales"])
+    parts = [A.sales_by_period(tx, g, sales="gross_sales") for g in ("week", "month", "year")]
     out = parts[0].unionByName(parts[1]).unionByName(parts[2])
     return rounded(out, {"sales": 4})
 
@@ -61,13 +62,13 @@ def q_daily_sales(spark, sf_dir):
     return rounded(A.daily_sales(tx), {"y": 4})
 
 
-@query("month_of_year_profile", f"""WITH tx AS ({_TX_DS}),
-d AS (SELECT transaction_date AS ds, sum(total_sales) AS y FROM tx WHERE transaction_date IS NOT NULL GROUP BY 1)
+@query("month_of_year_profile", f"""WITH tx AS ({_TX_GS}),
+d AS (SELECT transaction_date AS ds, sum(gross_sales) AS y FROM tx WHERE transaction_date IS NOT NULL GROUP BY 1)
 SELECT CAST(month(ds) AS INTEGER) AS month, ROUND((sum(y)) + sign(sum(y)) * least(abs(sum(y)) * 1e-11, 1e-7), 4) AS sum_sales, ROUND((avg(y)) + sign(avg(y)) * least(abs(avg(y)) * 1e-11, 1e-7), 4) AS mean_sales,
        CAST(count(y) AS BIGINT) AS n_days FROM d GROUP BY 1""", covers=("A22",))
 def q_month_of_year_profile(spark, sf_dir):
-    tx = transactions(spark, sf_dir, ["transaction_date", "total_sales"])
-    return rounded(A.month_of_year_profile(A.daily_sales(tx)),
+    tx = transactions(spark, sf_dir, ["transaction_date", "gross_sales"])
+    return rounded(A.month_of_year_profile(A.daily_sales(tx, sales="gross_sales")),
                    {"sum_sales": 4, "mean_sales": 4})
 
 
@@ -229,6 +230,16 @@ def daily(spark, sf_dir):
     return A.daily_sales(transactions(spark, sf_dir, ["transaction_date", "total_sales"]))
 
 
+GROSS_DAILY_CTE = f"""tx AS ({_TX_GS}),
+d AS (SELECT transaction_date AS ds, sum(gross_sales) AS y FROM tx WHERE transaction_date IS NOT NULL GROUP BY 1)"""
+
+
+def gross_daily(spark, sf_dir, keys=()):
+    """Daily quantity × unit price (the sales of the trend and seasonality reports)."""
+    cols = ["transaction_date", "gross_sales", *keys]
+    return A.daily_sales(transactions(spark, sf_dir, cols), sales="gross_sales", keys=keys)
+
+
 @query("daily_sequences", f"""WITH {DAILY_CTE},
 r AS (SELECT ds, ROUND(y + sign(y) * least(abs(y) * 1e-11, 1e-7), 4) AS y FROM d),
 s AS (SELECT ds, y, list(y) OVER (ORDER BY ds ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS sequence FROM r)

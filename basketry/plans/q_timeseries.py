@@ -7,18 +7,18 @@ from pyspark.sql import functions as F
 from ..operators import aggregates as A
 from ..operators import timeseries as TS
 from ..sources.tables import transactions, tx_sql
-from .q_time import DAILY_CTE, REGION_DAILY_CTE, daily, region_daily
+from .q_time import GROSS_DAILY_CTE, gross_daily
 from .registry import S, query, sigd
 
-_TX_DS = tx_sql(["transaction_date", "total_sales"])
-WEEKLY_CTE = f"""tx AS ({_TX_DS}),
-w AS (SELECT date_trunc('week', transaction_date)::DATE AS ds, sum(total_sales) AS y FROM tx
+_TX_GS = tx_sql(["transaction_date", "gross_sales"])
+WEEKLY_CTE = f"""tx AS ({_TX_GS}),
+w AS (SELECT date_trunc('week', transaction_date)::DATE AS ds, sum(gross_sales) AS y FROM tx
       WHERE transaction_date IS NOT NULL GROUP BY 1)"""
 
 
 def weekly(spark, sf_dir):
-    tx = transactions(spark, sf_dir, ["transaction_date", "total_sales"])
-    return A.sales_by_period(tx, "week").select(F.col("period_start").alias("ds"),
+    tx = transactions(spark, sf_dir, ["transaction_date", "gross_sales"])
+    return A.sales_by_period(tx, "week", sales="gross_sales").select(F.col("period_start").alias("ds"),
                                                 F.col("sales").alias("y"))
 
 
@@ -39,7 +39,7 @@ def q_weekly_additive_decomposition(spark, sf_dir):
                 ["y", "trend", "seasonal", "resid"])
 
 
-@query("daily_multiplicative_decomposition", f"""WITH {DAILY_CTE},
+@query("daily_multiplicative_decomposition", f"""WITH {GROSS_DAILY_CTE},
 t AS (SELECT ds, y, row_number() OVER (ORDER BY ds) - 1 AS t,
         CASE WHEN count(y) OVER f = 365 THEN avg(y) OVER f END AS trend
       FROM d WINDOW f AS (ORDER BY ds ROWS BETWEEN 182 PRECEDING AND 182 FOLLOWING)),
@@ -50,13 +50,19 @@ SELECT x.ds, {S("x.y")} AS y, {S("x.trend")} AS trend, {S("pc.seasonal")} AS sea
        {S("x.det / pc.seasonal")} AS resid
 FROM x LEFT JOIN pc ON x.phase = pc.phase""", covers=("W15", "E26"))
 def q_daily_multiplicative_decomposition(spark, sf_dir):
-    out = TS.decompose(daily(spark, sf_dir), "y", "ds", 365, model="multiplicative",
+    out = TS.decompose(gross_daily(spark, sf_dir), "y", "ds", 365, model="multiplicative",
                        two_sided=True)
     return sigd(out.select("ds", "y", "trend", "seasonal", "resid"),
                 ["y", "trend", "seasonal", "resid"])
 
 
-@query("region_stationarity", f"""WITH {REGION_DAILY_CTE},
+_TX_RGS = tx_sql(["region", "transaction_date", "gross_sales"])
+REGION_GROSS_CTE = f"""tx AS ({_TX_RGS}),
+d AS (SELECT region, transaction_date AS ds, sum(gross_sales) AS y FROM tx
+      WHERE region IS NOT NULL AND transaction_date IS NOT NULL GROUP BY 1, 2)"""
+
+
+@query("region_stationarity", f"""WITH {REGION_GROSS_CTE},
 x AS (SELECT region, ds, y, lag(y) OVER (PARTITION BY region ORDER BY ds) AS x FROM d),
 g AS (SELECT region, regr_slope(y - x, x) AS b, regr_sxx(y - x, x) AS sxx, regr_syy(y - x, x) AS syy,
              regr_count(y - x, x) AS n FROM x GROUP BY region),
@@ -65,17 +71,18 @@ SELECT region, {S("stat")} AS adf_statistic, CAST(-2.86 AS DOUBLE) AS critical_5
        CAST(stat < -2.86 AS INTEGER) AS is_stationary, CAST(n AS BIGINT) AS n FROM s""",
        covers=("L14",))
 def q_region_stationarity(spark, sf_dir):
-    out = TS.dickey_fuller(region_daily(spark, sf_dir), "y", "ds", keys=["region"])
+    out = TS.dickey_fuller(gross_daily(spark, sf_dir, keys=["region"]), "y", "ds", keys=["region"])
     return sigd(out, ["adf_statistic"])
 
 
 @query("daily_fourier_forecast", None, covers=("L12", "E26"))
 def q_daily_fourier_forecast(spark, sf_dir):
-    fc, _ = TS.fourier_forecast(daily(spark, sf_dir), horizon=30)
+    fc, _ = TS.fourier_forecast(gross_daily(spark, sf_dir), horizon=30)
     return fc
 
 
 @query("region_holt_winters", None, covers=("L13",))
 def q_region_holt_winters(spark, sf_dir):
+    from .q_time import region_daily
     return TS.holt_winters_additive(region_daily(spark, sf_dir), ["region"], period=12,
                                     horizon=30)

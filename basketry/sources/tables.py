@@ -58,6 +58,9 @@ _LINE = {
                                      F.col("l_quantity")),
     "discount_pct": lambda: F.col("l_discount") * 100.0,
     "total_sales": lambda: F.col("l_extendedprice") * (1.0 - F.col("l_discount")),
+    # quantity × unit price, the "sales" of the channel, trend and seasonality reports
+    "gross_sales": lambda: F.col("l_quantity") * F.try_divide(F.col("l_extendedprice"),
+                                                             F.col("l_quantity")),
     "extended_price": lambda: F.col("l_extendedprice"),
     "return_flag": lambda: F.col("l_returnflag"),
     "ship_date": lambda: F.col("l_shipdate").cast("date"),
@@ -166,6 +169,7 @@ _SQL_EXPR = {
     "discount_applied": "l.l_extendedprice * l.l_discount / NULLIF(l.l_quantity, 0)",
     "discount_pct": "l.l_discount * 100.0",
     "total_sales": "l.l_extendedprice * (1.0 - l.l_discount)",
+    "gross_sales": "l.l_quantity * (l.l_extendedprice / NULLIF(l.l_quantity, 0))",
     "extended_price": "l.l_extendedprice",
     "return_flag": "l.l_returnflag",
     "ship_date": "CAST(l.l_shipdate AS DATE)",
