@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from ..operators import aggregates as A
-from ..sources.tables import events, transactions, tx_sql
+from pyspark.sql import functions as F
+
+from ..sources.tables import events, order_lines, transactions, tx_sql
 from .registry import query, rounded
 
 _TX_CH = tx_sql(["channel", "gross_sales", "customer_id"])
@@ -15,8 +17,13 @@ SELECT channel, ROUND((sum(gross_sales)) + sign(sum(gross_sales)) * least(abs(su
        CAST(count(DISTINCT customer_id) AS BIGINT) AS unique_customers
 FROM tx WHERE channel IS NOT NULL GROUP BY channel""", covers=("A13", "J11", "E25"))
 def q_channel_sales(spark, sf_dir):
-    tx = transactions(spark, sf_dir, ["channel", "gross_sales", "customer_id"])
-    return rounded(A.channel_sales(tx, sales="gross_sales"), {"total_sales": 4, "avg_basket": 4})
+    o = order_lines(spark, sf_dir)
+    out = (o.groupBy("channel").agg(
+        F.sum("order_gross_sales").alias("total_sales"),
+        F.sum("n_lines").alias("transactions"),
+        (F.sum("order_gross_sales") / F.sum("n_lines")).alias("avg_basket"),
+        F.count_distinct("customer_id").alias("unique_customers")))
+    return rounded(out, {"total_sales": 4, "avg_basket": 4})
 
 
 _TX_CHM = tx_sql(["channel", "transaction_date", "gross_sales"])
@@ -27,8 +34,9 @@ SELECT channel, date_trunc('month', transaction_date)::DATE AS month, ROUND((sum
 FROM tx WHERE channel IS NOT NULL AND transaction_date IS NOT NULL GROUP BY 1, 2""",
        covers=("A14",))
 def q_channel_monthly_sales(spark, sf_dir):
-    tx = transactions(spark, sf_dir, ["channel", "transaction_date", "gross_sales"])
-    return rounded(A.channel_monthly_sales(tx, sales="gross_sales"), {"sales": 4})
+    # order-grain facts: the additive sum needs no line-level join
+    o = order_lines(spark, sf_dir)
+    return rounded(A.channel_monthly_sales(o, sales="order_gross_sales"), {"sales": 4})
 
 
 @query("channel_hourly_sales", """
@@ -65,6 +73,8 @@ SELECT region, ROUND((avg(CASE WHEN channel = 'in_store' THEN total_sales END))
        ROUND((avg(CASE WHEN channel = 'online' THEN total_sales END)) + sign(avg(CASE WHEN channel = 'online' THEN total_sales END)) * least(abs(avg(CASE WHEN channel = 'online' THEN total_sales END)) * 1e-11, 1e-7), 4) AS online
 FROM tx WHERE region IS NOT NULL GROUP BY region""", covers=("A36",))
 def q_region_channel_pivot(spark, sf_dir):
-    tx = transactions(spark, sf_dir, ["region", "channel", "total_sales"])
-    out = A.pivot_mean(tx, "region", "channel", "total_sales", values=["in_store", "online"])
+    # mean per line = Σ sales / Σ lines over order-grain facts
+    o = order_lines(spark, sf_dir, with_geo=True).where(F.col("region").isNotNull())
+    out = (o.groupBy("region").pivot("channel", ["in_store", "online"])
+            .agg((F.sum("order_sales") / F.sum("n_lines")).alias("m")))
     return rounded(out, {"in_store": 4, "online": 4})

@@ -43,7 +43,8 @@ def income_bracket(acctbal: Column) -> Column:
 
 
 def channel_of(priority: Column) -> Column:
-    return F.when(priority.isin(*ONLINE_PRIORITIES), "online").otherwise("in_store")
+    """Online for urgent / high priority orders, in store otherwise; null if unknown."""
+    return F.when(priority.isin(*ONLINE_PRIORITIES), "online").when(priority.isNotNull(), "in_store")
 
 
 # canonical column -> (source group, expression)
@@ -131,25 +132,47 @@ def transactions(spark: SparkSession, sf_dir: str, columns=None) -> DataFrame:
     return df.select(*[CANONICAL[c]().alias(c) for c in cols])
 
 
-def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_lines(spark: SparkSession, sf_dir: str, with_geo: bool = False) -> DataFrame:
     """Order-grain facts: line items pre-aggregated per order, then joined.
 
-    Aggregating lineitem by order key first shrinks the fact before the
-    join, and the aggregate's hash partitioning on the order key is reused
-    by the join (no second shuffle of the fact side).
+    Eager aggregation: Spark does not push an aggregation below a join, so
+    reports keyed by an order or customer attribute (channel, date, region)
+    first reduce ``lineitem`` to one row per order (a partial aggregation,
+    about 4:1), and only that crosses the join. The aggregate's hash
+    partitioning on the order key is reused by the join. Additive measures
+    only: line count, quantity, net and gross sales.
     """
     li = table(spark, sf_dir, "lineitem")
     per_order = li.groupBy("l_orderkey").agg(
         F.count(F.lit(1)).alias("n_lines"),
         F.sum("l_quantity").alias("items"),
-        F.sum(F.col("l_extendedprice") * (1.0 - F.col("l_discount"))).alias("order_sales"))
+        F.sum(F.col("l_extendedprice") * (1.0 - F.col("l_discount"))).alias("order_sales"),
+        F.sum(CANONICAL["gross_sales"]()).alias("order_gross_sales"))
     o = table(spark, sf_dir, "orders")
+    geo = []
+    if with_geo:
+        o = o.join(customers(spark, sf_dir), o.o_custkey == F.col("c_custkey"), "left")
+        geo = [F.col("r_name").alias("region"), F.col("n_name").alias("store_state")]
     return per_order.join(o, per_order.l_orderkey == o.o_orderkey, "inner").select(
         F.col("o_orderkey").alias("transaction_id"),
         F.col("o_custkey").alias("customer_id"),
         F.col("o_orderdate").cast("date").alias("transaction_date"),
         channel_of(F.col("o_orderpriority")).alias("channel"),
-        "n_lines", "items", "order_sales")
+        *geo, "n_lines", "items", "order_sales", "order_gross_sales")
+
+
+def part_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product-grain facts: line items pre-aggregated per part, then joined to
+    ``part`` (eager aggregation, about 30 lines per part)."""
+    li = table(spark, sf_dir, "lineitem")
+    per_part = li.groupBy("l_partkey").agg(
+        F.count(F.lit(1)).alias("n_lines"),
+        F.sum("l_quantity").alias("quantity"),
+        F.sum(F.col("l_extendedprice") * (1.0 - F.col("l_discount"))).alias("sales"))
+    p = table(spark, sf_dir, "part")
+    return per_part.join(p, per_part.l_partkey == p.p_partkey, "left").select(
+        F.col("l_partkey").alias("product_id"), F.col("p_type").alias("product_category"),
+        F.col("p_brand").alias("product_brand"), "n_lines", "quantity", "sales")
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -175,7 +198,8 @@ _SQL_EXPR = {
     "ship_date": "CAST(l.l_shipdate AS DATE)",
     "customer_id": "o.o_custkey",
     "transaction_date": "CAST(o.o_orderdate AS DATE)",
-    "channel": "CASE WHEN o.o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'online' ELSE 'in_store' END",
+    "channel": ("CASE WHEN o.o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'online' "
+                "WHEN o.o_orderpriority IS NOT NULL THEN 'in_store' END"),
     "order_priority": "o.o_orderpriority",
     "order_status": "o.o_orderstatus",
     "customer_name": "c.c_name",
