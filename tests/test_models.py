@@ -128,3 +128,84 @@ def test_streaming_equals_batch(spark, sf_small, tmp_path):
         F.sum("value").alias("sales"), F.count("*").alias("events"))
     bb = {(r.w.start, r.event_type): (round(r.sales, 6), r.events) for r in b.collect()}
     assert s == bb
+
+
+def _hw_python(ys, m, alpha, gamma):
+    level = sum(ys[:m]) / m
+    season = [v - level for v in ys[:m]]
+    sse = 0.0
+    for i, v in enumerate(ys):
+        s_old = season[i % m]
+        err = v - (level + s_old)
+        sse += err * err
+        level = alpha * (v - s_old) + (1 - alpha) * level
+        season[i % m] = gamma * (v - level) + (1 - gamma) * s_old
+    return level, season, sse, len(ys)
+
+
+def test_holt_winters_fold_matches_python(spark):
+    import datetime as dt
+    rng = np.random.default_rng(5)
+    ys = [10 + 3 * np.sin(2 * np.pi * i / 12) + rng.normal(0, 0.3) for i in range(60)]
+    df = spark.createDataFrame([("s", dt.date(2020, 1, 1) + dt.timedelta(days=i), float(v))
+                                for i, v in enumerate(ys)], "series string, ds date, y double")
+    from basketry.operators import timeseries as TS
+    out = TS.holt_winters_additive(df, ["series"], period=12, horizon=5,
+                                   alphas=(0.2, 0.5), gammas=(0.1, 0.3)).orderBy("step").collect()
+    best = min((_hw_python(ys, 12, a, g) + (a, g) for a in (0.2, 0.5) for g in (0.1, 0.3)),
+               key=lambda t: t[2])
+    level, season, sse, n, a, g = best
+    assert out[0].alpha == a and out[0].gamma == g and out[0].sse == pytest.approx(sse)
+    for r in out:
+        assert r.forecast == pytest.approx(level + season[(n + r.step - 1) % 12])
+
+
+def test_fourier_forecast_recovers_signal(spark):
+    import datetime as dt
+    from basketry.operators import timeseries as TS
+    days = [dt.date(2020, 1, 1) + dt.timedelta(days=i) for i in range(400)]
+    ys = [50 + 0.1 * i + 5 * np.sin(2 * np.pi * i / 7) for i in range(400)]
+    df = spark.createDataFrame(list(zip(days, map(float, ys))), "ds date, y double")
+    fc, fit = TS.fourier_forecast(df, horizon=7, seasonalities={"weekly": (7.0, 3)})
+    assert fit.first().r2 == pytest.approx(1.0, abs=1e-9)
+    fut = fc.where(F.col("y").isNull()).orderBy("ds").collect()
+    assert len(fut) == 7
+    for j, r in enumerate(fut):
+        i = 400 + j
+        assert r.yhat == pytest.approx(50 + 0.1 * i + 5 * np.sin(2 * np.pi * i / 7), abs=1e-6)
+
+
+def test_mutual_information_matches_numpy(spark):
+    rng = np.random.default_rng(6)
+    x = rng.integers(0, 4, 2000)
+    y = (x + rng.integers(0, 2, 2000)) % 4
+    df = spark.createDataFrame([(int(a), int(b)) for a, b in zip(x, y)], "x int, y int")
+    got = Mp.mutual_information(df, ["x"], "y", bins=8, label_bins=None).first().mutual_information
+    joint = np.zeros((4, 4))
+    for a, b in zip(x, y):
+        joint[a, b] += 1
+    p = joint / joint.sum()
+    px, py = p.sum(1, keepdims=True), p.sum(0, keepdims=True)
+    nz = p > 0
+    assert got == pytest.approx(float((p[nz] * np.log(p[nz] / (px @ py)[nz])).sum()))
+
+
+def test_qq_points_follow_filliben_medians(spark):
+    import statistics
+    vals = [3.0, -1.0, 2.5, 0.0, 7.0, -4.0, 1.0]
+    df = spark.createDataFrame([(i, v, 0.0) for i, v in enumerate(vals)], "t int, y double, yhat double")
+    out = sorted(M.residual_table(df, "y", "yhat", ["t"]).collect(), key=lambda r: r.residual_rank)
+    n = len(vals)
+    m = [1 - 0.5 ** (1 / n)] + [(i - 0.3175) / (n + 0.365) for i in range(2, n)] + [0.5 ** (1 / n)]
+    nd = statistics.NormalDist()
+    assert [r.residual for r in out] == sorted(vals)
+    for r, p in zip(out, m):
+        assert r.theoretical_quantile == pytest.approx(nd.inv_cdf(p), rel=1e-8)
+
+
+def test_frequency_encoding_gate(spark):
+    rows = [(i % 60, i % 3) for i in range(600)]
+    df = spark.createDataFrame(rows, "many int, few int")
+    out = A.frequency_encode_wide(df, ["many", "few"], min_distinct=50)
+    assert dict(out.dtypes)["many"] == "double" and dict(out.dtypes)["few"] == "int"
+    assert out.select(F.sum("many")).first()[0] == pytest.approx(600 * (10 / 600))
