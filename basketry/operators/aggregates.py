@@ -61,7 +61,7 @@ def rfm(df: DataFrame, customer="customer_id", date="transaction_date",
         F.max(date).alias("last_purchase"),
         F.min(date).alias("first_purchase"),
         freq.cast("long").alias("frequency"),
-        F.sum(amount).alias("monetary")))
+        F.sum(amount).cast("double").alias("monetary")))
     return (g.withColumn("recency", F.datediff(ref, F.col("last_purchase")))
              .withColumn("tenure", F.datediff(ref, F.col("first_purchase")))
              .withColumn("churn", F.when(F.col("recency") > churn_days, 1).otherwise(0)))
@@ -248,7 +248,7 @@ def channel_monthly_sales(df: DataFrame, channel="channel", date="transaction_da
                           sales="total_sales") -> DataFrame:
     m = F.trunc(date, "month").alias("month")
     return (_keys_not_null(df, [channel, date]).groupBy(channel, m)
-              .agg(F.sum(sales).alias("sales")))
+              .agg(F.sum(sales).cast("double").alias("sales")))
 
 
 # ---------------------------------------------------------------- A15
@@ -265,7 +265,7 @@ def sales_by_period(df: DataFrame, grain: str, date="transaction_date",
             "day": "day"}[grain]
     start = F.date_trunc(unit, F.col(date)).cast("date").alias("period_start")
     return (df.where(F.col(date).isNotNull()).groupBy(start)
-              .agg(F.sum(sales).alias("sales"))
+              .agg(F.sum(sales).cast("double").alias("sales"))
               .withColumn("grain", F.lit(grain)))
 
 
@@ -283,7 +283,7 @@ def daily_sales(df: DataFrame, date="transaction_date", sales="total_sales",
                 keys: Sequence[str] = ()) -> DataFrame:
     keys = list(keys)
     return (_keys_not_null(df, [date, *keys]).groupBy(*keys, F.col(date).alias("ds"))
-              .agg(F.sum(sales).alias("y")))
+              .agg(F.sum(sales).cast("double").alias("y")))
 
 
 # ---------------------------------------------------------------- A22
@@ -297,7 +297,7 @@ def month_of_year_profile(daily: DataFrame, ds="ds", y="y") -> DataFrame:
 # ---------------------------------------------------------------- A23
 def sales_by_category(df: DataFrame, category="product_category", sales="total_sales") -> DataFrame:
     return (_keys_not_null(df, [category]).groupBy(category)
-              .agg(F.sum(sales).alias("sales")).orderBy(F.desc("sales")))
+              .agg(F.sum(sales).cast("double").alias("sales")).orderBy(F.desc("sales")))
 
 
 # ---------------------------------------------------------------- A24

@@ -19,7 +19,7 @@ SELECT customer_id,
        max(transaction_date) AS last_purchase,
        min(transaction_date) AS first_purchase,
        CAST(count(transaction_id) AS BIGINT) AS frequency,
-       sum(total_sales) AS monetary,
+       CAST(sum(CAST(total_sales AS DECIMAL(18,4))) AS DOUBLE) AS monetary,
        CAST(date_diff('day', max(transaction_date), (SELECT d FROM m)) AS INTEGER) AS recency,
        CAST(date_diff('day', min(transaction_date), (SELECT d FROM m)) AS INTEGER) AS tenure,
        CASE WHEN date_diff('day', max(transaction_date), (SELECT d FROM m)) > 90 THEN 1 ELSE 0 END AS churn

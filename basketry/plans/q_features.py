@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import scalar as X
-from ..sources.tables import transactions, tx_sql
+from ..sources.tables import money_sum, transactions, tx_sql
 from .registry import R, query, rounded
 
 _COLS = ["transaction_id", "line_number", "product_id", "quantity", "unit_price",
@@ -58,13 +58,13 @@ _TX_RS = tx_sql(["product_category", "customer_id", "transaction_date", "total_s
 
 @query("category_customer_counts", f"""WITH tx AS ({_TX_RS})
 SELECT product_category, CAST(count(DISTINCT customer_id) AS BIGINT) AS customers,
-       CAST(count(*) AS BIGINT) AS lines, {R("sum(total_sales)")} AS sales
+       CAST(count(*) AS BIGINT) AS lines, {R("CAST(sum(CAST(total_sales AS DECIMAL(18,4))) AS DOUBLE)")} AS sales
 FROM tx WHERE product_category IS NOT NULL GROUP BY 1""", covers=("A13", "A23"))
 def q_category_customer_counts(spark, sf_dir):
     tx = transactions(spark, sf_dir, ["product_category", "customer_id", "transaction_date",
                                       "total_sales"])
     out = (tx.where(F.col("product_category").isNotNull()).groupBy("product_category")
              .agg(F.count_distinct("customer_id").alias("customers"),
-                  F.count(F.lit(1)).alias("lines"), F.sum("total_sales").alias("sales")))
+                  F.count(F.lit(1)).alias("lines"), money_sum("total_sales").alias("sales")))
     return rounded(out, {"sales": 4})
 

@@ -77,7 +77,7 @@ _TX_CAT = tx_sql(["product_category", "total_sales"])
 
 
 @query("sales_by_category", f"""WITH tx AS ({_TX_CAT})
-SELECT product_category, ROUND((sum(total_sales)) + sign(sum(total_sales)) * least(abs(sum(total_sales)) * 1e-11, 1e-7), 4) AS sales FROM tx
+SELECT product_category, ROUND((CAST(sum(CAST(total_sales AS DECIMAL(18,4))) AS DOUBLE)) + sign(CAST(sum(CAST(total_sales AS DECIMAL(18,4))) AS DOUBLE)) * least(abs(CAST(sum(CAST(total_sales AS DECIMAL(18,4))) AS DOUBLE)) * 1e-11, 1e-7), 4) AS sales FROM tx
 WHERE product_category IS NOT NULL GROUP BY product_category""", covers=("A23", "T1"))
 def q_sales_by_category(spark, sf_dir):
     # product-grain facts (one row per part) carry the additive sum to the category

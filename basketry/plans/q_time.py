@@ -9,7 +9,7 @@ from ..functions import calendar as C
 from ..operators import aggregates as A
 from ..operators import joins as J
 from ..operators import windows as Wn
-from ..sources.tables import transactions, tx_sql
+from ..sources.tables import money, transactions, tx_sql
 from .registry import query, rounded
 
 _TX_MS = tx_sql(["transaction_date", "quantity", "unit_price"])
@@ -29,15 +29,16 @@ _TX_GS = tx_sql(["transaction_date", "gross_sales"])
 
 @query("sales_by_period", f"""WITH tx AS ({_TX_GS})
 SELECT 'week' AS grain, date_trunc('week', transaction_date)::DATE AS period_start,
-       ROUND((sum(gross_sales)) + sign(sum(gross_sales)) * least(abs(sum(gross_sales)) * 1e-11, 1e-7), 4) AS sales FROM tx WHERE transaction_date IS NOT NULL GROUP BY 2
+       ROUND((CAST(sum(CAST(gross_sales AS DECIMAL(18,4))) AS DOUBLE)) + sign(CAST(sum(CAST(gross_sales AS DECIMAL(18,4))) AS DOUBLE)) * least(abs(CAST(sum(CAST(gross_sales AS DECIMAL(18,4))) AS DOUBLE)) * 1e-11, 1e-7), 4) AS sales FROM tx WHERE transaction_date IS NOT NULL GROUP BY 2
 UNION ALL
-SELECT 'month', date_trunc('month', transaction_date)::DATE, ROUND((sum(gross_sales)) + sign(sum(gross_sales)) * least(abs(sum(gross_sales)) * 1e-11, 1e-7), 4)
+SELECT 'month', date_trunc('month', transaction_date)::DATE, ROUND((CAST(sum(CAST(gross_sales AS DECIMAL(18,4))) AS DOUBLE)) + sign(CAST(sum(CAST(gross_sales AS DECIMAL(18,4))) AS DOUBLE)) * least(abs(CAST(sum(CAST(gross_sales AS DECIMAL(18,4))) AS DOUBLE)) * 1e-11, 1e-7), 4)
 FROM tx WHERE transaction_date IS NOT NULL GROUP BY 2
 UNION ALL
-SELECT 'year', date_trunc('year', transaction_date)::DATE, ROUND((sum(gross_sales)) + sign(sum(gross_sales)) * least(abs(sum(gross_sales)) * 1e-11, 1e-7), 4)
+SELECT 'year', date_trunc('year', transaction_date)::DATE, ROUND((CAST(sum(CAST(gross_sales AS DECIMAL(18,4))) AS DOUBLE)) + sign(CAST(sum(CAST(gross_sales AS DECIMAL(18,4))) AS DOUBLE)) * least(abs(CAST(sum(CAST(gross_sales AS DECIMAL(18,4))) AS DOUBLE)) * 1e-11, 1e-7), 4)
 FROM tx WHERE transaction_date IS NOT NULL GROUP BY 2""", covers=("A16", "T8"))
 def q_sales_by_period(spark, sf_dir):
     tx = transactions(spark, sf_dir, ["transaction_date", "gross_sales"])
+    tx = tx.withColumn("gross_sales", money("gross_sales"))
     parts = [A.sales_by_period(tx, g, sales="gross_sales") for g in ("week", "month", "year")]
     out = parts[0].unionByName(parts[1]).unionByName(parts[2])
     return rounded(out, {"sales": 4})
@@ -63,11 +64,12 @@ def q_daily_sales(spark, sf_dir):
 
 
 @query("month_of_year_profile", f"""WITH tx AS ({_TX_GS}),
-d AS (SELECT transaction_date AS ds, sum(gross_sales) AS y FROM tx WHERE transaction_date IS NOT NULL GROUP BY 1)
+d AS (SELECT transaction_date AS ds, CAST(sum(CAST(gross_sales AS DECIMAL(18,4))) AS DOUBLE) AS y FROM tx WHERE transaction_date IS NOT NULL GROUP BY 1)
 SELECT CAST(month(ds) AS INTEGER) AS month, ROUND((sum(y)) + sign(sum(y)) * least(abs(sum(y)) * 1e-11, 1e-7), 4) AS sum_sales, ROUND((avg(y)) + sign(avg(y)) * least(abs(avg(y)) * 1e-11, 1e-7), 4) AS mean_sales,
        CAST(count(y) AS BIGINT) AS n_days FROM d GROUP BY 1""", covers=("A22",))
 def q_month_of_year_profile(spark, sf_dir):
     tx = transactions(spark, sf_dir, ["transaction_date", "gross_sales"])
+    tx = tx.withColumn("gross_sales", money("gross_sales"))
     return rounded(A.month_of_year_profile(A.daily_sales(tx, sales="gross_sales")),
                    {"sum_sales": 4, "mean_sales": 4})
 

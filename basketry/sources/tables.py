@@ -30,6 +30,25 @@ INCOME_LOW_BELOW = 2500.0
 INCOME_MEDIUM_BELOW = 6000.0
 
 
+# Money: every line amount has at most 4 decimals; sums of money run as
+# DECIMAL(18,4) (exact, integer arithmetic inside) and become DOUBLE once at the
+# end, so a total is the same number whatever the partitioning or summation order.
+MONEY = "decimal(18,4)"
+
+
+def money(col) -> Column:
+    return (F.col(col) if isinstance(col, str) else col).cast(MONEY)
+
+
+def money_sum(col) -> Column:
+    """Exact sum of a money column, as DOUBLE."""
+    return F.sum(money(col)).cast("double")
+
+
+def money_sum_sql(expr: str) -> str:
+    return f"CAST(sum(CAST({expr} AS DECIMAL(18,4))) AS DOUBLE)"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
@@ -140,14 +159,14 @@ def order_lines(spark: SparkSession, sf_dir: str, with_geo: bool = False) -> Dat
     first reduce ``lineitem`` to one row per order (a partial aggregation,
     about 4:1), and only that crosses the join. The aggregate's hash
     partitioning on the order key is reused by the join. Additive measures
-    only: line count, quantity, net and gross sales.
+    only: line count, quantity, net and gross sales (exact DECIMAL sums).
     """
     li = table(spark, sf_dir, "lineitem")
     per_order = li.groupBy("l_orderkey").agg(
         F.count(F.lit(1)).alias("n_lines"),
         F.sum("l_quantity").alias("items"),
-        F.sum(F.col("l_extendedprice") * (1.0 - F.col("l_discount"))).alias("order_sales"),
-        F.sum(CANONICAL["gross_sales"]()).alias("order_gross_sales"))
+        F.sum(money(F.col("l_extendedprice") * (1.0 - F.col("l_discount")))).alias("order_sales"),
+        F.sum(money(CANONICAL["gross_sales"]())).alias("order_gross_sales"))
     o = table(spark, sf_dir, "orders")
     geo = []
     if with_geo:
@@ -168,7 +187,7 @@ def part_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     per_part = li.groupBy("l_partkey").agg(
         F.count(F.lit(1)).alias("n_lines"),
         F.sum("l_quantity").alias("quantity"),
-        F.sum(F.col("l_extendedprice") * (1.0 - F.col("l_discount"))).alias("sales"))
+        F.sum(money(F.col("l_extendedprice") * (1.0 - F.col("l_discount")))).alias("sales"))
     p = table(spark, sf_dir, "part")
     return per_part.join(p, per_part.l_partkey == p.p_partkey, "left").select(
         F.col("l_partkey").alias("product_id"), F.col("p_type").alias("product_category"),
