@@ -311,3 +311,50 @@ def test_missing_source_is_clear(spark, tmp_path):
         read_parquet(spark, str(tmp_path / "nope.parquet"))
     with pytest.raises(SourceMissing):
         read_csv(spark, str(tmp_path / "nope.csv"))
+
+
+def test_fourier_multiplicative_positive(spark):
+    days = [D(2021, 1, 1) + dt.timedelta(days=i) for i in range(120)]
+    ys = [100 * math.exp(0.01 * i) * (1 + 0.1 * math.sin(2 * math.pi * i / 7)) for i in range(120)]
+    df = spark.createDataFrame(list(zip(days, ys)), "ds date, y double")
+    fc, fit = TS.fourier_forecast(df, horizon=5, multiplicative=True,
+                                  seasonalities={"weekly": (7.0, 3)})
+    rows = fc.where(F.col("y").isNull()).collect()
+    assert len(rows) == 5 and all(r.yhat > 0 and r.yhat_lower < r.yhat < r.yhat_upper for r in rows)
+    assert fit.first().r2 > 0.99
+
+
+def test_min_max_scale_global_and_grouped(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("b", 5.0), ("b", 5.0)], "g string, x double")
+    glob = sorted(r.x_scaled for r in Wn.min_max_scale(df, "x").collect())
+    assert glob == [0.0, 0.5, 1.0, 1.0]
+    grp = {(r.g, r.x): r.x_scaled for r in Wn.min_max_scale(df, "x", partition=["g"]).collect()}
+    assert grp[("a", 1.0)] == 0.0 and grp[("a", 3.0)] == 1.0 and grp[("b", 5.0)] == 0.0
+
+
+def test_approximate_quantile_paths(spark):
+    df = spark.createDataFrame([(float(v), "g") for v in range(1, 1001)], "x double, g string")
+    w = P.winsorize(df, ["x"], 0.01, 0.99).agg(F.min("x"), F.max("x")).first()
+    assert 9 <= w[0] <= 12 and 989 <= w[1] <= 992
+    b = A.box_stats(df, "g", "x").first()
+    assert abs(b.median - 500) <= 2 and b.whisker_low == 1.0 and b.whisker_high == 1000.0
+
+
+def test_pivot_semi_join_and_fraction_sample(spark):
+    df = spark.createDataFrame([("r1", "x", 1.0), ("r1", "y", 3.0), ("r2", "x", 5.0)],
+                               "row string, col string, v double")
+    piv = {r.row: (r.x, r.y) for r in A.pivot_mean(df, "row", "col", "v").collect()}
+    assert piv == {"r1": (1.0, 3.0), "r2": (5.0, None)}
+    keys = spark.createDataFrame([("r2",)], "row string")
+    assert [r.row for r in J.semi_join(df, keys, "row", bounded=True).collect()] == ["r2"]
+    big = spark.range(20000).withColumnRenamed("id", "k")
+    s1 = P.sample_fraction(big, 0.1, ["k"]).count()
+    assert 1700 < s1 < 2300 and P.sample_fraction(big.repartition(3), 0.1, ["k"]).count() == s1
+
+
+def test_time_split_irregular_days(spark):
+    from basketry.models import prep as Mp
+    rows = [(D(2020, 1, 1) + dt.timedelta(days=i), float(i)) for i in (0, 1, 5, 6, 7, 20, 21, 40, 41, 90)]
+    tr, te = Mp.time_split(spark.createDataFrame(rows, "ds date, y double"), "ds", 0.8)
+    assert sorted(r.y for r in tr.collect()) == [0, 1, 5, 6, 7, 20, 21, 40]
+    assert sorted(r.y for r in te.collect()) == [41, 90]
