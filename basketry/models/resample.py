@@ -185,12 +185,14 @@ def smote(df: DataFrame, label: str, key: str, features: str = "features", k: in
     nn = exact_knn(mino.withColumn("_ref", F.col(key)), mino, vcols, key, "_ref", k=k,
                    chunk_rows=chunk_rows, exclude_same_key=True)
     per_row, extra = divmod(need, n_min)
-    # every minority row makes per_row copies; rows with the smallest hash one more
-    h = F.xxhash64(F.col(key), F.lit(seed))
-    order_rank = mino.select(key, h.alias("_h"))
-    cut = order_rank.select(F.percentile_approx("_h", extra / n_min, 100000)).scalar() \
-        if extra else None
-    copies = F.lit(per_row) + (F.when(F.col("_h") <= cut, 1).otherwise(0) if extra else F.lit(0))
+    # every minority row makes per_row copies; exactly ``extra`` rows (first in
+    # hash order, key as tie-break) make one more. The rank is a distributed
+    # prefix count, so the total is exact without a global sort.
+    from ..operators.windows import prefix_sums
+    order_rank = mino.select(key, F.xxhash64(F.col(key), F.lit(seed)).cast("double").alias("_h"),
+                             F.lit(1).alias("_one"))
+    order_rank = prefix_sums(order_rank, "_h", ["_one"], prefix="_r", tiebreak=[key])
+    copies = F.lit(per_row) + F.when(F.col("_r__one") < extra, 1).otherwise(0)
     rows = order_rank.withColumn("_copies", copies).where(F.col("_copies") > 0)
     rows = rows.withColumn("_c", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
     n_nb = nn.groupBy(key).agg(F.max("rank").alias("_kk"))

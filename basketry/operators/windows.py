@@ -187,7 +187,7 @@ def min_max_scale(df: DataFrame, column: str, partition: Sequence[str] = (),
 
 
 def prefix_sums(df: DataFrame, order: str, values: Sequence[str], buckets: int = 64,
-                prefix: str = "cum") -> DataFrame:
+                prefix: str = "cum", tiebreak: Sequence[str] = ()) -> DataFrame:
     """Exclusive running sums of ``values`` in ascending ``order``, distributed.
 
     A running sum over a global order would put every row in one window
@@ -196,7 +196,7 @@ def prefix_sums(df: DataFrame, order: str, values: Sequence[str], buckets: int =
     rows) get their own running offset; each bucket then runs a local window.
     Rows with equal ``order`` values fall in the same bucket; the order must
     be unique per row for the running sum to be unambiguous (callers pass
-    distinct keys, e.g. distinct scores).
+    distinct keys, e.g. distinct scores) or ``tiebreak`` columns must make it so.
     """
     qs = [i / buckets for i in range(1, buckets)]
     # bucket bounds: a fixed-size quantile summary (``buckets`` - 1 numbers)
@@ -213,7 +213,7 @@ def prefix_sums(df: DataFrame, order: str, values: Sequence[str], buckets: int =
                               for v in values])
     # at most ``buckets`` rows: a bounded broadcast
     d = d.join(F.broadcast(off), "_bk", "left")
-    wl = W.partitionBy("_bk").orderBy(order).rowsBetween(W.unboundedPreceding, -1)
+    wl = W.partitionBy("_bk").orderBy(order, *tiebreak).rowsBetween(W.unboundedPreceding, -1)
     d = d.withColumns({f"{prefix}_{v}": F.col(f"_o_{v}") + F.coalesce(F.sum(v).over(wl), F.lit(0))
                        for v in values})
     return d.drop("_bk", *[f"_o_{v}" for v in values])

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..models.resample import knn_impute, smote
 from ..operators import windows as Wn
 from . import jobs as J
+from .q_customers import RFM_CTE
 from .q_time import REGION_DAILY_CTE, region_daily
 from .registry import R, query, rounded
 
@@ -58,7 +59,10 @@ def q_churn_models_smote(spark, sf_dir):
     return J.churn_job(spark, sf_dir, models=("logistic_regression",), oversample=True)
 
 
-@query("smote_class_balance", covers=("M13",))
+@query("smote_class_balance", f"""WITH {RFM_CTE},
+c AS (SELECT churn, count(*) AS n FROM rfm GROUP BY churn)
+SELECT CAST(churn AS DOUBLE) AS churn, CAST((SELECT max(n) FROM c) AS BIGINT) AS rows FROM c""",
+       covers=("M13",))
 def q_smote_class_balance(spark, sf_dir):
     from ..models import prep as Mp
     feats = J.churn_features(spark, sf_dir)
