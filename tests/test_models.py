@@ -209,3 +209,16 @@ def test_frequency_encoding_gate(spark):
     out = A.frequency_encode_wide(df, ["many", "few"], min_distinct=50)
     assert dict(out.dtypes)["many"] == "double" and dict(out.dtypes)["few"] == "int"
     assert out.select(F.sum("many")).first()[0] == pytest.approx(600 * (10 / 600))
+
+
+def test_smote_exact_count_with_remainder(spark):
+    from pyspark.ml.linalg import Vectors, VectorUDT
+    from pyspark.sql.types import DoubleType, LongType, StructField, StructType
+    rows = [(i, 0.0, Vectors.dense([float(i), 0.0])) for i in range(37)]
+    rows += [(100 + i, 1.0, Vectors.dense([float(i), 2.0])) for i in range(7)]
+    schema = StructType([StructField("k", LongType()), StructField("y", DoubleType()),
+                         StructField("features", VectorUDT())])
+    bal = smote(spark.createDataFrame(rows, schema), "y", key="k", k=3)
+    counts = {r.y: r["count"] for r in bal.groupBy("y").count().collect()}
+    assert counts == {0.0: 37, 1.0: 37}          # 30 synthetic = 4 per row + 2 extra
+    assert bal.where(F.col("k") < 0).select("k").distinct().count() == 30
