@@ -24,6 +24,9 @@ def main():
            "| id | operator | queries (oracle) |", "|---|---|---|"]
     missing = []
     for oid, desc in rows:
+        # descriptions only: drop any file citation carried over from the survey
+        desc = re.sub(r"\s*\(?`[^`]*\.py[^`]*`\)?", "", desc)
+        desc = re.sub(r"\s*\(\s*\)", "", desc)
         qs = by_id.get(oid, [])
         if not qs:
             missing.append(oid)
