@@ -107,13 +107,24 @@ def exact_knn(reference: DataFrame, queries: DataFrame, cols: Sequence[str], qke
             yield out
 
         parts.append(ref.mapInPandas(top_k, out_schema))
-    cand = parts[0]
-    for p in parts[1:]:
-        cand = cand.unionByName(p)
-    # merge: ≤ k candidates per reference partition for each query row
-    merged = (cand.groupBy("_qk")
-                  .agg(F.slice(F.sort_array(F.collect_list(F.struct("distance", "_rk", *cols))),
-                               1, k).alias("_nn")))
+
+    def merge(cand):
+        # ≤ k candidates per reference partition for each query row
+        return (cand.groupBy("_qk")
+                    .agg(F.slice(F.sort_array(F.collect_list(F.struct("distance", "_rk", *cols))),
+                                 1, k).alias("_nn")))
+
+    if len(parts) == 1:
+        merged = merge(parts[0])
+    else:
+        # each query row lives in one chunk: merge per chunk and write it to the
+        # shared folder, so the plan stays small and a lost executor redoes one chunk
+        import uuid
+        from ..sources.files import shared_path
+        base = shared_path(spark, "knn", uuid.uuid4().hex)
+        for i, p in enumerate(parts):
+            merge(p).write.mode("overwrite").parquet(f"{base}/chunk={i}")
+        merged = spark.read.parquet(base).drop("chunk")
     ex = merged.select("_qk", F.posexplode("_nn").alias("_pos", "_n"))
     return ex.select(F.col("_qk").alias(qkey), (F.col("_pos") + 1).alias("rank"),
                      F.col("_n.distance").alias("distance"), F.col("_n._rk").alias(rkey),
