@@ -28,20 +28,6 @@ from pyspark.sql import types as T
 from ..session import cut_lineage
 
 
-def _nan_euclidean(q: np.ndarray, r: np.ndarray) -> np.ndarray:
-    """sqrt(d / present · Σ over present coords (q − r)²); r has no NaN."""
-    present = ~np.isnan(q)                                  # (nq, d)
-    qz = np.where(present, q, 0.0)
-    d = q.shape[1]
-    sq = (np.einsum("ij,ij->i", qz, qz)[:, None] - 2 * qz @ r.T
-          + (present.astype(float) @ (r * r).T))            # Σ present (q−r)²
-    sq = np.maximum(sq, 0.0)
-    cnt = present.sum(axis=1, keepdims=True).astype(float)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        w = np.where(cnt > 0, d / cnt, np.nan)
-    return np.sqrt(sq * w)
-
-
 def exact_knn(reference: DataFrame, queries: DataFrame, cols: Sequence[str], qkey: str,
               rkey: str, k: int = 5, chunk_rows: int = 4096,
               exclude_same_key: bool = False, block_rows: int = 2048) -> DataFrame:
@@ -76,6 +62,19 @@ def exact_knn(reference: DataFrame, queries: DataFrame, cols: Sequence[str], qke
                                            pdf[cols].to_numpy(dtype=float)))
 
         def top_k(batches, bq=bq):
+            # self-contained (no module globals but numpy / pandas): shipped by
+            # value, so workers need not import this package
+            def nan_euclidean(q, r):
+                present = ~np.isnan(q)
+                qz = np.where(present, q, 0.0)
+                sq = (np.einsum("ij,ij->i", qz, qz)[:, None] - 2 * qz @ r.T
+                      + (present.astype(float) @ (r * r).T))
+                sq = np.maximum(sq, 0.0)
+                cnt = present.sum(axis=1, keepdims=True).astype(float)
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    w = np.where(cnt > 0, q.shape[1] / cnt, np.nan)
+                return np.sqrt(sq * w)
+
             qk, qv = bq.value
             nq, rows = len(qk), np.arange(len(qk))[:, None]
             best_d = np.full((nq, 0), np.inf)
@@ -87,7 +86,7 @@ def exact_knn(reference: DataFrame, queries: DataFrame, cols: Sequence[str], qke
                 # reference blocks keep the distance matrix at nq × block_rows
                 for s0 in range(0, len(rk_all), block_rows):
                     rv, rk = rv_all[s0:s0 + block_rows], rk_all[s0:s0 + block_rows]
-                    dist = _nan_euclidean(qv, rv)
+                    dist = nan_euclidean(qv, rv)
                     if exclude_same_key:
                         dist = np.where(qk[:, None] == rk[None, :], np.inf, dist)
                     kk = min(k, dist.shape[1])
