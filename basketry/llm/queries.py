@@ -8,6 +8,7 @@ from .common import documents
 from .exact_dedup import exact_dedup
 from .packing import best_fit_pack, word_tokens
 from .quality import quality_rules
+from .simhash import simhash_components
 
 QUERIES = {}
 SQL = {}
@@ -39,6 +40,11 @@ def op2(spark, sf_dir):
     return exact_dedup(documents(spark, sf_dir))
 
 
+@_register("op5_simhash_near_dedup")
+def op5(spark, sf_dir):
+    return simhash_components(documents(spark, sf_dir))
+
+
 @_register("op8_quality_rules")
 def op8(spark, sf_dir):
     return quality_rules(documents(spark, sf_dir)).drop("distance2")
