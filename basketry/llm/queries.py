@@ -9,6 +9,7 @@ from .exact_dedup import exact_dedup
 from .packing import best_fit_pack, word_tokens
 from .quality import quality_rules
 from .simhash import simhash_components
+from .suffix_dedup import suffix_dedup
 
 QUERIES = {}
 SQL = {}
@@ -48,3 +49,8 @@ def op5(spark, sf_dir):
 @_register("op8_quality_rules")
 def op8(spark, sf_dir):
     return quality_rules(documents(spark, sf_dir)).drop("distance2")
+
+
+@_register("op9_suffix_array_dedup")
+def op9(spark, sf_dir):
+    return suffix_dedup(documents(spark, sf_dir))
