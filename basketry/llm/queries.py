@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from .common import documents
 from .exact_dedup import exact_dedup
+from .lm_score import stupid_backoff
 from .packing import best_fit_pack, word_tokens
 from .quality import quality_rules
 from .simhash import simhash_components
@@ -41,6 +42,31 @@ def op2(spark, sf_dir):
     return exact_dedup(documents(spark, sf_dir))
 
 
+@_register("op3_lm_scoring", r"""
+WITH t AS (
+  SELECT doc_id, list_filter(string_split_regex(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+p AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM t),
+k AS (SELECT doc_id, w[i] AS w1, CASE WHEN i > 1 THEN w[i - 1] END AS w0 FROM p),
+u AS (SELECT w1 AS w, count(*) AS n FROM k GROUP BY 1),
+b AS (SELECT w0, w1, count(*) AS n FROM k WHERE w0 IS NOT NULL GROUP BY 1, 2),
+s AS (
+  SELECT k.doc_id, k.w0 IS NOT NULL AND b.n < 2 AS off,
+         CASE WHEN b.n >= 2 THEN ln(b.n / c.n)
+              ELSE ln(u.n / (SELECT sum(n) FROM u)) + CASE WHEN k.w0 IS NULL THEN 0 ELSE ln(0.4) END
+         END AS score
+  FROM k JOIN u ON u.w = k.w1 LEFT JOIN u c ON c.w = k.w0
+  LEFT JOIN b ON b.w0 = k.w0 AND b.w1 = k.w1)
+SELECT t.doc_id, coalesce(len(any_value(t.w)), 0) AS n_tokens, count(*) FILTER (s.off) AS n_backoff,
+       round(coalesce(sum(s.score), 0), 4) AS log_score
+FROM t LEFT JOIN s USING (doc_id) GROUP BY t.doc_id""")
+def op3(spark, sf_dir):
+    return stupid_backoff(documents(spark, sf_dir)).select(
+        "doc_id", "n_tokens", "n_backoff", F.round("log_score", 4).alias("log_score"))
+
+
 @_register("op5_simhash_near_dedup")
 def op5(spark, sf_dir):
     return simhash_components(documents(spark, sf_dir))
