@@ -6,11 +6,13 @@ from pyspark.sql import functions as F
 
 from .common import documents
 from .exact_dedup import exact_dedup
+from .language_id import identify_languages
 from .lm_score import stupid_backoff
 from .packing import best_fit_pack, word_tokens
 from .quality import quality_rules
 from .simhash import simhash_components
 from .suffix_dedup import suffix_dedup
+from .toxicity import toxicity_scores
 
 QUERIES = {}
 SQL = {}
@@ -72,6 +74,17 @@ def op5(spark, sf_dir):
     return simhash_components(documents(spark, sf_dir))
 
 
+def _fold(parts: int, held: int):
+    """Rows whose crc32 of the id as text leaves this remainder."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(parts)) == held
+
+
+@_register("op7_toxicity")
+def op7(spark, sf_dir):
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity_scores(documents(spark, sf_dir), labels, _fold(4, 2))
+
+
 @_register("op8_quality_rules")
 def op8(spark, sf_dir):
     return quality_rules(documents(spark, sf_dir)).drop("distance2")
@@ -80,3 +93,8 @@ def op8(spark, sf_dir):
 @_register("op9_suffix_array_dedup")
 def op9(spark, sf_dir):
     return suffix_dedup(documents(spark, sf_dir))
+
+
+@_register("op10_language_id")
+def op10(spark, sf_dir):
+    return identify_languages(documents(spark, sf_dir), _fold(3, 1)).drop("languages")
