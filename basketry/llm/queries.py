@@ -10,9 +10,11 @@ from .language_id import identify_languages
 from .lm_score import stupid_backoff
 from .packing import best_fit_pack, word_tokens
 from .quality import quality_rules
+from .sentencepiece_codec import encode_documents
 from .simhash import simhash_components
 from .suffix_dedup import suffix_dedup
 from .toxicity import toxicity_scores
+from .warc_zip import archive_round_trip
 
 QUERIES = {}
 SQL = {}
@@ -69,11 +71,21 @@ def op3(spark, sf_dir):
         "doc_id", "n_tokens", "n_backoff", F.round("log_score", 4).alias("log_score"))
 
 
+@_register("op4_warc")
+def op4(spark, sf_dir):
+    return archive_round_trip(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 @_register("op5_simhash_near_dedup")
 def op5(spark, sf_dir):
     return simhash_components(documents(spark, sf_dir))
 
 
+@_register("op6_sentencepiece")
+def op6(spark, sf_dir):
+    return encode_documents(documents(spark, sf_dir))
+
+
 def _fold(parts: int, held: int):
     """Rows whose crc32 of the id as text leaves this remainder."""
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(parts)) == held
