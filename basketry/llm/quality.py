@@ -29,6 +29,7 @@ BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 VECTOR = {"x_len": 120, "x_sym": 45, "x_dup": 250, "x_rep": 250, "x_upper": 100}
 STARTS = ("l1", "l2", "max")
 BINS_PER_DOUBLING = 16
+FEW_GROUPS = 20_000     # so many group rows are broadcast, a few MB
 
 
 def _let(value: Column, body) -> Column:
@@ -150,7 +151,13 @@ def _distance(names: list[str]) -> list[tuple[str, Column]]:
     return [*out, ("d2", d2)]
 
 
-def _nearest(rows: DataFrame, keys: list[str], share: float) -> DataFrame:
+def _attach(rows: DataFrame, groups: DataFrame, keys: list[str], few: bool, how: str = "inner"):
+    """Give rows the values of their group: broadcast if the number of groups was found small,
+    so that a hot group stays spread over all tasks; else by an ordinary join."""
+    return rows.join(F.broadcast(groups) if few else groups, keys, how)
+
+
+def _nearest(rows: DataFrame, keys: list[str], share: float, few: bool) -> DataFrame:
     """Rows whose ``d2`` lies in the histogram bins that hold the nearest ``share`` of a key."""
     rows = rows.withColumn("bin", F.floor(
         F.log2(F.col("d2") + 1e-3) * BINS_PER_DOUBLING).cast("int"))
@@ -163,7 +170,7 @@ def _nearest(rows: DataFrame, keys: list[str], share: float) -> DataFrame:
                            lambda acc, b: F.when(acc["n"] >= F.col("least"), acc).otherwise(
                                F.struct((acc["n"] + b["n"]).alias("n"), b["bin"].alias("cut"))),
                            lambda acc: acc["cut"]).alias("cut"))
-    return rows.join(cut, keys).filter("bin <= cut")
+    return _attach(rows, cut, keys, few).filter("bin <= cut")
 
 
 def mcd(rows: DataFrame, keys: list[str], names: list[str], share: float = 0.75,
@@ -174,10 +181,11 @@ def mcd(rows: DataFrame, keys: list[str], names: list[str], share: float = 0.75,
     scaled by the median absolute deviation, in three norms.
     """
     p = len(names)
-    centre = rows.groupBy(*keys).agg(
+    centre = shared_table(rows.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("size"),
-        *(F.percentile(x, 0.5).alias(f"c_{i}") for i, x in enumerate(names)))
-    spread = (rows.join(centre, keys).groupBy(*keys).agg(
+        *(F.percentile(x, 0.5).alias(f"c_{i}") for i, x in enumerate(names))), "mcd-centre")
+    few = centre.count() <= FEW_GROUPS
+    spread = (_attach(rows, centre, keys, few).groupBy(*keys).agg(
         F.first("size").alias("size"), *(F.first(f"c_{i}").alias(f"c_{i}") for i in range(p)),
         *(F.greatest(1.4826 * F.percentile(F.round(F.abs(F.col(x) - F.col(f"c_{i}"))), 0.5),
                      F.lit(float(VECTOR[x]))).alias(f"w_{i}") for i, x in enumerate(names))))
@@ -185,18 +193,18 @@ def mcd(rows: DataFrame, keys: list[str], names: list[str], share: float = 0.75,
     z = [F.abs(F.col(x) - F.col(f"c_{i}")) / F.col(f"w_{i}") for i, x in enumerate(names)]
     norms = {"l1": reduce(lambda a, b: a + b, z), "l2": reduce(lambda a, b: a + b, [x * x for x in z]),
              "max": F.greatest(*z)}
-    started = (rows.join(spread, keys)
+    started = (_attach(rows, spread, keys, few)
                .withColumn("s", F.explode(F.array(*(F.struct(
                    F.lit(k).alias("start"), norms[k].alias("d2")) for k in STARTS))))
                .select(*keys, *names, "s.start", "s.d2"))
     by = [*keys, "start"]
-    now = shared_table(_estimate(_nearest(started, by, share), by, names), "mcd-0")
+    now = shared_table(_estimate(_nearest(started, by, share, few), by, names), "mcd-0")
     for step in range(1, steps + 1):
-        far = rows.join(now, keys)
+        far = _attach(rows, now, keys, few)
         for name, col in _distance(names):
             far = far.withColumn(name, col)
         far = far.select(*by, *names, "d2")
-        now = shared_table(_estimate(_nearest(far, by, share), by, names), f"mcd-{step}")
+        now = shared_table(_estimate(_nearest(far, by, share, few), by, names), f"mcd-{step}")
     best = now.groupBy(*keys).agg(F.min_by(F.struct(*now.columns), F.struct("log_det", "start"))
                                   .alias("b")).select("b.*")
     return best.join(spread.select(*keys, "size"), keys)
@@ -224,7 +232,8 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     stats = stats.withColumn("base_failed", base_failed()).withColumns(_vector())
     stats = shared_table(stats.select("_id", *keys, *BASE, "base_failed", *names), "statistics")
     found = mcd(stats.filter("not base_failed").select(*keys, *names), keys, names, share)
-    far = stats.join(found.filter(F.col("size") >= least_group), keys, "left")
+    found = shared_table(found.filter(F.col("size") >= least_group), "mcd")
+    far = _attach(stats, found, keys, found.count() <= FEW_GROUPS, "left")
     for name, col in _distance(names):
         far = far.withColumn(name, col)
     return far.select(
