@@ -232,8 +232,9 @@ def repeat_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     scanned = shared_table(texts.mapInPandas(
         _scan(length, gram), f"id {kind}, sha string, n_bytes long, keys array<long>, "
         "first array<long>, last array<long>"), "super-windows")
-    groups = scanned.groupBy("sha").agg(F.count(F.lit(1)).alias("copies"),
-                                        F.max("id").alias("one"))
+    # tables by themselves, so that joins with them can split a hot key
+    groups = shared_table(scanned.groupBy("sha").agg(F.count(F.lit(1)).alias("copies"),
+                                                     F.max("id").alias("one")), "groups")
     known = shared_table(scanned.select("id", "sha", "n_bytes").join(groups, "sha")
                          .groupBy("id", "sha", "n_bytes")
                          .agg(F.first("copies").alias("copies"), F.first("one").alias("one")),
@@ -247,7 +248,8 @@ def repeat_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         "ref", F.col("w.keys").alias("key"), F.col("w.first").alias("first"),
         F.col("w.last").alias("last"))
     each = shared_table(each, "keys")
-    repeated = each.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    repeated = shared_table(each.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"),
+                            "repeated")
     wanted = (each.join(repeated, "key")
               .groupBy("ref").agg(F.collect_list(F.struct(
                   "key", "first", "last", (F.col("n") > most).alias("busy"))).alias("wanted"))
