@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 
 from .common import partitions_for, shared_table
 
-BLOCK_BYTES = 24_000_000    # text of a block
-BUCKET_GRAMS = 2_000_000    # requests that a bucket holds at once
+BLOCK_BYTES = 8_000_000     # text of a block
+BUCKET_GRAMS = 1_000_000    # requests that a bucket holds at once
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -50,18 +50,20 @@ def _gather(most: int):
     return run
 
 
-def _unpack(body: bytes) -> list[list[bytes]]:
-    return [t.split() for t in zstandard.ZstdDecompressor().decompress(body).split(b"\n")]
+def _unpack(body: bytes) -> list[bytes]:
+    return zstandard.ZstdDecompressor().decompress(body).split(b"\n")
 
 
 class _Grams:
     """n-grams of a block: hashes of the distinct ones by order, and where each token has its own."""
 
-    def __init__(self, texts: list[list[bytes]], order: int):
+    def __init__(self, texts: list[bytes], order: int):
         numbers: dict[bytes, int] = {}
         number = numbers.setdefault
-        self.lengths = np.array([len(t) for t in texts], dtype=np.int64)
-        word = np.array([number(w, len(numbers)) for t in texts for w in t], dtype=np.int64)
+        # one text at a time, so that the words of a block never exist as objects together
+        each = [np.array([number(w, len(numbers)) for w in t.split()], dtype=np.int64) for t in texts]
+        self.lengths = np.array([len(t) for t in each], dtype=np.int64)
+        word = np.concatenate(each)
         own = np.array([xxhash.xxh3_64_intdigest(w) for w in numbers], dtype=np.uint64)
         place = np.arange(len(word)) - np.repeat(np.cumsum(self.lengths) - self.lengths, self.lengths)
         h = own[word] if len(word) else np.empty(0, np.uint64)
