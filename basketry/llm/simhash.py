@@ -191,8 +191,9 @@ def near_pairs(points: DataFrame, radius: int, fold: bool = False, per_cell: int
     n = points.count()
     some = points.orderBy(F.xxhash64("fp"), "fp").limit(sample).toPandas()["fp"]
     vantage = choose_vantage(some.to_numpy(np.int64).view(np.uint64))
-    levels = 1
-    while levels < 3 and n > per_cell * 8 ** (levels - 1) / 4:
+    # a level more makes shards about 8 times smaller, but a point then visits 3 times as many
+    levels = 2
+    while levels < 4 and n > 80 * per_cell * 8 ** (levels - 2):
         levels += 1
     offsets = visit_offsets(levels, radius)
     size = TOP_BITS + 1
