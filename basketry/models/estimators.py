@@ -24,14 +24,14 @@ SEED = 42
 
 
 # ---------------------------------------------------------------- L1–L3
-def regressors(label: str = "label", features: str = "features", fast: bool = False) -> dict:
-    """Named regression estimators (``fast`` = fewer trees / iterations)."""
-    trees, iters = (20, 10) if fast else (100, 50)
+def regressors(label: str = "label", features: str = "features", trees: int = 200,
+               iterations: int = 1000) -> dict:
+    """Named regression estimators; by default of the reference's sizes."""
     return {
         "linear_regression": LinearRegression(featuresCol=features, labelCol=label),
         "random_forest": RandomForestRegressor(featuresCol=features, labelCol=label,
                                                numTrees=trees, maxDepth=8, seed=SEED),
-        "gradient_boosting": GBTRegressor(featuresCol=features, labelCol=label, maxIter=iters,
+        "gradient_boosting": GBTRegressor(featuresCol=features, labelCol=label, maxIter=iterations,
                                           maxDepth=5, stepSize=0.1, subsamplingRate=0.8,
                                           seed=SEED),
     }
@@ -39,8 +39,8 @@ def regressors(label: str = "label", features: str = "features", fast: bool = Fa
 
 # ---------------------------------------------------------------- L5–L9
 def classifiers(label: str = "label", features: str = "features", weight: str | None = None,
-                fast: bool = False) -> dict:
-    trees, iters = (20, 10) if fast else (200, 50)
+                trees: int = 200, iterations: int = 1000) -> dict:
+    """Named classification estimators; by default of the reference's sizes."""
     lr = LogisticRegression(featuresCol=features, labelCol=label, maxIter=100)
     svc = LinearSVC(featuresCol=features, labelCol=label, maxIter=50)
     if weight:
@@ -50,8 +50,8 @@ def classifiers(label: str = "label", features: str = "features", weight: str |
         "logistic_regression": lr,
         "random_forest": RandomForestClassifier(featuresCol=features, labelCol=label,
                                                 numTrees=trees, maxDepth=8, seed=SEED),
-        "gradient_boosting": GBTClassifier(featuresCol=features, labelCol=label, maxIter=iters,
-                                           maxDepth=6, stepSize=0.05, seed=SEED),
+        "gradient_boosting": GBTClassifier(featuresCol=features, labelCol=label, maxIter=iterations,
+                                           maxDepth=8, stepSize=0.05, seed=SEED),
         "decision_tree": DecisionTreeClassifier(featuresCol=features, labelCol=label, seed=SEED),
         "linear_svc": svc,
     }
@@ -102,9 +102,12 @@ def elbow_curve(df: DataFrame, ks: Sequence[int] = range(1, 11), features: str =
     return spark.createDataFrame(rows, "k int, inertia double")
 
 
+# Names of the performance levels.
+PERFORMANCE_LEVELS = ("Low Performer", "Mid Performer", "Top Performer")
+
+
 def performance_labels(clustered: DataFrame, cluster: str, value: str,
-                       labels: Sequence[str] = ("Low Performer", "Mid Performer",
-                                                "Top Performer")) -> DataFrame:
+                       labels: Sequence[str] = PERFORMANCE_LEVELS) -> DataFrame:
     """Name clusters by the rank of their mean ``value``.
 
     Cluster means are one row per cluster (k rows); the rank runs on those

@@ -1,221 +1,188 @@
 """Exact nearest-neighbour jobs: KNN imputation (P10) and SMOTE.
 
-Both need the k nearest rows of a query set among a reference set. The
-search here is exact (no candidate cap, no approximate hashing):
-
-* query rows are cut into chunks of at most ``chunk_rows`` rows by key hash;
-  each chunk is shipped to the executors as a broadcast variable;
-* every reference partition computes distances to the chunk with NumPy
-  (``mapInPandas``) and keeps only its own top k per query row;
-* the per-partition candidates (k × partitions per query row, a bounded
-  group) are merged by query key to the exact global top k.
-
-Work is |queries| × |reference| distance evaluations, spread over all
-reference partitions; memory per task is bounded by the chunk size.
+A stated set of query rows (rows with gaps; rows of a small class) is compared with all
+reference rows, in blocks: both sides are packed into blocks of bounded size, each task
+takes a block of queries and a block of references, computes distances with NumPy from
+coordinate differences, and passes on the k nearest of the block for each query. A ranked window
+with a limit then keeps the k nearest of all. Nothing passes through the driver, and no pair is
+emitted beyond the k of a block.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql import Window as W
 
 from ..session import cut_lineage
 
-
-def exact_knn(reference: DataFrame, queries: DataFrame, cols: Sequence[str], qkey: str,
-              rkey: str, k: int = 5, chunk_rows: int = 4096,
-              exclude_same_key: bool = False, block_rows: int = 2048) -> DataFrame:
-    """k nearest reference rows of every query row.
-
-    Output: (qkey, rank, distance, rkey, cols…) with rank 1..k.
-    ``exclude_same_key`` skips a reference row whose key equals the query
-    key (self-neighbour in SMOTE).
+QUERY_ROWS = 2048
+REFERENCE_ROWS = 65536
+
+
+def _blocks(df: DataFrame, cols: Sequence[str], rows: int, name: str) -> tuple[DataFrame, int]:
+    """Rows (_rid, _tie, cols…, _val) packed as bytes, about ``rows`` to a block."""
+    n = max(1, -(-df.count() // rows))
+
+    def pack(frame):
+        return pd.DataFrame({
+            f"{name}_block": [int(frame["_b"].iloc[0])],
+            f"{name}_rid": [frame["_rid"].to_numpy(np.int64).tobytes()],
+            f"{name}_tie": [frame["_tie"].to_numpy(np.int64).tobytes()],
+            f"{name}_vec": [frame[list(cols)].to_numpy(float).tobytes()],
+            f"{name}_val": [frame["_val"].to_numpy(float).tobytes()]})
+
+    packed = (df.withColumn("_b", F.pmod(F.xxhash64("_rid"), F.lit(n)).cast("int"))
+                .groupBy("_b").applyInPandas(
+                    pack, ", ".join([f"{name}_block int"]
+                                    + [f"{name}_{x} binary" for x in ("rid", "tie", "vec", "val")])))
+    return packed, n
+
+
+def _nearest_in_blocks(d: int, k: int, exclude_same: bool):
+    def distances(q, r):
+        """Euclidean over the coordinates both have, scaled up to all d; inf if there are none."""
+        total = np.zeros((len(q), len(r)))
+        both = np.zeros((len(q), len(r)))
+        for i in range(d):
+            gap = q[:, i][:, None] - r[:, i][None, :]
+            has = ~np.isnan(gap)
+            total += np.where(has, gap * gap, 0.0)
+            both += has
+        with np.errstate(divide="ignore", invalid="ignore"):
+            return np.where(both > 0, np.sqrt(total * (d / both)), np.inf)
+
+    def run(frames):
+        for frame in frames:
+            for row in frame.itertuples(index=False):
+                q_rid, r_rid = (np.frombuffer(x, np.int64) for x in (row.q_rid, row.r_rid))
+                r_tie, r_val = np.frombuffer(row.r_tie, np.int64), np.frombuffer(row.r_val, float)
+                q = np.frombuffer(row.q_vec, float).reshape(-1, d)
+                r = np.frombuffer(row.r_vec, float).reshape(-1, d)
+                out = []
+                for at in range(0, len(q), 32):
+                    dist = distances(q[at:at + 32], r)
+                    if exclude_same:
+                        dist[q_rid[at:at + 32][:, None] == r_rid[None, :]] = np.inf
+                    for i, x in enumerate(dist):
+                        edge = np.partition(x, k - 1)[k - 1] if len(x) > k else np.inf
+                        near = np.flatnonzero((x <= edge) & np.isfinite(x))
+                        best = near[np.lexsort((r_rid[near], r_tie[near], x[near]))][:k]
+                        out.append(pd.DataFrame({
+                            "q_rid": q_rid[at + i], "distance": x[best], "tie": r_tie[best],
+                            "r_rid": r_rid[best], "val": r_val[best]}))
+                yield pd.concat(out, ignore_index=True)
+    return run
+
+
+def exact_knn(reference: DataFrame, queries: DataFrame, cols: Sequence[str], k: int = 5,
+              exclude_same: bool = False) -> DataFrame:
+    """(q_rid, rank, distance, r_rid, val): the k nearest reference rows of every query row.
+
+    Both frames have a row id ``_rid``, a tie-break number ``_tie``, the coordinates ``cols`` (null:
+    unknown) and a payload ``_val``. Order: distance, tie-break number, row id. Queries that
+    share no coordinate with any reference row get no row.
     """
     cols = list(cols)
-    spark = reference.sparkSession
-    q = queries.select(F.col(qkey).alias("_qk"), *[F.col(c).cast("double").alias(c) for c in cols])
-    n_q = q.count()
-    if n_q == 0:
-        schema = (f"{qkey} long, rank int, distance double, {rkey} long, "
-                  + ", ".join(f"{c} double" for c in cols))
-        return spark.createDataFrame([], schema)
-    n_chunks = max(1, math.ceil(n_q / chunk_rows))
-    q = q.withColumn("_chunk", F.pmod(F.xxhash64("_qk"), F.lit(n_chunks)))
-    ref = reference.select(F.col(rkey).cast("long").alias("_rk"),
-                           *[F.col(c).cast("double").alias(c) for c in cols])
-    out_schema = T.StructType([T.StructField("_qk", T.LongType()),
-                               T.StructField("distance", T.DoubleType()),
-                               T.StructField("_rk", T.LongType()),
-                               *[T.StructField(c, T.DoubleType()) for c in cols]])
-    parts = []
-    for ch in range(n_chunks):
-        pdf = q.where(F.col("_chunk") == ch).select("_qk", *cols).toPandas()
-        if pdf.empty:
-            continue
-        bq = spark.sparkContext.broadcast((pdf["_qk"].to_numpy(dtype=np.int64),
-                                           pdf[cols].to_numpy(dtype=float)))
-
-        def top_k(batches, bq=bq):
-            # self-contained (no module globals but numpy / pandas): shipped by
-            # value, so workers need not import this package
-            def nan_euclidean(q, r):
-                present = ~np.isnan(q)
-                qz = np.where(present, q, 0.0)
-                sq = (np.einsum("ij,ij->i", qz, qz)[:, None] - 2 * qz @ r.T
-                      + (present.astype(float) @ (r * r).T))
-                sq = np.maximum(sq, 0.0)
-                cnt = present.sum(axis=1, keepdims=True).astype(float)
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    w = np.where(cnt > 0, q.shape[1] / cnt, np.nan)
-                return np.sqrt(sq * w)
-
-            qk, qv = bq.value
-            nq, rows = len(qk), np.arange(len(qk))[:, None]
-            best_d = np.full((nq, 0), np.inf)
-            best_r = np.zeros((nq, 0), dtype=np.int64)
-            best_v = np.zeros((nq, 0, len(cols)))
-            for b in batches:
-                rv_all = b[cols].to_numpy(dtype=float)
-                rk_all = b["_rk"].to_numpy(dtype=np.int64)
-                # reference blocks keep the distance matrix at nq × block_rows
-                for s0 in range(0, len(rk_all), block_rows):
-                    rv, rk = rv_all[s0:s0 + block_rows], rk_all[s0:s0 + block_rows]
-                    dist = nan_euclidean(qv, rv)
-                    if exclude_same_key:
-                        dist = np.where(qk[:, None] == rk[None, :], np.inf, dist)
-                    kk = min(k, dist.shape[1])
-                    idx = np.argpartition(dist, kk - 1, axis=1)[:, :kk]
-                    cat_d = np.concatenate([best_d, dist[rows, idx]], axis=1)
-                    cat_r = np.concatenate([best_r, rk[idx]], axis=1)
-                    cat_v = np.concatenate([best_v, rv[idx]], axis=1)
-                    kk = min(k, cat_d.shape[1])
-                    sel = np.argpartition(cat_d, kk - 1, axis=1)[:, :kk]
-                    best_d, best_r, best_v = cat_d[rows, sel], cat_r[rows, sel], cat_v[rows, sel]
-            if best_d.shape[1] == 0:
-                return
-            qi, ji = np.nonzero(np.isfinite(best_d))
-            out = pd.DataFrame({"_qk": qk[qi], "distance": best_d[qi, ji], "_rk": best_r[qi, ji]})
-            for c_i, c in enumerate(cols):
-                out[c] = best_v[qi, ji, c_i]
-            yield out
-
-        parts.append(ref.mapInPandas(top_k, out_schema))
-
-    def merge(cand):
-        # ≤ k candidates per reference partition for each query row
-        return (cand.groupBy("_qk")
-                    .agg(F.slice(F.sort_array(F.collect_list(F.struct("distance", "_rk", *cols))),
-                                 1, k).alias("_nn")))
-
-    if len(parts) == 1:
-        merged = merge(parts[0])
-    else:
-        # each query row lives in one chunk: merge per chunk and write it to the
-        # shared folder, so the plan stays small and a lost executor redoes one chunk
-        import uuid
-        from ..sources.files import shared_path
-        base = shared_path(spark, "knn", uuid.uuid4().hex)
-        for i, p in enumerate(parts):
-            merge(p).write.mode("overwrite").parquet(f"{base}/chunk={i}")
-        merged = spark.read.parquet(base).drop("chunk")
-    ex = merged.select("_qk", F.posexplode("_nn").alias("_pos", "_n"))
-    return ex.select(F.col("_qk").alias(qkey), (F.col("_pos") + 1).alias("rank"),
-                     F.col("_n.distance").alias("distance"), F.col("_n._rk").alias(rkey),
-                     *[F.col(f"_n.{c}").alias(c) for c in cols])
-
-
-def knn_impute(df: DataFrame, cols: Sequence[str], key: Sequence[str], k: int = 5,
-               chunk_rows: int = 4096) -> DataFrame:
-    """Fill nulls in ``cols`` with the mean of the k nearest complete rows (P10).
-
-    Distances are nan-Euclidean on z-scored columns over the coordinates
-    the row has. Rows without nulls pass through unchanged.
+    shape = ["_rid", "_tie", *[F.col(c).cast("double").alias(c) for c in cols],
+             F.col("_val").cast("double").alias("_val")]
+    qb, _ = _blocks(queries.select(*shape), cols, QUERY_ROWS, "q")
+    rb, n_ref = _blocks(reference.select(*shape), cols, REFERENCE_ROWS, "r")
+    pairs = (qb.withColumn("r_block", F.explode(F.sequence(F.lit(0), F.lit(n_ref - 1))))
+               .join(rb, "r_block"))
+    found = pairs.mapInPandas(_nearest_in_blocks(len(cols), k, exclude_same),
+                              "q_rid long, distance double, tie long, r_rid long, val double")
+    w = W.partitionBy("q_rid").orderBy("distance", "tie", "r_rid")
+    return (found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+                 .select("q_rid", "rank", "distance", "r_rid", "val"))
+
+
+def knn_impute(df: DataFrame, cols: Sequence[str], key: Sequence[str], k: int = 5) -> DataFrame:
+    """Fill the nulls of ``cols``, column by column, from the k nearest rows that have the column (P10).
+
+    Distances are Euclidean on z-scored columns over the coordinates that both rows have, scaled
+    up to all of them. A row that shares no coordinate with any donor gets the column's mean; a
+    column without any value stays null. Ties go by a hash of ``key``, then by row.
     """
     cols = list(cols)
-    df = cut_lineage(df)
-    stats = df.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)],
-                   *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(cols)]).first()
-    z = {}
+    d = df.withColumns({"_rid": F.monotonically_increasing_id(),
+                        "_tie": F.xxhash64(*[F.col(c) for c in key])})
+    d = cut_lineage(d)  # row ids are fixed from here on
+    stats = d.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)],
+                  *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(cols)],
+                  *[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+    z = {f"_z{i}": (F.when(F.col(c).isNotNull(), 0.0) if not stats[f"s{i}"]
+                    else (F.col(c) - F.lit(stats[f"m{i}"])) / F.lit(stats[f"s{i}"]))
+         for i, c in enumerate(cols)}
+    d = d.withColumns(z)
+    out = d
     for i, c in enumerate(cols):
-        m, s = stats[f"m{i}"], stats[f"s{i}"]
-        z[f"_z_{c}"] = F.lit(0.0) if not s else (F.col(c) - F.lit(m)) / F.lit(s)
-    rid = F.xxhash64(*[F.col(c) for c in key], F.lit(7))
-    d = df.withColumn("_rid", rid).withColumns(z)
-    any_null = None
-    for c in cols:
-        cond = F.col(c).isNull()
-        any_null = cond if any_null is None else any_null | cond
-    zc = [f"_z_{c}" for c in cols]
-    complete = d.where(~any_null)
-    missing = d.where(any_null)
-    nn = exact_knn(complete.select("_rid", *zc, *cols).withColumn("_ref", F.col("_rid")),
-                   missing, zc, "_rid", "_ref", k=k, chunk_rows=chunk_rows)
-    # neighbour values in original units: join the donors' raw columns back
-    donors = complete.select(F.col("_rid").alias("_ref"), *[F.col(c).alias(f"_d_{c}") for c in cols])
-    fill = (nn.join(donors, "_ref").groupBy("_rid")
-              .agg(*[F.avg(f"_d_{c}").alias(f"_f_{c}") for c in cols]))
-    filled = missing.join(fill, "_rid", "left").withColumns(
-        {c: F.coalesce(F.col(c), F.col(f"_f_{c}")) for c in cols})
-    out_cols = df.columns
-    return complete.select(*out_cols).unionByName(filled.select(*out_cols))
+        if not stats[f"n{i}"] or stats[f"m{i}"] is None:
+            continue
+        gaps = d.where(F.col(c).isNull()).withColumn("_val", F.lit(None).cast("double"))
+        donors = d.where(F.col(c).isNotNull()).withColumn("_val", F.col(c))
+        fill = (exact_knn(donors, gaps, list(z), k).groupBy("q_rid").agg(F.avg("val").alias(f"_f{i}"))
+                .withColumnRenamed("q_rid", "_rid"))
+        out = out.join(fill, "_rid", "left").withColumn(
+            c, F.coalesce(F.col(c), F.col(f"_f{i}"), F.lit(stats[f"m{i}"])))
+    return out.select(*df.columns)
 
 
 def smote(df: DataFrame, label: str, key: str, features: str = "features", k: int = 5,
-          seed: int = 42, chunk_rows: int = 4096) -> DataFrame:
-    """Oversample the minority class to the majority size.
-
-    For minority row x with exact k nearest minority neighbours, each
-    synthetic row is x + u·(n − x) with the neighbour n and u ∈ [0, 1)
-    drawn from a hash of (row, copy, seed). Synthetic copies are spread
-    evenly over minority rows. Returns the original rows plus synthetic
-    rows (columns: key, label, features).
+          seed: int = 42) -> DataFrame:
+    """Oversample every class to the size of the largest.
+
+    For a row x with its k nearest rows of the same class, a synthetic row is x + u·(n − x) with one
+    of these n and u in [0, 1), both drawn from a hash of (row, copy, seed). Copies are spread evenly
+    over the rows of a class; a class of one row is repeated as it is. Returns the original
+    rows and the synthetic ones (columns: key, label, features); synthetic keys are −1, −2, ….
     """
     from pyspark.ml.functions import array_to_vector, vector_to_array
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).orderBy("n").collect()
-    if len(counts) < 2:
-        return df.select(key, label, features)
-    minority, n_min = counts[0][label], counts[0]["n"]
-    n_maj = counts[-1]["n"]
-    need = n_maj - n_min
-    base = df.select(key, label, features)
-    if need <= 0:
-        return base
-    mino = base.where(F.col(label) == minority).withColumn("_v", vector_to_array(features))
-    dim = len(mino.select("_v").first()["_v"])
-    vcols = [f"_x{i}" for i in range(dim)]
-    mino = mino.select(F.col(key).cast("long").alias(key),
-                       *[F.col("_v")[i].alias(vcols[i]) for i in range(dim)])
-    mino = cut_lineage(mino)
-    nn = exact_knn(mino.withColumn("_ref", F.col(key)), mino, vcols, key, "_ref", k=k,
-                   chunk_rows=chunk_rows, exclude_same_key=True)
-    per_row, extra = divmod(need, n_min)
-    # every minority row makes per_row copies; exactly ``extra`` rows (first in
-    # hash order, key as tie-break) make one more. The rank is a distributed
-    # prefix count, so the total is exact without a global sort.
     from ..operators.windows import prefix_sums
-    order_rank = mino.select(key, F.xxhash64(F.col(key), F.lit(seed)).cast("double").alias("_h"),
-                             F.lit(1).alias("_one"))
-    order_rank = prefix_sums(order_rank, "_h", ["_one"], prefix="_r", tiebreak=[key])
-    copies = F.lit(per_row) + F.when(F.col("_r__one") < extra, 1).otherwise(0)
-    rows = order_rank.withColumn("_copies", copies).where(F.col("_copies") > 0)
-    rows = rows.withColumn("_c", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    n_nb = nn.groupBy(key).agg(F.max("rank").alias("_kk"))
-    rows = rows.join(n_nb, key)
-    pick = (F.pmod(F.xxhash64(F.col(key), F.col("_c"), F.lit(seed + 1)), F.col("_kk")) + 1)
-    rows = rows.withColumn("rank", pick.cast("int"))
-    u = F.pmod(F.xxhash64(F.col(key), F.col("_c"), F.lit(seed + 2)), F.lit(1_000_000)) / 1_000_000.0
-    syn = (rows.join(nn.select(key, "rank", *[F.col(c).alias(f"_n{c}") for c in vcols]),
-                     [key, "rank"])
-               .join(mino, key)
-               .withColumn("_u", u))
-    vec = F.array(*[F.col(c) + F.col("_u") * (F.col(f"_n{c}") - F.col(c)) for c in vcols])
-    synthetic = syn.select((-(F.abs(F.xxhash64(F.col(key), F.col("_c"))) + 1)).alias(key),
-                           F.lit(minority).cast(df.schema[label].dataType).alias(label),
-                           array_to_vector(vec).alias(features))
-    return base.withColumn(key, F.col(key).cast("long")).unionByName(synthetic)
+    base = df.select(F.col(key).cast("long").alias(key), label, features)
+    counts = {r[label]: r["n"] for r in base.where(F.col(label).isNotNull())
+              .groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per class
+    most = max(counts.values(), default=0)
+    out, used = base, 0
+    for value, n in sorted(counts.items(), key=lambda x: (x[1], str(x[0]))):
+        need = most - n
+        if not need:
+            continue
+        own = base.where(F.col(label) == value).withColumns({
+            "_rid": F.monotonically_increasing_id(), "_tie": F.col(key).cast("long"),
+            "_v": vector_to_array(features), "_val": F.lit(0.0),
+            "_h": F.xxhash64(F.col(key), F.lit(seed)).cast("double"), "_one": F.lit(1)})
+        own = cut_lineage(own)
+        dim = len(own.select("_v").first()["_v"])
+        xs = [f"_x{i}" for i in range(dim)]
+        own = own.withColumns({x: F.col("_v")[i] for i, x in enumerate(xs)})
+        near = exact_knn(own, own, xs, k, exclude_same=True)
+        # exactly ``need`` rows: every row makes need // n copies, the first need % n (in hash
+        # order, by a distributed prefix count) one more
+        ranked = prefix_sums(own.select("_rid", key, "_v", "_h", "_one"), "_h", ["_one"],
+                             prefix="_r", tiebreak=["_rid"])
+        per_row, extra = divmod(need, n)
+        copies = F.lit(per_row) + F.when(F.col("_r__one") < extra, 1).otherwise(0)
+        rows = ranked.withColumn("_copies", copies).where("_copies > 0").withColumn(
+            "_c", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
+        has = near.groupBy("q_rid").agg(F.max("rank").alias("_kk"))
+        rows = rows.join(has, rows["_rid"] == has["q_rid"], "left").drop("q_rid")
+        pick = F.pmod(F.xxhash64("_rid", "_c", F.lit(seed + 1)), F.coalesce("_kk", F.lit(1))) + 1
+        rows = rows.withColumns({"_pick": pick.cast("int"), "_u": F.pmod(
+            F.xxhash64("_rid", "_c", F.lit(seed + 2)), F.lit(1_000_000)) / 1_000_000.0})
+        rows = rows.join(near.select("q_rid", "rank", "r_rid"),
+                         (rows["_rid"] == F.col("q_rid")) & (rows["_pick"] == F.col("rank")), "left")
+        other = own.select(F.col("_rid").alias("r_rid"), F.col("_v").alias("_n"))
+        rows = rows.join(other, "r_rid", "left")
+        vec = F.zip_with("_v", F.coalesce("_n", "_v"), lambda a, b: a + F.col("_u") * (b - a))
+        made = rows.select(
+            (-(F.lit(used + 1) + (F.col("_c") - 1) * n + F.col("_r__one"))).cast("long").alias(key),
+            F.lit(value).cast(df.schema[label].dataType).alias(label),
+            array_to_vector(vec).alias(features))
+        out = out.unionByName(made)
+        used += need + n  # the last round of copies may leave numbers unused
+    return out

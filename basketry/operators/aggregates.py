@@ -24,6 +24,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from ..session import cut_lineage
+
 
 def _keys_not_null(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     cond = None
@@ -48,20 +50,26 @@ def attach_group_stats(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column
 # ---------------------------------------------------------------- A1, P17
 def rfm(df: DataFrame, customer="customer_id", date="transaction_date",
         amount="total_sales", txn="transaction_id", churn_days=90,
-        line_count: str | None = None, as_of: Column | None = None) -> DataFrame:
+        line_count: str | None = None, as_of: Column | None = None,
+        extra: Sequence[Column] = ()) -> DataFrame:
     """Recency, frequency, monetary, tenure and a recency churn label.
 
     ``line_count`` lets a caller pass pre-aggregated rows (e.g. one row per
     order with its number of lines) — frequency is then its sum.
-    ``as_of`` defaults to the latest date in the data (scalar subquery).
+    ``as_of`` defaults to the latest date in the data: the customer-grain result is written
+    once, and the date is taken from it, so the rows are read once. ``extra`` aggregates join
+    the same pass.
     """
-    ref = as_of if as_of is not None else scalar_of(df, F.max(date))
     freq = F.sum(line_count) if line_count else F.count(txn)
-    g = (_keys_not_null(df, [customer]).groupBy(customer).agg(
+    g = df.groupBy(customer).agg(
         F.max(date).alias("last_purchase"),
         F.min(date).alias("first_purchase"),
         freq.cast("long").alias("frequency"),
-        F.sum(amount).cast("double").alias("monetary")))
+        F.sum(amount).cast("double").alias("monetary"), *extra)
+    if as_of is None:
+        g = cut_lineage(g)
+        as_of = scalar_of(g, F.max("last_purchase"))  # rows without a customer count, too
+    ref, g = as_of, _keys_not_null(g, [customer])
     return (g.withColumn("recency", F.datediff(ref, F.col("last_purchase")))
              .withColumn("tenure", F.datediff(ref, F.col("first_purchase")))
              .withColumn("churn", F.when(F.col("recency") > churn_days, 1).otherwise(0)))
@@ -203,7 +211,10 @@ def customer_lifetime_value(df: DataFrame, customer="customer_id", sales="total_
 def monthly_trend_feature(df: DataFrame, date="transaction_date", sales="total_sales") -> DataFrame:
     """Rows with the total sales of their calendar month attached."""
     d = df.withColumn("year_month", F.date_format(date, "yyyy-MM"))
-    return attach_group_stats(d, ["year_month"], [F.sum(sales).alias("monthly_sales_trends")])
+    # one row per calendar month: broadcast by size bound
+    stats = (_keys_not_null(d, ["year_month"]).groupBy("year_month")
+             .agg(F.sum(sales).alias("monthly_sales_trends")))
+    return d.join(F.broadcast(stats), "year_month", "left")
 
 
 def seasonal_trend_feature(df: DataFrame, date="transaction_date", sales="total_sales") -> DataFrame:
@@ -269,13 +280,29 @@ def sales_by_period(df: DataFrame, grain: str, date="transaction_date",
               .withColumn("grain", F.lit(grain)))
 
 
+def sales_by_periods(df: DataFrame, grains: Sequence[str], date="transaction_date",
+                     sales="total_sales") -> DataFrame:
+    """Sums per period start at several grains: rows are added up to days once, the days rolled up."""
+    days = (df.where(F.col(date).isNotNull()).groupBy(F.col(date).alias("_d"))
+              .agg(F.sum(sales).alias("_s")))
+    each = F.explode(F.array(*[F.struct(
+        F.lit(g).alias("grain"), F.date_trunc(g, F.col("_d")).cast("date").alias("period_start"))
+        for g in grains]))
+    return (days.select(each.alias("_p"), "_s").groupBy("_p.period_start", "_p.grain")
+                .agg(F.sum("_s").cast("double").alias("sales"))
+                .select("period_start", "sales", "grain"))
+
+
 # ---------------------------------------------------------------- A17
 def sales_by_month_and_week(df: DataFrame, date="transaction_date", sales="total_sales") -> DataFrame:
-    d = df.where(F.col(date).isNotNull())
-    by_month = d.groupBy(F.month(date).alias("period")).agg(F.sum(sales).alias("sales"))
-    by_week = d.groupBy(F.weekofyear(date).alias("period")).agg(F.sum(sales).alias("sales"))
-    return (by_month.withColumn("kind", F.lit("month"))
-            .unionByName(by_week.withColumn("kind", F.lit("iso_week"))))
+    """Sums per month of the year and per ISO week, rolled up from days."""
+    days = (df.where(F.col(date).isNotNull()).groupBy(F.col(date).alias("_d"))
+              .agg(F.sum(sales).alias("_s")))
+    each = F.explode(F.array(
+        F.struct(F.lit("month").alias("kind"), F.month("_d").alias("period")),
+        F.struct(F.lit("iso_week").alias("kind"), F.weekofyear("_d").alias("period"))))
+    return (days.select(each.alias("_p"), "_s").groupBy("_p.kind", "_p.period")
+                .agg(F.sum("_s").alias("sales")).select("period", "sales", "kind"))
 
 
 # ---------------------------------------------------------------- A21
@@ -433,14 +460,14 @@ def frequency_encode_wide(df: DataFrame, columns: Sequence[str], min_distinct: i
                           approx_first: bool = True) -> DataFrame:
     """Frequency-encode the columns with more than ``min_distinct`` values.
 
-    The distinct counts for every column are gathered in one aggregation
-    (approximate first, exact only when close to the gate).
+    The distinct counts for every column are gathered in one aggregation: approximate first
+    (1% error per sigma), then exact for those within 10% (ten sigmas) of the gate.
     """
     cols = list(columns)
     if not cols:
         return df
     if approx_first:
-        row = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first()
+        row = df.agg(*[F.approx_count_distinct(c, 0.01).alias(c) for c in cols]).first()
         close = [c for c in cols if abs(row[c] - min_distinct) <= 0.1 * min_distinct + 2]
         exact = df.agg(*[F.count_distinct(c).alias(c) for c in close]).first() if close else {}
         counts = {c: (exact[c] if c in close else row[c]) for c in cols}
@@ -472,11 +499,6 @@ def null_counts(df: DataFrame) -> DataFrame:
     return row.selectExpr(f"stack({len(cols)}, {stack}) AS (column_name, nulls)")
 
 
-# ---------------------------------------------------------------- A38
-def mean_by(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
-    return _keys_not_null(df, [key]).groupBy(key).agg(F.avg(value).alias(name))
-
-
 # ---------------------------------------------------------------- A39, F17
 def linear_fit(df: DataFrame, y: str, x: str, group: str | None = None) -> DataFrame:
     """Ordinary least squares of y on one x: slope, intercept, R², trend label."""

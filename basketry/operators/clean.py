@@ -172,12 +172,6 @@ def sample_rows(df: DataFrame, n: int, key: Sequence[str], seed: int = 42) -> Da
     return df.orderBy(h, *key).limit(n)
 
 
-def sample_fraction(df: DataFrame, fraction: float, key: Sequence[str], seed: int = 42) -> DataFrame:
-    """Stable Bernoulli sample by key hash (same rows on every recomputation)."""
-    u = (F.pmod(F.xxhash64(*[F.col(k) for k in key], F.lit(seed)), F.lit(1_000_000)) / 1_000_000.0)
-    return df.where(u < fraction)
-
-
 def distinct_values(df: DataFrame, col: str) -> DataFrame:
     """Distinct values of one column."""
     return df.select(col).distinct()

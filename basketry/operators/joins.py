@@ -67,12 +67,6 @@ def asof_fill(spine: DataFrame, values: DataFrame, date: str, columns: Sequence[
 
 
 def attach_by_date(df: DataFrame, daily: DataFrame, date: str, daily_date: str = "ds") -> DataFrame:
-    """Rows ⟕ a day-grain table (one row per date)."""
+    """Rows ⟕ a day-grain table (one row per date: bounded by the calendar, so broadcast)."""
     d = daily.withColumnRenamed(daily_date, "_jd")
-    return df.join(d, F.col(date) == F.col("_jd"), "left").drop("_jd")
-
-
-def semi_join(df: DataFrame, keys: DataFrame, on: str, bounded: bool = False) -> DataFrame:
-    """Rows whose key is in ``keys``; broadcast when ``keys`` has a known small bound."""
-    k = F.broadcast(keys) if bounded else keys
-    return df.join(k, on, "left_semi")
+    return df.join(F.broadcast(d), F.col(date) == F.col("_jd"), "left").drop("_jd")

@@ -10,6 +10,7 @@ aggregation per model), so nothing is collected to the driver.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from statistics import NormalDist
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,14 +34,14 @@ REGRESSION_METRICS = ("mae", "mse", "rmse", "r2", "mape", "max_error", "mean_res
 def regression_metrics(df: DataFrame, y: str, yhat: str, by: Sequence[str] = (),
                        eps: float = 1e-8, long: bool = True) -> DataFrame:
     """MAE, MSE, RMSE, R², MAPE (ε-guarded, in %), max |error|, mean and
-    population std of the residual — per group ``by``."""
+    population std of the residual — per group ``by``. R² of a constant target is null."""
     r = F.col(y) - F.col(yhat)
     aggs = [
         F.avg(F.abs(r)).alias("mae"),
         F.avg(r * r).alias("mse"),
         F.sqrt(F.avg(r * r)).alias("rmse"),
-        (1 - F.sum(r * r) / (F.var_pop(y) * F.count(y))).alias("r2"),
-        (F.avg(F.abs(r / (F.col(y) + eps))) * 100).alias("mape"),
+        (1 - F.try_divide(F.sum(r * r), F.var_pop(y) * F.count(y))).alias("r2"),
+        (F.avg(F.abs(F.try_divide(r, F.col(y) + eps))) * 100).alias("mape"),
         F.max(F.abs(r)).alias("max_error"),
         F.avg(r).alias("mean_residual"),
         F.stddev_pop(r).alias("std_residual"),
@@ -108,13 +109,13 @@ def confusion_matrix(df: DataFrame, label: str, pred: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- E6
-def roc_auc(df: DataFrame, label: str, score: str, by_buckets: int = 64) -> DataFrame:
+def roc_auc(df: DataFrame, label: str, score: str, by_buckets: int | None = None) -> DataFrame:
     """Exact ROC AUC (ties count one half) from the rank-sum statistic.
 
     Rows collapse to distinct scores with positive / negative counts (a
     partial aggregation), the count of rows below each score is a
     distributed prefix sum over score-range buckets, and the rank sum is
-    one more aggregation — no global sort of the rows.
+    one more aggregation — no global sort of the rows. Null for a single class.
     """
     d = (df.where(F.col(label).isNotNull() & F.col(score).isNotNull())
            .groupBy(F.col(score).alias("_s")).agg(
@@ -126,7 +127,7 @@ def roc_auc(df: DataFrame, label: str, score: str, by_buckets: int = 64) -> Data
                 F.sum("_pos").alias("n_pos"), F.sum("_all").alias("n_all"))
     npos, nneg = F.col("n_pos").cast("double"), (F.col("n_all") - F.col("n_pos")).cast("double")
     return tot.select(
-        ((F.col("rank_sum") - npos * (npos + 1) / 2) / (npos * nneg)).alias("roc_auc"),
+        F.try_divide(F.col("rank_sum") - npos * (npos + 1) / 2, npos * nneg).alias("roc_auc"),
         F.col("n_pos").cast("long").alias("n_pos"), (F.col("n_all") - F.col("n_pos")).cast("long")
         .alias("n_neg"))
 
@@ -134,8 +135,11 @@ def roc_auc(df: DataFrame, label: str, score: str, by_buckets: int = 64) -> Data
 # ---------------------------------------------------------------- E14
 def prediction_interval(long_preds: DataFrame, keys: Sequence[str], pred: str = "prediction",
                         confidence: float = 0.95) -> DataFrame:
-    """Mean ± z·σ across models per row (σ = population std); z 1.96 or 2.576."""
-    z = 1.96 if confidence == 0.95 else 2.576
+    """Mean ± z·σ across models per row (σ = population std).
+
+    z is the normal quantile of (1 + confidence) / 2.
+    """
+    z = NormalDist().inv_cdf((1 + confidence) / 2)
     g = long_preds.where(F.col(pred).isNotNull()).groupBy(*keys).agg(
         F.avg(pred).alias("mean_prediction"), F.stddev_pop(pred).alias("std_prediction"))
     return (g.withColumn("lower_bound", F.col("mean_prediction") - z * F.col("std_prediction"))
@@ -205,7 +209,7 @@ def residual_table(df: DataFrame, y: str, yhat: str, order: Sequence[str]) -> Da
     sd = d.select(F.stddev_pop("residual")).scalar()
     n = d.select(F.count(F.lit(1))).scalar()
     d = d.withColumns({
-        "std_residual_sqrt": F.sqrt(F.abs(F.col("residual") / sd)),
+        "std_residual_sqrt": F.sqrt(F.abs(F.try_divide(F.col("residual"), sd))),
         "index": F.row_number().over(W.orderBy(*order)) - 1,
     })
     i = F.row_number().over(W.orderBy("residual", *order))

@@ -48,7 +48,7 @@ def decompose(df: DataFrame, y: str, order: str, period: int, keys: Sequence[str
     full = F.count(y).over(frame) == span
     d = d.withColumn("trend", F.when(full, s / period))
     mult = model == "multiplicative"
-    det = (F.col(y) / F.col("trend")) if mult else (F.col(y) - F.col("trend"))
+    det = F.try_divide(F.col(y).cast("double"), F.col("trend")) if mult else (F.col(y) - F.col("trend"))
     d = d.withColumn("_det", det).withColumn("_phase", F.col("_t") % period)
     phase = (d.where(F.col("_det").isNotNull()).groupBy(*keys, "_phase")
                .agg(F.avg("_det").alias("_pm")))
@@ -58,11 +58,11 @@ def decompose(df: DataFrame, y: str, order: str, period: int, keys: Sequence[str
     else:
         phase = phase.withColumn("_c", phase.select(F.avg("_pm")).scalar())
     phase = phase.select(*keys, "_phase",
-                         ((F.col("_pm") / F.col("_c")) if mult else (F.col("_pm") - F.col("_c")))
+                         (F.try_divide(F.col("_pm"), F.col("_c")) if mult else (F.col("_pm") - F.col("_c")))
                          .alias("seasonal"))
     # ≤ period rows per series: joined back on (series, phase)
     d = d.join(phase, [*keys, "_phase"], "left")
-    resid = (F.col("_det") / F.col("seasonal")) if mult else (F.col("_det") - F.col("seasonal"))
+    resid = F.try_divide(F.col("_det"), F.col("seasonal")) if mult else (F.col("_det") - F.col("seasonal"))
     return d.withColumn("resid", resid).drop("_det", "_phase")
 
 
@@ -84,9 +84,11 @@ def dickey_fuller(df: DataFrame, y: str, order: str, keys: Sequence[str] = ()) -
     aggs = [F.regr_slope("_dy", "_x").alias("b"), F.regr_sxx("_dy", "_x").alias("sxx"),
             F.regr_syy("_dy", "_x").alias("syy"), F.regr_count("_dy", "_x").alias("n")]
     g = d.groupBy(*keys).agg(*aggs) if keys else d.agg(*aggs)
-    se = F.sqrt((F.col("syy") - F.col("b") * F.col("b") * F.col("sxx"))
-                / (F.col("n") - 2) / F.col("sxx"))
-    return (g.withColumn("adf_statistic", F.col("b") / se)
+    # null for a constant series and for fewer than four points
+    se = F.sqrt(F.greatest(F.try_divide(
+        F.try_divide(F.col("syy") - F.col("b") * F.col("b") * F.col("sxx"),
+                     (F.col("n") - 2).cast("double")), F.col("sxx")), F.lit(0.0)))
+    return (g.withColumn("adf_statistic", F.when(F.col("n") > 2, F.try_divide("b", se)))
              .withColumn("critical_5pct", F.lit(DF_CRITICAL["5%"]))
              .withColumn("is_stationary",
                          (F.col("adf_statistic") < DF_CRITICAL["5%"]).cast("int"))
@@ -117,7 +119,8 @@ def fourier_forecast(daily: DataFrame, ds: str = "ds", y: str = "y", horizon: in
 
     Returns (forecast, fit_metrics): the forecast covers history and
     ``horizon`` future days (calendar spine from the last date) with
-    80% bounds ŷ ± 1.28·σ_resid; ``multiplicative`` fits log y.
+    80% bounds ŷ ± 1.28·σ_resid; ``multiplicative`` fits log y, which days without positive y
+    cannot enter: they are forecast like any other day, and fit_metrics gives n_days and n_fitted.
     """
     start = daily.select(F.min(ds)).scalar()
     last = daily.select(F.max(ds)).scalar()
@@ -129,7 +132,7 @@ def fourier_forecast(daily: DataFrame, ds: str = "ds", y: str = "y", horizon: in
     t = F.datediff(F.col(ds), start).cast("double")
     feats = {"t": t, **fourier_terms(t, seasonalities)}
     allrows = allrows.withColumns(feats)
-    target = F.log(F.col(y)) if multiplicative else F.col(y)
+    target = F.when(F.col(y) > 0, F.log(F.col(y))) if multiplicative else F.col(y)
     allrows = allrows.withColumn("_target", target)
     va = VectorAssembler(inputCols=list(feats), outputCol="features")
     data = va.transform(allrows)
@@ -143,16 +146,17 @@ def fourier_forecast(daily: DataFrame, ds: str = "ds", y: str = "y", horizon: in
     lo = F.col("prediction") - interval_z * sd
     hi = F.col("prediction") + interval_z * sd
     if multiplicative:
-        out = pred.select(ds, y, F.exp("prediction").alias("yhat"), F.exp(lo).alias("yhat_lower"),
+        out = pred.select(ds, y, "_target", F.exp("prediction").alias("yhat"), F.exp(lo).alias("yhat_lower"),
                           F.exp(hi).alias("yhat_upper"))
     else:
-        out = pred.select(ds, y, F.col("prediction").alias("yhat"), lo.alias("yhat_lower"),
+        out = pred.select(ds, y, "_target", F.col("prediction").alias("yhat"), lo.alias("yhat_lower"),
                           hi.alias("yhat_upper"))
     r = F.col(y) - F.col("yhat")
     fit = out.where(F.col(y).isNotNull()).agg(
         F.avg(F.abs(r)).alias("mae"), F.sqrt(F.avg(r * r)).alias("rmse"),
-        (1 - F.sum(r * r) / (F.var_pop(y) * F.count(y))).alias("r2"))
-    return out, fit
+        (1 - F.try_divide(F.sum(r * r), F.var_pop(y) * F.count(y))).alias("r2"),
+        F.count(F.lit(1)).alias("n_days"), F.count("_target").alias("n_fitted"))
+    return out.drop("_target"), fit
 
 
 # ---------------------------------------------------------------- L13
@@ -166,15 +170,20 @@ def holt_winters_additive(series: DataFrame, keys: Sequence[str], ds: str = "ds"
     in time order with ``F.aggregate`` for every (α, γ) of a fixed grid;
     the pair with the smallest one-step-ahead SSE is kept and its final
     state extended ``horizon`` steps. Initial level: mean of the first
-    period; initial seasonal: first-period deviations from it.
+    period; initial seasonal: first-period deviations from it. A series of at most two periods
+    cannot be fitted: its forecast is null.
     Output: (keys…, step, forecast, alpha, gamma, sse).
     """
     keys = list(keys)
     ser = (series.groupBy(*keys)
                  .agg(F.sort_array(F.collect_list(F.struct(F.col(ds).alias("d"),
                                                            F.col(y).alias("v")))).alias("_pts"))
-                 .withColumn("_ys", F.transform("_pts", lambda p: p["v"].cast("double")))
-                 .where(F.size("_ys") > 2 * period))
+                 .withColumn("_ys", F.transform("_pts", lambda p: p["v"].cast("double"))))
+    short = F.size("_ys") <= 2 * period
+    too_short = ser.where(short).select(*keys, F.explode(F.sequence(F.lit(1), F.lit(horizon)))
+                                        .alias("step"), *[F.lit(None).cast("double").alias(c) for c in
+                                                          ("forecast", "alpha", "gamma", "sse")])
+    ser = ser.where(~short)
     # one row per (series, α, γ) of the fixed parameter grid
     grid = F.array(*[F.struct(F.lit(float(a)).alias("alpha"), F.lit(float(g)).alias("gamma"))
                      for a in alphas for g in gammas])
@@ -203,6 +212,7 @@ def holt_winters_additive(series: DataFrame, keys: Sequence[str], ds: str = "ds"
     out = best.select(*keys, F.col("_b.alpha").alias("alpha"), F.col("_b.gamma").alias("gamma"),
                       F.col("_b._fit").alias("_f"), F.explode(steps).alias("step"))
     idx = ((F.col("_f.i") + F.col("step") - 1) % m) + 1
-    return out.select(*keys, "step",
-                      (F.col("_f.level") + F.element_at(F.col("_f.season"), idx)).alias("forecast"),
-                      "alpha", "gamma", F.col("_f.sse").alias("sse"))
+    fitted = out.select(*keys, "step",
+                        (F.col("_f.level") + F.element_at(F.col("_f.season"), idx)).alias("forecast"),
+                        "alpha", "gamma", F.col("_f.sse").alias("sse"))
+    return fitted.unionByName(too_short)

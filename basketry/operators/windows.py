@@ -83,7 +83,7 @@ def days_between_purchases(df: DataFrame, customer="customer_id", date="transact
                            order: Sequence[str] = ("transaction_id",),
                            out: str = "days_between_purchases") -> DataFrame:
     """Days since the customer's previous purchase day; 0 for the first purchase
-    and for further rows on the same day.
+    and for further rows on the same day; null without a customer or a date.
 
     Skew-safe form: rows are first reduced to distinct (customer, day) with the
     first row of each day (``min`` of a struct of the order columns, a partial
@@ -98,7 +98,8 @@ def days_between_purchases(df: DataFrame, customer="customer_id", date="transact
     joined = df.join(days, [customer, date], "left")
     first = key == F.col("_first")
     return joined.withColumn(
-        out, F.when(first, F.coalesce(F.col("_gap"), F.lit(0))).otherwise(F.lit(0))
+        out, F.when(F.col(customer).isNull() | F.col(date).isNull(), None)
+        .when(first, F.coalesce(F.col("_gap"), F.lit(0))).otherwise(F.lit(0))
     ).drop("_first", "_gap")
 
 
@@ -131,14 +132,12 @@ def best_per_group(df: DataFrame, group: str, metric: str, larger_is_better: boo
     so a hot group never gathers in one task.
     """
     others = [c for c in df.columns if c != group]
-    # order key: metric (negated when smaller is better), then tiebreak asc
-    m = F.col(metric) if larger_is_better else -F.col(metric)
-    if tiebreak:
-        ordkey = F.struct(m.alias("m"), (-F.xxhash64(F.col(tiebreak))).alias("t"))
-    else:
-        ordkey = m
+    # the least of (metric, negated when larger is better; tiebreak; all other columns)
+    m = -F.col(metric) if larger_is_better else F.col(metric)
+    order = F.struct(m.alias("m"), *([F.col(tiebreak).alias("t")] if tiebreak else []),
+                     *[c for c in others if c != tiebreak])
     best = (df.where(F.col(group).isNotNull() & F.col(metric).isNotNull())
-              .groupBy(group).agg(F.max_by(F.struct(*others), ordkey).alias("_best")))
+              .groupBy(group).agg(F.min_by(F.struct(*others), order).alias("_best")))
     return best.select(group, *[F.col("_best")[c].alias(c) for c in others])
 
 
@@ -148,7 +147,7 @@ def normalize_by_max(df: DataFrame, column: str, lower_is_better: bool = False,
     """x / max(x), or 1 - x / max(x) for error metrics (max is a scalar subquery)."""
     out = out or f"{column}_norm"
     top = df.select(F.max(column)).scalar()
-    ratio = F.col(column) / top
+    ratio = F.try_divide(F.col(column), top)  # null when the maximum is 0
     return df.withColumn(out, (1 - ratio) if lower_is_better else ratio)
 
 
@@ -186,7 +185,10 @@ def min_max_scale(df: DataFrame, column: str, partition: Sequence[str] = (),
     return d.drop("_lo", "_hi") if partition else d
 
 
-def prefix_sums(df: DataFrame, order: str, values: Sequence[str], buckets: int = 64,
+ROWS_PER_BUCKET = 500_000
+
+
+def prefix_sums(df: DataFrame, order: str, values: Sequence[str], buckets: int | None = None,
                 prefix: str = "cum", tiebreak: Sequence[str] = ()) -> DataFrame:
     """Exclusive running sums of ``values`` in ascending ``order``, distributed.
 
@@ -197,7 +199,10 @@ def prefix_sums(df: DataFrame, order: str, values: Sequence[str], buckets: int =
     Rows with equal ``order`` values fall in the same bucket; the order must
     be unique per row for the running sum to be unambiguous (callers pass
     distinct keys, e.g. distinct scores) or ``tiebreak`` columns must make it so.
+    Without ``buckets`` their number follows the row count, so a bucket stays a task's size.
     """
+    if buckets is None:
+        buckets = max(64, -(-df.count() // ROWS_PER_BUCKET))
     qs = [i / buckets for i in range(1, buckets)]
     # bucket bounds: a fixed-size quantile summary (``buckets`` - 1 numbers)
     bounds = sorted(set(df.approxQuantile(order, qs, 1.0 / (4 * buckets))))

@@ -8,6 +8,8 @@ leaves the executors.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -22,11 +24,15 @@ from ..operators import aggregates as A
 from ..operators import clean as P
 from ..operators import metrics as M
 from ..operators import windows as Wn
-from ..session import ensure_checkpoint_dir
+from ..session import cut_lineage, ensure_checkpoint_dir
 from ..sources.tables import customers, order_lines, transactions
 
 # ---------------------------------------------------------------- shared features
 
+# Boosting iterations of the registered queries: the least value of the reference's tuning grid.
+# The estimators' own default is the reference's 1000.
+QUERY_ITERATIONS = 100
+
 CHURN_NUMERIC = ["frequency", "monetary", "tenure", "avg_order_value", "account_balance"]
 CHURN_CATEGORICAL = ["market_segment"]
 
@@ -34,27 +40,28 @@ CHURN_CATEGORICAL = ["market_segment"]
 def churn_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per customer: order-grain RFM without the recency that defines the label."""
     orders = order_lines(spark, sf_dir)
-    rfm = A.rfm(orders, amount="order_sales", line_count="n_lines")
-    n_orders = orders.groupBy("customer_id").agg(F.count(F.lit(1)).alias("n_orders"))
+    rfm = A.rfm(orders, amount="order_sales", line_count="n_lines",
+                extra=[F.count(F.lit(1)).alias("n_orders")])
     cust = customers(spark, sf_dir, with_geo=False).select(
         F.col("c_custkey").alias("customer_id"), F.col("c_acctbal").alias("account_balance"),
         F.col("c_mktsegment").alias("market_segment"))
-    out = (rfm.join(n_orders, "customer_id").join(cust, "customer_id", "left")
+    out = (rfm.join(cust, "customer_id", "left")
               .withColumn("avg_order_value", F.col("monetary") / F.col("n_orders"))
               .withColumn("churn", F.col("churn").cast("double")))
-    return P.fill_unknown(P.fill_zero(out, CHURN_NUMERIC), CHURN_CATEGORICAL)
+    # customer grain, written once: every split, fit and score reads it, not the line items
+    return cut_lineage(P.fill_unknown(P.fill_zero(out, CHURN_NUMERIC), CHURN_CATEGORICAL))
 
 
 def forecast_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily sales with calendar parts, lags 1/7 and a lagged 7-day mean."""
     tx = transactions(spark, sf_dir, ["transaction_date", "total_sales"])
-    d = A.daily_sales(tx)
+    d = cut_lineage(A.daily_sales(tx))  # day grain: the only pass over the line items
     parts = C.date_parts("ds")
     d = d.withColumns({k: parts[k] for k in ("year", "month", "day", "day_of_week",
                                              "is_weekend", "day_of_year")})
     d = Wn.lag_features(d, "y", [1, 7], order=["ds"])
     d = Wn.rolling_stats(d, "y", [7], order=["ds"], stats=["mean", "std"], shift=1)
-    return d.dropna()
+    return cut_lineage(d.dropna())
 
 
 FORECAST_NUMERIC = ["year", "month", "day", "day_of_week", "is_weekend", "day_of_year", "lag_1",
@@ -81,7 +88,8 @@ def _with_probability(pred: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- E19 churn
 def churn_job(spark, sf_dir, models=("logistic_regression", "random_forest", "gradient_boosting"),
-              fast: bool = True, oversample: bool = False) -> DataFrame:
+              oversample: bool = False, trees: int = 200,
+              iterations: int = QUERY_ITERATIONS) -> DataFrame:
     """RFM → stratified split → class weights (or SMOTE) → classifiers → metrics."""
     feats = churn_features(spark, sf_dir)
     train, test = Mp.stratified_split(feats, ["customer_id"], "churn")
@@ -95,7 +103,7 @@ def churn_job(spark, sf_dir, models=("logistic_regression", "random_forest", "gr
         tr = Mp.balanced_class_weights(tr, "churn")
         weight = "class_weight"
     tr = tr.cache()  # read once per boosting / tree iteration
-    ests = L.classifiers(label="churn", weight=weight, fast=fast)
+    ests = L.classifiers(label="churn", weight=weight, trees=trees, iterations=iterations)
     rows = []
     for name in models:
         p = _with_probability(ests[name].fit(tr).transform(te))
@@ -107,13 +115,13 @@ def churn_job(spark, sf_dir, models=("logistic_regression", "random_forest", "gr
 
 # ---------------------------------------------------------------- E20 forecast
 def forecast_job(spark, sf_dir, models=("linear_regression", "random_forest", "gradient_boosting"),
-                 fast: bool = True) -> DataFrame:
+                 trees: int = 200, iterations: int = QUERY_ITERATIONS) -> DataFrame:
     """Daily features → time-ordered 80/20 split → regressors → metrics (+ baseline)."""
     d = forecast_features(spark, sf_dir).withColumnRenamed("y", "label")
     train, test = Mp.time_split(d, "ds", 0.8)
     va = VectorAssembler(inputCols=FORECAST_NUMERIC, outputCol="features")
     tr, te = va.transform(train).cache(), va.transform(test).cache()
-    ests = L.regressors(fast=fast)
+    ests = L.regressors(trees=trees, iterations=iterations)
     rows = []
     for name in models:
         p = ests[name].fit(tr).transform(te)
@@ -208,7 +216,7 @@ def clv_job(spark, sf_dir, top: int = 10) -> DataFrame:
            .fillna(0.0, ["future_value"]))
     cols = ["transactions_count", "average_spent", "days_since_first_purchase",
             "days_since_last_purchase", "customer_lifetime_value"]
-    x = VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="skip").transform(d)
+    x = VectorAssembler(inputCols=cols, outputCol="features").transform(P.fill_zero(d, cols))
     train, test = Mp.random_split(x, ["customer_id"])
     model = L.regressors(label="future_value")["linear_regression"].fit(train)
     scored = model.transform(x)
@@ -219,7 +227,8 @@ def clv_job(spark, sf_dir, top: int = 10) -> DataFrame:
 
 # ---------------------------------------------------------------- E18 batch scoring, IO8
 def model_path(spark: SparkSession, name: str) -> str:
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/models/{name}"
+    """A new place in the shared folder: no two runs write to the same."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/models/{name}-{uuid.uuid4().hex}"
 
 
 def scoring_job(spark, sf_dir, k: int = 4) -> DataFrame:
@@ -229,16 +238,17 @@ def scoring_job(spark, sf_dir, k: int = 4) -> DataFrame:
     from pyspark.ml import Pipeline
     feats = churn_features(spark, sf_dir)
     pre = Mp.feature_pipeline(CHURN_NUMERIC, CHURN_CATEGORICAL)
-    gbt = L.classifiers(label="churn", fast=True)["gradient_boosting"]
+    gbt = L.classifiers(label="churn", iterations=QUERY_ITERATIONS)["gradient_boosting"]
     churn_model = Pipeline(stages=[*pre.getStages(), gbt]).fit(feats)
-    churn_model.write().overwrite().save(model_path(spark, "churn"))
-    churn_model = PipelineModel.load(model_path(spark, "churn"))
+    churn_at, segments_at = model_path(spark, "churn"), model_path(spark, "segments")
+    churn_model.write().save(churn_at)
+    churn_model = PipelineModel.load(churn_at)
     seg_pipe = Pipeline(stages=[
         VectorAssembler(inputCols=CHURN_NUMERIC, outputCol="seg_raw"),
         Mp.scaler_stage("seg_raw", "seg_features"),
         L.kmeans(k, features="seg_features", prediction="segment")]).fit(feats)
-    seg_pipe.write().overwrite().save(model_path(spark, "segments"))
-    seg_pipe = PipelineModel.load(model_path(spark, "segments"))
+    seg_pipe.write().save(segments_at)
+    seg_pipe = PipelineModel.load(segments_at)
     scored = churn_model.transform(feats)
     scored = scored.withColumn("churn_probability", vector_to_array("probability")[1])
     scored = seg_pipe.transform(scored.drop("features", "raw_features"))
@@ -246,29 +256,42 @@ def scoring_job(spark, sf_dir, k: int = 4) -> DataFrame:
                          P.risk_tier("churn_probability").alias("risk_tier"), "segment")
 
 
+def forecast_scoring_job(spark, sf_dir) -> DataFrame:
+    """Fit the sales forecast on the first 80% of days, save it, load it and score the rest:
+    actual against predicted sales by date (E18, E31)."""
+    from pyspark.ml import Pipeline
+    d = forecast_features(spark, sf_dir).withColumnRenamed("y", "label")
+    train, test = Mp.time_split(d, "ds", 0.8)
+    at = model_path(spark, "forecast")
+    Pipeline(stages=[VectorAssembler(inputCols=FORECAST_NUMERIC, outputCol="features"),
+                     L.regressors()["linear_regression"]]).fit(train).write().save(at)
+    return PipelineModel.load(at).transform(test).select(
+        "ds", F.col("label").alias("actual"), F.col("prediction").alias("predicted"))
+
+
 # ---------------------------------------------------------------- E9–E13
 def grid_search_job(spark, sf_dir) -> DataFrame:
-    """Grid search CV (3 folds) for logistic regression on churn features."""
+    """Grid search, 5-fold validation, for logistic regression on churn features."""
     feats = churn_features(spark, sf_dir)
     x = Mp.feature_pipeline(CHURN_NUMERIC, CHURN_CATEGORICAL).fit(feats).transform(feats).cache()
     est = L.classifiers(label="churn")["logistic_regression"]
-    grid = T.param_grid(est, {"regParam": [0.01, 0.1, 1.0], "elasticNetParam": [0.0, 0.5]})
+    grid = T.param_grid(est, {"regParam": [0.01, 0.1, 1.0, 10.0], "elasticNetParam": [0.0, 0.5]})
     _, trials = T.cross_validate(est, grid, T.auc_evaluator("churn"), x, ["customer_id"],
-                                 folds=3, parallelism=4)
+                                 folds=5, parallelism=8)
     return trials
 
 
-def random_search_job(spark, sf_dir, n_iter: int = 6) -> DataFrame:
-    """Randomised search over a random-forest space."""
+def random_search_job(spark, sf_dir, n_iter: int = 50, folds: int = 5) -> DataFrame:
+    """Randomised search (E10): ``n_iter`` draws, ``folds``-fold validation each."""
     feats = churn_features(spark, sf_dir)
     x = Mp.feature_pipeline(CHURN_NUMERIC, CHURN_CATEGORICAL).fit(feats).transform(feats).cache()
-    est = L.classifiers(label="churn", fast=True)["random_forest"]
-    space = {"numTrees": [10, 20, 40], "maxDepth": [3, 5, 8], "minInstancesPerNode": [1, 5]}
+    est = L.classifiers(label="churn")["decision_tree"]
+    space = {"maxDepth": [3, 4, 5, 6, 8, 10], "minInstancesPerNode": [1, 2, 4],
+             "maxBins": [16, 32, 64], "impurity": ["gini", "entropy"]}
     maps = T.sampled_param_maps(est, space, n_iter=n_iter)
     _, trials = T.cross_validate(est, maps, T.auc_evaluator("churn"), x, ["customer_id"],
-                                 folds=3, parallelism=4)
+                                 folds=folds, parallelism=8)
     # the trials table is the study record: written as JSON to shared storage (IO7)
-    import uuid
     from ..sources import files as IO
     path = IO.shared_path(spark, "studies", f"random-search-{uuid.uuid4().hex}")
     IO.write_table(trials.coalesce(1), path, fmt="json")
@@ -276,11 +299,12 @@ def random_search_job(spark, sf_dir, n_iter: int = 6) -> DataFrame:
 
 
 def walk_forward_job(spark, sf_dir, folds: int = 10) -> DataFrame:
-    """Walk-forward validation of the daily forecast model."""
+    """Walk-forward validation of the daily forecast model, tuned within each fold."""
     d = forecast_features(spark, sf_dir).withColumnRenamed("y", "label")
     x = VectorAssembler(inputCols=FORECAST_NUMERIC, outputCol="features").transform(d)
     est = L.regressors()["linear_regression"]
-    return T.walk_forward(est, x, "ds", T.regression_evaluator(), folds=folds)
+    maps = T.param_grid(est, {"regParam": [0.0, 0.1, 1.0]})
+    return T.walk_forward(est, x, "ds", T.regression_evaluator(), folds=folds, param_maps=maps)
 
 
 def learning_curve_job(spark, sf_dir) -> DataFrame:
@@ -289,8 +313,7 @@ def learning_curve_job(spark, sf_dir) -> DataFrame:
     x = VectorAssembler(inputCols=FORECAST_NUMERIC, outputCol="features").transform(d)
     train, test = Mp.time_split(x, "ds", 0.8)
     est = L.regressors()["linear_regression"]
-    return T.learning_curve(est, train, test, T.regression_evaluator(), ["ds"],
-                            sizes=(0.2, 0.4, 0.6, 0.8, 1.0))
+    return T.learning_curve(est, train, test, T.regression_evaluator(), ["ds"])
 
 
 # ---------------------------------------------------------------- L15, A38, T4
@@ -300,7 +323,7 @@ def importance_job(spark, sf_dir, top: int = 15) -> DataFrame:
     x = pipe.transform(feats).cache()
     n_seg = len(pipe.stages[0].labels) - 1
     names = CHURN_NUMERIC + [f"market_segment_{i}" for i in range(n_seg)]
-    ests = L.classifiers(label="churn", fast=True)
+    ests = L.classifiers(label="churn", iterations=QUERY_ITERATIONS)
     imps = [L.feature_importance(ests[n].fit(x), names, n)
             for n in ("random_forest", "gradient_boosting", "logistic_regression")]
     return L.top_features(_union(imps), top)
@@ -312,7 +335,7 @@ def stacking_job(spark, sf_dir) -> DataFrame:
     d = forecast_features(spark, sf_dir).withColumnRenamed("y", "label")
     x = VectorAssembler(inputCols=FORECAST_NUMERIC, outputCol="features").transform(d)
     train, test = Mp.time_split(x, "ds", 0.8)
-    ests = L.regressors(fast=True)
+    ests = L.regressors()
     base = {"linear_regression": ests["linear_regression"], "random_forest": ests["random_forest"]}
     meta, full, _ = L.stacking(train, base, "label", "ds", folds=5)
     pred = L.stack_predict(meta, full, test, "ds").join(test.select("ds", "label"), "ds")
@@ -445,8 +468,6 @@ def unknown_level_job(spark, sf_dir) -> DataFrame:
                                       "product_brand", "total_sales"])
     train, test = Mp.random_split(tx, ["transaction_id", "line_number", "product_id",
                                        "supplier_id"])
-    # brands absent from a sub-sample of train show up as unknown in test
-    train = train.where(F.col("product_brand") != "Brand#11")
     enc = Pipeline(stages=Mp.one_hot_stages(["product_brand"], drop_first=False,
                                             keep_unknown=True)).fit(train)
     out = enc.transform(test).withColumn("slot", vector_to_array("product_brand_ohe"))

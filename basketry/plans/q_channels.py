@@ -17,7 +17,7 @@ SELECT channel, ROUND((CAST(sum(CAST(gross_sales AS DECIMAL(18,4))) AS DOUBLE))
        CAST(count(DISTINCT customer_id) AS BIGINT) AS unique_customers
 FROM tx WHERE channel IS NOT NULL GROUP BY channel""", covers=("A13", "J11", "E25"))
 def q_channel_sales(spark, sf_dir):
-    o = order_lines(spark, sf_dir)
+    o = order_lines(spark, sf_dir).where(F.col("channel").isNotNull())
     out = (o.groupBy("channel").agg(
         F.sum("order_gross_sales").cast("double").alias("total_sales"),
         F.sum("n_lines").alias("transactions"),

@@ -9,15 +9,19 @@ without a trained model; the same operators score Spark ML outputs
 
 from __future__ import annotations
 
+from statistics import NormalDist
+
 from pyspark.sql import functions as F
 
 from ..operators import metrics as M
 from ..operators import windows as Wn
+from ..operators.aggregates import pivot_mean
 from ..operators.clean import quality_gate
 from .q_customers import RFM_CTE, rfm_frame
 from .q_time import DAILY_CTE, REGION_DAILY_CTE, daily, region_daily
 from .registry import R, S, query, rounded, sigd
 
+Z95 = NormalDist().inv_cdf(0.975)
 MODELS = ("naive_lag1", "naive_lag7", "moving_avg7")
 
 FORECAST_CTE = f"""{REGION_DAILY_CTE},
@@ -79,7 +83,7 @@ SELECT model, {S("max(CASE WHEN metric = 'mae' THEN value END)")} AS mae,
 FROM m GROUP BY model""", covers=("E17", "A36", "T5"))
 def q_forecast_report_pivot(spark, sf_dir):
     m = forecast_metrics_frame(spark, sf_dir)
-    wide = m.groupBy("model").pivot("metric", ["mae", "rmse", "r2"]).agg(F.max("value"))
+    wide = pivot_mean(m, "model", "metric", "value", ["mae", "rmse", "r2"])
     return sigd(wide, ["mae", "rmse", "r2"])
 
 
@@ -98,14 +102,14 @@ SELECT region, model, {S("rmse")} AS rmse FROM b WHERE rn = 1""", covers=("W12",
 def q_best_model_per_region(spark, sf_dir):
     m = M.regression_metrics(forecast_long(spark, sf_dir), "y", "prediction",
                              by=["region", "model"], long=False).select("region", "model", "rmse")
-    best = Wn.best_per_group(m, "region", "rmse", larger_is_better=False)
+    best = Wn.best_per_group(m, "region", "rmse", larger_is_better=False, tiebreak="model")
     return sigd(best, ["rmse"])
 
 
 @query("forecast_intervals", f"""WITH {FORECAST_CTE}
 SELECT region, ds, {R("avg(prediction)", 2)} AS mean_prediction, {R("stddev_pop(prediction)", 2)} AS std_prediction,
-       {R("avg(prediction) - 1.96 * stddev_pop(prediction)", 2)} AS lower_bound,
-       {R("avg(prediction) + 1.96 * stddev_pop(prediction)", 2)} AS upper_bound
+       {R(f"avg(prediction) - {Z95!r} * stddev_pop(prediction)", 2)} AS lower_bound,
+       {R(f"avg(prediction) + {Z95!r} * stddev_pop(prediction)", 2)} AS upper_bound
 FROM p GROUP BY region, ds""", covers=("E14",))
 def q_forecast_intervals(spark, sf_dir):
     out = M.prediction_interval(forecast_long(spark, sf_dir), ["region", "ds"])
@@ -242,8 +246,8 @@ def q_model_contributions(spark, sf_dir):
 @query("interval_plot_points", f"""WITH {FORECAST_CTE},
 iv AS (SELECT region, ds, avg(y) AS y, avg(prediction) AS m, stddev_pop(prediction) AS s FROM p GROUP BY 1, 2),
 o AS (SELECT *, row_number() OVER (ORDER BY y, region, ds) AS pos FROM iv)
-SELECT region, ds, {R("y")} AS y, {R("m")} AS mean_prediction, {R("m - 1.96 * s")} AS lower_bound,
-       {R("m + 1.96 * s")} AS upper_bound, CAST(pos AS INTEGER) AS position
+SELECT region, ds, {R("y")} AS y, {R("m")} AS mean_prediction, {R(f"m - {Z95!r} * s")} AS lower_bound,
+       {R(f"m + {Z95!r} * s")} AS upper_bound, CAST(pos AS INTEGER) AS position
 FROM o WHERE pos <= 100""", covers=("T7", "E14"))
 def q_interval_plot_points(spark, sf_dir):
     long = forecast_long(spark, sf_dir)

@@ -17,27 +17,26 @@ _Z = {"y": "zy", "lag_1": "z1", "lag_7": "z7", "lag_30": "z30"}
 
 
 def _knn_sql() -> str:
+    """Per column: donors are the rows that have it; distance over the coordinates both rows have."""
     stats = ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in _KNN_COLS)
     zs = ", ".join(f"({c} - m_{c}) / s_{c} AS {_Z[c]}" for c in _KNN_COLS)
-    complete = " AND ".join(f"{c} IS NOT NULL" for c in _KNN_COLS)
-    present = " + ".join(f"CAST(m.{_Z[c]} IS NOT NULL AS INTEGER)" for c in _KNN_COLS)
-    sq = " + ".join(f"coalesce((m.{_Z[c]} - c.{_Z[c]}) * (m.{_Z[c]} - c.{_Z[c]}), 0)" for c in _KNN_COLS)
-    donors = ", ".join(f"c.{c} AS d_{c}" for c in _KNN_COLS)
-    fills = ", ".join(f"avg(d_{c}) AS f_{c}" for c in _KNN_COLS)
-    outs = ", ".join(f"{R(f'coalesce(z.{c}, fill.f_{c})')} AS {c}" for c in _KNN_COLS)
+    both = " + ".join(f"CAST(q.{z} IS NOT NULL AND d.{z} IS NOT NULL AS INTEGER)" for z in _Z.values())
+    sq = " + ".join(f"coalesce((q.{z} - d.{z}) * (q.{z} - d.{z}), 0)" for z in _Z.values())
+    fills = ",\n".join(f"""f_{c} AS (
+  SELECT region, ds, avg(val) AS fill FROM (
+    SELECT q.region, q.ds, d.{c} AS val, row_number() OVER (PARTITION BY q.region, q.ds ORDER BY
+             sqrt(({sq}) * {len(_KNN_COLS)}.0 / ({both})), d.region, d.ds) AS rn
+    FROM z q, z d WHERE q.{c} IS NULL AND d.{c} IS NOT NULL AND ({both}) > 0)
+  WHERE rn <= 5 GROUP BY 1, 2)""" for c in _KNN_COLS)
+    joins = " ".join(f"LEFT JOIN f_{c} ON f_{c}.region = z.region AND f_{c}.ds = z.ds" for c in _KNN_COLS)
+    outs = ", ".join(f"{R(f'coalesce(z.{c}, f_{c}.fill, st.m_{c})')} AS {c}" for c in _KNN_COLS)
     return f"""WITH {REGION_DAILY_CTE},
 f AS (SELECT region, ds, y, lag(y, 1) OVER w AS lag_1, lag(y, 7) OVER w AS lag_7, lag(y, 30) OVER w AS lag_30
       FROM d WINDOW w AS (PARTITION BY region ORDER BY ds)),
 st AS (SELECT {stats} FROM f),
 z AS (SELECT f.*, {zs} FROM f, st),
-c AS (SELECT * FROM z WHERE {complete}),
-m AS (SELECT * FROM z WHERE NOT ({complete})),
-p AS (SELECT m.region, m.ds, {donors},
-             sqrt({len(_KNN_COLS)}.0 / ({present}) * ({sq})) AS dist FROM m, c),
-r AS (SELECT *, row_number() OVER (PARTITION BY region, ds ORDER BY dist) AS rn FROM p),
-fill AS (SELECT region, ds, {fills} FROM r WHERE rn <= 5 GROUP BY region, ds)
-SELECT z.region, z.ds, {outs}
-FROM z LEFT JOIN fill ON z.region = fill.region AND z.ds = fill.ds"""
+{fills}
+SELECT z.region, z.ds, {outs} FROM z CROSS JOIN st {joins}"""
 
 
 @query("knn_imputed_lags", _knn_sql(), covers=("P10",))
@@ -107,6 +106,11 @@ def q_batch_scoring(spark, sf_dir):
     return J.scoring_job(spark, sf_dir)
 
 
+@query("forecast_scoring", covers=("E18", "E31", "IO8", "L1"))
+def q_forecast_scoring(spark, sf_dir):
+    return J.forecast_scoring_job(spark, sf_dir)
+
+
 @query("grid_search_trials", covers=("E9", "E11", "M12"))
 def q_grid_search_trials(spark, sf_dir):
     return J.grid_search_job(spark, sf_dir)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.scalar import discount_percent
 from ..operators import aggregates as A
 from ..sources.tables import transactions, tx_sql
 from .q_time import GROSS_DAILY_CTE, gross_daily
@@ -64,8 +65,7 @@ FROM t""", covers=("A30", "A39", "F13", "E24"))
 def q_price_discount_effect(spark, sf_dir):
     tx = transactions(spark, sf_dir, ["quantity", "unit_price", "discount_applied"])
     t = tx.select("unit_price", (F.col("quantity") * F.col("unit_price")).alias("sales"),
-                  (F.try_divide(F.col("discount_applied"), F.col("unit_price")) * 100)
-                  .alias("discount_percentage"))
+                  discount_percent("discount_applied", "unit_price").alias("discount_percentage"))
     out = t.agg(
         F.corr("unit_price", "sales").alias("price_sales_corr"),
         F.corr("discount_percentage", "sales").alias("discount_sales_corr"),

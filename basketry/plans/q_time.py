@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import calendar as C
+from ..operators.clean import fill_defaults
 from ..operators import aggregates as A
 from ..operators import joins as J
 from ..operators import windows as Wn
@@ -39,8 +40,7 @@ FROM tx WHERE transaction_date IS NOT NULL GROUP BY 2""", covers=("A16", "T8"))
 def q_sales_by_period(spark, sf_dir):
     tx = transactions(spark, sf_dir, ["transaction_date", "gross_sales"])
     tx = tx.withColumn("gross_sales", money("gross_sales"))
-    parts = [A.sales_by_period(tx, g, sales="gross_sales") for g in ("week", "month", "year")]
-    out = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    out = A.sales_by_periods(tx, ("week", "month", "year"), sales="gross_sales")
     return rounded(out, {"sales": 4})
 
 
@@ -296,7 +296,7 @@ def q_rows_with_indicators(spark, sf_dir):
                                       "transaction_date"])
     out = J.attach_by_date(tx, ind, "transaction_date")
     # default when the indicator is missing (first 29 days): a parameter
-    out = out.withColumn("ma_30", F.coalesce(F.col("ma_30"), F.lit(4000.0)))
+    out = fill_defaults(out, {"ma_30": 4000.0})
     return rounded(out, {"ma_30": 4})
 
 

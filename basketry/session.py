@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import SparkConf
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings this library relies on. AQE re-plans joins at runtime (broadcast
@@ -33,7 +34,11 @@ def get_session(master: str | None = None, app: str = "basketry",
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    conf = dict(DEFAULT_CONF)
+    # settings the operator has made (spark-defaults, spark-submit, a running session) stay
+    given = SparkConf()
+    running = SparkSession.getActiveSession()
+    conf = {k: v for k, v in DEFAULT_CONF.items()
+            if not given.contains(k) and (running is None or running.conf.get(k, None) is None)}
     if master and master.startswith("local"):
         # local mode: the driver JVM is the whole cluster
         conf.setdefault("spark.driver.memory", os.environ.get("BASKETRY_DRIVER_MEMORY", "8g"))
@@ -52,12 +57,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is a shared filesystem path set by the operator. Only
-    when it is unset (local tests) do we pick a scratch folder of our own.
+    a local master without the setting (tests) gets a scratch folder of our own; on any other
+    master its absence is an error, since executors cannot see each other's disks.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.sparkContext.getCheckpointDir()
     if not path:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"set spark.checkpoint.dir to a shared folder (master {master})")
         path = tempfile.mkdtemp(prefix="basketry-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
@@ -72,7 +81,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def sf_dir_default() -> str:
-    return os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")

@@ -45,10 +45,6 @@ def money_sum(col) -> Column:
     return F.sum(money(col)).cast("double")
 
 
-def money_sum_sql(expr: str) -> str:
-    return f"CAST(sum(CAST({expr} AS DECIMAL(18,4))) AS DOUBLE)"
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
@@ -172,8 +168,8 @@ def order_lines(spark: SparkSession, sf_dir: str, with_geo: bool = False) -> Dat
     if with_geo:
         o = o.join(customers(spark, sf_dir), o.o_custkey == F.col("c_custkey"), "left")
         geo = [F.col("r_name").alias("region"), F.col("n_name").alias("store_state")]
-    return per_order.join(o, per_order.l_orderkey == o.o_orderkey, "inner").select(
-        F.col("o_orderkey").alias("transaction_id"),
+    return per_order.join(o, per_order.l_orderkey == o.o_orderkey, "left").select(
+        F.col("l_orderkey").alias("transaction_id"),
         F.col("o_custkey").alias("customer_id"),
         F.col("o_orderdate").cast("date").alias("transaction_date"),
         channel_of(F.col("o_orderpriority")).alias("channel"),

@@ -6,6 +6,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from basketry.models import prep as Mp
+from basketry.models import resample
 from basketry.models.resample import exact_knn, knn_impute, smote
 from basketry.plans import jobs as J
 from basketry.streaming.channel_stream import run_to_table
@@ -13,18 +14,21 @@ from basketry.operators import aggregates as A
 from basketry.operators import metrics as M
 
 
-def test_exact_knn_matches_numpy(spark):
+def test_exact_knn_matches_numpy(spark, monkeypatch):
     rng = np.random.default_rng(3)
     ref = rng.normal(size=(300, 3))
     qs = rng.normal(size=(20, 3))
     qs[0, 1] = np.nan
-    rdf = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(ref)], "rid long, a double, b double, c double")
-    qdf = spark.createDataFrame([(i, *[None if np.isnan(v) else float(v) for v in r]) for i, r in enumerate(qs)],
-                                "qid long, a double, b double, c double")
-    got = exact_knn(rdf, qdf, ["a", "b", "c"], "qid", "rid", k=4, chunk_rows=7).collect()
+    shape = "_rid long, a double, b double, c double, _tie long, _val double"
+    rdf = spark.createDataFrame([(i, *map(float, r), i, 0.0) for i, r in enumerate(ref)], shape)
+    qdf = spark.createDataFrame([(i, *[None if np.isnan(v) else float(v) for v in r], i, None)
+                                 for i, r in enumerate(qs)], shape)
+    monkeypatch.setattr(resample, "QUERY_ROWS", 7)
+    monkeypatch.setattr(resample, "REFERENCE_ROWS", 50)
+    got = exact_knn(rdf, qdf, ["a", "b", "c"], k=4).collect()
     by_q = {}
     for r in got:
-        by_q.setdefault(r.qid, []).append((r["rank"], r.rid))
+        by_q.setdefault(r.q_rid, []).append((r["rank"], r.r_rid))
     for i, q in enumerate(qs):
         present = ~np.isnan(q)
         d = np.sqrt(3 / present.sum() * ((ref[:, present] - q[present]) ** 2).sum(axis=1))
@@ -41,6 +45,40 @@ def test_knn_impute_fills_only_missing(spark):
     assert out[10].b == pytest.approx((18.0 + 22.0) / 2)   # neighbours 9 and 11
 
 
+def test_exact_distances_far_from_zero_and_ties(spark):
+    shape = "_rid long, a double, _tie long, _val double"
+    far = spark.createDataFrame([(i, 1e8 + i / 10, 9 - i, float(i)) for i in range(4)], shape)
+    got = exact_knn(far, far, ["a"], k=3, exclude_same=True).where("q_rid = 0").orderBy("rank").collect()
+    assert [r.distance for r in got] == pytest.approx([0.1, 0.2, 0.3], abs=1e-6)
+    same = spark.createDataFrame([(i, 1.0, (7 * i) % 10, float(i)) for i in range(10)], shape)
+    got = exact_knn(same, same.where("_rid = 0"), ["a"], k=3).orderBy("rank").collect()
+    assert [r.r_rid for r in got] == [0, 3, 6]  # by tie-break number
+
+
+def test_knn_impute_donors_per_column(spark):
+    rows = [(1, 1.0, None, 5.0), (2, 1.1, 2.0, None), (3, 9.0, 9.0, 9.0), (4, None, None, None),
+            (5, 8.0, 9.5, 7.0)]
+    df = spark.createDataFrame(rows, "k long, a double, b double, c double")
+    out = {r.k: r for r in knn_impute(df, ["a", "b", "c"], key=["k"], k=1).collect()}
+    assert out[1].b == 2.0          # row 2 has b and is nearest, though it lacks c
+    assert out[2].c == 5.0
+    assert out[4].a == pytest.approx((1.0 + 1.1 + 9.0 + 8.0) / 4)  # nothing to compare: means
+    assert out[4].b == pytest.approx((2.0 + 9.0 + 9.5) / 3) and out[4].c == pytest.approx(7.0)
+
+
+def test_smote_many_classes(spark):
+    from pyspark.ml.linalg import VectorUDT
+    from pyspark.sql.types import DoubleType, LongType, StructField, StructType
+    sizes = {0.0: 40, 1.0: 14, 2.0: 6, 3.0: 1}
+    rows = [(int(100 * y) + i, y, Vectors.dense([float(i), y])) for y, n in sizes.items() for i in range(n)]
+    schema = StructType([StructField("k", LongType()), StructField("y", DoubleType()),
+                         StructField("features", VectorUDT())])
+    bal = smote(spark.createDataFrame(rows, schema), "y", key="k", k=3).cache()
+    assert {r.y: r["count"] for r in bal.groupBy("y").count().collect()} == dict.fromkeys(sizes, 40)
+    assert bal.select("k").distinct().count() == 160
+    assert all(r.features[1] == pytest.approx(r.y) for r in bal.collect())
+
+
 def test_smote_balances_and_interpolates(spark):
     rows = [(i, 0.0, Vectors.dense([float(i), 0.0])) for i in range(40)]
     rows += [(100 + i, 1.0, Vectors.dense([float(i), 1.0])) for i in range(8)]
