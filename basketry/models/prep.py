@@ -150,8 +150,19 @@ def mutual_information(df: DataFrame, features: Sequence[str], label: str, bins:
 
 
 # ---------------------------------------------------------------- M9–M12
+def key_number(key: Sequence[str], seed: int) -> Column:
+    """32 bits of the MD5 of the key columns and the seed: the same number in any SQL engine."""
+    text = F.concat_ws("|", *[F.col(k).cast("string") for k in key], F.lit(str(seed)))
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
+
+
+def key_number_sql(key: Sequence[str], seed: int) -> str:
+    """SQL text of ``key_number``."""
+    return f"CAST('0x' || substr(md5(concat_ws('|', {', '.join(key)}, '{seed}')), 1, 8) AS BIGINT)"
+
+
 def _unit_hash(key: Sequence[str], seed: int) -> Column:
-    return F.pmod(F.xxhash64(*[F.col(k) for k in key], F.lit(seed)), F.lit(1_000_000)) / 1_000_000.0
+    return key_number(key, seed) / F.lit(2.0 ** 32)
 
 
 def random_split(df: DataFrame, key: Sequence[str], test_fraction: float = 0.2,
@@ -168,8 +179,7 @@ def stratified_split(df: DataFrame, key: Sequence[str], label: str, test_fractio
     The hash is salted with the label so classes are sampled independently;
     each class keeps ≈ the requested share without a per-class window.
     """
-    u = F.pmod(F.xxhash64(*[F.col(k) for k in key], F.col(label), F.lit(seed)),
-               F.lit(1_000_000)) / 1_000_000.0
+    u = _unit_hash([*key, label], seed)
     return df.where(u >= test_fraction), df.where(u < test_fraction)
 
 
@@ -194,7 +204,7 @@ def time_split(df: DataFrame, date: str, train_fraction: float = 0.8) -> tuple[D
 
 def fold_column(key: Sequence[str], k: int = 5, seed: int = 42) -> Column:
     """Shuffled k-fold assignment by key hash (M12), for ``CrossValidator.foldCol``."""
-    return F.pmod(F.xxhash64(*[F.col(c) for c in key], F.lit(seed)), F.lit(k)).cast("int")
+    return F.pmod(key_number(key, seed), F.lit(k)).cast("int")
 
 
 # ---------------------------------------------------------------- M14

@@ -163,12 +163,12 @@ def winsorize(df: DataFrame, cols: Sequence[str], low: float = 0.01, high: float
 
 
 def sample_rows(df: DataFrame, n: int, key: Sequence[str], seed: int = 42) -> DataFrame:
-    """Deterministic sample of n rows: smallest hash of the key.
+    """Deterministic sample of n rows: smallest MD5 of the key.
 
     Spark plans ``orderBy(...).limit(n)`` as a per-partition top-n followed
     by a merge of n rows per partition (TakeOrderedAndProject).
     """
-    h = F.xxhash64(*[F.col(k) for k in key], F.lit(seed))
+    h = F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in key], F.lit(str(seed))))
     return df.orderBy(h, *key).limit(n)
 
 

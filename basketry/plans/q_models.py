@@ -7,11 +7,14 @@ from pyspark.sql import functions as F
 
 from ..models.resample import knn_impute, smote
 from ..operators import windows as Wn
+from ..sources.tables import transactions, tx_sql
 from . import jobs as J
 from .q_customers import RFM_CTE
 from .q_time import REGION_DAILY_CTE, region_daily
 from .registry import R, query, rounded
 
+_SAMPLE_COLS = ["transaction_id", "line_number", "product_id", "supplier_id", "quantity",
+                "total_sales"]
 _KNN_COLS = ["y", "lag_1", "lag_7", "lag_30"]
 _Z = {"y": "zy", "lag_1": "z1", "lag_7": "z7", "lag_30": "z30"}
 
@@ -168,14 +171,16 @@ def q_baseline_models(spark, sf_dir):
     return J.baseline_job(spark, sf_dir)
 
 
-@query("sampled_lines", covers=("P14", "T6"))
+@query("sampled_lines", f"""WITH tx AS ({tx_sql(_SAMPLE_COLS)})
+SELECT transaction_id, line_number, product_id, supplier_id, {R("quantity")} AS quantity, {R("total_sales")} AS total_sales
+FROM tx ORDER BY md5(concat_ws('|', transaction_id, line_number, product_id, supplier_id, '42')),
+         transaction_id, line_number, product_id, supplier_id LIMIT 1000""", covers=("P14", "T6"))
 def q_sampled_lines(spark, sf_dir):
     """A deterministic 1,000-line sample (hash order); the limit is the feature."""
     from ..operators.clean import sample_rows
-    from ..sources.tables import transactions
-    tx = transactions(spark, sf_dir, ["transaction_id", "line_number", "product_id", "supplier_id",
-                                      "quantity", "total_sales"])
-    return sample_rows(tx, 1000, ["transaction_id", "line_number", "product_id", "supplier_id"])
+    tx = transactions(spark, sf_dir, _SAMPLE_COLS)
+    out = sample_rows(tx, 1000, ["transaction_id", "line_number", "product_id", "supplier_id"])
+    return rounded(out, {"quantity": 4, "total_sales": 4})
 
 
 @query("cubic_demand_trend", covers=("A40", "A27"))
