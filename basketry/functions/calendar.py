@@ -59,6 +59,11 @@ def cyclic_calendar(date) -> dict[str, Column]:
     return {**cyclic(F.month(d), 12, "month"), **cyclic(F.weekday(d), 7, "day_of_week")}
 
 
+def cyclic_hour(ts) -> dict[str, Column]:
+    """sin/cos of the hour of the day (24)."""
+    return cyclic(F.hour(_c(ts)), 24, "hour")
+
+
 # ---------------------------------------------------------------- F7, F8
 def black_friday(year: Column) -> Column:
     """Day after the fourth Thursday of November."""

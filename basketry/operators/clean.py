@@ -197,18 +197,25 @@ QUALITY_TARGETS = {"r2": 0.85, "f1": 0.85, "accuracy": 0.90, "precision": 0.85,
                    "recall": 0.85, "silhouette": 0.6}
 
 
+# Error metrics and the largest value that passes.
+QUALITY_LIMITS = {"rmse": 0.15}
+
+
 def quality_gate(metrics: DataFrame, targets: Mapping[str, float] | None = None,
-                 metric: str = "metric", value: str = "value") -> DataFrame:
+                 metric: str = "metric", value: str = "value",
+                 at_most: bool = False) -> DataFrame:
     """Join a long metrics table with thresholds; flag pass / fail (P20).
 
-    The thresholds table is a handful of fixed rows, broadcast.
+    Thresholds are minimum values, or with ``at_most`` (error metrics) maximum values. The
+    thresholds table is a handful of fixed rows, broadcast.
     """
-    t = targets or QUALITY_TARGETS
+    t = targets or (QUALITY_LIMITS if at_most else QUALITY_TARGETS)
     spark = metrics.sparkSession
     th = spark.createDataFrame([(k, float(v)) for k, v in t.items()],
                                "metric string, threshold double").withColumnRenamed("metric", metric)
     return (metrics.join(F.broadcast(th), metric, "inner")
-                   .withColumn("passed", (F.col(value) >= F.col("threshold")).cast("int")))
+                   .withColumn("passed", ((F.col(value) <= F.col("threshold")) if at_most else
+                                          (F.col(value) >= F.col("threshold"))).cast("int")))
 
 
 def fill_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:

@@ -36,11 +36,22 @@ def rfm_frame(spark, sf_dir, churn_days=90):
 
 @query("rfm_churn", f"""WITH {RFM_CTE}
 SELECT customer_id, last_purchase, first_purchase, frequency, ROUND((monetary) + sign(monetary) * least(abs(monetary) * 1e-11, 1e-7), 4) AS monetary,
-       recency, tenure, churn FROM rfm""", covers=("A1", "P17", "J2", "J3", "F6"))
+       recency, tenure, churn FROM rfm""", covers=("A1", "P17", "J3", "F6"))
 def q_rfm_churn(spark, sf_dir):
     return rounded(rfm_frame(spark, sf_dir), {"monetary": 4})
 
 
+@query("customers_with_last_purchase", f"""WITH {RFM_CTE}
+SELECT c.c_custkey AS customer_id, c.c_mktsegment AS market_segment, rfm.last_purchase, rfm.recency
+FROM customer c LEFT JOIN rfm ON rfm.customer_id = c.c_custkey""", covers=("J1", "J2"))
+def q_customers_with_last_purchase(spark, sf_dir):
+    """Every customer, also those who never bought."""
+    c = customers(spark, sf_dir, with_geo=False).select(
+        F.col("c_custkey").alias("customer_id"), F.col("c_mktsegment").alias("market_segment"))
+    r = rfm_frame(spark, sf_dir).select("customer_id", "last_purchase", "recency")
+    return c.join(r, "customer_id", "left")
+
+
 @query("churn_class_share", f"""WITH {RFM_CTE}
 SELECT churn, CAST(count(*) AS BIGINT) AS count,
        ROUND((count(*) / sum(count(*)) OVER ()) + sign(count(*) / sum(count(*)) OVER ()) * least(abs(count(*) / sum(count(*)) OVER ()) * 1e-11, 1e-7), 6) AS share

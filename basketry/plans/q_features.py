@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import calendar as C
 from ..functions import scalar as X
-from ..sources.tables import money_sum, transactions, tx_sql
+from ..sources.tables import events, money_sum, transactions, tx_sql
 from .registry import R, query, rounded
 
 _COLS = ["transaction_id", "line_number", "product_id", "quantity", "unit_price",
@@ -53,6 +54,14 @@ def q_sales_per_customer_by_segment(spark, sf_dir):
     return rounded(out, {"sales_per_customer": 4, "log_sales_per_customer": 6})
 
 
+@query("event_hour_cyclic", f"""SELECT event_id, {R("sin(2 * pi() * hour(ts) / 24)", 6)} + 0.0 AS hour_sin,
+       {R("cos(2 * pi() * hour(ts) / 24)", 6)} + 0.0 AS hour_cos FROM events""", covers=("F4",))
+def q_event_hour_cyclic(spark, sf_dir):
+    out = events(spark, sf_dir).select("event_id", *[c.alias(n) for n, c in C.cyclic_hour("ts").items()])
+    out = rounded(out, {"hour_sin": 6, "hour_cos": 6})
+    return out.withColumns({c: F.col(c) + 0.0 for c in ("hour_sin", "hour_cos")})  # no -0.0
+
+
 _TX_RS = tx_sql(["product_category", "customer_id", "transaction_date", "total_sales"])
 
 

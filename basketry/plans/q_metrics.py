@@ -95,6 +95,31 @@ def q_forecast_quality_gate(spark, sf_dir):
     return sigd(gate, ["value"])
 
 
+@query("forecast_error_gate", f"""WITH {METRICS_SQL_CTE}
+SELECT model, metric, {S("value")} AS value, CAST(0.15 AS DOUBLE) AS threshold, CAST(value <= 0.15 AS INTEGER) AS passed
+FROM m WHERE metric = 'rmse'""", covers=("P20",))
+def q_forecast_error_gate(spark, sf_dir):
+    gate = quality_gate(forecast_metrics_frame(spark, sf_dir), at_most=True)
+    return sigd(gate, ["value"])
+
+
+@query("model_error_normalised", f"""WITH {METRICS_SQL_CTE}
+SELECT model, {S("value")} AS value, {R("1 - value / (SELECT max(value) FROM m WHERE metric = 'rmse')", 6)} AS value_norm
+FROM m WHERE metric = 'rmse'""", covers=("W13",))
+def q_model_error_normalised(spark, sf_dir):
+    m = forecast_metrics_frame(spark, sf_dir).where("metric = 'rmse'").select("model", "value")
+    out = Wn.normalize_by_max(m, "value", lower_is_better=True)
+    return rounded(sigd(out, ["value"]), {"value_norm": 6})
+
+
+@query("forecast_actual_predicted", f"""WITH {FORECAST_CTE}
+SELECT region, ds, model, {R("y")} AS actual, {R("prediction")} AS predicted FROM p""", covers=("E31",))
+def q_forecast_actual_predicted(spark, sf_dir):
+    out = forecast_long(spark, sf_dir).select("region", "ds", "model", F.col("y").alias("actual"),
+                                              F.col("prediction").alias("predicted"))
+    return rounded(out, {"actual": 4, "predicted": 4})
+
+
 @query("best_model_per_region", f"""WITH {FORECAST_CTE},
 r AS (SELECT region, model, sqrt(avg((y - prediction) * (y - prediction))) AS rmse FROM p GROUP BY 1, 2),
 b AS (SELECT *, row_number() OVER (PARTITION BY region ORDER BY rmse, model) AS rn FROM r)
@@ -183,6 +208,31 @@ def q_churn_rule_metrics(spark, sf_dir):
                 ["value"])
 
 
+_TASKS = f"""WITH a AS (
+SELECT * FROM (WITH {METRICS_SQL_CTE} SELECT 'forecast' AS task, model, metric, value FROM m)
+UNION ALL SELECT * FROM (WITH {CHURN_RULE_CTE}
+""" + "\nUNION ALL\n".join(f"SELECT 'churn' AS task, 'frequency_rule' AS model, '{k}' AS metric, {v} AS value FROM c"
+                           for k, v in _CLS.items()) + """)),
+k AS (SELECT task, model, row_number() OVER (PARTITION BY task ORDER BY
+        coalesce(max(value) FILTER (metric = 'r2'), max(value) FILTER (metric = 'f1')) DESC NULLS LAST, model) AS place
+      FROM a GROUP BY 1, 2)
+"""
+
+
+def all_task_metrics(spark, sf_dir):
+    """Long metrics of the forecast baselines and of the churn rule."""
+    f = forecast_metrics_frame(spark, sf_dir).withColumn("task", F.lit("forecast"))
+    c = M.classification_metrics(churn_rule(spark, sf_dir), "label", "prediction")
+    c = c.withColumns({"task": F.lit("churn"), "model": F.lit("frequency_rule")})
+    return f.unionByName(c).select("task", "model", "metric", "value")
+
+
+@query("all_task_report", _TASKS + f"""SELECT a.task, a.model, a.metric, {S("a.value")} AS value, CAST(k.place AS INTEGER) AS place
+FROM a JOIN k ON k.task = a.task AND k.model = a.model""", covers=("E17", "T5", "T8"))
+def q_all_task_report(spark, sf_dir):
+    return sigd(M.sorted_report(all_task_metrics(spark, sf_dir)), ["value"])
+
+
 @query("churn_rule_confusion", f"""WITH {CHURN_RULE_CTE}
 SELECT 1 AS label, 1 AS prediction, CAST(tp AS BIGINT) AS count FROM c UNION ALL
 SELECT 0, 1, CAST(fp AS BIGINT) FROM c UNION ALL SELECT 1, 0, CAST(fn AS BIGINT) FROM c UNION ALL
