@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..sources import files as IO
 from ..sources.tables import transactions, tx_sql
-from ..streaming.channel_stream import run_to_table, utc_text
+from ..streaming.channel_stream import run_to_files, utc_text
 from .registry import R, query, rounded
 
 _TX = tx_sql(["product_category", "channel", "quantity", "total_sales"])
@@ -55,7 +55,7 @@ def q_streaming_hourly_event_sales(spark, sf_dir):
     """Replay the events file through the Structured Streaming query."""
     name = f"hourly_{uuid.uuid4().hex[:12]}"
     ckpt = IO.shared_path(spark, "streams", name)
-    t = run_to_table(spark, sf_dir, ckpt, name, glob="events.parquet", output_mode="complete")
+    t = run_to_files(spark, sf_dir, ckpt, IO.shared_path(spark, "io", name), glob="events.parquet")
     out = t.select(utc_text(spark, F.col("w.start")).alias("window_start"),
                    "event_type", "sales", "events")
     return rounded(out, {"sales": 4})

@@ -45,19 +45,26 @@ def hourly_channel_sales(events: DataFrame, watermark: str = "2 hours",
                   .agg(F.sum("value").alias("sales"), F.count(F.lit(1)).alias("events")))
 
 
-def run_to_table(spark: SparkSession, directory: str, checkpoint: str, table: str,
-                 watermark: str = "2 hours", glob: str = "*.parquet",
-                 output_mode: str = "append") -> DataFrame:
-    """Process every available file once (availableNow) into a memory table.
-
-    ``append`` (the continuous-run mode) emits a window once the watermark
-    passes it and then evicts its state; windows still open when a bounded
-    replay ends stay in state. ``complete`` returns every window of a
-    bounded replay. ``checkpoint`` must be on shared storage so a restarted
-    query resumes from its committed offsets and state.
+def run_to_files(spark: SparkSession, directory: str, checkpoint: str, path: str,
+                 watermark: str = "2 hours", window: str = "1 hour",
+                 glob: str = "*.parquet") -> DataFrame:
+    """Process every available file once (availableNow) into Parquet files under ``path``.
+
+    Append mode: a window is written once the watermark has passed it, and its state is dropped, so
+    state stays bounded. Windows that are still open when a bounded replay ends are
+    answered by the same aggregation over the events after the watermark only; a continuous run
+    writes them later. Returns closed and open windows. ``checkpoint`` and ``path`` must be on
+    shared storage, so that a restarted query resumes from its committed offsets and state.
     """
-    agg = hourly_channel_sales(event_stream(spark, directory, glob), watermark)
-    q = (agg.writeStream.outputMode(output_mode).format("memory").queryName(table)
+    agg = hourly_channel_sales(event_stream(spark, directory, glob), watermark, window)
+    q = (agg.writeStream.outputMode("append").format("parquet").option("path", path)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.table(table)
+    closed = spark.read.schema(agg.schema).parquet(path)
+    passed = next((p["eventTime"]["watermark"] for p in reversed(q.recentProgress)
+                   if "watermark" in p.get("eventTime", {})), "1970-01-01T00:00:00.000Z")
+    end = F.to_timestamp(F.lit(passed))
+    events = spark.read.schema(EVENT_SCHEMA).option("pathGlobFilter", glob).parquet(directory)
+    still = hourly_channel_sales(events.where(F.col("ts") >= end - F.expr(f"INTERVAL {window}")),
+                                 watermark, window).where(F.col("w.end") > end)
+    return closed.unionByName(still)
