@@ -127,7 +127,9 @@ def _ask(order: int, buckets: int):
                     full = np.flatnonzero(np.diff(cut))
                     yield pd.DataFrame({
                         "gram": n + 1, "bucket": full, "block": block,
-                        "hashes": [_narrow(h[cut[b]:cut[b + 1]]) for b in full],
+                        # counted from the bucket's least hash, so that few bytes are needed
+                        "hashes": [_narrow(h[cut[b]:cut[b + 1]] - np.uint64((int(b) << 64) // buckets))
+                                   for b in full],
                         "counts": [_counts_out(c[cut[b]:cut[b + 1]]) for b in full]})
     return run
 
