@@ -14,6 +14,7 @@ hash, so the model has a bounded size. Scoring covers every row and whole text.
 from __future__ import annotations
 
 import math
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -26,7 +27,7 @@ from .common import shared_table
 
 START, END = "\x02", "\x03"
 DISCOUNT = 0.75
-WORD_CACHE = 500_000
+WORD_CACHE = 200_000
 TOP = 4
 FOLDS = 4
 
@@ -138,15 +139,38 @@ def _grams(order: int):
     return run
 
 
-def merged(counts: dict[tuple[int, int], dict], without: int | None = None) -> dict[int, Counter]:
+def packed_counts(found: DataFrame) -> dict[tuple[int, int], tuple[str, np.ndarray]]:
+    """Counts by (fold, class) as one string of n-grams and one array: the driver handles a few
+    compact rows whose size the bounded sample limits; models are built in the workers."""
+    rows = found.groupBy("fold", "y").agg(F.collect_list(F.struct("gram", "n")).alias("l")).select(
+        "fold", "y", F.array_join(F.transform("l", lambda x: x["gram"]), "\n").alias("grams"),
+        F.transform("l", lambda x: x["n"].cast("int")).alias("n")).toPandas()
+    return {(int(f), int(y)): (g, np.asarray(n, dtype=np.int32))
+            for f, y, g, n in zip(rows["fold"], rows["y"], rows["grams"], rows["n"])}
+
+
+def merged(packed: dict[tuple[int, int], tuple[str, np.ndarray]],
+           without: int | None = None) -> dict[int, Counter]:
     """Counts by class over all folds but one."""
     out: dict[int, Counter] = {0: Counter(), 1: Counter()}
-    for (fold, y), grams in counts.items():
+    for (fold, y), (grams, n) in packed.items():
         if fold != without:
-            out[y].update(grams)
+            out[y].update(dict(zip(grams.split("\n"), n.tolist())))
     return out
 
 
+_MODELS: dict[tuple, KneserNey] = {}
+
+
+def worker_model(name: str, given, without: int | None, order: int, shared_below: int) -> KneserNey:
+    """The worker's model of broadcast counts; one at a time is kept."""
+    key = (name, without)
+    if key not in _MODELS:
+        _MODELS.clear()
+        _MODELS[key] = KneserNey(merged(given.value, without), order, shared_below)
+    return _MODELS[key]
+
+
 def bounded_sample(rows: DataFrame, marked: DataFrame, most_rows: int) -> tuple[DataFrame, dict]:
     """Texts of at most ``most_rows`` labelled rows of each class (those of least hash), and
     the number of labelled rows of each class. Only ids and hashes are sorted; the chosen ones,
@@ -162,7 +186,7 @@ def bounded_sample(rows: DataFrame, marked: DataFrame, most_rows: int) -> tuple[
 
 
 def train(rows: DataFrame, marked: DataFrame, order: int, shared_below: int, most_rows: int):
-    """(broadcast model, curve); None if a class has too few rows.
+    """(a function that gives a worker its model, curve); None if a class has too few rows.
 
     The curve is fitted to evidence that each fold of the sample gets from a model of the other
     folds; the model itself then takes the counts of all folds.
@@ -171,31 +195,27 @@ def train(rows: DataFrame, marked: DataFrame, order: int, shared_below: int, mos
     sample = sample.withColumn("fold", F.pmod(F.col("h"), F.lit(FOLDS)).cast("int"))
     found = (sample.select("fold", "y", "text")
              .mapInPandas(_grams(order), "fold int, y int, gram string, n long")
-             .groupBy("fold", "y", "gram").agg(F.sum("n").alias("n"))).toPandas()
-    counts = {key: dict(zip(r["gram"], r["n"].tolist())) for key, r in found.groupby(["fold", "y"])}
-    if {y for _, y in counts} != {0, 1}:
+             .groupBy("fold", "y", "gram").agg(F.sum("n").alias("n")))
+    packed = packed_counts(found)
+    if {y for _, y in packed} != {0, 1}:
         return None
-    spark = sample.sparkSession
-    given = spark.sparkContext.broadcast(counts)
+    given, name = sample.sparkSession.sparkContext.broadcast(packed), uuid.uuid4().hex
 
     def out_of_fold(frames):
-        models: dict[int, KneserNey] = {}
         for f in frames:
             for fold, part in f.groupby("fold"):
-                if fold not in models:
-                    models = {fold: KneserNey(merged(given.value, without=fold), order, shared_below)}
-                yield pd.DataFrame({"y": part["y"], "x": [models[fold].features(t) for t in part["text"]]})
+                model = worker_model(name, given, int(fold), order, shared_below)
+                yield pd.DataFrame({"y": part["y"], "x": [model.features(t) for t in part["text"]]})
 
     got = (sample.select("fold", "y", "text").repartition(FOLDS, "fold").sortWithinPartitions("fold")
            .mapInPandas(out_of_fold, "y int, x array<double>")).toPandas()
-    model = spark.sparkContext.broadcast(KneserNey(merged(counts), order, shared_below))
     y = got["y"].to_numpy()
     if len(set(y.tolist())) < 2:
         return None
     curve = fit_logistic(np.array(got["x"].tolist(), dtype=float), y)
     # back from the share of class 1 in the sample to its share in the labelled rows
     curve["weights"][-1] += math.log(rate[1] / rate[0]) - math.log((y == 1).sum() / (y == 0).sum())
-    return model, curve
+    return lambda: worker_model(name, given, None, order, shared_below), curve
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, held_out: Column, id_col: str = "doc_id",
@@ -220,7 +240,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, held_out: Column, id_col
 
     def run(frames):
         for f in frames:
-            x = np.array([model.value.features(t) for t in f["text"]], dtype=float).reshape(-1, 4)
+            x = np.array([model().features(t) for t in f["text"]], dtype=float).reshape(-1, 4)
             yield pd.DataFrame({"key": f["key"], "held_out": f["held_out"], "score": logistic(curve, x)})
     scored = rows.mapInPandas(run, f"key {kind}, held_out boolean, score double")
     return scored.select(F.col("key").alias(id_col), "held_out", "score",
