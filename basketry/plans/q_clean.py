@@ -16,7 +16,7 @@ from .registry import R, query, rounded
 @query("text_dates_parsed", """
 SELECT o_orderkey AS order_id, CAST(o_orderdate AS DATE) AS transaction_date,
        strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') AS iso_date, o_totalprice AS total_price
-FROM orders""", covers=("P3", "P4", "IO1"))
+FROM orders""", covers=("P3", "P4"))
 def q_text_dates_parsed(spark, sf_dir):
     # the raw form: text dates as MM-dd-yyyy and numbers as text, as a CSV holds them
     raw = table(spark, sf_dir, "orders").select(

@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from ..operators.clean import rename_drop
 from ..sources import files as IO
 from ..sources.tables import transactions, tx_sql
 from ..streaming.channel_stream import run_to_files, utc_text
@@ -16,18 +17,21 @@ _TX = tx_sql(["product_category", "channel", "quantity", "total_sales"])
 
 @query("csv_roundtrip_category_sales", f"""WITH tx AS ({_TX})
 SELECT product_category, channel, {R("sum(quantity)")} AS quantity, {R("sum(total_sales)")} AS sales
-FROM tx GROUP BY 1, 2""", covers=("IO1", "IO3", "IO6"))
+FROM tx GROUP BY 1, 2""", covers=("IO1", "IO2", "IO3", "IO5", "IO6", "P22"))
 def q_csv_roundtrip_category_sales(spark, sf_dir):
     """Write transaction lines as CSV to shared storage, read them back with an
-    explicit schema, aggregate."""
-    tx = transactions(spark, sf_dir, ["product_category", "channel", "quantity", "total_sales"])
+    explicit schema, rename and drop columns, aggregate."""
+    tx = transactions(spark, sf_dir, ["product_category", "channel", "quantity", "total_sales",
+                                      "unit_price"])
     path = IO.shared_path(spark, "io", f"tx-{uuid.uuid4().hex}")
     IO.write_table(tx, path, fmt="csv")
-    schema = "product_category string, channel string, quantity double, total_sales double"
+    schema = ("product_category string, channel string, quantity double, total_sales double, "
+              "unit_price double")
     from pyspark.sql.types import _parse_datatype_string
     back = IO.read_csv(spark, path, schema=_parse_datatype_string(schema))
+    back = rename_drop(back, {"total_sales": "sales"}, drop=["unit_price"])
     out = back.groupBy("product_category", "channel").agg(
-        F.sum("quantity").alias("quantity"), F.sum("total_sales").alias("sales"))
+        F.sum("quantity").alias("quantity"), F.sum("sales").alias("sales"))
     return rounded(out, {"quantity": 4, "sales": 4})
 
 

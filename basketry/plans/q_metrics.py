@@ -71,7 +71,7 @@ def forecast_metrics_frame(spark, sf_dir):
 
 
 @query("forecast_metrics", f"WITH {METRICS_SQL_CTE}\nSELECT model, metric, {S('value')} AS value FROM m",
-       covers=("E1", "E2", "T8", "E11"))
+       covers=("E1", "E2", "T8"))
 def q_forecast_metrics(spark, sf_dir):
     return sigd(forecast_metrics_frame(spark, sf_dir), ["value"])
 
@@ -80,7 +80,7 @@ def q_forecast_metrics(spark, sf_dir):
 SELECT model, {S("max(CASE WHEN metric = 'mae' THEN value END)")} AS mae,
        {S("max(CASE WHEN metric = 'rmse' THEN value END)")} AS rmse,
        {S("max(CASE WHEN metric = 'r2' THEN value END)")} AS r2
-FROM m GROUP BY model""", covers=("E17", "A36", "T5"))
+FROM m GROUP BY model""", covers=("E17", "A36"))
 def q_forecast_report_pivot(spark, sf_dir):
     m = forecast_metrics_frame(spark, sf_dir)
     wide = pivot_mean(m, "model", "metric", "value", ["mae", "rmse", "r2"])

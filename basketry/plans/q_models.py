@@ -161,7 +161,7 @@ def q_advanced_feature_table(spark, sf_dir):
     return J.advanced_features_job(spark, sf_dir)
 
 
-@query("model_matrix", covers=("E30", "P7", "M2", "P15", "M1", "M11"))
+@query("model_matrix", covers=("E30", "M2", "M11"))
 def q_model_matrix(spark, sf_dir):
     return J.model_matrix_job(spark, sf_dir)
 

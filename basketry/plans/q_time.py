@@ -18,7 +18,7 @@ _TX_MS = tx_sql(["transaction_date", "quantity", "unit_price"])
 
 @query("monthly_sales", f"""WITH tx AS ({_TX_MS})
 SELECT strftime(transaction_date, '%Y-%m') AS month, ROUND((sum(quantity * unit_price)) + sign(sum(quantity * unit_price)) * least(abs(sum(quantity * unit_price)) * 1e-11, 1e-7), 4) AS sales
-FROM tx WHERE transaction_date IS NOT NULL GROUP BY 1""", covers=("A3", "P22"))
+FROM tx WHERE transaction_date IS NOT NULL GROUP BY 1""", covers=("A3",))
 def q_monthly_sales(spark, sf_dir):
     tx = transactions(spark, sf_dir, ["transaction_date", "quantity", "unit_price"])
     return rounded(A.monthly_sales(tx), {"sales": 4})
@@ -264,7 +264,7 @@ SELECT ds,
   ROUND((last_value(volatility_30 IGNORE NULLS) OVER o) + sign(last_value(volatility_30 IGNORE NULLS) OVER o) * least(abs(last_value(volatility_30 IGNORE NULLS) OVER o) * 1e-11, 1e-7), 4) AS volatility_30,
   last_value(sentiment IGNORE NULLS) OVER o AS sentiment
 FROM g WINDOW o AS (ORDER BY ds ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
-       covers=("W7", "J7", "P21"))
+       covers=("W7", "J7"))
 def q_market_indicators_asof(spark, sf_dir):
     ind = indicators_asof(spark, sf_dir)
     return rounded(ind, {"ma_30": 4, "volatility_30": 4})
