@@ -29,7 +29,7 @@ from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shared_path, shared_table
+from .common import partitions_for, shared_path, shared_table
 
 ARCHIVE, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 PACKAGE_BYTES = 64 << 20    # compressed records of a package
@@ -318,7 +318,7 @@ def _fetch(with_payload: bool):
 
 
 def read_packages(manifest: DataFrame, with_payload: bool = True, per_task: int = 16 << 20) -> DataFrame:
-    """One row per record of the packages named in ``manifest`` (column path): record_id, url,
+    """One row per record of the packages in ``manifest`` (path, bytes): record_id, url,
     record_type, refers_to, payload_bytes, payload_digest, payload (null for revisits).
 
     Records are dealt to tasks by stretches of ``per_task`` bytes of a package, so large packages are
@@ -326,7 +326,10 @@ def read_packages(manifest: DataFrame, with_payload: bool = True, per_task: int
     """
     places = manifest.select("path").mapInPandas(_places, "path string, at long, length long")
     stretch = F.floor(F.col("at") / per_task)
-    return (places.withColumn("stretch", stretch).repartition("path", "stretch")
+    # places are small rows for much data: the number of tasks follows the bytes to read
+    total = manifest.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
+    n = 2 * partitions_for(total, per_task, 1)
+    return (places.withColumn("stretch", stretch).repartition(n, "path", "stretch")
             .sortWithinPartitions("path", "at").select("path", "at", "length")
             .mapInPandas(_fetch(with_payload), RECORD))
 
