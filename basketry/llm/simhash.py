@@ -236,6 +236,9 @@ def near_pairs(points: DataFrame, radius: int, fold: bool = False, per_cell: int
     visits = each(F.col("s"), lambda s: cell(s, ht, 2))
     cells = (cells.withColumn("c", F.explode(F.when(F.col("guest"), visits).otherwise(
         F.concat(at_home, other)))).select("shard", "c.*", "fp"))
+    # few bytes and much work: the number of tasks follows the cells, not the bytes
+    n_cells = load.agg(F.coalesce(F.sum(F.col("s") * F.col("t")), F.lit(0))).first()[0]
+    cells = cells.repartition(partitions_for(n_cells, 4), "shard", "cs", "ct")
     return cells.groupBy("shard", "cs", "ct").applyInPandas(
         _search_cell(vantage, radius, fold), "a long, b long")
 
