@@ -28,7 +28,7 @@ SPACE = "▁"
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-CACHE = 400_000
+CACHE = 150_000         # segments in each of two generations
 
 
 def _fields(raw: bytes):
@@ -108,9 +108,19 @@ class Codec:
     def __init__(self, model: Model):
         self.m = model
         self.index, self.scores = model.index, model.scores
+        self.rank: dict[str, float] = {}
+        self.halves: dict[str, tuple[str, str]] = {}
+        if model.model_type == BPE:
+            # order of the merges, and the two parts of the merge that made each piece
+            self.rank = {p: -self.scores[i] for p, i in self.index.items() if len(p) > 1}
+            for p in self.rank:
+                parts, last = self.merged(p)
+                if len(parts) == 1:
+                    self.halves[p] = last
         self.automaton = ahocorasick.Automaton()
         for piece, i in self.index.items():
-            self.automaton.add_word(piece, (len(piece), i))
+            if model.model_type == UNIGRAM or len(piece) == 1 or piece in self.halves:
+                self.automaton.add_word(piece, (len(piece), i))
         self.automaton.make_automaton()
         self.unknown = next(i for i, k in enumerate(model.kinds) if k == UNKNOWN)
         self.bytes = {int(p[3:5], 16): i for i, (p, k) in enumerate(zip(model.pieces, model.kinds))
@@ -122,7 +132,7 @@ class Codec:
         self.cut = regex.compile(
             f"{SPACE}*[^{SPACE}{cls}]+|{SPACE}+" + (f"|[{cls}]" if breaks else "")).findall
         self.segments: dict[str, tuple[int, ...]] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
         out = []
         for p, k in zip(model.pieces, model.kinds):
             out.append(bytes([int(p[3:5], 16)]) if k == BYTE
@@ -130,30 +140,42 @@ class Codec:
                        else p.replace(SPACE, " ").encode())
         self.plain = out
 
-    # merging, for pairs of pieces and for runs of spaces
-    def merged(self, text: str) -> list[str]:
-        parts = list(text)
+    def merged(self, text: str) -> tuple[list[str], tuple[str, str]]:
+        """Parts that merging leaves, best score and then leftmost first, and the last merge."""
+        parts, last = list(text), ("", "")
         while len(parts) > 1:
             best, at = None, -1
             for i in range(len(parts) - 1):
-                piece = self.index.get(parts[i] + parts[i + 1])
-                if piece is not None and (best is None or self.scores[piece] > best):
-                    best, at = self.scores[piece], i
+                r = self.rank.get(parts[i] + parts[i + 1])
+                if r is not None and (best is None or r < best):
+                    best, at = r, i
             if best is None:
                 break
-            parts[at:at + 2] = [parts[at] + parts[at + 1]]
-        return parts
-
-    def stable(self, a: int, b: int) -> bool:
-        """Whether merging the strings of both pieces gives just these two (a < 0: b alone)."""
-        got = self.pairs.get((a, b))
-        if got is None:
-            second = self.m.pieces[b]
-            first = [self.m.pieces[a]] if a >= 0 else []
-            got = self.merged("".join(first) + second) == [*first, second]
-            if len(self.pairs) < 4 * CACHE:
-                self.pairs[a, b] = got
-        return got
+            last = parts[at], parts[at + 1]
+            parts[at:at + 2] = ["".join(last)]
+        return parts, last
+
+    def stable(self, a: str, b: str) -> bool:
+        """Whether merging the two pieces' characters together leaves just these two pieces.
+
+        Goes back through the merges that made the right edge of ``a`` and the left edge of ``b``,
+        latest first: the border is crossed if two edges that exist at one time merge before
+        the next merge of either (on equal terms the one further left comes first).
+        """
+        rank, halves = self.rank, self.halves
+        limit = np.inf
+        while True:
+            r = rank.get(a + b)
+            if r is not None and r < limit:
+                return False
+            made_a = rank[a] if len(a) > 1 else -1.0
+            made_b = rank[b] if len(b) > 1 else -1.0
+            if made_a > made_b:
+                limit, a = made_a, halves[a][1]
+            elif made_b < 0:
+                return True
+            else:
+                limit, b = made_b + 0.5, halves[b][0]
 
     def spelled(self, char: str) -> list[int]:
         if self.m.byte_fallback:
@@ -166,7 +188,7 @@ class Codec:
         last = [-1] * (n + 1)       # piece that ends at each position; -2: an unknown character
         start = [0] * (n + 1)
         score = [0.0] + [-np.inf] * n
-        unigram = self.m.model_type == UNIGRAM
+        unigram, pieces = self.m.model_type == UNIGRAM, self.m.pieces
         for i in range(1, n + 1):
             if unigram:
                 single = False
@@ -185,7 +207,7 @@ class Codec:
                 before = last[j]
                 if j and before == -1:
                     continue
-                if self.stable(before if j and before >= 0 else -1, piece):
+                if not j or before < 0 or self.stable(pieces[before], pieces[piece]):
                     last[i], start[i], reached = piece, j, True
                     break
             if not reached and not known:
@@ -198,20 +220,20 @@ class Codec:
         return out[::-1]
 
     def segment(self, text: str) -> tuple[int, ...]:
-        got = self.segments.get(text)
+        got = self.segments.get(text) or self.older.get(text)
         if got is None:
             if self.m.model_type == BPE and SPACE * 2 in text:
                 # pieces of spaces may have equal scores, which only merging settles
-                got = tuple(i for p in self.merged(text) for i in (
+                got = tuple(i for p in self.merged(text)[0] for i in (
                     [self.index[p]] if p in self.index else self.spelled(p)))
             else:
                 ends: list[list[tuple[int, int]]] = [[] for _ in range(len(text) + 1)]
                 for end, found in self.automaton.iter(text):
                     ends[end + 1].append(found)
                 got = tuple(self._path(text, ends))
-            if len(self.segments) >= CACHE:
-                self.segments.clear()
-            self.segments[text] = got
+        if len(self.segments) >= CACHE:
+            self.older, self.segments = self.segments, {}
+        self.segments[text] = got
         return got
 
     def encode(self, text: str | None) -> list[int]:
