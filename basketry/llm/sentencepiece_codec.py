@@ -29,6 +29,7 @@ DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 CACHE = 150_000         # segments in each of two generations
+PAIRS = 400_000         # pairs of pieces whose stability is kept
 
 
 def _fields(raw: bytes):
@@ -133,6 +134,7 @@ class Codec:
             f"{SPACE}*[^{SPACE}{cls}]+|{SPACE}+" + (f"|[{cls}]" if breaks else "")).findall
         self.segments: dict[str, tuple[int, ...]] = {}
         self.older: dict[str, tuple[int, ...]] = {}
+        self.pairs: dict[int, bool] = {}
         out = []
         for p, k in zip(model.pieces, model.kinds):
             out.append(bytes([int(p[3:5], 16)]) if k == BYTE
@@ -182,42 +184,83 @@ class Codec:
             return [self.bytes[b] for b in char.encode()]
         return [self.unknown]
 
-    def _path(self, text: str, ends: list[list[tuple[int, int]]]) -> list[int]:
-        """Best path; ``ends[i]`` lists (length, piece) of the pieces that end after i."""
+    def _stable_ids(self, a: int, b: int) -> bool:
+        key = a * len(self.plain) + b
+        got = self.pairs.get(key)
+        if got is None:
+            got = self.stable(self.m.pieces[a], self.m.pieces[b])
+            if len(self.pairs) < PAIRS:
+                self.pairs[key] = got
+        return got
+
+    def _bpe_path(self, text: str) -> tuple[list[int], list[int]]:
+        """Piece that ends at each position, and its start (-1: none, -2: an unknown character).
+
+        Matches come in order of their ends; the longest stable one at each position is kept.
+        """
         n = len(text)
-        last = [-1] * (n + 1)       # piece that ends at each position; -2: an unknown character
-        start = [0] * (n + 1)
-        score = [0.0] + [-np.inf] * n
-        unigram, pieces = self.m.model_type == UNIGRAM, self.m.pieces
-        for i in range(1, n + 1):
-            if unigram:
-                single = False
-                for size, piece in ends[i]:
-                    single |= size == 1
-                    s = score[i - size] + self.scores[piece]
-                    if s > score[i]:
-                        score[i], last[i], start[i] = s, piece, i - size
-                if not single and score[i - 1] + self.no_score > score[i]:
-                    score[i], last[i], start[i] = score[i - 1] + self.no_score, -2, i - 1
+        last, start = [-1] * (n + 1), [0] * (n + 1)
+        now, known = 0, True
+
+        def unknown(at: int) -> None:
+            last[at], start[at] = -2, at - 1
+
+        for end, (size, piece) in self.automaton.iter(text):
+            i = end + 1
+            if i != now:
+                if not known and last[now] == -1:
+                    unknown(now)
+                for skipped in range(now + 1, i):
+                    unknown(skipped)
+                now, known = i, False
+            if size == 1:
+                known = True
+            if last[i] != -1:
                 continue
-            known = reached = False
-            for size, piece in ends[i]:
-                known |= size == 1
-                j = i - size
+            j = i - size
+            if j:
                 before = last[j]
-                if j and before == -1:
+                if before == -1 or before >= 0 and not self._stable_ids(before, piece):
                     continue
-                if not j or before < 0 or self.stable(pieces[before], pieces[piece]):
-                    last[i], start[i], reached = piece, j, True
-                    break
-            if not reached and not known:
-                last[i], start[i] = -2, i - 1
+            last[i], start[i] = piece, j
+        if not known and last[now] == -1:
+            unknown(now)
+        for skipped in range(now + 1, n + 1):
+            unknown(skipped)
+        return last, start
+
+    def _unigram_path(self, text: str) -> tuple[list[int], list[int]]:
+        n = len(text)
+        last, start = [-1] * (n + 1), [0] * (n + 1)
+        score = [0.0] + [-np.inf] * n
+        ends: list[list[tuple[int, int]]] = [[] for _ in range(n + 1)]
+        for end, found in self.automaton.iter(text):
+            ends[end + 1].append(found)
+        for i in range(1, n + 1):
+            single = False
+            for size, piece in ends[i]:
+                single |= size == 1
+                s = score[i - size] + self.scores[piece]
+                if s > score[i]:
+                    score[i], last[i], start[i] = s, piece, i - size
+            if not single and score[i - 1] + self.no_score > score[i]:
+                score[i], last[i], start[i] = score[i - 1] + self.no_score, -2, i - 1
+        return last, start
+
+    def _path(self, text: str) -> list[int]:
+        """Pieces of the best path, from the end back."""
+        bpe = self.m.model_type == BPE
+        last, start = self._bpe_path(text) if bpe else self._unigram_path(text)
         out: list[int] = []
-        i = n
+        i = len(text)
         while i:
-            out += [last[i]] if last[i] >= 0 else self.spelled(text[start[i]:i])[::-1]
+            if last[i] >= 0:
+                out.append(last[i])
+            else:
+                out += self.spelled(text[start[i]:i])[::-1]
             i = start[i]
-        return out[::-1]
+        out.reverse()
+        return out
 
     def segment(self, text: str) -> tuple[int, ...]:
         got = self.segments.get(text) or self.older.get(text)
@@ -227,10 +270,7 @@ class Codec:
                 got = tuple(i for p in self.merged(text)[0] for i in (
                     [self.index[p]] if p in self.index else self.spelled(p)))
             else:
-                ends: list[list[tuple[int, int]]] = [[] for _ in range(len(text) + 1)]
-                for end, found in self.automaton.iter(text):
-                    ends[end + 1].append(found)
-                got = tuple(self._path(text, ends))
+                got = tuple(self._path(text))
         if len(self.segments) >= CACHE:
             self.older, self.segments = self.segments, {}
         self.segments[text] = got
