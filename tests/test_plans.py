@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
-from basketry.sources.tables import transactions
+from basketry.operators import aggregates as A
+from basketry.sources.tables import order_lines, transactions
 
 
 def _plan(df) -> str:
@@ -34,8 +35,22 @@ def test_filters_and_columns_reach_the_scan(spark, sf_small):
 
 
 def test_rfm_aggregates_map_side_before_shuffle(spark, sf_small):
-    plan = E.queries()["rfm_churn"](spark, sf_small)._jdf.queryExecution().executedPlan().toString()
+    # with a given date the query is lazy; without, the same aggregation is written once first
+    df = A.rfm(order_lines(spark, sf_small), amount="order_sales", line_count="n_lines",
+               as_of=F.lit("2001-08-01").cast("date"))
+    plan = df._jdf.queryExecution().executedPlan().toString()
     first_exchange = plan.find("Exchange")
     assert "partial_" in plan
     # the order-level partial aggregation sits below (after) the first exchange in the tree text
     assert plan.find("partial_count", first_exchange) > first_exchange
+
+
+def test_rfm_query_does_not_read_the_facts_again(spark, sf_small):
+    plan = E.queries()["rfm_churn"](spark, sf_small)._jdf.queryExecution().executedPlan().toString()
+    assert "lineitem" not in plan and "ExistingRDD" in plan
+
+
+def test_periods_come_from_one_pass(spark, sf_small):
+    for name in ("sales_by_period", "sales_by_month_and_week"):
+        plan = E.queries()[name](spark, sf_small)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("lineitem.parquet") == 1
