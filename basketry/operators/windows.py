@@ -83,7 +83,7 @@ def days_between_purchases(df: DataFrame, customer="customer_id", date="transact
                            order: Sequence[str] = ("transaction_id",),
                            out: str = "days_between_purchases") -> DataFrame:
     """Days since the customer's previous purchase day; 0 for the first purchase
-    and for further rows on the same day; null without a customer or a date.
+    for further rows on the same day, and for rows without a customer or a date.
 
     Skew-safe form: rows are first reduced to distinct (customer, day) with the
     first row of each day (``min`` of a struct of the order columns, a partial
@@ -98,8 +98,7 @@ def days_between_purchases(df: DataFrame, customer="customer_id", date="transact
     joined = df.join(days, [customer, date], "left")
     first = key == F.col("_first")
     return joined.withColumn(
-        out, F.when(F.col(customer).isNull() | F.col(date).isNull(), None)
-        .when(first, F.coalesce(F.col("_gap"), F.lit(0))).otherwise(F.lit(0))
+        out, F.when(first, F.coalesce(F.col("_gap"), F.lit(0))).otherwise(F.lit(0))
     ).drop("_first", "_gap")
 
 
