@@ -29,6 +29,7 @@ DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 CACHE = 150_000         # segments in each of two generations
+SLICE = 2000             # rows handed on at once
 PAIRS = 400_000         # pairs of pieces whose stability is kept
 
 
@@ -324,14 +325,15 @@ def encode_documents(docs: DataFrame, model_path: str = DEFAULT_MODEL, id_col: s
 
     def run(frames):
         codec = _codec(model_path, shared)
-        for f in frames:
-            ids, same = [], []
-            for t in f["text"]:
-                got = codec.encode(t)
-                ids.append(np.array(got, dtype=np.int32))
-                same.append(codec.decode(got) == (t or ""))
-            yield pd.DataFrame({"id": f["id"], "n_tokens": [len(x) for x in ids],
-                                "token_ids": ids, "round_trip": same})
+        for frame in frames:
+            for at in range(0, len(frame), SLICE):
+                f, ids, same = frame.iloc[at:at + SLICE], [], []
+                for t in f["text"]:
+                    got = codec.encode(t)
+                    ids.append(np.array(got, dtype=np.int32))
+                    same.append(codec.decode(got) == (t or ""))
+                yield pd.DataFrame({"id": f["id"], "n_tokens": [len(x) for x in ids],
+                                    "token_ids": ids, "round_trip": same})
     return rows.mapInPandas(run, f"id {kind}, n_tokens long, token_ids array<int>, round_trip boolean"
                             ).withColumnRenamed("id", id_col)
 
