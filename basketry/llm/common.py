@@ -43,6 +43,13 @@ def shared_table(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one if ``df`` has it."""
+    while name.lower() in (c.lower() for c in df.columns):
+        name += "_"
+    return name
+
+
 def partitions_for(rows: int, per_task: int, least: int = 1) -> int:
     """Number of tasks so that each has about ``per_task`` rows."""
     return max(least, -(-rows // per_task))

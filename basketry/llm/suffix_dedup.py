@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_blocks, partitions_for, shared_table
+from .common import free_name, in_blocks, partitions_for, shared_table
 from .run_index import long_matches
 
 LENGTH = 400
@@ -352,15 +352,16 @@ def strip_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     are never dropped: a text that repeats as a whole becomes empty. A null text stays null.
     """
     found = shared_table(repeat_spans(docs, id_col, text_col, length).filter("size(spans) > 0"), "spans")
-    found = found.select(F.col("id").alias("id_"), F.col("sha").alias("sha_"), F.col("spans").alias("spans_"))
-    joined = docs.join(found, docs[id_col].eqNullSafe(found["id_"])
-                       & (F.sha2(_raw(text_col), 256) == found["sha_"]), "left")
+    names = [free_name(docs, x) for x in ("id_", "sha_", "spans_")]
+    found = found.select("id", "sha", "spans").toDF(*names)
+    key, sha, spans_ = (found[x] for x in names)
+    joined = docs.join(found, docs[id_col].eqNullSafe(key)
+                       & (F.sha2(_raw(text_col), 256) == sha), "left")
 
     @F.pandas_udf("string")
     def cut(text: pd.Series, spans: pd.Series) -> pd.Series:
         return pd.Series([t if t is None or s is None else strip_spans(
             t.encode(), union_spans(s)).decode("utf-8", "ignore") for t, s in zip(text, spans)],
             dtype="object")
-    return joined.select(*(F.when(F.col("spans_").isNull(), F.col(text_col)).otherwise(
-        cut(F.col(text_col), F.col("spans_"))).alias(c) if c == text_col else docs[c]
-        for c in docs.columns))
+    return joined.select(*(F.when(spans_.isNull(), docs[c]).otherwise(cut(docs[c], spans_)).alias(c)
+                           if c == text_col else docs[c] for c in docs.columns))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from basketry.llm.common import ascii_lower, documents, shared_table  # noqa: E402
+from basketry.llm.common import ascii_lower, documents, free_name, shared_table  # noqa: E402
 from basketry.llm.exact_dedup import exact_dedup  # noqa: E402
 from basketry.llm.packing import best_fit_pack, word_tokens  # noqa: E402
 from basketry.llm.quality import quality_rules  # noqa: E402
@@ -26,8 +26,8 @@ from basketry.llm.suffix_dedup import strip_repeats  # noqa: E402
 
 def _rows_of(docs: DataFrame, verdict: DataFrame) -> DataFrame:
     """Rows of ``docs`` whose doc_id ``verdict`` keeps; rows that share an id stay or go together."""
-    ids = verdict.filter("kept").select(F.col("doc_id").alias("kept_id"))
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["kept_id"]), "left_semi")
+    ids = verdict.filter("kept").select("doc_id").toDF(free_name(docs, "kept_id"))
+    return docs.join(ids, docs["doc_id"].eqNullSafe(ids[0]), "left_semi")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,14 +39,15 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the largest doc_id; of repeated rows with that id, one."""
     verdict = shared_table(exact_dedup(docs).groupBy("doc_id", "text_sha256").agg(
         F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n")).filter("kept"), "exact")
-    found = verdict.select(F.col("doc_id").alias("id_"), F.col("text_sha256").alias("sha_"), "n")
-    sha = F.sha2(ascii_lower(F.coalesce("text", F.lit(""))), 256)
+    key, sha, n = (free_name(docs, x) for x in ("id_", "sha_", "n_"))
+    found = verdict.select("doc_id", "text_sha256", "n").toDF(key, sha, n)
+    own = F.sha2(ascii_lower(F.coalesce("text", F.lit(""))), 256)
     columns = docs.columns
-    kept = docs.join(found, docs["doc_id"].eqNullSafe(found["id_"]) & (sha == found["sha_"]))
+    kept = docs.join(found, docs["doc_id"].eqNullSafe(found[key]) & (own == found[sha]))
     if verdict.filter("n > 1").isEmpty():
         return kept.select(*columns)
-    once = kept.filter("n > 1").dropDuplicates(["id_", "sha_"])
-    return kept.filter("n = 1").unionByName(once).select(*columns)
+    once = kept.filter(F.col(n) > 1).dropDuplicates([key, sha])
+    return kept.filter(F.col(n) == 1).unionByName(once).select(*columns)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -64,13 +64,15 @@ def test_run_is_the_same_as_the_stages(spark, sf_small, stages):
     assert got == {(r.doc_id, r.piece, r.n_tokens) for r in stages[1]}
 
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, kept boolean"
+SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, kept boolean, n int, "
+          "id_ int, sha_ int, n_ int, kept_id int, spans_ int, id int, bin_id int, digest int, fp int")
+CLASH = (False, 1, 1, 1, 1, 1, 1, 1, 1, 1, 1)
 
 
 def test_repeated_rows_nulls_and_clashing_columns(spark, sf_small):
     rows = [(1, "A b"), (1, "a B"), (2, "c"), (2, "c"), (3, "x y"), (3, "z"), (None, "n"), (None, None),
             (4, ""), (4, None)]
-    df = spark.createDataFrame([(d, t, None, "s", len(t or ""), False) for d, t in rows], SCHEMA)
+    df = spark.createDataFrame([(d, t, None, "s", len(t or ""), *CLASH) for d, t in rows], SCHEMA)
     got = [(r.doc_id, (r.text or "").lower()) for r in P.exact(spark, df, sf_small).collect()]
     assert sorted(got, key=str) == sorted(
         [(1, "a b"), (2, "c"), (3, "x y"), (3, "z"), (None, "n"), (4, "")], key=str)
@@ -80,3 +82,14 @@ def test_empty_table(spark, sf_small):
     df = spark.createDataFrame([], SCHEMA)
     for _, stage in P.STAGES:
         assert stage(spark, df, sf_small).count() == 0
+
+
+def test_every_stage_with_clashing_columns(spark, sf_small):
+    text = " ".join(f"word{i}" for i in range(200))
+    rows = [(i, f"{text} {i}" if i % 3 else None, None, None, 0, *CLASH) for i in range(6)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    for name, stage in P.STAGES[:-1]:
+        got = stage(spark, df, sf_small)
+        assert got.columns == df.columns, name
+        assert all(r.spans_ == 1 and r.n == 1 for r in got.collect())
+    assert P.STAGES[-1][1](spark, df, sf_small).count() == 6
