@@ -3,13 +3,14 @@
 1. One scan cuts every text into super-windows: runs of neighbouring ``length``-byte windows whose
    least ``gram``-byte hash is the same. Equal windows have the same least hash, so they lie in
    super-windows with the same key; and every window lies in exactly one super-window.
-2. Keys that come once cannot hold a repeat. Only super-windows of repeated keys travel, dealt
-   by key. Of texts that are equal as a whole one stands for all.
+2. Keys that come once cannot hold a repeat, unless their super-window is periodic (merged from
+   several places of the least hash). Only super-windows of repeated keys and periodic ones travel,
+   dealt by key. Of texts that are equal as a whole one stands for all.
 3. Each task builds run-length indexes over blocks of whole keys, streams matching statistics and
    marks window starts that match elsewhere over the full length.
 4. A key with very many super-windows is first reduced to distinct strings by aggregation; if too
    many are left, they are cut anew by a longer gram and dealt by the new keys, of which those
-   that come once drop out. The gram nears ``length`` by halves, where a key is a window, so
+   that come once and are not periodic drop out. The gram nears ``length`` by halves, where a key is a window, so
    this ends after log2(length) rounds and is exact, whatever the size of a group.
 """
 
@@ -80,9 +81,13 @@ def _window_minimum(key: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(back[:n - w + 1], ahead[w - 1:n])
 
 
-def super_windows(text: bytes, length: int = LENGTH, gram: int = GRAM):
-    """(keys, first window, last window) of the super-windows of a text, in order."""
-    keys, first, last = [], [], []
+def _super_windows(text: bytes, length: int, gram: int):
+    """(keys, first window, last window, periodic) of the super-windows of a text, in order.
+
+    A periodic one holds several places of its least hash, so its windows may equal each other.
+    In any other one all windows differ: equal windows have the least hash at the same offset.
+    """
+    keys, first, last, periodic = [], [], [], []
     raw = np.frombuffer(text, dtype=np.uint8)
     w = length - gram + 1
     for at in range(0, len(raw) - length + 1, CHUNK):
@@ -95,6 +100,7 @@ def super_windows(text: bytes, length: int = LENGTH, gram: int = GRAM):
         end = np.concatenate((start[1:], [len(spot)])) - 1
         spot = spot[start]
         key = h[spot]
+        many = np.zeros(len(key), dtype=bool)
         again = np.flatnonzero(key[1:] == key[:-1]) + 1
         if len(again):  # periodic text: one place serves all windows that hold it
             use = np.ones(len(key), dtype=bool)
@@ -103,25 +109,33 @@ def super_windows(text: bytes, length: int = LENGTH, gram: int = GRAM):
                 if key[i] == key[kept] and end[i] <= spot[kept]:
                     use[i] = False
                     end[kept] = end[i]
+                    many[kept] = True
                 else:
                     kept = i
-            key, start, end = key[use], start[use], end[use]
+            key, start, end, many = key[use], start[use], end[use], many[use]
         keys.append(key.view(np.int64))
         first.append(start + at)
         last.append(end + at)
+        periodic.append(many)
     if not keys:
-        return (np.empty(0, np.int64),) * 3
-    return np.concatenate(keys), np.concatenate(first), np.concatenate(last)
+        return (*(np.empty(0, np.int64),) * 3, np.empty(0, bool))
+    return tuple(np.concatenate(x) for x in (keys, first, last, periodic))
+
+
+def super_windows(text: bytes, length: int = LENGTH, gram: int = GRAM):
+    """(keys, first window, last window) of the super-windows of a text, in order."""
+    return _super_windows(text, length, gram)[:3]
 
 
 def _scan(length: int, gram: int):
     def run(frames):
         for frame in frames:
-            found = [super_windows(t, length, gram) for t in frame["text"]]
+            found = [_super_windows(t, length, gram) for t in frame["text"]]
             yield pd.DataFrame({"id": frame["id"], "sha": frame["sha"],
                                 "n_bytes": [len(t) for t in frame["text"]],
                                 "keys": [f[0] for f in found], "first": [f[1] for f in found],
-                                "last": [f[2] for f in found]})
+                                "last": [f[2] for f in found],
+                                "periodic": [f[3] for f in found]})
     return run
 
 
@@ -133,6 +147,7 @@ def _cut(length: int):
                 yield pd.DataFrame({
                     "key": [x["key"] for x in wanted], "ref": ref,
                     "first": [x["first"] for x in wanted],
+                    "periodic": [x["periodic"] for x in wanted],
                     "busy": [x["busy"] for x in wanted],
                     "bytes": [text[x["first"]:x["last"] + length] for x in wanted]})
     return run
@@ -157,7 +172,9 @@ def _mark(length: int):
             for ref, first, raw in zip(block["ref"][same > 1], block["first"][same > 1],
                                        block["bytes"][same > 1]):
                 out.append((ref, first, first + len(raw) - length))
-            part = block[only & (distinct > 1)]
+            # a string that comes once, alone under its key, can still repeat itself
+            alone = (same == 1) & block["periodic"].to_numpy(dtype=bool)
+            part = block[only & ((distinct > 1) | alone)]
             found = long_matches(part["bytes"].tolist(), length)
             for ref, first, n, starts in zip(part["ref"], part["first"], same[part.index], found):
                 if n == 1:
@@ -172,13 +189,13 @@ def _recut(length: int, gram: int):
         for frame in frames:
             out = []
             for ref, at, raw in zip(frame["ref"], frame["first"], frame["bytes"]):
-                for key, a, b in zip(*(x.tolist() for x in super_windows(raw, length, gram))):
-                    out.append((key, ref, at + a, raw[a:b + length]))
-            yield pd.DataFrame(out, columns=["key", "ref", "first", "bytes"])
+                for key, a, b, many in zip(*(x.tolist() for x in _super_windows(raw, length, gram))):
+                    out.append((key, ref, at + a, many, raw[a:b + length]))
+            yield pd.DataFrame(out, columns=["key", "ref", "first", "periodic", "bytes"])
     return run
 
 
-WINDOW = "key long, ref long, first long, bytes binary"
+WINDOW = "key long, ref long, first long, periodic boolean, bytes binary"
 MARK = "ref long, first long, last long"
 
 
@@ -195,23 +212,26 @@ def _busy_keys(windows: DataFrame, length: int, gram: int, most: int) -> list[Da
         digest = F.sha2("bytes", 256)
         now = shared_table(windows.withColumn("digest", digest), "busy")
         classes = now.groupBy("key", "digest").agg(
-            F.count(F.lit(1)).alias("n"), F.min(F.struct("ref", "first")).alias("one"))
+            F.count(F.lit(1)).alias("n"), F.min(F.struct("ref", "first")).alias("one"),
+            F.max("periodic").alias("periodic"))
         sizes = classes.groupBy("key").agg(F.count(F.lit(1)).alias("classes"))
-        classes = shared_table(classes.join(sizes, "key").filter("n > 1 or classes > 1"),
+        classes = shared_table(classes.join(sizes, "key").filter("n > 1 or classes > 1 or periodic"),
                                "busy-classes")
-        both = now.join(classes, ["key", "digest"])
+        both = now.drop("periodic").join(classes, ["key", "digest"])
         marks.append(shared_table(both.filter("n > 1").select(
             "ref", "first", (F.col("first") + F.length("bytes") - length).alias("last")),
             "busy-marks"))
         one = both.filter((F.col("one.ref") == F.col("ref")) & (F.col("one.first") == F.col("first")))
-        cold = one.filter((F.col("classes") > 1) & (F.col("classes") <= most)).select(
-            "key", "ref", "first", "bytes")
+        cold = one.filter(((F.col("classes") > 1) & (F.col("classes") <= most))
+                          | ((F.col("classes") == 1) & (F.col("n") == 1) & F.col("periodic"))).select(
+            "key", "ref", "first", "periodic", "bytes")
         cold = shared_table(cold, "busy-cold")
         marks.append(shared_table(_index(cold, cold.count(), length), "busy-cold-marks"))
         gram += -(-(length - gram) // 2)
         finer = shared_table(one.filter(F.col("classes") > most).select("ref", "first", "bytes")
                              .mapInPandas(_recut(length, gram), WINDOW), "busy-finer")
-        again = finer.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+        again = finer.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("periodic").alias(
+            "periodic")).filter("n > 1 or periodic")
         windows = finer.join(again.select("key"), "key", "left_semi")
     return marks
 
@@ -231,7 +251,7 @@ def repeat_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     kind = dict(texts.dtypes)["id"]
     scanned = shared_table(texts.mapInPandas(
         _scan(length, gram), f"id {kind}, sha string, n_bytes long, keys array<long>, "
-        "first array<long>, last array<long>"), "super-windows")
+        "first array<long>, last array<long>, periodic array<boolean>"), "super-windows")
     # tables by themselves, so that joins with them can split a hot key
     groups = shared_table(scanned.groupBy("sha").agg(F.count(F.lit(1)).alias("copies"),
                                                      F.max("id").alias("one")), "groups")
@@ -244,19 +264,20 @@ def repeat_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.col("sha").alias("sha_"), "copies")
     one = shared_table(one, "texts")
     here = scanned.join(one, scanned["id"].eqNullSafe(one["id_"]) & (scanned["sha"] == one["sha_"]))
-    each = here.select("ref", F.explode(F.arrays_zip("keys", "first", "last")).alias("w")).select(
+    each = here.select("ref", F.explode(F.arrays_zip("keys", "first", "last", "periodic")).alias("w")).select(
         "ref", F.col("w.keys").alias("key"), F.col("w.first").alias("first"),
-        F.col("w.last").alias("last"))
+        F.col("w.last").alias("last"), F.col("w.periodic").alias("periodic"))
     each = shared_table(each, "keys")
-    repeated = shared_table(each.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"),
-                            "repeated")
+    repeated = shared_table(each.groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"), F.max("periodic").alias("any")).filter("n > 1 or any")
+        .select("key", "n"), "repeated")
     wanted = (each.join(repeated, "key")
               .groupBy("ref").agg(F.collect_list(F.struct(
-                  "key", "first", "last", (F.col("n") > most).alias("busy"))).alias("wanted"))
+                  "key", "first", "last", "periodic", (F.col("n") > most).alias("busy"))).alias("wanted"))
               .join(one, "ref"))
     cut = (texts.join(wanted, texts["id"].eqNullSafe(wanted["id_"]) & (texts["sha"] == wanted["sha_"]))
            .select("ref", "text", "wanted")
-           .mapInPandas(_cut(length), "key long, ref long, first long, busy boolean, bytes binary"))
+           .mapInPandas(_cut(length), "key long, ref long, first long, periodic boolean, busy boolean, bytes binary"))
     cut = shared_table(cut, "windows")
     counts = {r["busy"]: r["count"] for r in cut.groupBy("busy").count().collect()}
     marks = _index(cut.filter("not busy").drop("busy"), counts.get(False, 0), length)

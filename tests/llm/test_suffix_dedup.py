@@ -94,6 +94,23 @@ def test_production_length(spark):
     assert left[1] == a[:200] + a[700:] and left[None] == a[:50]
 
 
+@pytest.mark.parametrize("most", [4096, 3])
+def test_periodic_runs_that_come_once(spark, most):
+    rng = np.random.default_rng(11)
+    rows = []
+    for p in (1, 3, 7, 200):
+        for n in (400, 400 + p - 1, 400 + p, 450 + p, 600, 704, 705, 800):
+            unit = bytes(rng.integers(33, 126, p).astype(np.uint8)).decode()
+            # a letter of its own, so that no other run holds the same grams
+            unit = chr(0x4E00 + len(rows)) if p == 1 else unit
+            rows.append((len(rows), f"<{len(rows)}>" + (unit * n)[:n] + "."))
+    rows.append((len(rows), "z" * 450))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [tuple(r) for r in S.suffix_dedup(df, most=most).collect()]
+    assert sorted(got, key=str) == slow(rows, 400)
+    assert [r[2:4] for r in got if r[0] == len(rows) - 1] == [(450, 1)]
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert S.suffix_dedup(df).count() == 0 and S.strip_repeats(df).count() == 0
