@@ -14,6 +14,7 @@ partitioning; the h-subset is cut on a fine histogram of distances, never by sor
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -26,7 +27,8 @@ SYMBOL = r"[#*$%&|<>]"
 LEAST_WORDS = 50
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 # Transformed vector, in thousandths, and the least spread a statistic is taken to have.
-VECTOR = {"x_len": 120, "x_sym": 45, "x_dup": 250, "x_rep": 250, "x_upper": 100}
+# x_dup reaches 1000 and x_rep 707: over 5.8 times the floor, so either can reject by itself.
+VECTOR = {"x_len": 120, "x_sym": 45, "x_dup": 170, "x_rep": 115, "x_upper": 100}
 STARTS = ("l1", "l2", "max")
 BINS_PER_DOUBLING = 16
 FEW_GROUPS = 20_000     # so many group rows are broadcast, a few MB
@@ -107,21 +109,25 @@ def _vector() -> dict[str, Column]:
     }
 
 
-def _cholesky(cov: dict[tuple[int, int], Column], p: int, into: str):
-    """Columns of the lower triangle, made row by row: [(name, column), ...]."""
+def _cholesky(cov: dict[tuple[int, int], Column], p: int, into: str, least: list[float] | None = None):
+    """Columns of the lower triangle, made row by row: [(name, column), ...].
+
+    ``least`` bounds the variance that each statistic has given those before it.
+    """
     cell = "{}_{}_{}".format
+    least = least or [1e-9] * p
     out = []
     for i in range(p):
         for j in range(i + 1):
             rest = cov[i, j] - sum((F.col(cell(into, i, k)) * F.col(cell(into, j, k))
                                     for k in range(j)), F.lit(0.0))
-            out.append((cell(into, i, j), F.sqrt(F.greatest(rest, F.lit(1e-9))) if i == j
+            out.append((cell(into, i, j), F.sqrt(F.greatest(rest, F.lit(least[i]))) if i == j
                         else rest / F.col(cell(into, j, j))))
     return out
 
 
 def _estimate(rows: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
-    """Mean and Cholesky factor of the (floored) covariance of each key."""
+    """Mean and Cholesky factor of the covariance of each key, with the squared floors added."""
     p = len(names)
     n = F.count(F.lit(1))
     sums = {f"s_{i}": F.sum(x) for i, x in enumerate(names)}
@@ -210,6 +216,45 @@ def mcd(rows: DataFrame, keys: list[str], names: list[str], share: float = 0.75,
     return best.join(spread.select(*keys, "size"), keys)
 
 
+def _chi2_below(x: float, p: int) -> float:
+    """Chance that a chi-square of ``p`` degrees of freedom is at most ``x``."""
+    a, term, total, k = p / 2, 1.0, 1.0, 0
+    while term > 1e-17 * total:
+        k += 1
+        term *= x / 2 / (a + k)
+        total += term
+    return total * math.exp(a * math.log(x / 2) - x / 2 - math.lgamma(a + 1))
+
+
+def consistency_factor(share: float, p: int) -> float:
+    """What makes the covariance of the nearest ``share`` of normal rows that of all rows."""
+    low, high = 0.0, 1000.0
+    for _ in range(100):
+        mid = (low + high) / 2
+        low, high = (mid, high) if _chi2_below(mid, p) < share else (low, mid)
+    return share / _chi2_below(high, p + 2)
+
+
+def _judging(found: DataFrame, names: list[str], share: float) -> DataFrame:
+    """``found`` with the Cholesky factor that rows are judged by.
+
+    The estimates of mcd() carry the squared floors as a ridge, which only keeps the steps stable.
+    Here the ridge is taken off and the consistency factor of the subset applied; then the variance
+    of each statistic (given those before it) is the greater of its own and the squared floor.
+    """
+    p = len(names)
+    floors = [float(VECTOR[x] ** 2) for x in names]
+    factor = consistency_factor(share, p)
+    cov = {(i, j): factor * (sum((F.col(f"l_{i}_{k}") * F.col(f"l_{j}_{k}") for k in range(j + 1)), F.lit(0.0))
+                             - (floors[i] if i == j else 0.0)) for i in range(p) for j in range(i + 1)}
+    out = found.withColumns({f"v_{i}_{j}": c for (i, j), c in cov.items()})
+    for name, col in _cholesky({k: F.col("v_{}_{}".format(*k)) for k in cov}, p, "l_new", floors):
+        out = out.withColumn(name, col)
+    kept = [c for c in found.columns if not c.startswith("l_")]
+    return out.select(*kept, *(F.col(f"l_new_{i}_{j}").alias(f"l_{i}_{j}")
+                               for i in range(p) for j in range(i + 1)))
+
+
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   group_cols: tuple[str, ...] = ("lang", "source"), share: float = 0.75,
                   cut: float = 30.86, least_group: int = 50) -> DataFrame:
@@ -217,7 +262,8 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     A document is rejected when a base rule fails or when its squared Mahalanobis distance from
     the MCD estimate of its language and source is over ``cut`` (by default the 0.99999 quantile of
-    chi-square with five degrees of freedom). The estimates use all rows
+    chi-square with five degrees of freedom). Variances are those of the subset times its
+    consistency factor, or the squared floors of VECTOR where greater. The estimates use all rows
     that pass the base rules. Null language or source is a group of its own. Groups with fewer
     than ``least_group`` such rows have no estimate: their rows are judged by the base rules
     only (distance2 is null). Null or empty text has no words and fails the base rules.
@@ -232,7 +278,7 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     stats = stats.withColumn("base_failed", base_failed()).withColumns(_vector())
     stats = shared_table(stats.select("_id", *keys, *BASE, "base_failed", *names), "statistics")
     found = mcd(stats.filter("not base_failed").select(*keys, *names), keys, names, share)
-    found = shared_table(found.filter(F.col("size") >= least_group), "mcd")
+    found = shared_table(_judging(found.filter(F.col("size") >= least_group), names, share), "mcd")
     far = _attach(stats, found, keys, found.count() <= FEW_GROUPS, "left")
     for name, col in _distance(names):
         far = far.withColumn(name, col)

@@ -95,6 +95,37 @@ def test_rules_nulls_and_small_groups(spark):
     assert [(by[i].kept, by[i].base_failed) for i in (501, 502, 503)] == [(False, True)] * 3
 
 
+def _words(rng, n):
+    return ["".join(rng.choice(list("abcdefghij"), rng.integers(4, 8))) for _ in range(n)]
+
+
+def test_one_extreme_statistic_rejects(spark):
+    rng = np.random.default_rng(8)
+    good = ["\n".join(" ".join(_words(rng, 10)) for _ in range(10)) for _ in range(100)]
+    rows = [(i, t, "en", "s") for i, t in enumerate(good)]
+    part = " ".join(_words(rng, 7))
+    rows.append((200, " ".join([part] * 7 + _words(rng, 51)), "en", "s"))
+    # lines of one word, of five words in all, in an order that repeats no three in a row
+    order, seen = [0, 0], set()
+    while (n := next((x for x in range(4, -1, -1) if (*order[-2:], x) not in seen), None)) is not None:
+        seen.add((*order[-2:], n))
+        order.append(n)
+    five = _words(rng, 5)
+    rows.append((201, "\n".join(five[i] for i in order), "en", "s"))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    by = {r.doc_id: r for r in Q.quality_rules(df).collect()}
+    assert not by[200].base_failed and by[200].n_dup_lines == 0 and not by[200].kept
+    assert not by[201].base_failed and by[201].n_dup_lines > 100
+    assert by[201].n_repeat_words == 0 and not by[201].kept
+    assert all(by[i].kept for i in range(100))
+
+
+def test_consistency_factor():
+    assert Q._chi2_below(11.0705, 5) == pytest.approx(0.95, abs=1e-5)
+    assert Q._chi2_below(30.86, 5) == pytest.approx(0.99999, abs=1e-6)
+    assert Q.consistency_factor(0.75, 5) == pytest.approx(1.41, abs=0.02)
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string, lang string, source string")
     assert Q.quality_rules(df).count() == 0
