@@ -14,13 +14,15 @@ segments between spaces are independent, and repeated segments are encoded once
 
 from __future__ import annotations
 
+import re
 import struct
+from array import array
 from dataclasses import dataclass, field
 
 import ahocorasick
 import numpy as np
 import pandas as pd
-import regex
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,7 +30,7 @@ SPACE = "▁"
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-CACHE = 150_000         # segments in each of two generations
+CACHE = 300_000         # segments in each of two generations
 SLICE = 2000             # rows handed on at once
 PAIRS = 400_000         # pairs of pieces whose stability is kept
 
@@ -130,11 +132,14 @@ class Codec:
         self.no_score = min(self.scores[i] for i in self.index.values()) - 10.0
         used = set("".join(self.index))
         breaks = "".join(c for c in "\t\n\r\x0b\x0c" if c not in used)
-        cls = regex.escape(breaks)
-        self.cut = regex.compile(
+        cls = re.escape(breaks)
+        self.cut = re.compile(
             f"{SPACE}*[^{SPACE}{cls}]+|{SPACE}+" + (f"|[{cls}]" if breaks else "")).findall
-        self.segments: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
+        self.segments: dict[str, bytes] = {}   # ids as 32-bit numbers
+        self.older: dict[str, bytes] = {}
+        self.odd: set[str] = set()              # segments that do not come back when decoded
+        self.size = [len(p) for p in model.pieces]
+        self.chars = {p for p in self.index if len(p) == 1}
         self.pairs: dict[int, bool] = {}
         out = []
         for p, k in zip(model.pieces, model.kinds):
@@ -194,45 +199,37 @@ class Codec:
                 self.pairs[key] = got
         return got
 
-    def _bpe_path(self, text: str) -> tuple[list[int], list[int]]:
-        """Piece that ends at each position, and its start (-1: none, -2: an unknown character).
+    def _bpe_path(self, text: str) -> list[int]:
+        """Piece that ends at each position (-1: none, -2: an unknown character).
 
         Matches come in order of their ends; the longest stable one at each position is kept.
         """
         n = len(text)
-        last, start = [-1] * (n + 1), [0] * (n + 1)
-        now, known = 0, True
-
-        def unknown(at: int) -> None:
-            last[at], start[at] = -2, at - 1
-
+        last = [-1] * (n + 1)
+        if not self.chars.issuperset(text):
+            for i, c in enumerate(text):
+                if c not in self.chars:
+                    last[i + 1] = -2
+        total, pair = len(self.plain), self.pairs.get
         for end, (size, piece) in self.automaton.iter(text):
             i = end + 1
-            if i != now:
-                if not known and last[now] == -1:
-                    unknown(now)
-                for skipped in range(now + 1, i):
-                    unknown(skipped)
-                now, known = i, False
-            if size == 1:
-                known = True
             if last[i] != -1:
                 continue
-            j = i - size
-            if j:
-                before = last[j]
-                if before == -1 or before >= 0 and not self._stable_ids(before, piece):
+            if i > size:
+                before = last[i - size]
+                if before >= 0:
+                    fits = pair(before * total + piece)
+                    if not (self._stable_ids(before, piece) if fits is None else fits):
+                        continue
+                elif before == -1:
                     continue
-            last[i], start[i] = piece, j
-        if not known and last[now] == -1:
-            unknown(now)
-        for skipped in range(now + 1, n + 1):
-            unknown(skipped)
-        return last, start
-
-    def _unigram_path(self, text: str) -> tuple[list[int], list[int]]:
+            last[i] = piece
+        return last
+
+    def _unigram_path(self, text: str) -> list[int]:
+        """Last piece of the best path to each position (-2: an unknown character)."""
         n = len(text)
-        last, start = [-1] * (n + 1), [0] * (n + 1)
+        last = [-1] * (n + 1)
         score = [0.0] + [-np.inf] * n
         ends: list[list[tuple[int, int]]] = [[] for _ in range(n + 1)]
         for end, found in self.automaton.iter(text):
@@ -243,55 +240,74 @@ class Codec:
                 single |= size == 1
                 s = score[i - size] + self.scores[piece]
                 if s > score[i]:
-                    score[i], last[i], start[i] = s, piece, i - size
+                    score[i], last[i] = s, piece
             if not single and score[i - 1] + self.no_score > score[i]:
-                score[i], last[i], start[i] = score[i - 1] + self.no_score, -2, i - 1
-        return last, start
+                score[i], last[i] = score[i - 1] + self.no_score, -2
+        return last
 
     def _path(self, text: str) -> list[int]:
         """Pieces of the best path, from the end back."""
-        bpe = self.m.model_type == BPE
-        last, start = self._bpe_path(text) if bpe else self._unigram_path(text)
+        last = self._bpe_path(text) if self.m.model_type == BPE else self._unigram_path(text)
         out: list[int] = []
         i = len(text)
         while i:
-            if last[i] >= 0:
-                out.append(last[i])
+            piece = last[i]
+            if piece >= 0:
+                out.append(piece)
+                i -= self.size[piece]
             else:
-                out += self.spelled(text[start[i]:i])[::-1]
-            i = start[i]
+                out += self.spelled(text[i - 1])[::-1]
+                i -= 1
         out.reverse()
         return out
 
-    def segment(self, text: str) -> tuple[int, ...]:
+    def segment(self, text: str) -> bytes:
         got = self.segments.get(text) or self.older.get(text)
         if got is None:
             if self.m.model_type == BPE and SPACE * 2 in text:
                 # pieces of spaces may have equal scores, which only merging settles
-                got = tuple(i for p in self.merged(text)[0] for i in (
-                    [self.index[p]] if p in self.index else self.spelled(p)))
+                ids = [i for p in self.merged(text)[0] for i in (
+                    [self.index[p]] if p in self.index else self.spelled(p))]
             else:
-                got = tuple(self._path(text))
+                ids = self._path(text)
+            plain = self.plain
+            if b"".join([plain[i] for i in ids]) != text.replace(SPACE, " ").encode():
+                self.odd.add(text)
+            got = array("i", ids).tobytes()
         if len(self.segments) >= CACHE:
             self.older, self.segments = self.segments, {}
+            self.odd &= self.older.keys()
         self.segments[text] = got
         return got
 
-    def encode(self, text: str | None) -> list[int]:
-        text = text or ""
+    def encode_text(self, text: str | None) -> tuple[bytes, bool]:
+        """Ids of a text as 32-bit numbers, and whether decoding them gives the text back.
+
+        Segments decode one by one, so the text comes back if each of its segments does.
+        """
+        given = text = text or ""
         if self.m.trim_spaces:
-            text = regex.sub(" +", " ", text.strip(" "))
+            text = re.sub(" +", " ", text.strip(" "))
         if not text:
-            return []
+            return b"", not given
+        same = text == given and SPACE not in text and (self.m.dummy_prefix or text[0] != " ")
         text = text.replace(" ", SPACE)
         if self.m.dummy_prefix:
             text = SPACE + text
-        out: list[int] = []
-        for s in self.cut(text):
-            out += self.segments.get(s) or self.segment(s)
+        cut = self.cut(text)
+        known = self.segments.get
+        parts = [known(s) or self.segment(s) for s in cut]
+        ids = b"".join(parts)
         if not self.m.byte_fallback:  # neighbouring unknown characters are one piece
-            out = [x for i, x in enumerate(out) if x != self.unknown or not i or out[i - 1] != x]
-        return out
+            x = np.frombuffer(ids, np.int32)
+            again = (x[1:] == self.unknown) & (x[:-1] == self.unknown)
+            ids = np.delete(x, np.flatnonzero(again) + 1).tobytes()
+        if not same or self.odd and not self.odd.isdisjoint(cut):
+            same = self.decode(np.frombuffer(ids, np.int32)) == given
+        return ids, same
+
+    def encode(self, text: str | None) -> list[int]:
+        return np.frombuffer(self.encode_text(text)[0], np.int32).tolist()
 
     def decode(self, ids) -> str:
         plain = self.plain
@@ -323,19 +339,22 @@ def encode_documents(docs: DataFrame, model_path: str = DEFAULT_MODEL, id_col: s
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(load_model(model_path))
 
-    def run(frames):
+    def run(batches):
         codec = _codec(model_path, shared)
-        for frame in frames:
-            for at in range(0, len(frame), SLICE):
-                f, ids, same = frame.iloc[at:at + SLICE], [], []
-                for t in f["text"]:
-                    got = codec.encode(t)
-                    ids.append(np.array(got, dtype=np.int32))
-                    same.append(codec.decode(got) == (t or ""))
-                yield pd.DataFrame({"id": f["id"], "n_tokens": [len(x) for x in ids],
-                                    "token_ids": ids, "round_trip": same})
-    return rows.mapInPandas(run, f"id {kind}, n_tokens long, token_ids array<int>, round_trip boolean"
-                            ).withColumnRenamed("id", id_col)
+        for batch in batches:
+            for at in range(0, batch.num_rows, SLICE):
+                rows = batch.slice(at, SLICE)
+                found = [codec.encode_text(t) for t in rows.column("text").to_pylist()]
+                n = np.array([len(ids) // 4 for ids, _ in found], dtype=np.int64)
+                ends = np.concatenate(([0], np.cumsum(n))).astype(np.int32)
+                values = np.frombuffer(b"".join([ids for ids, _ in found]), np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column("id"), pa.array(n),
+                     pa.ListArray.from_arrays(pa.array(ends), pa.array(values)),
+                     pa.array([same for _, same in found], pa.bool_())],
+                    names=["id", "n_tokens", "token_ids", "round_trip"])
+    return rows.mapInArrow(run, f"id {kind}, n_tokens long, token_ids array<int>, round_trip boolean"
+                           ).withColumnRenamed("id", id_col)
 
 
 def decode_documents(encoded: DataFrame, model_path: str = DEFAULT_MODEL, id_col: str = "doc_id",

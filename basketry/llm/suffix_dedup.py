@@ -309,6 +309,11 @@ def union_spans(spans) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
+def long_spans(raw: bytes, spans: list[tuple[int, int]], words: int) -> list[tuple[int, int]]:
+    """Spans that hold at least ``words`` words, cut ones included."""
+    return [(a, b) for a, b in spans if not words or len(raw[a:b].split()) >= words]
+
+
 def strip_spans(raw: bytes, spans: list[tuple[int, int]]) -> bytes:
     at, parts = 0, []
     for a, b in spans:
@@ -326,7 +331,7 @@ def _strip(frames):
             "n_removed": [len(t) - len(k) for t, k in zip(frame["text"], kept)],
             "n_spans": [len(s) for s in spans],
             "kept_sha256": [hashlib.sha256(k).hexdigest() for k in kept],
-            "kept_bytes": kept})
+            "kept_text": [k.decode("utf-8", "ignore") for k in kept]})
 
 
 def _matched(docs: DataFrame, id_col: str, text_col: str, found: DataFrame) -> DataFrame:
@@ -339,40 +344,47 @@ def _matched(docs: DataFrame, id_col: str, text_col: str, found: DataFrame) -> D
 
 def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  length: int = LENGTH, gram: int = GRAM, most: int = MOST_ROWS) -> DataFrame:
-    """One row per input row: id, n_bytes, n_removed, n_spans, kept_sha256.
+    """One row per input row: id, n_bytes, n_removed, n_spans, kept_sha256, kept_text.
 
     Every byte that is covered by a string of ``length`` bytes which also starts anywhere else
     is removed (same text included, overlaps count, texts are judged as given). Null text is
     empty. Equal texts of at least ``length`` bytes are removed as a whole, repeated rows
     included; shorter ones are kept. Texts are UTF-8 bytes; n_spans counts maximal removed runs.
+    kept_text is what remains, less bytes left of characters that were cut in two (kept_sha256 is of
+    all remaining bytes).
     Other columns are ignored. An empty table gives no rows.
     """
     found = shared_table(repeat_spans(docs, id_col, text_col, length, gram, most), "spans")
     n = F.col("n_bytes")
     is_whole = (F.size("spans") == 1) & (F.col("spans")[0]["start"] == 0) & (F.col("spans")[0]["end"] == n)
     is_part = F.coalesce(F.size("spans") > 0, F.lit(False))
-    rows = docs.select(F.col(id_col).alias("id"), F.sha2(_raw(text_col), 256).alias("sha"))
+    rows = docs.select(F.col(id_col).alias("id"), F.sha2(_raw(text_col), 256).alias("sha"),
+                       F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     rest = found.filter(~is_part | is_whole).withColumnsRenamed({"id": "id_", "sha": "sha_"})
     plain = rows.join(rest, rows["id"].eqNullSafe(rest["id_"]) & (rows["sha"] == rest["sha_"])).select(
         "id", "n_bytes", F.when(is_part, n).otherwise(0).cast("long").alias("n_removed"),
         F.when(is_part, 1).otherwise(0).cast("long").alias("n_spans"),
-        F.when(is_part, F.lit(EMPTY_SHA)).otherwise(F.col("sha")).alias("kept_sha256"))
+        F.when(is_part, F.lit(EMPTY_SHA)).otherwise(F.col("sha")).alias("kept_sha256"),
+        F.when(is_part, F.lit("")).otherwise(F.col("text")).alias("kept_text"))
     kind = dict(rows.dtypes)["id"]
     part = _matched(docs, id_col, text_col, found.filter(is_part & ~is_whole)).select(
         "id", "text", "spans").mapInPandas(
-            lambda f: (x.drop(columns="kept_bytes") for x in _strip(f)),
-            f"id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+            _strip, f"id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
+            "kept_text string")
     return plain.unionByName(part).withColumnRenamed("id", id_col)
 
 
 def strip_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  length: int = LENGTH) -> DataFrame:
+                  length: int = LENGTH, gram: int = GRAM, words: int = 0) -> DataFrame:
     """``docs`` with repeated strings taken out of the text column; other columns as they are.
 
+    Of the runs of bytes covered by repeated strings, those with at least ``words`` words go.
+
     Bytes left of a character that was cut in two are dropped, so the text stays valid. Rows
     are never dropped: a text that repeats as a whole becomes empty. A null text stays null.
     """
-    found = shared_table(repeat_spans(docs, id_col, text_col, length).filter("size(spans) > 0"), "spans")
+    found = shared_table(repeat_spans(docs, id_col, text_col, length, gram).filter("size(spans) > 0"),
+                         "spans")
     names = [free_name(docs, x) for x in ("id_", "sha_", "spans_")]
     found = found.select("id", "sha", "spans").toDF(*names)
     key, sha, spans_ = (found[x] for x in names)
@@ -382,7 +394,7 @@ def strip_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     @F.pandas_udf("string")
     def cut(text: pd.Series, spans: pd.Series) -> pd.Series:
         return pd.Series([t if t is None or s is None else strip_spans(
-            t.encode(), union_spans(s)).decode("utf-8", "ignore") for t, s in zip(text, spans)],
-            dtype="object")
+            t.encode(), long_spans(t.encode(), union_spans(s), words)).decode("utf-8", "ignore")
+            for t, s in zip(text, spans)], dtype="object")
     return joined.select(*(F.when(spans_.isNull(), docs[c]).otherwise(cut(docs[c], spans_)).alias(c)
                            if c == text_col else docs[c] for c in docs.columns))

@@ -18,10 +18,32 @@ def slow(rows, length):
                 gone[i:i + length] = True
         kept = bytes(x for x, g in zip(b, gone) if not g)
         spans = int((np.diff(np.concatenate(([0], gone.astype(int)))) == 1).sum())
-        out.append((d, len(b), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest()))
+        out.append((d, len(b), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest(),
+                    kept.decode("utf-8", "ignore")))
     return sorted(out, key=str)
 
 
+def slow_strip(rows, length, words):
+    """Texts without the covered runs that hold at least ``words`` words."""
+    raw = [(t or "").encode() for _, t in rows]
+    seen = Counter(b[i:i + length] for b in raw for i in range(len(b) - length + 1))
+    out = {}
+    for (d, _), b in zip(rows, raw):
+        spans = []
+        for i in range(len(b) - length + 1):
+            if seen[b[i:i + length]] > 1:
+                if spans and i <= spans[-1][1]:
+                    spans[-1][1] = i + length
+                else:
+                    spans.append([i, i + length])
+        at, kept = 0, b""
+        for start, end in spans:
+            if len(b[start:end].split()) >= words:
+                kept, at = kept + b[at:start], end
+        out[d] = (kept + b[at:]).decode("utf-8", "ignore")
+    return out
+
+
 def fixture(rng, n=60):
     word = lambda: "".join(rng.choice(list("abcdeé"), rng.integers(1, 6)))
     text = lambda k: " ".join(word() for _ in range(k))
@@ -111,6 +133,30 @@ def test_periodic_runs_that_come_once(spark, most):
     assert [r[2:4] for r in got if r[0] == len(rows) - 1] == [(450, 1)]
 
 
+def test_stripping_by_words(spark):
+    rng = np.random.default_rng(13)
+    prose = [" ".join("".join(rng.choice(list("abcdeé"), rng.integers(1, 9))) for _ in range(400)) for _ in range(6)]
+    words = [p.split() for p in prose]
+    rows = [(i, " ".join(words[i] + words[(i + 1) % 6][20:20 + k]))
+            for i, k in enumerate((70, 51, 50, 30, 52, 200))]
+    rows += [(6, "abcdefgh" * 400), (7, None), (8, "x " * 300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    got = {r.doc_id: r.text or "" for r in S.strip_repeats(df, length=100, gram=32, words=51).collect()}
+    assert got == slow_strip(rows, 100, 51)
+
+
+def test_texts_longer_than_a_chunk_and_text_ids(spark):
+    rng = np.random.default_rng(17)
+    long = bytes(rng.integers(97, 123, S.CHUNK + 3000).astype(np.uint8)).decode()
+    edge = long[S.CHUNK - 500:S.CHUNK + 400]
+    rows = [("long", long), ("edge", edge), ("tail", long[-450:]), ("no", long[:399])]
+    df = spark.createDataFrame(rows, "doc_id string, text string")
+    got = {r.doc_id: r for r in S.suffix_dedup(df).collect()}
+    assert {d: (r.n_removed, r.n_spans) for d, r in got.items()} == {
+        "long": (1350, 2), "edge": (900, 1), "tail": (450, 1), "no": (0, 0)}
+    assert got["long"].kept_text == long[:S.CHUNK - 500] + long[S.CHUNK + 400:-450]
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert S.suffix_dedup(df).count() == 0 and S.strip_repeats(df).count() == 0
