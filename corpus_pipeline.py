@@ -3,7 +3,7 @@
 Each stage takes (spark, docs, sf_dir), works on all rows that the stage before it kept, and
 returns a DataFrame that is written as Parquet and read again as the next stage's ``docs``. All but
 the last return the columns of ``documents``; the last returns the packed pieces. Null texts count as
-empty; an empty table passes through every stage.
+empty; an empty table passes through every stage; other columns pass through whatever their names.
 """
 
 from __future__ import annotations
@@ -31,7 +31,10 @@ def _rows_of(docs: DataFrame, verdict: DataFrame) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and are no outliers of their language and source."""
+    """Documents that pass the base rules and are no outliers of their language and source.
+
+    Null and empty texts fail the base rules. Null languages and sources are groups of their own.
+    """
     return _rows_of(docs, quality_rules(docs))
 
 
@@ -51,19 +54,31 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near-duplicates the row with the least doc_id."""
+    """Of each component of near-duplicates the row with the least doc_id (repeated rows: all).
+
+    Texts without words have the fingerprint zero and are linked like any others.
+    """
     return _rows_of(docs, simhash_components(docs, shingle=4, radius=4))
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the strings of 400 bytes that also start elsewhere; n_chars follows."""
+    """Texts without passages of over 50 words that also stand elsewhere; n_chars follows.
+
+    A passage is a run of bytes covered by strings of 200 bytes that start in two places or more (same
+    text included), so 51 words of four letters or more on average; all its copies go. No row
+    goes: a text that repeats as a whole becomes empty, and a null text stays null.
+    """
     columns = docs.columns
-    return (strip_repeats(docs).withColumn("n_chars", F.char_length("text").cast("long"))
+    return (strip_repeats(docs, length=200, gram=64, words=51)
+            .withColumn("n_chars", F.char_length("text").cast("long"))
             .select(*columns))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents in bins of the permitted sequence lengths."""
+    """Pieces of all documents in bins of the permitted sequence lengths.
+
+    A text without words is one piece, its end mark; repeated rows are packed each.
+    """
     return best_fit_pack(docs, word_tokens(F.col("text")))
 
 
