@@ -4,9 +4,10 @@ Word statistics of a text are array expressions in one scan (no explode, no shuf
 language and source the minimum-covariance-determinant estimate of a transformed statistic
 vector is found by concentration steps: the h rows nearest to the current centre give the
 next centre and covariance, until the determinant no longer falls. Every step is one
-aggregation of the narrow statistic table and a join with one row per group. Several starts
-run side by side; for each group the start with the least determinant counts. A row whose
-Mahalanobis distance exceeds the cut is rejected.
+aggregation of the narrow statistic table and a join with one row per group that has not settled.
+Several starts run side by side; for each group the start with the least determinant counts. A row
+whose Mahalanobis distance exceeds the cut is rejected. Groups with few rows are judged by the
+estimate of all rows of their language, or of all rows.
 
 Statistics are integers in thousandths, so sums are exact and the estimates do not depend on
 partitioning; the h-subset is cut on a fine histogram of distances, never by sorting a group.
@@ -32,6 +33,7 @@ VECTOR = {"x_len": 120, "x_sym": 45, "x_dup": 170, "x_rep": 115, "x_upper": 100}
 STARTS = ("l1", "l2", "max")
 BINS_PER_DOUBLING = 16
 FEW_GROUPS = 20_000     # so many group rows are broadcast, a few MB
+FALL = 1e-6             # a log determinant that falls by less has settled
 
 
 def _let(value: Column, body) -> Column:
@@ -179,12 +181,12 @@ def _nearest(rows: DataFrame, keys: list[str], share: float, few: bool) -> DataF
     return _attach(rows, cut, keys, few).filter("bin <= cut")
 
 
-def mcd(rows: DataFrame, keys: list[str], names: list[str], share: float = 0.75,
-        steps: int = 6) -> DataFrame:
+def mcd(rows: DataFrame, keys: list[str], names: list[str], share: float = 0.75) -> DataFrame:
     """One row per group of ``keys``: size, centre and Cholesky factor of its MCD estimate.
 
     ``keys`` must not be null. Starts are the rows nearest to the coordinate-wise median,
-    scaled by the median absolute deviation, in three norms.
+    scaled by the median absolute deviation, in three norms. A start takes steps until its
+    determinant no longer falls.
     """
     p = len(names)
     centre = shared_table(rows.groupBy(*keys).agg(
@@ -205,17 +207,61 @@ def mcd(rows: DataFrame, keys: list[str], names: list[str], share: float = 0.75,
                .select(*keys, *names, "s.start", "s.d2"))
     by = [*keys, "start"]
     now = shared_table(_estimate(_nearest(started, by, share, few), by, names), "mcd-0")
-    for step in range(1, steps + 1):
+    settled, step = [], 0
+    while not now.isEmpty():
+        step += 1
         far = _attach(rows, now, keys, few)
         for name, col in _distance(names):
             far = far.withColumn(name, col)
         far = far.select(*by, *names, "d2")
-        now = shared_table(_estimate(_nearest(far, by, share, few), by, names), f"mcd-{step}")
-    best = now.groupBy(*keys).agg(F.min_by(F.struct(*now.columns), F.struct("log_det", "start"))
-                                  .alias("b")).select("b.*")
+        before = now.select(*by, F.col("log_det").alias("before"))
+        after = shared_table(_estimate(_nearest(far, by, share, few), by, names).join(before, by)
+                             .withColumn("falls", F.col("before") - F.col("log_det") > FALL),
+                             f"mcd-{step}")
+        settled.append(now.join(after.filter("not falls").select(*by), by, "left_semi"))
+        now = after.filter("falls").drop("before", "falls")
+    ended = reduce(DataFrame.unionByName, settled) if settled else now
+    ended = shared_table(ended, "mcd-ends")
+    best = ended.groupBy(*keys).agg(F.min_by(F.struct(*ended.columns), F.struct("log_det", "start"))
+                                    .alias("b")).select("b.*")
     return best.join(spread.select(*keys, "size"), keys)
 
 
+def judging_groups(rows: DataFrame, keys: list[str], least: int) -> tuple[DataFrame, list[str]]:
+    """Each group of ``keys`` with the group it is judged by, in the columns returned.
+
+    That is the group itself if it has ``least`` rows, else the first coarser one that has (the last
+    keys become ``*``), at last all rows.
+    """
+    sizes = shared_table(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n0")), "group-sizes")
+    out, levels = sizes, len(keys)
+    for k in range(1, levels):
+        part = keys[:levels - k]
+        out = out.join(sizes.groupBy(*part).agg(F.sum("n0").alias(f"n{k}")), part)
+    judges = [f"j_{i}" for i in range(levels)]
+    level = F.lit(levels)
+    for k in range(levels - 1, -1, -1):
+        level = F.when(F.col(f"n{k}") >= least, F.lit(k)).otherwise(level)
+    out = out.withColumn("level", level).withColumns({
+        j: F.when(F.lit(i) < levels - F.col("level"), F.col(k)).otherwise(F.lit("*"))
+        for i, (j, k) in enumerate(zip(judges, keys))})
+    return shared_table(out.select(*keys, *judges), "judging-groups"), judges
+
+
+def _members(rows: DataFrame, groups: DataFrame, keys: list[str], judges: list[str],
+             names: list[str], few: bool) -> DataFrame:
+    """Rows of the judging groups; a row belongs to its own and to coarser ones that judge some group."""
+    coarse = groups.filter(F.col(judges[-1]) == "*")
+    if coarse.isEmpty():
+        return rows.select(*(F.col(k).alias(j) for k, j in zip(keys, judges)), *names)
+    own = [F.struct(*(F.col(k).alias(j) if i < upto else F.lit("*").alias(j)
+                      for i, (k, j) in enumerate(zip(keys, judges))))
+           for upto in range(len(keys), -1, -1)]
+    each = rows.select(F.explode(F.array(*own)).alias("j"), *names).select("j.*", *names)
+    wanted = groups.select(*judges).distinct()
+    return each.join(F.broadcast(wanted) if few else wanted, judges, "left_semi")
+
+
 def _chi2_below(x: float, p: int) -> float:
     """Chance that a chi-square of ``p`` degrees of freedom is at most ``x``."""
     a, term, total, k = p / 2, 1.0, 1.0, 0
@@ -265,8 +311,8 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     chi-square with five degrees of freedom). Variances are those of the subset times its
     consistency factor, or the squared floors of VECTOR where greater. The estimates use all rows
     that pass the base rules. Null language or source is a group of its own. Groups with fewer
-    than ``least_group`` such rows have no estimate: their rows are judged by the base rules
-    only (distance2 is null). Null or empty text has no words and fails the base rules.
+    than ``least_group`` such rows are judged by the estimate of all rows of their language, or, if
+    that has too few as well, of all rows. Null or empty text has no words and fails the base rules.
     Repeated rows each count. Other columns are ignored. An empty table gives no rows.
     """
     keys = [f"g_{i}" for i in range(len(group_cols))]
@@ -277,9 +323,12 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     stats = text_statistics(given, "_text").drop("_text")
     stats = stats.withColumn("base_failed", base_failed()).withColumns(_vector())
     stats = shared_table(stats.select("_id", *keys, *BASE, "base_failed", *names), "statistics")
-    found = mcd(stats.filter("not base_failed").select(*keys, *names), keys, names, share)
-    found = shared_table(_judging(found.filter(F.col("size") >= least_group), names, share), "mcd")
-    far = _attach(stats, found, keys, found.count() <= FEW_GROUPS, "left")
+    passed = stats.filter("not base_failed").select(*keys, *names)
+    groups, judges = judging_groups(passed, keys, least_group)
+    few = groups.count() <= FEW_GROUPS
+    found = mcd(_members(passed, groups, keys, judges, names, few), judges, names, share)
+    found = groups.join(_judging(found, names, share), judges).drop(*judges)
+    far = _attach(stats, shared_table(found, "mcd"), keys, few, "left")
     for name, col in _distance(names):
         far = far.withColumn(name, col)
     return far.select(

@@ -35,24 +35,28 @@ def test_statistics_match_brute_force(spark):
         assert tuple(r[c] for c in Q.BASE) == slow_statistics(texts[r.doc_id]), repr(texts[r.doc_id])
 
 
-def slow_mcd(x, names, share, steps=6):
+def slow_mcd(x, names, share):
     """Concentration steps in NumPy, with the same starts and the same histogram cut."""
     floor = np.array([Q.VECTOR[n] for n in names], float)
     centre = np.median(x, axis=0)
     z = np.abs(x - centre) / np.maximum(1.4826 * np.median(np.round(np.abs(x - centre)), axis=0), floor)
     best = None
     for name, d2 in (("l1", z.sum(1)), ("l2", (z * z).sum(1)), ("max", z.max(1))):
-        for _ in range(steps + 1):
+        last = None
+        while True:
             bins = np.floor(np.log2(d2 + 1e-3) * Q.BINS_PER_DOUBLING).astype(int)
             cut = np.sort(bins)[math.ceil(len(x) * share) - 1]
             part = x[bins <= cut].astype(float)
             m = part.mean(0)
             cov = part.T @ part / len(part) - np.outer(m, m) + np.diag(floor ** 2)
+            det = np.linalg.slogdet(cov)[1]
+            if last is not None and not last[0] - det > Q.FALL:
+                break
             y = np.linalg.solve(np.linalg.cholesky(cov), (x - m).T)
             d2 = (y * y).sum(0)
-        det = np.linalg.slogdet(cov)[1]
-        if best is None or (det, name) < best[:2]:
-            best = (det, name, d2)
+            last = (det, name, d2)
+        if best is None or last[:2] < best[:2]:
+            best = last
     return best[2]
 
 
@@ -91,10 +95,41 @@ def test_rules_nulls_and_small_groups(spark):
     assert len(got) == len(rows)
     by = {r.doc_id: r for r in got}
     assert all(by[i].kept for i in range(80)) and not any(by[80 + i].kept for i in range(3))
-    assert by[500].kept and by[500].distance2 is None
+    assert by[500].kept and by[500].distance2 is not None
     assert [(by[i].kept, by[i].base_failed) for i in (501, 502, 503)] == [(False, True)] * 3
 
 
+def test_small_groups_are_judged_by_coarser_ones(spark):
+    rng = np.random.default_rng(6)
+    names = list(Q.VECTOR)
+
+    def rows(k, lang, source, mean):
+        x = np.round(rng.multivariate_normal(mean, np.diag([9e4, 1e4, 1e3, 4e4, 4e4]), k)).astype(int)
+        return [(lang, source, *map(int, r)) for r in x]
+
+    low, high = [1500, 100, 0, 200, 300], [3000, 900, 0, 300, 300]
+    given = (rows(80, "=a", "=big", low) + rows(9, "=a", "=s1", high) + rows(5, "=a", "null", high)
+             + rows(60, "=b", "=big", low) + rows(3, "=c", "=s1", high))
+    df = spark.createDataFrame(given, ["g_0", "g_1", *names])
+    groups, judges = Q.judging_groups(df, ["g_0", "g_1"], 50)
+    assert {tuple(r) for r in groups.collect()} == {
+        ("=a", "=big", "=a", "=big"), ("=a", "=s1", "=a", "*"), ("=a", "null", "=a", "*"),
+        ("=b", "=big", "=b", "=big"), ("=c", "=s1", "*", "*")}
+    found = Q.mcd(Q._members(df, groups, ["g_0", "g_1"], judges, names, True), judges, names)
+    sizes = {(r.j_0, r.j_1): r["size"] for r in found.collect()}
+    assert sizes == {("=a", "=big"): 80, ("=a", "*"): 94, ("=b", "=big"): 60, ("*", "*"): 157}
+
+
+def test_every_text_that_passes_has_a_distance(spark):
+    rng = np.random.default_rng(7)
+    rows = [(f"id{i}", " ".join(_words(rng, 60)), "en" if i % 2 else None, f"s{i}", 1, "x") for i in range(12)]
+    rows.append(("long", " ".join(_words(rng, 60)) + " word" * 40 + "\n" + "ab " * 300_000, "en", "s0", 1, "x"))
+    df = spark.createDataFrame(rows, "doc_id string, text string, lang string, source string, j_0 int, d2 string")
+    got = Q.quality_rules(df).collect()
+    assert len(got) == 13 and all(r.distance2 is not None for r in got if not r.base_failed)
+    assert sum(r.base_failed for r in got) == 1
+
+
 def _words(rng, n):
     return ["".join(rng.choice(list("abcdefghij"), rng.integers(4, 8))) for _ in range(n)]
 
