@@ -1,104 +1,17 @@
-"""Exact nearest-neighbour jobs: KNN imputation (P10) and SMOTE.
+"""Jobs on exact nearest neighbours: KNN imputation (P10) and SMOTE.
 
-A stated set of query rows (rows with gaps; rows of a small class) is compared with all
-reference rows, in blocks: both sides are packed into blocks of bounded size, each task
-takes a block of queries and a block of references, computes distances with NumPy from
-coordinate differences, and passes on the k nearest of the block for each query. A ranked window
-with a limit then keeps the k nearest of all. Nothing passes through the driver, and no pair is
-emitted beyond the k of a block.
+The search itself, with its pruning, is ``neighbours.exact_knn``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from ..session import cut_lineage
-
-QUERY_ROWS = 2048
-REFERENCE_ROWS = 65536
-
-
-def _blocks(df: DataFrame, cols: Sequence[str], rows: int, name: str) -> tuple[DataFrame, int]:
-    """Rows (_rid, _tie, cols…, _val) packed as bytes, about ``rows`` to a block."""
-    n = max(1, -(-df.count() // rows))
-
-    def pack(frame):
-        return pd.DataFrame({
-            f"{name}_block": [int(frame["_b"].iloc[0])],
-            f"{name}_rid": [frame["_rid"].to_numpy(np.int64).tobytes()],
-            f"{name}_tie": [frame["_tie"].to_numpy(np.int64).tobytes()],
-            f"{name}_vec": [frame[list(cols)].to_numpy(float).tobytes()],
-            f"{name}_val": [frame["_val"].to_numpy(float).tobytes()]})
-
-    packed = (df.withColumn("_b", F.pmod(F.xxhash64("_rid"), F.lit(n)).cast("int"))
-                .groupBy("_b").applyInPandas(
-                    pack, ", ".join([f"{name}_block int"]
-                                    + [f"{name}_{x} binary" for x in ("rid", "tie", "vec", "val")])))
-    return packed, n
-
-
-def _nearest_in_blocks(d: int, k: int, exclude_same: bool):
-    def distances(q, r):
-        """Euclidean over the coordinates both have, scaled up to all d; inf if there are none."""
-        total = np.zeros((len(q), len(r)))
-        both = np.zeros((len(q), len(r)))
-        for i in range(d):
-            gap = q[:, i][:, None] - r[:, i][None, :]
-            has = ~np.isnan(gap)
-            total += np.where(has, gap * gap, 0.0)
-            both += has
-        with np.errstate(divide="ignore", invalid="ignore"):
-            return np.where(both > 0, np.sqrt(total * (d / both)), np.inf)
-
-    def run(frames):
-        for frame in frames:
-            for row in frame.itertuples(index=False):
-                q_rid, r_rid = (np.frombuffer(x, np.int64) for x in (row.q_rid, row.r_rid))
-                r_tie, r_val = np.frombuffer(row.r_tie, np.int64), np.frombuffer(row.r_val, float)
-                q = np.frombuffer(row.q_vec, float).reshape(-1, d)
-                r = np.frombuffer(row.r_vec, float).reshape(-1, d)
-                out = []
-                for at in range(0, len(q), 32):
-                    dist = distances(q[at:at + 32], r)
-                    if exclude_same:
-                        dist[q_rid[at:at + 32][:, None] == r_rid[None, :]] = np.inf
-                    for i, x in enumerate(dist):
-                        edge = np.partition(x, k - 1)[k - 1] if len(x) > k else np.inf
-                        near = np.flatnonzero((x <= edge) & np.isfinite(x))
-                        best = near[np.lexsort((r_rid[near], r_tie[near], x[near]))][:k]
-                        out.append(pd.DataFrame({
-                            "q_rid": q_rid[at + i], "distance": x[best], "tie": r_tie[best],
-                            "r_rid": r_rid[best], "val": r_val[best]}))
-                yield pd.concat(out, ignore_index=True)
-    return run
-
-
-def exact_knn(reference: DataFrame, queries: DataFrame, cols: Sequence[str], k: int = 5,
-              exclude_same: bool = False) -> DataFrame:
-    """(q_rid, rank, distance, r_rid, val): the k nearest reference rows of every query row.
-
-    Both frames have a row id ``_rid``, a tie-break number ``_tie``, the coordinates ``cols`` (null:
-    unknown) and a payload ``_val``. Order: distance, tie-break number, row id. Queries that
-    share no coordinate with any reference row get no row.
-    """
-    cols = list(cols)
-    shape = ["_rid", "_tie", *[F.col(c).cast("double").alias(c) for c in cols],
-             F.col("_val").cast("double").alias("_val")]
-    qb, _ = _blocks(queries.select(*shape), cols, QUERY_ROWS, "q")
-    rb, n_ref = _blocks(reference.select(*shape), cols, REFERENCE_ROWS, "r")
-    pairs = (qb.withColumn("r_block", F.explode(F.sequence(F.lit(0), F.lit(n_ref - 1))))
-               .join(rb, "r_block"))
-    found = pairs.mapInPandas(_nearest_in_blocks(len(cols), k, exclude_same),
-                              "q_rid long, distance double, tie long, r_rid long, val double")
-    w = W.partitionBy("q_rid").orderBy("distance", "tie", "r_rid")
-    return (found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-                 .select("q_rid", "rank", "distance", "r_rid", "val"))
+from .neighbours import exact_knn
 
 
 def knn_impute(df: DataFrame, cols: Sequence[str], key: Sequence[str], k: int = 5) -> DataFrame:

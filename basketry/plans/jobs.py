@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from ..functions import calendar as C
 from ..models import estimators as L
 from ..models import prep as Mp
+from ..models import search as S
 from ..models import tuning as T
 from ..operators import aggregates as A
 from ..operators import clean as P
@@ -270,50 +271,116 @@ def forecast_scoring_job(spark, sf_dir) -> DataFrame:
 
 
 # ---------------------------------------------------------------- E9–E13
-def grid_search_job(spark, sf_dir) -> DataFrame:
-    """Grid search, 5-fold validation, for logistic regression on churn features."""
+# Settings of the reference's searches, as MLlib has them (depth None: its most, 30).
+FOREST_GRID = {"numTrees": [100, 200, 300], "maxDepth": [10, 30], "minInstancesPerNode": [1, 2]}
+BOOSTED_GRID = {"maxIter": [100, 200], "stepSize": [0.05, 0.1], "maxDepth": [3, 5]}
+SVC_GRID = {"regParam": [1.0, 0.1]}
+FOREST_SPACE = {"numTrees": S.IntRange(100, 500), "maxDepth": S.IntRange(5, 30),
+                "minInstancesPerNode": S.IntRange(1, 10),
+                "featureSubsetStrategy": ["sqrt", "log2", "all"]}
+BOOSTED_SPACE = {"maxIter": S.IntRange(100, 1000), "stepSize": S.RealRange(0.01, 0.3),
+                 "maxDepth": S.IntRange(3, 15), "minInstancesPerNode": S.IntRange(1, 10),
+                 "subsamplingRate": S.RealRange(0.5, 1.0)}
+WALK_GRIDS = {"logistic_regression": {"regParam": [0.01, 0.1, 0.5], "maxIter": [10, 20, 50]},
+              "random_forest": {"numTrees": [50, 100, 200], "maxDepth": [5, 10, 15]},
+              "gradient_boosting": {"maxIter": [10, 50, 100], "maxDepth": [5, 10, 15]}}
+
+# Settings of the registered queries: as many draws and folds, but models of a tenth of the size or
+# less, since a fit of MLlib takes seconds even on a small table (README, "Model sizes").
+QUERY_FOREST_GRID = {"numTrees": [10, 20, 30], "maxDepth": [3, 6], "minInstancesPerNode": [1, 2]}
+QUERY_BOOSTED_GRID = {"maxIter": [5, 10], "stepSize": [0.05, 0.1], "maxDepth": [3, 5]}
+QUERY_FOREST_SPACE = FOREST_SPACE | {"numTrees": S.IntRange(5, 25), "maxDepth": S.IntRange(3, 8)}
+QUERY_BOOSTED_SPACE = BOOSTED_SPACE | {"maxIter": S.IntRange(5, 15), "maxDepth": S.IntRange(3, 5)}
+QUERY_WALK_GRIDS = {"logistic_regression": WALK_GRIDS["logistic_regression"],
+                    "random_forest": {"numTrees": [10], "maxDepth": [3, 6]},
+                    "gradient_boosting": {"maxIter": [5], "maxDepth": [3, 5]}}
+
+
+def study_path(spark: SparkSession, name: str) -> str:
+    """A new folder for a study; a killed study goes on if it is started on its old one."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/studies/{name}-{uuid.uuid4().hex}"
+
+
+def churn_matrix(spark, sf_dir, folds: int) -> DataFrame:
     feats = churn_features(spark, sf_dir)
-    x = Mp.feature_pipeline(CHURN_NUMERIC, CHURN_CATEGORICAL).fit(feats).transform(feats).cache()
-    est = L.classifiers(label="churn")["logistic_regression"]
-    grid = T.param_grid(est, {"regParam": [0.01, 0.1, 1.0, 10.0], "elasticNetParam": [0.0, 0.5]})
-    _, trials = T.cross_validate(est, grid, T.auc_evaluator("churn"), x, ["customer_id"],
-                                 folds=5, parallelism=8)
-    return trials
-
-
-def random_search_job(spark, sf_dir, n_iter: int = 50, folds: int = 5) -> DataFrame:
-    """Randomised search (E10): ``n_iter`` draws, ``folds``-fold validation each."""
-    feats = churn_features(spark, sf_dir)
-    x = Mp.feature_pipeline(CHURN_NUMERIC, CHURN_CATEGORICAL).fit(feats).transform(feats).cache()
-    est = L.classifiers(label="churn")["decision_tree"]
-    space = {"maxDepth": [3, 4, 5, 6, 8, 10], "minInstancesPerNode": [1, 2, 4],
-             "maxBins": [16, 32, 64], "impurity": ["gini", "entropy"]}
-    maps = T.sampled_param_maps(est, space, n_iter=n_iter)
-    _, trials = T.cross_validate(est, maps, T.auc_evaluator("churn"), x, ["customer_id"],
-                                 folds=folds, parallelism=8)
-    # the trials table is the study record: written as JSON to shared storage (IO7)
-    from ..sources import files as IO
-    path = IO.shared_path(spark, "studies", f"random-search-{uuid.uuid4().hex}")
-    IO.write_table(trials.coalesce(1), path, fmt="json")
-    return spark.read.schema(trials.schema).json(path)
-
-
-def walk_forward_job(spark, sf_dir, folds: int = 10) -> DataFrame:
-    """Walk-forward validation of the daily forecast model, tuned within each fold."""
-    d = forecast_features(spark, sf_dir).withColumnRenamed("y", "label")
-    x = VectorAssembler(inputCols=FORECAST_NUMERIC, outputCol="features").transform(d)
-    est = L.regressors()["linear_regression"]
-    maps = T.param_grid(est, {"regParam": [0.0, 0.1, 1.0]})
-    return T.walk_forward(est, x, "ds", T.regression_evaluator(), folds=folds, param_maps=maps)
-
-
-def learning_curve_job(spark, sf_dir) -> DataFrame:
-    """Train / test RMSE for growing shares of the training days."""
-    d = forecast_features(spark, sf_dir).withColumnRenamed("y", "label")
-    x = VectorAssembler(inputCols=FORECAST_NUMERIC, outputCol="features").transform(d)
-    train, test = Mp.time_split(x, "ds", 0.8)
-    est = L.regressors()["linear_regression"]
-    return T.learning_curve(est, train, test, T.regression_evaluator(), ["ds"])
+    x = Mp.feature_pipeline(CHURN_NUMERIC, CHURN_CATEGORICAL).fit(feats).transform(feats)
+    return S.matrix(x, "features", "churn", ["customer_id"], folds)
+
+
+def forecast_matrix(spark, sf_dir, folds: int, label: str = "y", cuts: int = 1) -> DataFrame:
+    """Day rows; ``cut`` is the day's place among ``cuts`` parts of equal numbers of days."""
+    d = forecast_features(spark, sf_dir)
+    d = d.withColumn("up", (F.col("y") > F.col("rolling_mean_7_lag1")).cast("double"))
+    place = Wn.time_index(d.select("ds"), ["ds"], out="place")  # day grain: bounded by the calendar
+    d = d.join(place, "ds")
+    n = F.lit(d.count())
+    return S.matrix(d, FORECAST_NUMERIC, label, ["ds"], folds,
+                    cut=F.floor(F.col("place") * cuts / n))
+
+
+def grid_search_job(spark, sf_dir, folds: int = 5, forest: dict = QUERY_FOREST_GRID,
+                    boosted: dict = QUERY_BOOSTED_GRID, svc: dict = SVC_GRID,
+                    path: str | None = None) -> DataFrame:
+    """Grids over forests, a linear SVC and boosted trees, for churn (area under ROC) and daily sales
+    (RMSE): a row per task, model, setting and fold (E9, E11)."""
+    path = path or study_path(spark, "grid")
+    c, r = L.classifiers(), L.regressors()
+    churn = S.cross_validated(churn_matrix(spark, sf_dir, folds), "churn", [
+        S.Family("random_forest", c["random_forest"], S.grid(forest)),
+        S.Family("linear_svc", c["linear_svc"], S.grid(svc))],
+        T.auc_evaluator("label"), folds, path)
+    sales = S.cross_validated(forecast_matrix(spark, sf_dir, folds), "forecast", [
+        S.Family("random_forest", r["random_forest"], S.grid(forest)),
+        S.Family("gradient_boosting", r["gradient_boosting"], S.grid(boosted))],
+        T.regression_evaluator(), folds, path)
+    return churn.unionByName(sales).select("task", "model", "setting", "fold", "n_train", "n_valid",
+                                           "metric")
+
+
+def random_search_job(spark, sf_dir, n_iter: int = 50, folds: int = 5,
+                      forest: dict = QUERY_FOREST_SPACE, boosted: dict = QUERY_BOOSTED_SPACE,
+                      path: str | None = None) -> DataFrame:
+    """``n_iter`` settings drawn from the forest's and the boosted trees' ranges, half each, for churn:
+    a row per setting and fold (E10). The study's table is its record (IO7)."""
+    path = path or study_path(spark, "random")
+    c = L.classifiers()
+    return S.cross_validated(churn_matrix(spark, sf_dir, folds), "churn", [
+        S.Family("random_forest", c["random_forest"], S.draws(forest, n_iter // 2)),
+        S.Family("gradient_boosting", c["gradient_boosting"], S.draws(boosted, n_iter - n_iter // 2))],
+        T.auc_evaluator("label"), folds, path).select(
+            "task", "model", "setting", "fold", "n_train", "n_valid", "metric")
+
+
+def walk_forward_job(spark, sf_dir, cuts: int = 11, inner_folds: int = 3,
+                     grids: dict = QUERY_WALK_GRIDS, path: str | None = None) -> DataFrame:
+    """Walk-forward validation of three classifiers (is a day's sales above the mean of the seven days
+    before), each tuned by inner folds on the days before the cut: a row per model and cut (E12)."""
+    path = path or study_path(spark, "walk-forward")
+    c = L.classifiers()
+    x = forecast_matrix(spark, sf_dir, inner_folds, "up", cuts)
+    families = [S.Family(m, c[m], S.grid(g)) for m, g in grids.items()]
+    return S.walk_forward(x, "up_day", families, T.auc_evaluator("label"), range(1, cuts), inner_folds,
+                          path).select("model", "cut", "setting", "n_train", "n_valid",
+                                       "inner_metric", "metric")
+
+
+def learning_curve_job(spark, sf_dir, folds: int = 5, path: str | None = None) -> DataFrame:
+    """Training and validation RMSE of the daily forecast for ten nested sample sizes, over folds."""
+    path = path or study_path(spark, "learning-curve")
+    x = forecast_matrix(spark, sf_dir, folds)
+    return S.learning_curve(x, "forecast", S.Family("linear_regression", L.regressors()["linear_regression"]),
+                            T.regression_evaluator(), folds, path)
+
+
+def nested_samples_job(spark, sf_dir, folds: int = 5) -> DataFrame:
+    """Rows that the learning curve trains on and scores, by size and fold."""
+    x = forecast_matrix(spark, sf_dir, folds)
+    sizes = F.explode(F.array(*[F.lit(i / 10) for i in range(1, 11)]))
+    each = x.select("fold", "draw", F.explode(F.sequence(F.lit(0), F.lit(folds - 1))).alias("held")).select(
+        "*", sizes.alias("fraction"))
+    inside = (F.col("fold") != F.col("held")) & (F.col("draw") < F.round(F.col("fraction") * 2 ** 32))
+    return each.groupBy("fraction", F.col("held").alias("fold")).agg(
+        F.count_if(inside).alias("n_train"), F.count_if(F.col("fold") == F.col("held")).alias("n_valid"))
 
 
 # ---------------------------------------------------------------- L15, A38, T4
@@ -355,15 +422,29 @@ def feature_selection_job(spark, sf_dir, k: int = 5) -> DataFrame:
 
 
 # ---------------------------------------------------------------- E28, E29, E30
+CATEGORY_DAY_NUMERIC = ["y", "lag_1", "lag_2", "lag_3", "rolling_mean_3", "rolling_std_3"]
+
+
+def category_day_features(daily: DataFrame) -> DataFrame:
+    """Lags and rolling statistics of the categories' day series; null on the first days of each."""
+    d = Wn.lag_features(daily, "y", [1, 2, 3], order=["ds"], partition=["product_category"])
+    return Wn.rolling_stats(d, "y", [3], order=["ds"], partition=["product_category"])
+
+
+def filled_category_days(daily: DataFrame) -> DataFrame:
+    """The same without gaps: filled from the five nearest days of any category."""
+    from ..models.resample import knn_impute
+    return knn_impute(category_day_features(daily), CATEGORY_DAY_NUMERIC,
+                      key=["product_category", "ds"], k=5)
+
+
 def basic_features_job(spark, sf_dir) -> DataFrame:
-    """Calendar → monthly trend → CLV → days between → variety → seasonal → KNN
-    fill → z-score → lags → rolling (E28), per transaction line.
+    """Calendar → monthly trend → CLV → days between → variety → seasonal →
+    z-score → lags → rolling → KNN fill (E28), per transaction line.
 
-    The nearest-neighbour fill runs on the customer-grain feature table (one
-    row per customer, the grain where these features live), not on lines:
-    exact kNN costs |rows with gaps| × |complete rows|, so the grain matters.
+    The gaps are those of the day series (first days of each category, which have no lags); they
+    are filled at that grain, where the features live, before they are joined to the lines.
     """
-    from ..models.resample import knn_impute
     cols = ["transaction_id", "line_number", "product_id", "supplier_id", "customer_id",
             "transaction_date", "quantity", "extended_price", "total_sales", "product_category"]
     tx = transactions(spark, sf_dir, cols)
@@ -380,14 +461,10 @@ def basic_features_job(spark, sf_dir) -> DataFrame:
     cust_num = ["avg_order_value", "purchase_frequency", "lifespan_days",
                 "customer_lifetime_value"]
     cust = A.customer_lifetime_value(tx)
-    cust = knn_impute(cust.withColumns({c: F.col(c).cast("double") for c in cust_num}),
-                      cust_num, key=["customer_id"], k=5)
     cust = Mp.zscore(cust, cust_num, suffix="_z")
     d = d.join(cust, "customer_id", "left")
     d = Mp.zscore(d, ["quantity", "total_sales", "days_between_purchases"], suffix="_z")
-    daily = A.daily_sales(tx, keys=["product_category"])
-    daily = Wn.lag_features(daily, "y", [1, 2, 3], order=["ds"], partition=["product_category"])
-    daily = Wn.rolling_stats(daily, "y", [3], order=["ds"], partition=["product_category"])
+    daily = filled_category_days(A.daily_sales(tx, keys=["product_category"]))
     return d.join(daily.withColumnRenamed("ds", "transaction_date").drop("y"),
                   ["product_category", "transaction_date"], "left")
 

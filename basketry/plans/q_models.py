@@ -5,44 +5,62 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..models.prep import key_number_sql
 from ..models.resample import knn_impute, smote
+from ..operators import aggregates as A
 from ..operators import windows as Wn
+from ..session import cut_lineage
 from ..sources.tables import transactions, tx_sql
 from . import jobs as J
 from .q_customers import RFM_CTE
-from .q_time import REGION_DAILY_CTE, region_daily
+from .q_time import DAILY_CTE, REGION_DAILY_CTE, region_daily
 from .registry import R, query, rounded
 
 _SAMPLE_COLS = ["transaction_id", "line_number", "product_id", "supplier_id", "quantity",
                 "total_sales"]
 _KNN_COLS = ["y", "lag_1", "lag_7", "lag_30"]
-_Z = {"y": "zy", "lag_1": "z1", "lag_7": "z7", "lag_30": "z30"}
 
 
-def _knn_sql() -> str:
-    """Per column: donors are the rows that have it; distance over the coordinates both rows have."""
-    stats = ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in _KNN_COLS)
-    zs = ", ".join(f"({c} - m_{c}) / s_{c} AS {_Z[c]}" for c in _KNN_COLS)
-    both = " + ".join(f"CAST(q.{z} IS NOT NULL AND d.{z} IS NOT NULL AS INTEGER)" for z in _Z.values())
-    sq = " + ".join(f"coalesce((q.{z} - d.{z}) * (q.{z} - d.{z}), 0)" for z in _Z.values())
+def _knn_sql(source: str, key: str, cols: list[str], where: str = "") -> str:
+    """Per column: donors are the rows that have it; distance over the coordinates both rows have.
+
+    ``source``: CTEs that end in ``f`` with ``key``, ds and ``cols``.
+    """
+    z = {c: f"z{i}" for i, c in enumerate(cols)}
+    stats = ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in cols)
+    zs = ", ".join(f"({c} - m_{c}) / s_{c} AS {z[c]}" for c in cols)
+    both = " + ".join(f"CAST(q.{x} IS NOT NULL AND d.{x} IS NOT NULL AS INTEGER)" for x in z.values())
+    sq = " + ".join(f"coalesce((q.{x} - d.{x}) * (q.{x} - d.{x}), 0)" for x in z.values())
     fills = ",\n".join(f"""f_{c} AS (
-  SELECT region, ds, avg(val) AS fill FROM (
-    SELECT q.region, q.ds, d.{c} AS val, row_number() OVER (PARTITION BY q.region, q.ds ORDER BY
-             sqrt(({sq}) * {len(_KNN_COLS)}.0 / ({both})), d.region, d.ds) AS rn
+  SELECT {key}, ds, avg(val) AS fill FROM (
+    SELECT q.{key}, q.ds, d.{c} AS val, row_number() OVER (PARTITION BY q.{key}, q.ds ORDER BY
+             sqrt(({sq}) * {len(cols)}.0 / ({both})), d.{key}, d.ds) AS rn
     FROM z q, z d WHERE q.{c} IS NULL AND d.{c} IS NOT NULL AND ({both}) > 0)
-  WHERE rn <= 5 GROUP BY 1, 2)""" for c in _KNN_COLS)
-    joins = " ".join(f"LEFT JOIN f_{c} ON f_{c}.region = z.region AND f_{c}.ds = z.ds" for c in _KNN_COLS)
-    outs = ", ".join(f"{R(f'coalesce(z.{c}, f_{c}.fill, st.m_{c})')} AS {c}" for c in _KNN_COLS)
-    return f"""WITH {REGION_DAILY_CTE},
-f AS (SELECT region, ds, y, lag(y, 1) OVER w AS lag_1, lag(y, 7) OVER w AS lag_7, lag(y, 30) OVER w AS lag_30
-      FROM d WINDOW w AS (PARTITION BY region ORDER BY ds)),
+  WHERE rn <= 5 GROUP BY 1, 2)""" for c in cols)
+    joins = " ".join(f"LEFT JOIN f_{c} ON f_{c}.{key} = z.{key} AND f_{c}.ds = z.ds" for c in cols)
+    outs = ", ".join(f"{R(f'coalesce(z.{c}, f_{c}.fill, st.m_{c})')} AS {c}" for c in cols)
+    return f"""WITH {source},
 st AS (SELECT {stats} FROM f),
 z AS (SELECT f.*, {zs} FROM f, st),
 {fills}
-SELECT z.region, z.ds, {outs} FROM z CROSS JOIN st {joins}"""
+SELECT z.{key}, z.ds, {outs} FROM z CROSS JOIN st {joins} {where}"""
+
+
+_REGION_LAGS = f"""{REGION_DAILY_CTE},
+f AS (SELECT region, ds, y, lag(y, 1) OVER w AS lag_1, lag(y, 7) OVER w AS lag_7, lag(y, 30) OVER w AS lag_30
+      FROM d WINDOW w AS (PARTITION BY region ORDER BY ds))"""
 
+_CATEGORY_LAGS = f"""tx AS ({tx_sql(["product_category", "transaction_date", "total_sales"])}),
+d AS (SELECT product_category, transaction_date AS ds, sum(total_sales) AS y FROM tx
+      WHERE product_category IS NOT NULL AND transaction_date IS NOT NULL GROUP BY 1, 2),
+f AS (SELECT product_category, ds, y, lag(y, 1) OVER w AS lag_1, lag(y, 2) OVER w AS lag_2,
+        lag(y, 3) OVER w AS lag_3, CASE WHEN count(y) OVER r = 3 THEN avg(y) OVER r END AS rolling_mean_3,
+        CASE WHEN count(y) OVER r = 3 THEN stddev_samp(y) OVER r END AS rolling_std_3
+      FROM d WINDOW w AS (PARTITION BY product_category ORDER BY ds),
+        r AS (PARTITION BY product_category ORDER BY ds ROWS BETWEEN 2 PRECEDING AND CURRENT ROW))"""
 
-@query("knn_imputed_lags", _knn_sql(), covers=("P10",))
+
+@query("knn_imputed_lags", _knn_sql(_REGION_LAGS, "region", _KNN_COLS), covers=("P10",))
 def q_knn_imputed_lags(spark, sf_dir):
     d = Wn.lag_features(region_daily(spark, sf_dir), "y", [1, 7, 30], order=["ds"],
                         partition=["region"])
@@ -50,6 +68,20 @@ def q_knn_imputed_lags(spark, sf_dir):
     return rounded(out.select("region", "ds", *_KNN_COLS), {c: 4 for c in _KNN_COLS})
 
 
+@query("category_day_gaps_filled", _knn_sql(_CATEGORY_LAGS, "product_category", J.CATEGORY_DAY_NUMERIC,
+                                            "WHERE z.lag_3 IS NULL OR z.rolling_std_3 IS NULL"),
+       covers=("E28", "P10"))
+def q_category_day_gaps_filled(spark, sf_dir):
+    """The rows that the fill of the basic feature table changes, as filled."""
+    tx = transactions(spark, sf_dir, ["product_category", "transaction_date", "total_sales"])
+    daily = cut_lineage(A.daily_sales(tx, keys=["product_category"]))
+    gaps = J.category_day_features(daily).where("lag_3 IS NULL OR rolling_std_3 IS NULL")
+    out = J.filled_category_days(daily).join(gaps.select("product_category", "ds"),
+                                             ["product_category", "ds"], "left_semi")
+    return rounded(out.select("product_category", "ds", *J.CATEGORY_DAY_NUMERIC),
+                   {c: 4 for c in J.CATEGORY_DAY_NUMERIC})
+
+
 @query("churn_models", covers=("E19", "L5", "L6", "L7", "M11", "M14", "M2", "M5", "M6",
                                "E3", "E6"))
 def q_churn_models(spark, sf_dir):
@@ -129,6 +161,17 @@ def q_walk_forward_validation(spark, sf_dir):
     return J.walk_forward_job(spark, sf_dir)
 
 
+@query("learning_curve_samples", f"""WITH {DAILY_CTE},
+r AS (SELECT ds, row_number() OVER (ORDER BY ds) AS i FROM d),
+x AS (SELECT {key_number_sql(["ds"], 42)} % 5 AS fold, {key_number_sql(["ds"], 43)} AS draw FROM r WHERE i > 7)
+SELECT p.i / 10.0::DOUBLE AS fraction, h.held::INTEGER AS fold,
+  count(*) FILTER (x.fold <> h.held AND x.draw < round(p.i / 10.0::DOUBLE * 4294967296)) AS n_train,
+  count(*) FILTER (x.fold = h.held) AS n_valid
+FROM x, range(1, 11) p(i), range(5) h(held) GROUP BY 1, 2""", covers=("E13", "M12"))
+def q_learning_curve_samples(spark, sf_dir):
+    return J.nested_samples_job(spark, sf_dir)
+
+
 @query("learning_curve", covers=("E13",))
 def q_learning_curve(spark, sf_dir):
     return J.learning_curve_job(spark, sf_dir)

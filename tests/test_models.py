@@ -6,15 +6,15 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from basketry.models import prep as Mp
-from basketry.models import resample
-from basketry.models.resample import exact_knn, knn_impute, smote
+from basketry.models.neighbours import exact_knn
+from basketry.models.resample import knn_impute, smote
 from basketry.plans import jobs as J
 from basketry.streaming.channel_stream import run_to_files
 from basketry.operators import aggregates as A
 from basketry.operators import metrics as M
 
 
-def test_exact_knn_matches_numpy(spark, monkeypatch):
+def test_exact_knn_matches_numpy(spark):
     rng = np.random.default_rng(3)
     ref = rng.normal(size=(300, 3))
     qs = rng.normal(size=(20, 3))
@@ -23,9 +23,7 @@ def test_exact_knn_matches_numpy(spark, monkeypatch):
     rdf = spark.createDataFrame([(i, *map(float, r), i, 0.0) for i, r in enumerate(ref)], shape)
     qdf = spark.createDataFrame([(i, *[None if np.isnan(v) else float(v) for v in r], i, None)
                                  for i, r in enumerate(qs)], shape)
-    monkeypatch.setattr(resample, "QUERY_ROWS", 7)
-    monkeypatch.setattr(resample, "REFERENCE_ROWS", 50)
-    got = exact_knn(rdf, qdf, ["a", "b", "c"], k=4).collect()
+    got = exact_knn(rdf, qdf, ["a", "b", "c"], k=4, rows=16).collect()
     by_q = {}
     for r in got:
         by_q.setdefault(r.q_rid, []).append((r["rank"], r.r_rid))
