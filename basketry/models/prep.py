@@ -120,25 +120,49 @@ def select_k_best(k: int, features: str = "features", label: str = "label",
     return sel
 
 
+def frequency_bins(df: DataFrame, columns: Sequence[str], bins: int) -> dict[str, list[float]]:
+    """Least value of each equal-frequency bin of each column, exactly.
+
+    A value's bin is its rank among the rows (the number of smaller ones) · bins / rows, rounded down,
+    so equal values share a bin. The ranks are prefix counts over distinct values; at most
+    ``bins`` numbers a column reach the driver.
+    """
+    from ..operators.windows import segmented_prefix_sums
+    stack = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in columns)
+    long = df.selectExpr(f"stack({len(columns)}, {stack}) AS (column, v)").where("v IS NOT NULL")
+    counts = long.groupBy("column", "v").agg(F.count(F.lit(1)).alias("n"))
+    ranked = segmented_prefix_sums(counts, ["column"], ["v"], ["n"], prefix="below")
+    total = counts.groupBy("column").agg(F.sum("n").alias("rows"))
+    bin_ = F.expr(f"below_n * {int(bins)} div rows")
+    cuts = ranked.join(F.broadcast(total), "column").groupBy("column", bin_.alias("bin")).agg(
+        F.min("v").alias("least"))
+    out: dict[str, list[float]] = {c: [] for c in columns}
+    for r in cuts.orderBy("column", "bin").collect():
+        out[r["column"]].append(float(r["least"]))
+    return out
+
+
 def mutual_information(df: DataFrame, features: Sequence[str], label: str, bins: int = 10,
                        label_bins: int | None = 10) -> DataFrame:
     """Mutual information (nats) between each feature and the label.
 
-    Features (and a continuous label) are cut into equal-frequency bins from
-    approximate quantiles; joint and marginal counts are one grouped
-    aggregation over (feature, bin, label bin); MI = Σ p·ln(p / (p_x·p_y)).
+    Features (and a continuous label) are cut into exact equal-frequency bins; joint and marginal
+    counts are one grouped aggregation over (feature, bin, label bin); MI = Σ p·ln(p / (p_x·p_y)).
+    Rows without a label take no part; a missing feature is a bin of its own.
     """
-    def binned(c: str, nb: int) -> Column:
-        qs = [i / nb for i in range(1, nb)]
-        cuts = sorted(set(df.approxQuantile(c, qs, 0.001)))
-        arr = F.array(*[F.lit(float(b)) for b in cuts]) if cuts else F.array().cast("array<double>")
-        return F.size(F.filter(arr, lambda b: b < F.col(c).cast("double")))
+    rows = df.where(F.col(label).isNotNull())
+    cuts = frequency_bins(rows, [*features, *([label] if label_bins == bins else [])], bins)
+    if label_bins and label_bins != bins:
+        cuts |= frequency_bins(rows, [label], label_bins)
+
+    def binned(c: str) -> Column:
+        arr = F.array(*[F.lit(b) for b in cuts[c]]) if cuts[c] else F.array().cast("array<double>")
+        return F.coalesce(F.size(F.filter(arr, lambda b: b <= F.col(c).cast("double"))), F.lit(0))
 
-    ylab = binned(label, label_bins) if label_bins else F.col(label)
+    ylab = binned(label) if label_bins else F.col(label)
     stack = ", ".join(f"'{c}', CAST(`_b_{c}` AS INT)" for c in features)
-    d = (df.where(F.col(label).isNotNull())
-           .select(ylab.alias("_y"), *[binned(c, bins).alias(f"_b_{c}") for c in features])
-           .selectExpr("_y", f"stack({len(features)}, {stack}) AS (feature, bin)"))
+    d = (rows.select(ylab.alias("_y"), *[binned(c).alias(f"_b_{c}") for c in features])
+             .selectExpr("_y", f"stack({len(features)}, {stack}) AS (feature, bin)"))
     joint = d.groupBy("feature", "bin", "_y").agg(F.count(F.lit(1)).alias("n_xy"))
     px = joint.groupBy("feature", "bin").agg(F.sum("n_xy").alias("n_x"))
     py = joint.groupBy("feature", "_y").agg(F.sum("n_xy").alias("n_y"))

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .windows import prefix_sums
+from .windows import prefix_sums, segmented_prefix_sums
 
 
 def _long(df: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
@@ -109,25 +109,29 @@ def confusion_matrix(df: DataFrame, label: str, pred: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- E6
-def roc_auc(df: DataFrame, label: str, score: str, by_buckets: int | None = None) -> DataFrame:
-    """Exact ROC AUC (ties count one half) from the rank-sum statistic.
+def roc_auc(df: DataFrame, label: str, score: str, by_buckets: int | None = None,
+            by: Sequence[str] = ()) -> DataFrame:
+    """Exact ROC AUC (ties count one half) from the rank-sum statistic, per group of ``by``.
 
     Rows collapse to distinct scores with positive / negative counts (a
     partial aggregation), the count of rows below each score is a
-    distributed prefix sum over score-range buckets, and the rank sum is
-    one more aggregation — no global sort of the rows. Null for a single class.
+    distributed prefix sum over score ranges, and the rank sum is
+    one more aggregation — no global sort of the rows. All groups (models) go in one pass.
+    Null for a single class.
     """
+    by = list(by)
     d = (df.where(F.col(label).isNotNull() & F.col(score).isNotNull())
-           .groupBy(F.col(score).alias("_s")).agg(
+           .groupBy(*by, F.col(score).alias("_s")).agg(
                F.sum(F.when(F.col(label) == 1, 1).otherwise(0)).cast("long").alias("_pos"),
                F.count(F.lit(1)).alias("_all")))
-    d = prefix_sums(d, "_s", ["_all"], buckets=by_buckets, prefix="below")
+    d = (segmented_prefix_sums(d, by, ["_s"], ["_all"], prefix="below") if by
+         else prefix_sums(d, "_s", ["_all"], buckets=by_buckets, prefix="below"))
     mid_rank = F.col("below__all") + (F.col("_all") + 1) / 2.0
-    tot = d.agg(F.sum(F.col("_pos") * mid_rank).alias("rank_sum"),
-                F.sum("_pos").alias("n_pos"), F.sum("_all").alias("n_all"))
+    tot = d.groupBy(*by).agg(F.sum(F.col("_pos") * mid_rank).alias("rank_sum"),
+                             F.sum("_pos").alias("n_pos"), F.sum("_all").alias("n_all"))
     npos, nneg = F.col("n_pos").cast("double"), (F.col("n_all") - F.col("n_pos")).cast("double")
     return tot.select(
-        F.try_divide(F.col("rank_sum") - npos * (npos + 1) / 2, npos * nneg).alias("roc_auc"),
+        *by, F.try_divide(F.col("rank_sum") - npos * (npos + 1) / 2, npos * nneg).alias("roc_auc"),
         F.col("n_pos").cast("long").alias("n_pos"), (F.col("n_all") - F.col("n_pos")).cast("long")
         .alias("n_neg"))
 
@@ -211,29 +215,37 @@ def normal_quantile_sql(p: str) -> str:
             f"THEN {high} ELSE {mid} END")
 
 
-def residual_table(df: DataFrame, y: str, yhat: str, order: Sequence[str]) -> DataFrame:
-    """Residual, √|standardised residual|, time index, and normal Q-Q points.
+def residual_table(df: DataFrame, y: str, yhat: str, order: Sequence[str],
+                   by: Sequence[str] = ()) -> DataFrame:
+    """Residual, √|standardised residual|, time index, and normal Q-Q points, per group of ``by``.
 
     Q-Q: the i-th smallest residual against the normal quantile of the
     Filliben order-statistic median (1 − 0.5^(1/n) at i=1, 0.5^(1/n) at
-    i=n, (i − 0.3175)/(n + 0.365) between). Used on day-grain series, so
-    the global orderings below are bounded by the calendar.
+    i=n, (i − 0.3175)/(n + 0.365) between). Both ranks are segmented prefix counts, so rows of any
+    grain and number will do; ``order`` must be unique within a group.
     """
-    d = df.where(F.col(y).isNotNull() & F.col(yhat).isNotNull()).withColumn(
-        "residual", F.col(y) - F.col(yhat))
-    sd = d.select(F.stddev_pop("residual")).scalar()
-    n = d.select(F.count(F.lit(1))).scalar()
+    by = list(by)
+    d = df.where(F.col(y).isNotNull() & F.col(yhat).isNotNull()).withColumns({
+        "residual": F.col(y) - F.col(yhat), "_one": F.lit(1)})
+    d = segmented_prefix_sums(d, by, order, ["_one"], prefix="_at")
+    d = segmented_prefix_sums(d, by, ["residual", *order], ["_one"], prefix="_rank")
+    stats = d.groupBy(*by).agg(F.stddev_pop("residual").alias("_sd"), F.count(F.lit(1)).alias("_n"))
+    if by:
+        stats = stats.select(*[F.col(c).alias(f"_g_{c}") for c in by], "_sd", "_n")
+        same = F.lit(True)
+        for c in by:
+            same = same & F.col(c).eqNullSafe(F.col(f"_g_{c}"))
+        d = d.join(stats, same).drop(*[f"_g_{c}" for c in by])
+    else:
+        d = d.withColumns({"_sd": stats.select("_sd").scalar(), "_n": stats.select("_n").scalar()})
     d = d.withColumns({
-        "std_residual_sqrt": F.sqrt(F.abs(F.try_divide(F.col("residual"), sd))),
-        "index": F.row_number().over(W.orderBy(*order)) - 1,
-    })
-    i = F.row_number().over(W.orderBy("residual", *order))
+        "std_residual_sqrt": F.sqrt(F.abs(F.try_divide(F.col("residual"), F.col("_sd")))),
+        "index": F.col("_at__one").cast("int"), "residual_rank": (F.col("_rank__one") + 1).cast("int")})
+    i, n = F.col("residual_rank"), F.col("_n")
     mn = F.pow(F.lit(0.5), 1.0 / n)
-    d = d.withColumn("_i", i)
-    m = (F.when(F.col("_i") == 1, 1 - mn).when(F.col("_i") == n, mn)
-          .otherwise((F.col("_i") - 0.3175) / (n + 0.365)))
-    return d.withColumn("theoretical_quantile", normal_quantile(m)).withColumnRenamed(
-        "_i", "residual_rank")
+    m = (F.when(i == 1, 1 - mn).when(i == n, mn).otherwise((i - 0.3175) / (n + 0.365)))
+    return d.withColumn("theoretical_quantile", normal_quantile(m)).drop(
+        "_one", "_at__one", "_rank__one", "_sd", "_n")
 
 
 # ---------------------------------------------------------------- L17, L18

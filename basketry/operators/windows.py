@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from ..session import cut_lineage
+
 
 def _window(partition: Sequence[str], order: Sequence[str]):
     w = W.partitionBy(*partition) if partition else W.partitionBy()
@@ -221,3 +223,29 @@ def prefix_sums(df: DataFrame, order: str, values: Sequence[str], buckets: int |
     d = d.withColumns({f"{prefix}_{v}": F.col(f"_o_{v}") + F.coalesce(F.sum(v).over(wl), F.lit(0))
                        for v in values})
     return d.drop("_bk", *[f"_o_{v}" for v in values])
+
+
+def segmented_prefix_sums(df: DataFrame, by: Sequence[str], order: Sequence[str], values: Sequence[str],
+                          prefix: str = "cum", rows: int = ROWS_PER_BUCKET) -> DataFrame:
+    """Exclusive running sums of ``values`` within each group of ``by``, in the order of ``order``.
+
+    Rows are dealt by ranges of (by, order), so a group of any size spans as many tasks as it
+    needs; each task adds up its own part of a group, and the parts' totals give the offsets. ``order``
+    must be unique within a group for the sums to be unambiguous; it decides where ranges are cut, so
+    equal rows stay together. Null is a group. Windows never see more than one range.
+    """
+    by, order = list(by), list(order)
+    n = max(1, -(-df.count() // rows))
+    d = cut_lineage(df.repartitionByRange(n, *by, *order).withColumn("_part", F.spark_partition_id()))
+    totals = d.groupBy(*by, "_part").agg(*[F.sum(v).alias(f"_t_{v}") for v in values])
+    before = W.partitionBy(*by).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    offsets = totals.select(*[F.col(c).alias(f"_b_{c}") for c in by], F.col("_part").alias("_p"),
+                            *[F.coalesce(F.sum(f"_t_{v}").over(before), F.lit(0)).alias(f"_o_{v}")
+                              for v in values])
+    same = F.col("_part") == F.col("_p")
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_b_{c}"))
+    local = W.partitionBy(*by, "_part").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    out = d.join(offsets, same).withColumns({
+        f"{prefix}_{v}": F.col(f"_o_{v}") + F.coalesce(F.sum(v).over(local), F.lit(0)) for v in values})
+    return out.drop("_part", "_p", *[f"_b_{c}" for c in by], *[f"_o_{v}" for v in values])

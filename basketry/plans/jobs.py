@@ -23,6 +23,7 @@ from ..models import search as S
 from ..models import tuning as T
 from ..operators import aggregates as A
 from ..operators import clean as P
+from ..operators import least_squares as Q
 from ..operators import metrics as M
 from ..operators import windows as Wn
 from ..session import cut_lineage, ensure_checkpoint_dir
@@ -411,14 +412,18 @@ def stacking_job(spark, sf_dir) -> DataFrame:
 
 # ---------------------------------------------------------------- M8
 def feature_selection_job(spark, sf_dir, k: int = 5) -> DataFrame:
-    """F-test top-k and mutual information of the forecast features (M8)."""
+    """Mutual information of the forecast features, and the top k by it and by F-test (M8)."""
     d = forecast_features(spark, sf_dir).withColumnRenamed("y", "label")
     mi = Mp.mutual_information(d, FORECAST_NUMERIC, "label")
     x = VectorAssembler(inputCols=FORECAST_NUMERIC, outputCol="features").transform(d)
     sel = Mp.select_k_best(k).fit(x)
     chosen = {FORECAST_NUMERIC[i] for i in sel.selectedFeatures}
     flag = F.col("feature").isin(*chosen) if chosen else F.lit(False)
-    return mi.withColumn("f_test_selected", flag.cast("int"))
+    best = mi.orderBy(F.desc(F.round("mutual_information", 9)), "feature").limit(k).select(
+        "feature", F.lit(1).alias("mi_selected"))
+    return (mi.join(F.broadcast(best), "feature", "left")
+              .withColumns({"mi_selected": F.coalesce("mi_selected", F.lit(0)),
+                            "f_test_selected": flag.cast("int")}))
 
 
 # ---------------------------------------------------------------- E28, E29, E30
@@ -525,16 +530,28 @@ def baseline_job(spark, sf_dir) -> DataFrame:
 
 # ---------------------------------------------------------------- A40
 def cubic_trend_job(spark, sf_dir) -> DataFrame:
-    """Cubic polynomial trend of monthly demand: least squares on t, t², t³."""
+    """Cubic polynomial trend of monthly demand: least squares on powers of the time index."""
     tx = transactions(spark, sf_dir, ["transaction_date", "total_sales", "discount_applied",
                                       "unit_price"])
-    m = A.product_demand_by_month(tx)
-    m = m.withColumns({"t1": F.col("time_index").cast("double"),
-                       "t2": F.pow(F.col("time_index"), 2), "t3": F.pow(F.col("time_index"), 3)})
-    x = VectorAssembler(inputCols=["t1", "t2", "t3"], outputCol="features").transform(m)
-    model = L.LinearRegression(featuresCol="features", labelCol="sales", solver="normal").fit(x)
-    return model.transform(x).select("month", "time_index", "sales",
-                                     F.col("prediction").alias("cubic_trend"))
+    m = cut_lineage(A.product_demand_by_month(tx))
+    span = m.agg(F.min("time_index"), F.max("time_index")).first()  # one row
+    low, high = (F.lit(float(x or 0)) for x in span)
+    terms = Q.polynomial_terms(F.col("time_index").cast("double"), low, high, 3)
+    model = Q.grouped_fit(m, terms, F.col("sales"))  # one row
+    return m.join(F.broadcast(model)).select(
+        "month", "time_index", "sales", Q.fitted(terms).alias("cubic_trend"))
+
+
+# ---------------------------------------------------------------- L12
+SERIES = ["region", "market_segment"]
+
+
+def series_forecasts_job(spark, sf_dir, horizon: int = 30) -> DataFrame:
+    """Day forecasts of every region and market segment, all series in one job."""
+    from ..operators.timeseries import SEASONALITIES
+    tx = transactions(spark, sf_dir, [*SERIES, "transaction_date", "total_sales"])
+    return Q.seasonal_forecasts(cut_lineage(A.daily_sales(tx, keys=SERIES)), SERIES, SEASONALITIES,
+                                horizon=horizon)
 
 
 # ---------------------------------------------------------------- M3, M10

@@ -14,7 +14,7 @@ from ..sources.tables import transactions, tx_sql
 from . import jobs as J
 from .q_customers import RFM_CTE
 from .q_time import DAILY_CTE, REGION_DAILY_CTE, region_daily
-from .registry import R, query, rounded
+from .registry import R, S, query, rnd, rounded, sigd
 
 _SAMPLE_COLS = ["transaction_id", "line_number", "product_id", "supplier_id", "quantity",
                 "total_sales"]
@@ -187,9 +187,89 @@ def q_stacked_forecast(spark, sf_dir):
     return J.stacking_job(spark, sf_dir)
 
 
-@query("feature_selection", covers=("M8",))
+_FORECAST_CTE = f"""{DAILY_CTE},
+f AS (SELECT * FROM (
+  SELECT ds, y, year(ds) AS year, month(ds) AS month, day(ds) AS day, isodow(ds) - 1 AS day_of_week,
+    CAST(isodow(ds) >= 6 AS INTEGER) AS is_weekend, dayofyear(ds) AS day_of_year,
+    lag(y, 1) OVER w AS lag_1, lag(y, 7) OVER w AS lag_7,
+    CASE WHEN count(y) OVER r = 7 THEN avg(y) OVER r END AS rolling_mean_7_lag1,
+    CASE WHEN count(y) OVER r = 7 THEN stddev_samp(y) OVER r END AS rolling_std_7_lag1
+  FROM d WINDOW w AS (ORDER BY ds), r AS (ORDER BY ds ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING))
+  WHERE lag_7 IS NOT NULL AND rolling_std_7_lag1 IS NOT NULL)"""
+
+
+@query("feature_selection", f"""WITH {_FORECAST_CTE},
+x AS ({" UNION ALL ".join(f"SELECT ds, y, '{c}' AS feature, CAST({c} AS DOUBLE) AS v FROM f"
+                          for c in J.FORECAST_NUMERIC)}),
+b AS (SELECT feature, v, y, (rank() OVER (PARTITION BY feature ORDER BY v) - 1) * 10 // count(*) OVER p AS bx,
+        (rank() OVER (PARTITION BY feature ORDER BY y) - 1) * 10 // count(*) OVER p AS b_y
+      FROM x WINDOW p AS (PARTITION BY feature)),
+c AS (SELECT feature, bx, b_y, count(*) AS n FROM b GROUP BY 1, 2, 3),
+e AS (SELECT feature, n, sum(n) OVER (PARTITION BY feature, bx) AS nx, sum(n) OVER (PARTITION BY feature, b_y) AS ny,
+        sum(n) OVER (PARTITION BY feature) AS total FROM c),
+mi AS (SELECT feature, sum(n / total * ln(n * total / (nx * ny))) AS mi FROM e GROUP BY 1),
+r AS (SELECT feature, corr(v, y) AS r FROM x GROUP BY 1)
+SELECT feature, {R("mi", 8)} AS mutual_information,
+  CAST(row_number() OVER (ORDER BY round(mi, 9) DESC, feature) <= 5 AS INTEGER) AS mi_selected,
+  CAST(row_number() OVER (ORDER BY r * r DESC) <= 5 AS INTEGER) AS f_test_selected
+FROM mi JOIN r USING (feature)""", covers=("M8",))
 def q_feature_selection(spark, sf_dir):
-    return J.feature_selection_job(spark, sf_dir)
+    return rounded(J.feature_selection_job(spark, sf_dir), {"mutual_information": 8})
+
+
+@query("category_sales_quartiles", f"""WITH tx AS ({tx_sql(["product_category", "total_sales"])})
+{" UNION ALL ".join(f"""SELECT product_category, {q}::DOUBLE AS quantile,
+  {R(f"quantile_cont(total_sales, {q})")} AS value FROM tx WHERE total_sales IS NOT NULL GROUP BY 1"""
+  for q in (0.25, 0.5, 0.75))}""", covers=("A28", "P13"))
+def q_category_sales_quartiles(spark, sf_dir):
+    """Exact quartiles of an unbounded column, whatever the size of a category."""
+    from ..operators.quantiles import exact_quantiles
+    tx = transactions(spark, sf_dir, ["product_category", "total_sales"])
+    return rounded(exact_quantiles(tx, "total_sales", [0.25, 0.5, 0.75], ["product_category"]), {"value": 4})
+
+
+_SCORES = ["recency", "frequency", "monetary", "tenure"]
+
+
+@query("churn_score_auc", f"""WITH {RFM_CTE},
+x AS ({" UNION ALL ".join(f"SELECT '{c}' AS model, CAST({c} AS DOUBLE) AS score, churn FROM rfm" for c in _SCORES)}),
+k AS (SELECT model, churn, rank() OVER (PARTITION BY model ORDER BY score)
+        + (count(*) OVER (PARTITION BY model, score) - 1) / 2.0 AS mid FROM x),
+t AS (SELECT model, sum(mid) FILTER (churn = 1) AS s, count(*) FILTER (churn = 1) AS n_pos,
+        count(*) FILTER (churn = 0) AS n_neg FROM k GROUP BY 1)
+SELECT model, {R("(s - n_pos * (n_pos + 1) / 2.0) / (n_pos * n_neg)", 9)} AS roc_auc, n_pos, n_neg FROM t""",
+       covers=("E6",))
+def q_churn_score_auc(spark, sf_dir):
+    """Area under ROC of several scores of every customer, all in one pass."""
+    from ..operators.metrics import roc_auc
+    from .q_customers import rfm_frame
+    stack = ", ".join(f"'{c}', CAST({c} AS DOUBLE)" for c in _SCORES)
+    long = rfm_frame(spark, sf_dir).selectExpr("churn", f"stack({len(_SCORES)}, {stack}) AS (model, score)")
+    return rounded(roc_auc(long, "churn", "score", by=["model"]), {"roc_auc": 9})
+
+
+_LINE = ["transaction_id", "line_number", "product_id", "supplier_id"]
+
+
+@query("line_residual_ranks", f"""WITH tx AS ({tx_sql([*_LINE, "region", "quantity", "total_sales"])}),
+x AS (SELECT *, {R("total_sales")} - {R("avg(total_sales) OVER (PARTITION BY product_id)")} AS raw FROM tx
+      WHERE total_sales IS NOT NULL AND product_id IS NOT NULL),
+r AS (SELECT *, round(raw, 4) AS residual FROM x)
+SELECT region, transaction_id, line_number, product_id, supplier_id, residual,
+  CAST(row_number() OVER (PARTITION BY region ORDER BY {", ".join(_LINE)}, quantity, residual) - 1 AS INTEGER) AS index,
+  CAST(row_number() OVER (PARTITION BY region ORDER BY residual, {", ".join(_LINE)}, quantity) AS INTEGER)
+    AS residual_rank
+FROM r""", covers=("E15",))
+def q_line_residual_ranks(spark, sf_dir):
+    """Residuals of all lines against their product's mean, ranked within each region."""
+    from ..operators.metrics import residual_table
+    tx = transactions(spark, sf_dir, [*_LINE, "region", "quantity", "total_sales"])
+    tx = tx.where("total_sales IS NOT NULL AND product_id IS NOT NULL")
+    mean = tx.groupBy("product_id").agg(rnd(F.avg("total_sales")).alias("mean"))
+    d = tx.join(mean, "product_id").withColumn(
+        "gap", F.round(rnd(F.col("total_sales").cast("double")) - F.col("mean"), 4)).withColumn("zero", F.lit(0.0))
+    out = residual_table(d, "gap", "zero", order=[*_LINE, "quantity", "gap"], by=["region"])
+    return out.select("region", *_LINE, "residual", "index", "residual_rank")
 
 
 @query("basic_feature_table", covers=("E28", "F1", "A10", "A9", "W8", "A12", "A11", "P10", "M1",
@@ -226,9 +306,52 @@ def q_sampled_lines(spark, sf_dir):
     return rounded(out, {"quantity": 4, "total_sales": 4})
 
 
-@query("cubic_demand_trend", covers=("A40", "A27"))
+def _cubic_sql() -> str:
+    """Cubic fit by orthogonal polynomials: each is the last times u, made orthogonal to the two before."""
+    steps = ["p1 AS (SELECT *, 1.0::DOUBLE AS q0, u - avg(u) OVER () AS q1 FROM u)"]
+    for k in (2, 3):
+        steps.append(f"""p{k} AS (SELECT *, (u - sum(u * q{k-1} * q{k-1}) OVER () / sum(q{k-1} * q{k-1}) OVER ()) * q{k-1}
+  - sum(q{k-1} * q{k-1}) OVER () / sum(q{k-2} * q{k-2}) OVER () * q{k-2} AS q{k} FROM p{k-1})""")
+    fit = " + ".join(f"sum(sales * q{k}) OVER () / sum(q{k} * q{k}) OVER () * q{k}" for k in range(4))
+    return f"""WITH tx AS ({tx_sql(["transaction_date", "total_sales"])}),
+m AS (SELECT month, sales, row_number() OVER (ORDER BY month) - 1 AS t FROM (
+  SELECT CAST(date_trunc('month', transaction_date) AS DATE) AS month,
+    CAST(sum(CAST(total_sales AS DECIMAL(18,4))) AS DOUBLE) AS sales
+  FROM tx WHERE transaction_date IS NOT NULL GROUP BY 1)),
+u AS (SELECT *, (2.0 * t - min(t) OVER () - max(t) OVER ()) / (max(t) OVER () - min(t) OVER ()) AS u FROM m),
+{", ".join(steps)},
+v AS (SELECT month, t, sales, {fit} AS trend FROM p3)
+SELECT month, CAST(t AS INTEGER) AS time_index, {R("sales")} AS sales, {S("trend", 8)} AS cubic_trend FROM v"""
+
+
+@query("cubic_demand_trend", _cubic_sql(), covers=("A40", "A27"))
 def q_cubic_demand_trend(spark, sf_dir):
-    return J.cubic_trend_job(spark, sf_dir)
+    return sigd(rounded(J.cubic_trend_job(spark, sf_dir), {"sales": 4}), ["cubic_trend"], 8)
+
+
+@query("series_forecasts", covers=("L12", "E26"))
+def q_series_forecasts(spark, sf_dir):
+    return J.series_forecasts_job(spark, sf_dir)
+
+
+@query("series_forecast_moments", f"""WITH tx AS ({tx_sql([*J.SERIES, "transaction_date", "total_sales"])}),
+d AS (SELECT region, market_segment, transaction_date AS ds, sum(total_sales) AS y FROM tx
+      WHERE region IS NOT NULL AND market_segment IS NOT NULL AND transaction_date IS NOT NULL GROUP BY 1, 2, 3),
+t AS (SELECT *, CAST(date_diff('day', min(ds) OVER (), ds) AS DOUBLE) AS t FROM d)
+SELECT region, market_segment, count(*) AS n_days, {S("avg(y)", 6)} AS mean_fit, {S("avg(y * t)", 6)} AS trend_moment,
+  {R("avg(y * sin(2 * pi() * t / 7)) / avg(y)", 5)} AS week_moment,
+  {R("avg(y * cos(2 * pi() * t / 365.25)) / avg(y)", 5)} AS year_moment
+FROM t GROUP BY 1, 2""", covers=("L12",))
+def q_series_forecast_moments(spark, sf_dir):
+    """What least squares must keep: the fit's moments with its own terms are those of the data."""
+    f = J.series_forecasts_job(spark, sf_dir).where("y IS NOT NULL")
+    t = F.datediff("ds", f.select(F.min("ds")).scalar()).cast("double")
+    mean = F.avg("yhat")
+    out = f.withColumn("t", t).groupBy(*J.SERIES).agg(
+        F.count(F.lit(1)).alias("n_days"), mean.alias("mean_fit"), F.avg(F.col("yhat") * F.col("t")).alias("trend_moment"),
+        (F.avg(F.col("yhat") * F.sin(2 * F.pi() * F.col("t") / 7)) / mean).alias("week_moment"),
+        (F.avg(F.col("yhat") * F.cos(2 * F.pi() * F.col("t") / 365.25)) / mean).alias("year_moment"))
+    return rounded(sigd(out, ["mean_fit", "trend_moment"], 6), {"week_moment": 5, "year_moment": 5})
 
 
 @query("unknown_level_encoding", covers=("M3", "M10"))
