@@ -27,7 +27,7 @@ from .common import free_name, in_blocks, partitions_for, shared_table
 from .run_index import long_matches
 
 LENGTH = 400
-GRAM = 96
+GRAM = 160
 MULTIPLIER = 0x9E3779B97F4A7C15 | 1
 CHUNK = 1 << 22         # windows handled at once in a very long text
 PLACE = 24              # bits of a place inside a chunk
