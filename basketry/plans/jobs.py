@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +18,7 @@ from pyspark.sql import functions as F
 from ..functions import calendar as C
 from ..models import estimators as L
 from ..models import prep as Mp
+from ..models import registry as Reg
 from ..models import search as S
 from ..models import tuning as T
 from ..operators import aggregates as A
@@ -233,41 +233,55 @@ def model_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/models/{name}-{uuid.uuid4().hex}"
 
 
-def scoring_job(spark, sf_dir, k: int = 4) -> DataFrame:
-    """Fit churn (GBT) and segment (k-means) models, persist them to the shared
-    folder, load them back and score every customer in one pass: churn
+def fit_and_register(spark, folder: str, task: str, pipelines: dict, train: DataFrame, test: DataFrame,
+                     evaluator) -> None:
+    """Fit the pipelines on train, score them on test and register them."""
+    for name, pipeline in pipelines.items():
+        model = pipeline.fit(train)
+        value = evaluator.evaluate(model.transform(test))
+        Reg.register(spark, folder, task, name, evaluator.getMetricName(), value, model,
+                     evaluator.isLargerBetter())
+
+
+def scoring_job(spark, sf_dir, k: int = 4, folder: str | None = None) -> DataFrame:
+    """Register churn models (logistic regression, boosted trees) and a segment model (k-means) in the
+    shared folder, load the best of each task and score every customer in one pass: churn
     probability, risk tier and segment."""
     from pyspark.ml import Pipeline
+    folder = folder or model_path(spark, "registry")
     feats = churn_features(spark, sf_dir)
-    pre = Mp.feature_pipeline(CHURN_NUMERIC, CHURN_CATEGORICAL)
-    gbt = L.classifiers(label="churn", iterations=QUERY_ITERATIONS)["gradient_boosting"]
-    churn_model = Pipeline(stages=[*pre.getStages(), gbt]).fit(feats)
-    churn_at, segments_at = model_path(spark, "churn"), model_path(spark, "segments")
-    churn_model.write().save(churn_at)
-    churn_model = PipelineModel.load(churn_at)
+    train, test = Mp.stratified_split(feats, ["customer_id"], "churn")
+    pre = Mp.feature_pipeline(CHURN_NUMERIC, CHURN_CATEGORICAL).getStages()
+    ests = L.classifiers(label="churn", iterations=QUERY_ITERATIONS)
+    fit_and_register(spark, folder, "churn", {
+        n: Pipeline(stages=[*pre, ests[n]]) for n in ("logistic_regression", "gradient_boosting")},
+        train, test, T.auc_evaluator("churn"))
     seg_pipe = Pipeline(stages=[
         VectorAssembler(inputCols=CHURN_NUMERIC, outputCol="seg_raw"),
         Mp.scaler_stage("seg_raw", "seg_features"),
         L.kmeans(k, features="seg_features", prediction="segment")]).fit(feats)
-    seg_pipe.write().save(segments_at)
-    seg_pipe = PipelineModel.load(segments_at)
-    scored = churn_model.transform(feats)
+    Reg.register(spark, folder, "segments", "kmeans", "training_cost",
+                 seg_pipe.stages[-1].summary.trainingCost, seg_pipe, larger_is_better=False)
+    scored = Reg.load_best(spark, folder, "churn").transform(feats)
     scored = scored.withColumn("churn_probability", vector_to_array("probability")[1])
-    scored = seg_pipe.transform(scored.drop("features", "raw_features"))
+    scored = Reg.load_best(spark, folder, "segments").transform(scored.drop("features", "raw_features"))
     return scored.select("customer_id", "churn_probability",
                          P.risk_tier("churn_probability").alias("risk_tier"), "segment")
 
 
-def forecast_scoring_job(spark, sf_dir) -> DataFrame:
-    """Fit the sales forecast on the first 80% of days, save it, load it and score the rest:
-    actual against predicted sales by date (E18, E31)."""
+def forecast_scoring_job(spark, sf_dir, folder: str | None = None) -> DataFrame:
+    """Register two sales forecasts fitted on the first 64% of days with their RMSE on the next 16%,
+    load the better one and score the last 20%: actual against predicted sales by date (E18, E31)."""
     from pyspark.ml import Pipeline
+    folder = folder or model_path(spark, "registry")
     d = forecast_features(spark, sf_dir).withColumnRenamed("y", "label")
-    train, test = Mp.time_split(d, "ds", 0.8)
-    at = model_path(spark, "forecast")
-    Pipeline(stages=[VectorAssembler(inputCols=FORECAST_NUMERIC, outputCol="features"),
-                     L.regressors()["linear_regression"]]).fit(train).write().save(at)
-    return PipelineModel.load(at).transform(test).select(
+    past, last = Mp.time_split(d, "ds", 0.8)
+    train, valid = Mp.time_split(past, "ds", 0.8)
+    va, ests = VectorAssembler(inputCols=FORECAST_NUMERIC, outputCol="features"), L.regressors()
+    fit_and_register(spark, folder, "forecast", {
+        n: Pipeline(stages=[va, ests[n]]) for n in ("linear_regression", "random_forest")},
+        train, valid, T.regression_evaluator())
+    return Reg.load_best(spark, folder, "forecast").transform(last).select(
         "ds", F.col("label").alias("actual"), F.col("prediction").alias("predicted"))
 
 
