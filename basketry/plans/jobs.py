@@ -96,7 +96,7 @@ def churn_job(spark, sf_dir, models=("logistic_regression", "random_forest", "gr
     feats = churn_features(spark, sf_dir)
     train, test = Mp.stratified_split(feats, ["customer_id"], "churn")
     pipe = Mp.feature_pipeline(CHURN_NUMERIC, CHURN_CATEGORICAL).fit(train)
-    tr, te = pipe.transform(train), pipe.transform(test).cache()
+    tr, te = pipe.transform(train), pipe.transform(test)
     if oversample:
         from ..models.resample import smote
         tr = smote(tr, "churn", key="customer_id")
@@ -112,6 +112,7 @@ def churn_job(spark, sf_dir, models=("logistic_regression", "random_forest", "gr
         m = M.classification_metrics(p, "churn", "prediction")
         auc = M.roc_auc(p, "churn", "score").selectExpr("'roc_auc' AS metric", "roc_auc AS value")
         rows.append(_metrics_rows("churn", name, m.unionByName(auc)))
+    tr.unpersist()  # the scores read the test rows only
     return _union(rows)
 
 
@@ -122,13 +123,14 @@ def forecast_job(spark, sf_dir, models=("linear_regression", "random_forest", "g
     d = forecast_features(spark, sf_dir).withColumnRenamed("y", "label")
     train, test = Mp.time_split(d, "ds", 0.8)
     va = VectorAssembler(inputCols=FORECAST_NUMERIC, outputCol="features")
-    tr, te = va.transform(train).cache(), va.transform(test).cache()
+    tr, te = va.transform(train).cache(), va.transform(test)
     ests = L.regressors(trees=trees, iterations=iterations)
     rows = []
     for name in models:
         p = ests[name].fit(tr).transform(te)
         rows.append(_metrics_rows("forecast", name,
                                   M.regression_metrics(p, "label", "prediction")))
+    tr.unpersist()
     base = L.mean_baseline(train, test)
     rows.append(_metrics_rows("forecast", "mean_baseline",
                               M.regression_metrics(base, "label", "prediction")))
@@ -156,6 +158,7 @@ def segmentation_job(spark, sf_dir, k: int = 4, pca_k: int = 2) -> DataFrame:
     pca = Mp.pca_stage(pca_k).fit(clustered)
     clustered = pca.transform(clustered)
     sil = L.silhouette(clustered)
+    x.unpersist()
     prof = A.group_profile(clustered, "cluster", SEGMENT_NUMERIC, ["market_segment"])
     return prof.withColumn("silhouette", F.lit(float(sil)))
 
@@ -164,7 +167,10 @@ def elbow_job(spark, sf_dir, ks=range(1, 11)) -> DataFrame:
     f = Mp.zscore(segment_features(spark, sf_dir), SEGMENT_NUMERIC, suffix="_z")
     x = VectorAssembler(inputCols=[f"{c}_z" for c in SEGMENT_NUMERIC],
                         outputCol="features").transform(f)
-    return L.elbow_curve(x.select("features").cache(), ks)
+    x = x.select("features").cache()
+    curve = L.elbow_curve(x, ks)
+    x.unpersist()
+    return curve
 
 
 def pca_variance_job(spark, sf_dir, target: float = 0.95) -> DataFrame:
@@ -188,9 +194,8 @@ def promotion_job(spark, sf_dir, k: int = 3) -> DataFrame:
     tx = transactions(spark, sf_dir, ["transaction_id", "product_id", "total_sales", "quantity",
                                       "discount_applied"])
     pm = A.product_promo_metrics(A.items_per_transaction(tx))
-    z = Mp.zscore(pm, PROMO_NUMERIC, suffix="_z")
-    x = VectorAssembler(inputCols=[f"{c}_z" for c in PROMO_NUMERIC], outputCol="features"
-                        ).transform(z).cache()
+    z = cut_lineage(Mp.zscore(cut_lineage(pm), PROMO_NUMERIC, suffix="_z"))  # product grain, written
+    x = VectorAssembler(inputCols=[f"{c}_z" for c in PROMO_NUMERIC], outputCol="features").transform(z)
     clustered = L.kmeans(k).fit(x).transform(x)
     labelled = L.performance_labels(clustered, "cluster", "total_sales")
     summary = labelled.groupBy("performance_level").agg(
@@ -408,6 +413,7 @@ def importance_job(spark, sf_dir, top: int = 15) -> DataFrame:
     ests = L.classifiers(label="churn", iterations=QUERY_ITERATIONS)
     imps = [L.feature_importance(ests[n].fit(x), names, n)
             for n in ("random_forest", "gradient_boosting", "logistic_regression")]
+    x.unpersist()
     return L.top_features(_union(imps), top)
 
 
