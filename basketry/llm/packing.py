@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from .common import WORD, partitions_for, shared_table
 
 LENGTHS = (512, 1024, 2048, 4096)
-PIECES = ("doc_id long, piece int, first_token long, n_tokens int, bin_id string, "
+PIECES = ("piece int, first_token long, n_tokens int, bin_id string, "
           "bin_capacity int, bin_used int, bin_offset int")
 
 
@@ -139,5 +139,5 @@ def best_fit_pack(docs: DataFrame, tokens: Column, id_col: str = "doc_id", lengt
     n = partitions_for(pieces.count(), block)
     dealt = (pieces.withColumn("slot", F.pmod(F.xxhash64("rid"), F.lit(n)))
              .repartition(n, "slot").sortWithinPartitions("slot", "rid"))
-    packed = dealt.mapInPandas(_pack(costs, block), PIECES)
+    packed = dealt.mapInPandas(_pack(costs, block), f"doc_id {dict(docs.dtypes)[id_col]}, {PIECES}")
     return packed.withColumnRenamed("doc_id", id_col)

@@ -77,3 +77,10 @@ def test_tokens_of_texts(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, n long")
     assert P.best_fit_pack(df, F.col("n")).count() == 0
+
+
+def test_text_ids_and_clashing_columns(spark):
+    df = spark.createDataFrame([("a", "one two", 1, "x"), ("b", "three", 2, "y"), (None, None, 3, "z")],
+                               "doc_id string, text string, slot int, bin_id string")
+    got = P.best_fit_pack(df, P.word_tokens(F.col("text"))).collect()
+    assert sorted(((r.doc_id, r.n_tokens) for r in got), key=str) == [("a", 3), ("b", 2), (None, 1)]
