@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 HELD_GROUPS = 512       # groups whose sums a task holds before it passes them on
 
 
@@ -98,11 +100,15 @@ def seasonal_forecasts(series: DataFrame, keys: Sequence[str], terms: Mapping[st
     t = F.datediff(F.col(ds), lo).cast("double")
     x = [F.coalesce(F.try_divide(t, F.datediff(hi, lo).cast("double")), F.lit(0.0)),
          *fourier_terms(t, terms).values()]
+    if not keys:  # one series: the same with a key
+        one = seasonal_forecasts(cut_lineage(series.withColumn("_series", F.lit(0))), ["_series"], terms, ds, y,
+                                 horizon, interval_z)
+        return one.drop("_series")
     models = grouped_fit(series, x, F.col(y), keys)
     after = models.select(*keys, F.explode(F.sequence(F.date_add(hi, 1), F.date_add(hi, horizon))).alias(ds),
                           F.lit(None).cast("double").alias(y))
     rows = series.select(*keys, ds, F.col(y).cast("double").alias(y)).unionByName(after)
-    rows = rows.join(models, keys) if keys else rows.join(F.broadcast(models))  # one model row
+    rows = rows.join(models, keys)
     sd = F.sqrt(F.col("sse") / F.col("n"))
     return rows.withColumn("yhat", fitted(x)).select(
         *keys, ds, y, "yhat", (F.col("yhat") - interval_z * sd).alias("yhat_lower"),

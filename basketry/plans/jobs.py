@@ -553,12 +553,12 @@ def cubic_trend_job(spark, sf_dir) -> DataFrame:
     """Cubic polynomial trend of monthly demand: least squares on powers of the time index."""
     tx = transactions(spark, sf_dir, ["transaction_date", "total_sales", "discount_applied",
                                       "unit_price"])
-    m = cut_lineage(A.product_demand_by_month(tx))
+    m = cut_lineage(A.product_demand_by_month(tx).withColumn("series", F.lit("demand")))
     span = m.agg(F.min("time_index"), F.max("time_index")).first()  # one row
     low, high = (F.lit(float(x or 0)) for x in span)
     terms = Q.polynomial_terms(F.col("time_index").cast("double"), low, high, 3)
-    model = Q.grouped_fit(m, terms, F.col("sales"))  # one row
-    return m.join(F.broadcast(model)).select(
+    model = Q.grouped_fit(m, terms, F.col("sales"), ["series"])  # one row
+    return m.join(F.broadcast(model), "series").select(
         "month", "time_index", "sales", Q.fitted(terms).alias("cubic_trend"))
 
 

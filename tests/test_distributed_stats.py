@@ -46,6 +46,9 @@ def test_series_forecasts_follow_each_series(spark):
         i = (r.ds - datetime.date(2020, 1, 1)).days
         want = 100 + i / 10 if r.k == 1 else 50 + 5 * math.sin(2 * math.pi * i / 7)
         assert r.yhat == pytest.approx(want, abs=1e-6) and (r.y is None) == (i >= 400)
+    one = Q.seasonal_forecasts(df.where("k = 1").drop("k"), [], {"weekly": (7.0, 3)}, horizon=14)
+    assert one.columns == ["ds", "y", "yhat", "yhat_lower", "yhat_upper"]
+    assert sorted(r.yhat for r in one.collect()) == pytest.approx(sorted(r.yhat for r in got if r.k == 1), abs=1e-6)
 
 
 @pytest.mark.parametrize("few,bins", [(4096, 1024), (3, 4), (1, 2)])
