@@ -124,8 +124,8 @@ def roc_auc(df: DataFrame, label: str, score: str, by_buckets: int | None = None
            .groupBy(*by, F.col(score).alias("_s")).agg(
                F.sum(F.when(F.col(label) == 1, 1).otherwise(0)).cast("long").alias("_pos"),
                F.count(F.lit(1)).alias("_all")))
-    d = (segmented_prefix_sums(d, by, ["_s"], ["_all"], prefix="below") if by
-         else prefix_sums(d, "_s", ["_all"], buckets=by_buckets, prefix="below"))
+    d = (prefix_sums(d, "_s", ["_all"], buckets=by_buckets, prefix="below") if by_buckets and not by
+         else segmented_prefix_sums(d, by, ["_s"], ["_all"], prefix="below"))
     mid_rank = F.col("below__all") + (F.col("_all") + 1) / 2.0
     tot = d.groupBy(*by).agg(F.sum(F.col("_pos") * mid_rank).alias("rank_sum"),
                              F.sum("_pos").alias("n_pos"), F.sum("_all").alias("n_all"))
