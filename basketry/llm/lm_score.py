@@ -6,6 +6,12 @@ of times the block holds them, as sorted columns without their common high bits.
 adds up the n-gram count table of its hashes and answers every block in the block's own order. A
 block then joins the answers to its exploded n-grams and sums the scores per document. So a very
 frequent n-gram is one entry per block, not one row per occurrence, and no text is shuffled.
+
+A bucket with a very frequent n-gram is asked by every block. So blocks form groups of about
+``SUPER_BLOCKS``: the requests of a group are first added up by hash range within the group, each
+range asks the global buckets once, and hands the answers on to its blocks. No task gets more
+than about ``SUPER_BLOCKS`` rows, or two rows a group, of one bucket. With one group its sums are
+the totals.
 """
 
 from __future__ import annotations
@@ -23,6 +29,7 @@ from .common import partitions_for, shared_table
 
 BLOCK_BYTES = 8_000_000     # text of a block
 BUCKET_GRAMS = 1_000_000    # requests that a bucket holds at once
+SUPER_BLOCKS = 4096         # blocks whose requests are added up before they go to the global buckets
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -110,40 +117,91 @@ def _counts_in(blob: bytes) -> np.ndarray:
     return np.frombuffer(blob, dtype=f"<u{blob[0]}", offset=1).astype(np.int64)
 
 
-def _cuts(hashes: np.ndarray, buckets: int) -> np.ndarray:
-    """Bounds of the buckets (equal ranges of hashes) in a sorted array."""
-    edges = np.array([(i << 64) // buckets for i in range(1, buckets)], dtype=np.uint64)
-    return np.concatenate(([0], np.searchsorted(hashes, edges), [len(hashes)]))
+def _least(bucket: int, buckets: int) -> np.uint64:
+    """Least hash of a bucket; buckets are equal ranges of hashes."""
+    return np.uint64((int(bucket) << 64) // buckets)
+
+
+def _requests(hashes: np.ndarray, counts: np.ndarray, buckets: int) -> dict[str, object]:
+    """Sorted hashes and their counts, cut at the bounds of the buckets that hold any."""
+    first, last = (int(h) * buckets >> 64 for h in (hashes[0], hashes[-1])) if len(hashes) else (0, -1)
+    # the product tells the bucket but for a rounding of its bounds
+    near = np.arange(first, min(last + 1, buckets - 1) + 1)
+    edges = np.array([_least(b, buckets) for b in near], dtype=np.uint64)
+    cut = np.append(np.searchsorted(hashes, edges), len(hashes))
+    full = np.flatnonzero(np.diff(cut))
+    return {"bucket": near[full],
+            # counted from the bucket's least hash, so that few bytes are needed
+            "hashes": [_narrow(hashes[cut[i]:cut[i + 1]] - edges[i]) for i in full],
+            "counts": [_counts_out(counts[cut[i]:cut[i + 1]]) for i in full]}
 
 
 def _ask(order: int, buckets: int):
     def run(frames):
         for frame in frames:
-            for block, body in zip(frame["block"], frame["body"]):
+            for part, block, body in zip(frame["part"], frame["block"], frame["body"]):
                 grams = _Grams(_unpack(body), order)
                 for n in range(order):
-                    h, c = grams.hashes[n], grams.counts[n]
-                    cut = _cuts(h, buckets)
-                    full = np.flatnonzero(np.diff(cut))
-                    yield pd.DataFrame({
-                        "gram": n + 1, "bucket": full, "block": block,
-                        # counted from the bucket's least hash, so that few bytes are needed
-                        "hashes": [_narrow(h[cut[b]:cut[b + 1]] - np.uint64((int(b) << 64) // buckets))
-                                   for b in full],
-                        "counts": [_counts_out(c[cut[b]:cut[b + 1]]) for b in full]})
+                    yield pd.DataFrame({"part": part, "gram": n + 1, "block": block}
+                                       | _requests(grams.hashes[n], grams.counts[n], buckets))
     return run
 
 
-def _answer(frame: pd.DataFrame) -> pd.DataFrame:
-    """The count table of one bucket, as answers to the blocks that asked."""
+def _table(frame: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Hashes asked for, the sums of their counts, and where each request has its own."""
     asked = [_wide(x) for x in frame["hashes"]]
-    every = np.concatenate(asked)
-    table, index = np.unique(every, return_inverse=True)
+    table, index = np.unique(np.concatenate(asked), return_inverse=True)
     total = np.bincount(index, weights=np.concatenate([_counts_in(x) for x in frame["counts"]]),
                         minlength=len(table)).astype(np.int64)
-    ends = np.cumsum([len(a) for a in asked])
+    return table, total, np.split(index, np.cumsum([len(a) for a in asked])[:-1])
+
+
+def _answer(frame: pd.DataFrame) -> pd.DataFrame:
+    """The count table of one bucket, as answers to those that asked."""
+    _, total, places = _table(frame)
+    return pd.DataFrame({"gram": frame["gram"], "bucket": frame["bucket"], "block": frame["block"],
+                         "answer": [_counts_out(total[i]) for i in places]})
+
+
+def _add_up(buckets: int, all_buckets: int):
+    """Requests of a group of blocks for one range of hashes, as the range's own requests."""
+    def run(key, frame: pd.DataFrame) -> pd.DataFrame:
+        part, gram, bucket = (int(k) for k in key)
+        table, total, _ = _table(frame)
+        return pd.DataFrame({"gram": gram, "block": f"{part}/{bucket}"}
+                            | _requests(table + _least(bucket, buckets), total, all_buckets))
+    return run
+
+
+def _hand_on(key, frame: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+    """Answers that a range of a group got, to the blocks of the group."""
+    table, _, places = _table(frame)
+    got = np.concatenate([_counts_in(x) for x in answers.sort_values("bucket")["answer"]])
+    if len(got) != len(table):
+        raise ValueError("a range did not get an answer for each of its n-grams")
     return pd.DataFrame({"gram": frame["gram"], "bucket": frame["bucket"], "block": frame["block"],
-                         "answer": [_counts_out(total[i]) for i in np.split(index, ends[:-1])]})
+                         "answer": [_counts_out(got[i]) for i in places]})
+
+
+def _counted(blocks: DataFrame, order: int, words: int) -> DataFrame:
+    """Total counts of the n-grams that each block asked for, in its own order."""
+    out = "gram int, bucket int, block string, answer binary"
+    ask = "gram int, bucket int, block string, hashes binary, counts binary"
+    parts = partitions_for(blocks.count(), SUPER_BLOCKS)
+    buckets = partitions_for(words // parts, BUCKET_GRAMS, 8)
+    asked = blocks.select(F.pmod(F.xxhash64("block"), F.lit(parts)).cast("int").alias("part"),
+                          "block", "body").mapInPandas(_ask(order, buckets), f"part int, {ask}")
+    if parts == 1:
+        return asked.groupBy("gram", "bucket").applyInPandas(_answer, out)
+    asked = shared_table(asked, "asked")
+    ranges = asked.groupBy("part", "gram", "bucket")
+    all_buckets = partitions_for(words, BUCKET_GRAMS, 8)
+    totals = ranges.applyInPandas(_add_up(buckets, all_buckets), ask).groupBy("gram", "bucket").applyInPandas(
+        _answer, out)
+    range_of = F.split("block", "/")
+    totals = totals.select(range_of[0].cast("int").alias("part"), "gram", range_of[1].cast("int").alias("range"),
+                           "bucket", "answer")
+    return ranges.cogroup(totals.groupBy("part", "gram", "range")).applyInPandas(_hand_on, out)
 
 
 def _score(order: int, words: int, backoff: float, least: int):
@@ -182,7 +240,7 @@ def _score(order: int, words: int, backoff: float, least: int):
 
 
 def stupid_backoff(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   order: int = 2, backoff: float = 0.4, least: int = 2) -> DataFrame:
+                   order: int = 3, backoff: float = 0.4, least: int = 2) -> DataFrame:
     """One row per input row: id, n_tokens, n_backoff, log_score, mean_log_score.
 
     Words are lower-cased (A-Z). The score of a word is the count of its n-gram over the count of
@@ -191,7 +249,9 @@ def stupid_backoff(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     down to the word's share of all words. Counts are over all rows, copies and repeated
     rows included. log_score sums natural logarithms over the document; n_backoff counts words
     that were backed off. Null and empty texts have no tokens, log_score 0 and a null mean. A null
-    id is kept. Other columns are ignored. An empty table gives no rows.
+    id is kept. Other columns are ignored. An empty table gives no rows. N-grams are told apart by
+    64-bit hashes per order: among N distinct ones about N * N / 2 ** 65 pairs share a count (3 pairs
+    of 10 ** 10).
     """
     kind = dict(docs.dtypes)[id_col]
     blocks = shared_table(
@@ -199,11 +259,7 @@ def stupid_backoff(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         .mapInPandas(_gather(BLOCK_BYTES), f"block string, ids array<{kind}>, words long, body binary"),
         "blocks")
     words = blocks.agg(F.coalesce(F.sum("words"), F.lit(0))).first()[0]
-    buckets = partitions_for(words, BUCKET_GRAMS, 8)
-    asked = blocks.select("block", "body").mapInPandas(
-        _ask(order, buckets), "gram int, bucket int, block string, hashes binary, counts binary")
-    answers = shared_table(asked.groupBy("gram", "bucket").applyInPandas(
-        _answer, "gram int, bucket int, block string, answer binary"), "answers")
+    answers = shared_table(_counted(blocks, order, words), "answers")
     scored = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(
         _score(order, words, backoff, least),
         f"id {kind}, n_tokens long, n_backoff long, log_score double")

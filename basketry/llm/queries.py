@@ -56,16 +56,23 @@ WITH t AS (
            '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
   FROM documents),
 p AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM t),
-k AS (SELECT doc_id, w[i] AS w1, CASE WHEN i > 1 THEN w[i - 1] END AS w0 FROM p),
-u AS (SELECT w1 AS w, count(*) AS n FROM k GROUP BY 1),
-b AS (SELECT w0, w1, count(*) AS n FROM k WHERE w0 IS NOT NULL GROUP BY 1, 2),
+k AS (SELECT doc_id, w[i] AS w2, CASE WHEN i > 1 THEN w[i - 1] END AS w1,
+             CASE WHEN i > 2 THEN w[i - 2] END AS w0 FROM p),
+u AS (SELECT w2 AS w, count(*) AS n FROM k GROUP BY 1),
+b AS (SELECT w1, w2, count(*) AS n FROM k WHERE w1 IS NOT NULL GROUP BY 1, 2),
+g AS (SELECT w0, w1, w2, count(*) AS n FROM k WHERE w0 IS NOT NULL GROUP BY 1, 2, 3),
 s AS (
-  SELECT k.doc_id, k.w0 IS NOT NULL AND b.n < 2 AS off,
-         CASE WHEN b.n >= 2 THEN ln(b.n / c.n)
-              ELSE ln(u.n / (SELECT sum(n) FROM u)) + CASE WHEN k.w0 IS NULL THEN 0 ELSE ln(0.4) END
+  SELECT k.doc_id, CASE WHEN k.w0 IS NOT NULL THEN g.n < 2 WHEN k.w1 IS NOT NULL THEN b.n < 2
+                        ELSE false END AS off,
+         CASE WHEN g.n >= 2 THEN ln(g.n / cb.n)
+              WHEN b.n >= 2 THEN ln(b.n / cu.n) + CASE WHEN k.w0 IS NULL THEN 0 ELSE ln(0.4) END
+              ELSE ln(u.n / (SELECT sum(n) FROM u)) + CASE WHEN k.w1 IS NULL THEN 0 ELSE ln(0.4) END
+                   + CASE WHEN k.w0 IS NULL THEN 0 ELSE ln(0.4) END
          END AS score
-  FROM k JOIN u ON u.w = k.w1 LEFT JOIN u c ON c.w = k.w0
-  LEFT JOIN b ON b.w0 = k.w0 AND b.w1 = k.w1)
+  FROM k JOIN u ON u.w = k.w2 LEFT JOIN u cu ON cu.w = k.w1
+  LEFT JOIN b ON b.w1 = k.w1 AND b.w2 = k.w2
+  LEFT JOIN b cb ON cb.w1 = k.w0 AND cb.w2 = k.w1
+  LEFT JOIN g ON g.w0 = k.w0 AND g.w1 = k.w1 AND g.w2 = k.w2)
 SELECT t.doc_id, coalesce(len(any_value(t.w)), 0) AS n_tokens, count(*) FILTER (s.off) AS n_backoff,
        round(coalesce(sum(s.score), 0), 4) AS log_score
 FROM t LEFT JOIN s USING (doc_id) GROUP BY t.doc_id""")

@@ -34,9 +34,13 @@ def slow(rows, order, backoff=0.4, least=2):
     return out
 
 
-@pytest.mark.parametrize("order,block", [(2, 24_000_000), (3, 200), (1, 50)])
-def test_matches_brute_force(spark, monkeypatch, order, block):
+@pytest.mark.parametrize("order,block,group", [(2, 24_000_000, 4096), (3, 200, 4096), (1, 50, 4096),
+                                               (3, 100, 3), (2, 50, 1)])
+def test_matches_brute_force(spark, monkeypatch, order, block, group):
     monkeypatch.setattr(L, "BLOCK_BYTES", block)
+    monkeypatch.setattr(L, "SUPER_BLOCKS", group)
+    if group < 4096:  # ranges of groups and global buckets do not coincide
+        monkeypatch.setattr(L, "BUCKET_GRAMS", 100)
     rng = np.random.default_rng(order)
     rows = [(i, " ".join(rng.choice(["the", "The", "of", "and", "cat", "x1", "é"], rng.integers(0, 30)))) for i in range(60)]
     rows += [(100, None), (101, ""), (102, "alone"), (103, "the of " * 50), (103, "the of " * 50), (None, "cat cat")]
@@ -56,5 +60,29 @@ def test_columns_survive_narrowing():
         assert (L._counts_in(L._counts_out(c)) == c).all()
 
 
+def test_requests_are_cut_at_the_bounds():
+    rng = np.random.default_rng(1)
+    for buckets in (1, 3, 8, 13):
+        edges = [int(L._least(b, buckets)) for b in range(buckets)]
+        h = {e + d for e in edges for d in (-1, 0, 1)} | {0, 2**64 - 1}
+        h = np.unique(np.array([x for x in h if 0 <= x < 2**64] + list(rng.integers(0, 2**64, 50, dtype=np.uint64)), dtype=np.uint64))
+        got = L._requests(h, np.arange(len(h)), buckets)
+        back = [L._wide(x) + L._least(b, buckets) for b, x in zip(got["bucket"], got["hashes"])]
+        assert (np.concatenate(back) == h).all()
+        assert (np.concatenate([L._counts_in(c) for c in got["counts"]]) == np.arange(len(h))).all()
+        for b, x in zip(got["bucket"], back):
+            assert all(edges[b] <= int(v) < (edges + [2**64])[b + 1] for v in x)
+    assert len(L._requests(h[:0], h[:0], 8)["bucket"]) == 0
+
+
+def test_text_ids_and_a_very_long_text(spark):
+    rows = [("a", "x y z " * 200_000), ("b", "x y z"), (None, "w" * 3_000_000)]
+    df = spark.createDataFrame([(d, t, "clash") for d, t in rows], "doc_id string, text string, log_score string")
+    got = {r.doc_id: r for r in L.stupid_backoff(df).collect()}
+    for d, n, off, score in slow(rows, 3):
+        assert (got[d].n_tokens, got[d].n_backoff) == (n, off)
+        assert got[d].log_score == pytest.approx(score, rel=1e-9)
+
+
 def test_empty_table(spark):
     assert L.stupid_backoff(spark.createDataFrame([], SCHEMA)).count() == 0
