@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import calendar as C
+from ..models import ensemble as En
 from ..models import estimators as L
 from ..models import prep as Mp
 from ..models import registry as Reg
@@ -417,17 +418,69 @@ def importance_job(spark, sf_dir, top: int = 15) -> DataFrame:
     return L.top_features(_union(imps), top)
 
 
-# ---------------------------------------------------------------- L16
-def stacking_job(spark, sf_dir) -> DataFrame:
-    """Out-of-fold stacking of forecast regressors, scored on the time holdout."""
-    d = forecast_features(spark, sf_dir).withColumnRenamed("y", "label")
-    x = VectorAssembler(inputCols=FORECAST_NUMERIC, outputCol="features").transform(d)
-    train, test = Mp.time_split(x, "ds", 0.8)
-    ests = L.regressors()
-    base = {"linear_regression": ests["linear_regression"], "random_forest": ests["random_forest"]}
-    meta, full, _ = L.stacking(train, base, "label", "ds", folds=5)
-    pred = L.stack_predict(meta, full, test, "ds").join(test.select("ds", "label"), "ds")
-    return _metrics_rows("forecast", "stacking", M.regression_metrics(pred, "label", "prediction"))
+# ---------------------------------------------------------------- L16–L18, E16
+def forecast_ensemble(spark, sf_dir, folds: int = 5, trees: int = 200,
+                      iterations: int = QUERY_ITERATIONS, path: str | None = None) -> DataFrame:
+    """Predictions of all forecast regressors by day: out of fold and in sample on the first 80% of
+    days, and for the last 20%, which no fit sees."""
+    d = forecast_features(spark, sf_dir)
+    place = Wn.time_index(d.select("ds"), ["ds"], out="place")  # day grain: bounded by the calendar
+    x = VectorAssembler(inputCols=FORECAST_NUMERIC, outputCol="features").transform(d.join(place, "ds"))
+    rows = En.ensemble_rows(x, "features", "y", ["ds"], folds, F.col("place") >= d.count() * 4 // 5)
+    return En.prediction_table(rows, ["ds"], L.regressors(trees=trees, iterations=iterations), folds,
+                               path or study_path(spark, "ensemble"))
+
+
+def stacking_job(spark, sf_dir, folds: int = 5, trees: int = 200, iterations: int = QUERY_ITERATIONS,
+                 path: str | None = None) -> DataFrame:
+    """Stacking (out of fold and in sample), blends and their base models, scored on the time holdout."""
+    p = forecast_ensemble(spark, sf_dir, folds, trees, iterations, path)
+    names, key, held = list(L.regressors()), ["ds"], p.where("kind = 'holdout'")
+    made = {"stacking": En.stacked(p, key, names),
+            "stacking_in_sample": En.stacked(p, key, names, learn="in_sample"),
+            "equal_blend": En.blended(held, En.equal_weights(p), key),
+            "adaptive_blend": En.blended(held, En.error_weights(p), key)}
+    every = _union([held.select("label", "model", "prediction")] + [
+        f.where("kind = 'holdout'").select("label", F.lit(n).alias("model"), "prediction")
+        for n, f in made.items()])
+    return M.regression_metrics(every, "label", "prediction", by=["model"]).select(
+        F.lit("forecast").alias("task"), "model", "metric", "value")
+
+
+def ensemble_checks_job(spark, sf_dir, folds: int = 5, trees: int = 50, iterations: int = 10) -> DataFrame:
+    """(rule, model, fold, n_rows, violations): what must hold of fitted predictions whatever the data.
+
+    Every model answers each row of its kind and fold once; a forest's answers lie within the labels it
+    learned from; the residuals of a linear model cancel on its own rows, and those of stacking are
+    orthogonal to every base model; the equal blend is the mean; weights in inverse order of errors.
+    """
+    p = cut_lineage(forecast_ensemble(spark, sf_dir, folds, trees, iterations))
+    key, names = ["ds"], list(L.regressors())
+    n, none = F.count(F.lit(1)).alias("n_rows"), F.lit(None).cast("int").alias("fold")
+    bad = lambda c: F.count_if(c).alias("violations")
+    cancels = lambda r, x: F.when(
+        F.abs(F.sum(r * x)) > 1e-6 * F.sum(F.abs(F.col("label") * x)), 1).otherwise(0).cast("long").alias("violations")
+    residual = F.col("label") - F.col("prediction")
+    rows = p.groupBy(F.concat(F.lit("rows "), "kind").alias("rule"), "model", "fold").agg(
+        n, (F.count(F.lit(1)) - F.count_distinct("ds", "label", "prediction")).alias("violations"))
+    known = p.where(F.col("fold") != En.HOLDOUT)
+    low, high = known.select(F.min("label")).scalar(), known.select(F.max("label")).scalar()
+    y = F.col("prediction")
+    forest = p.where("model = 'random_forest'").agg(n, bad((y < low - 1e-6) | (y > high + 1e-6)))
+    linear = p.where("model = 'linear_regression' AND kind = 'in_sample'").agg(n, cancels(residual, F.lit(1.0)))
+    out = [rows, forest.select(F.lit("within labels").alias("rule"), F.lit("random_forest").alias("model"), none, "*"),
+           linear.select(F.lit("residuals cancel").alias("rule"), F.lit("linear_regression").alias("model"), none, "*")]
+    base = p.select(*key, "kind", "model", F.col("prediction").alias("base"))
+    for learn in ("out_of_fold", "in_sample"):
+        top = En.stacked(p, key, names, learn).where(F.col("kind") == learn)
+        each = top.join(base, [*key, "kind"]).groupBy("model").agg(n, cancels(residual, F.col("base")))
+        out.append(each.select(F.lit(f"orthogonal {learn}").alias("rule"), "model", none, "n_rows", "violations"))
+    held = p.where("kind = 'holdout'")
+    mean = held.groupBy(*key).agg(F.avg("prediction").alias("mean"))
+    blend = En.blended(held, En.equal_weights(p), key).join(mean, key).agg(
+        n, bad(F.abs(F.col("prediction") - F.col("mean")) > 1e-9 * F.abs("mean")))
+    out.append(blend.select(F.lit("mean").alias("rule"), F.lit("equal_blend").alias("model"), none, "*"))
+    return _union(out).select("rule", "model", "fold", "n_rows", "violations")
 
 
 # ---------------------------------------------------------------- M8

@@ -182,11 +182,28 @@ def q_feature_importance(spark, sf_dir):
     return J.importance_job(spark, sf_dir)
 
 
-@query("stacked_forecast", covers=("L16",))
+@query("stacked_forecast", covers=("L16", "L17", "L18"))
 def q_stacked_forecast(spark, sf_dir):
     return J.stacking_job(spark, sf_dir)
 
 
+@query("ensemble_checks", f"""WITH {DAILY_CTE},
+r AS (SELECT ds, row_number() OVER (ORDER BY ds) AS i FROM d),
+x AS (SELECT CASE WHEN i - 8 >= count(*) OVER () * 4 // 5 THEN -1
+                  ELSE {key_number_sql(["ds"], 42)} % 5 END AS fold FROM r WHERE i > 7),
+c AS (SELECT count(*) AS n, count(*) FILTER (fold >= 0) AS t FROM x),
+m AS (SELECT unnest(['linear_regression', 'random_forest', 'gradient_boosting']) AS model),
+k AS (SELECT unnest(['in_sample', 'out_of_fold', 'holdout']) AS kind)
+SELECT 'rows ' || kind AS rule, model, fold::INTEGER AS fold, count(*) AS n_rows, 0::BIGINT AS violations
+FROM x, m, k WHERE (kind = 'holdout') = (fold < 0) GROUP BY 1, 2, 3
+UNION ALL SELECT 'within labels', 'random_forest', NULL, n + t, 0 FROM c
+UNION ALL SELECT 'residuals cancel', 'linear_regression', NULL, t, 0 FROM c
+UNION ALL SELECT 'orthogonal ' || kind, model, NULL, t, 0 FROM c, m, k WHERE kind <> 'holdout'
+UNION ALL SELECT 'mean', 'equal_blend', NULL, n - t, 0 FROM c""", covers=("L1", "L2", "L3", "L16", "L17"))
+def q_ensemble_checks(spark, sf_dir):
+    return J.ensemble_checks_job(spark, sf_dir)
+
+
 _FORECAST_CTE = f"""{DAILY_CTE},
 f AS (SELECT * FROM (
   SELECT ds, y, year(ds) AS year, month(ds) AS month, day(ds) AS day, isodow(ds) - 1 AS day_of_week,
