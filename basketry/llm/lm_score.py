@@ -92,29 +92,50 @@ class _Grams:
             self.of_token.append(at)
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """Numbers as byte planes, lowest first, as many as the largest needs.
+
+    The highest plane and the others are each compressed if that is shorter.
+    """
+    width = max(1, (int(values.max()).bit_length() + 7) // 8) if len(values) else 1
+    planes = np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T)
+    raw = planes[:-1].tobytes(), planes[-1].tobytes()
+    small = [zstandard.compress(x, 1) if len(x) > 32 else x for x in raw]
+    flags = [len(z) < len(x) for x, z in zip(raw, small)]
+    if not any(flags):
+        return bytes([width]) + b"".join(raw)
+    low, top = (z if f else x for x, z, f in zip(raw, small, flags))
+    return bytes([width + 16 * flags[0] + 32 * flags[1]]) + len(low).to_bytes(4, "little") + low + top
+
+
+def _numbers(blob: bytes) -> np.ndarray:
+    width, flags = blob[0] & 15, blob[0] >> 4
+    raw = blob[1:]
+    if flags:
+        end = 5 + int.from_bytes(blob[1:5], "little")
+        parts = blob[5:end], blob[end:]
+        raw = b"".join(zstandard.decompress(x) if flags >> i & 1 else x for i, x in enumerate(parts))
+    planes = np.frombuffer(raw, dtype=np.uint8).reshape(width, -1)
+    full = np.zeros((planes.shape[1], 8), dtype=np.uint8)
+    full[:, :width] = planes.T
+    return full.view("<u8").ravel()
+
+
 def _narrow(values: np.ndarray) -> bytes:
-    """Sorted numbers as differences of as few bytes as the largest one needs."""
-    gaps = np.diff(values, prepend=np.uint64(0))
-    width = max(1, (int(gaps.max()).bit_length() + 7) // 8) if len(gaps) else 1
-    raw = gaps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
-    return bytes([width]) + raw.tobytes()
+    """Sorted numbers as differences: their high planes are nearly empty."""
+    return _planes(np.diff(values, prepend=np.uint64(0)))
 
 
 def _wide(blob: bytes) -> np.ndarray:
-    width = blob[0]
-    raw = np.frombuffer(blob, dtype=np.uint8, offset=1).reshape(-1, width)
-    full = np.zeros((len(raw), 8), dtype=np.uint8)
-    full[:, :width] = raw
-    return np.cumsum(full.view("<u8").ravel(), dtype=np.uint64)
+    return np.cumsum(_numbers(blob), dtype=np.uint64)
 
 
 def _counts_out(counts: np.ndarray) -> bytes:
-    kind = np.min_scalar_type(int(counts.max())) if len(counts) else np.dtype("u1")
-    return bytes([kind.itemsize]) + counts.astype(f"<u{kind.itemsize}").tobytes()
+    return _planes(counts)
 
 
 def _counts_in(blob: bytes) -> np.ndarray:
-    return np.frombuffer(blob, dtype=f"<u{blob[0]}", offset=1).astype(np.int64)
+    return _numbers(blob).astype(np.int64)
 
 
 def _least(bucket: int, buckets: int) -> np.uint64:
