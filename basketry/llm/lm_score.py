@@ -204,6 +204,17 @@ def _hand_on(key, frame: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
                          "answer": [_counts_out(got[i]) for i in places]})
 
 
+def _written(df: DataFrame, tag: str) -> DataFrame:
+    """A shared table; the shuffle files of making it go when it is written, not at some later collection."""
+    conf, name = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(name)
+    conf.set(name, "true")
+    try:
+        return shared_table(df, tag)
+    finally:
+        conf.set(name, before)
+
+
 def _counted(blocks: DataFrame, order: int, words: int) -> DataFrame:
     """Total counts of the n-grams that each block asked for, in its own order."""
     out = "gram int, bucket int, block string, answer binary"
@@ -280,7 +291,7 @@ def stupid_backoff(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         .mapInPandas(_gather(BLOCK_BYTES), f"block string, ids array<{kind}>, words long, body binary"),
         "blocks")
     words = blocks.agg(F.coalesce(F.sum("words"), F.lit(0))).first()[0]
-    answers = shared_table(_counted(blocks, order, words), "answers")
+    answers = _written(_counted(blocks, order, words), "answers")
     scored = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(
         _score(order, words, backoff, least),
         f"id {kind}, n_tokens long, n_backoff long, log_score double")
