@@ -63,9 +63,9 @@ def one_hot_stages(cols: Sequence[str], drop_first: bool = True,
             inputCol=c, outputCol=f"{c}_idx",
             stringOrderType="alphabetDesc" if drop_first else "alphabetAsc",
             handleInvalid="keep" if keep_unknown else "error"))
+        # the indexer's index for unseen levels is an ordinary one to the encoder
         stages.append(OneHotEncoder(inputCols=[f"{c}_idx"], outputCols=[f"{c}_ohe"],
-                                    dropLast=drop_first,
-                                    handleInvalid="keep" if keep_unknown else "error"))
+                                    dropLast=drop_first, handleInvalid="error"))
     return stages
 
 

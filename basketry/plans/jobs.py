@@ -249,7 +249,8 @@ def fit_and_register(spark, folder: str, task: str, pipelines: dict, train: Data
                      evaluator.isLargerBetter())
 
 
-def scoring_job(spark, sf_dir, k: int = 4, folder: str | None = None) -> DataFrame:
+def scoring_job(spark, sf_dir, k: int = 4, folder: str | None = None,
+                iterations: int = QUERY_ITERATIONS) -> DataFrame:
     """Register churn models (logistic regression, boosted trees) and a segment model (k-means) in the
     shared folder, load the best of each task and score every customer in one pass: churn
     probability, risk tier and segment."""
@@ -258,7 +259,7 @@ def scoring_job(spark, sf_dir, k: int = 4, folder: str | None = None) -> DataFra
     feats = churn_features(spark, sf_dir)
     train, test = Mp.stratified_split(feats, ["customer_id"], "churn")
     pre = Mp.feature_pipeline(CHURN_NUMERIC, CHURN_CATEGORICAL).getStages()
-    ests = L.classifiers(label="churn", iterations=QUERY_ITERATIONS)
+    ests = L.classifiers(label="churn", iterations=iterations)
     fit_and_register(spark, folder, "churn", {
         n: Pipeline(stages=[*pre, ests[n]]) for n in ("logistic_regression", "gradient_boosting")},
         train, test, T.auc_evaluator("churn"))
@@ -405,17 +406,22 @@ def nested_samples_job(spark, sf_dir, folds: int = 5) -> DataFrame:
 
 
 # ---------------------------------------------------------------- L15, A38, T4
-def importance_job(spark, sf_dir, top: int = 15) -> DataFrame:
+def churn_importances(spark, sf_dir, trees: int = 200,
+                      iterations: int = QUERY_ITERATIONS) -> tuple[list[str], DataFrame]:
+    """Names of the churn features, and (model, feature, importance) of three models."""
     feats = churn_features(spark, sf_dir)
     pipe = Mp.feature_pipeline(CHURN_NUMERIC, CHURN_CATEGORICAL, drop_first=True).fit(feats)
     x = pipe.transform(feats).cache()
-    n_seg = len(pipe.stages[0].labels) - 1
-    names = CHURN_NUMERIC + [f"market_segment_{i}" for i in range(n_seg)]
-    ests = L.classifiers(label="churn", iterations=QUERY_ITERATIONS)
+    names = CHURN_NUMERIC + [f"market_segment_{v}" for v in pipe.stages[0].labels[:-1]]
+    ests = L.classifiers(label="churn", trees=trees, iterations=iterations)
     imps = [L.feature_importance(ests[n].fit(x), names, n)
             for n in ("random_forest", "gradient_boosting", "logistic_regression")]
     x.unpersist()
-    return L.top_features(_union(imps), top)
+    return names, _union(imps)
+
+
+def importance_job(spark, sf_dir, top: int = 15) -> DataFrame:
+    return L.top_features(churn_importances(spark, sf_dir)[1], top)
 
 
 # ---------------------------------------------------------------- L16–L18, E16

@@ -14,7 +14,7 @@ from ..sources.tables import transactions, tx_sql
 from . import jobs as J
 from .q_customers import RFM_CTE
 from .q_time import DAILY_CTE, REGION_DAILY_CTE, region_daily
-from .registry import R, S, query, rnd, rounded, sigd
+from .registry import R, S, query, rnd, rounded, sig, sigd
 
 _SAMPLE_COLS = ["transaction_id", "line_number", "product_id", "supplier_id", "quantity",
                 "total_sales"]
@@ -131,9 +131,54 @@ def q_promotion_clusters(spark, sf_dir):
     return J.promotion_job(spark, sf_dir)
 
 
-@query("clv_top_customers", covers=("E23", "A2", "A9", "L1", "T2"))
+_CLV_TERMS = ["transactions_count", "average_spent", "days_since_first_purchase", "days_since_last_purchase",
+              "customer_lifetime_value"]
+
+
+def least_squares_sql(source: str, terms: list[str], label: str) -> tuple[str, str, str]:
+    """(CTEs, table, expression) of the least-squares fit of ``label`` on ``terms`` over the rows of
+    ``source`` with ``train``, for all its rows.
+
+    Orthogonal columns: each term minus its projections on those before it, one after another; the fit is the
+    sum of the label's projections on them.
+    """
+    onto = lambda c, q: f"sum({c} * {q}) FILTER (train) OVER () / sum({q} * {q}) FILTER (train) OVER () * {q}"
+    steps, done, last = [f"ls AS (SELECT *, 1.0::DOUBLE AS q0 FROM {source})"], ["q0"], "ls"
+    for i, term in enumerate(terms, start=1):
+        left = f"CAST({term} AS DOUBLE)"
+        for j, q in enumerate(done):
+            steps.append(f"ls{i}_{j} AS (SELECT *, {left} - {onto(left, q)} AS r{i}_{j} FROM {last})")
+            last, left = f"ls{i}_{j}", f"r{i}_{j}"
+        done.append(left)
+    return ", ".join(steps), last, " + ".join(onto(label, q) for q in done)
+
+
+def _clv_sql() -> str:
+    steps, last, fit = least_squares_sql("x", _CLV_TERMS, "future_value")
+    u = f"{key_number_sql(['customer_id'], 42)} / 4294967296.0"
+    return f"""WITH tx AS ({tx_sql(["customer_id", "transaction_id", "transaction_date", "quantity", "unit_price",
+                                    "total_sales"])}),
+c AS (SELECT min(transaction_date) + CAST(trunc(date_diff('day', min(transaction_date), max(transaction_date)) * 0.8)
+        AS INTEGER) AS cutoff FROM tx),
+past AS (SELECT customer_id, count(transaction_id) AS transactions_count, avg(quantity * unit_price) AS average_spent,
+    date_diff('day', min(transaction_date), any_value(cutoff)) AS days_since_first_purchase,
+    date_diff('day', max(transaction_date), any_value(cutoff)) AS days_since_last_purchase,
+    avg(total_sales) * count(transaction_id) * (date_diff('day', min(transaction_date), max(transaction_date)) / 365.0)
+      AS customer_lifetime_value
+  FROM tx, c WHERE transaction_date <= cutoff AND customer_id IS NOT NULL GROUP BY 1),
+future AS (SELECT customer_id, sum(total_sales) AS future_value FROM tx, c WHERE transaction_date > cutoff GROUP BY 1),
+x AS (SELECT past.customer_id, {", ".join(f"coalesce(CAST({c} AS DOUBLE), 0.0) AS {c}" for c in _CLV_TERMS)},
+    coalesce(future_value, 0.0) AS future_value, {u.replace("customer_id", "past.customer_id")} >= 0.2 AS train
+  FROM past LEFT JOIN future ON future.customer_id = past.customer_id),
+{steps},
+v AS (SELECT customer_id, future_value, {fit} AS predicted FROM {last})
+SELECT customer_id, {S("predicted", 8)} AS predicted_clv, {R("future_value")} AS future_value
+FROM v ORDER BY predicted DESC, customer_id LIMIT 10"""
+
+
+@query("clv_top_customers", _clv_sql(), covers=("E23", "A2", "A9", "L1", "T2"))
 def q_clv_top_customers(spark, sf_dir):
-    return J.clv_job(spark, sf_dir)
+    return sigd(rounded(J.clv_job(spark, sf_dir), {"future_value": 4}), ["predicted_clv"], 8)
 
 
 @query("batch_scoring", covers=("E18", "IO8", "P18", "J12"))
@@ -301,14 +346,84 @@ def q_advanced_feature_table(spark, sf_dir):
     return J.advanced_features_job(spark, sf_dir)
 
 
-@query("model_matrix", covers=("E30", "M2", "M11"))
+_STRATUM = f"{key_number_sql(['customer_id', 'CAST(churn AS DOUBLE)'], 42)} / 4294967296.0"
+
+
+@query("model_matrix", f"""WITH {RFM_CTE},
+x AS (SELECT CASE WHEN {_STRATUM} >= 0.2 THEN 'train' ELSE 'test' END AS split, CAST(churn AS DOUBLE) AS churn,
+        coalesce(c_mktsegment, 'Unknown') AS segment
+      FROM rfm LEFT JOIN customer ON c_custkey = customer_id)
+SELECT split, churn, count(*) AS rows,
+  CAST((SELECT {len(J.CHURN_NUMERIC)} + count(DISTINCT segment) - 1 FROM x WHERE split = 'train') AS INTEGER)
+    AS feature_width
+FROM x GROUP BY 1, 2""", covers=("E30", "M2", "M5", "M6", "M11"))
 def q_model_matrix(spark, sf_dir):
     return J.model_matrix_job(spark, sf_dir)
 
 
-@query("baseline_models", covers=("L4",))
+_ERRORS = {"mae": "avg(abs(r))", "mse": "avg(r * r)", "rmse": "sqrt(avg(r * r))",
+           "r2": "1 - sum(r * r) / (var_pop(y) * count(y))", "mape": "avg(abs(r / (y + 1e-8))) * 100",
+           "max_error": "max(abs(r))", "mean_residual": "avg(r)", "std_residual": "stddev_pop(r)"}
+
+
+def metric_sql(v: str, digits: int = 10) -> str:
+    """Shares and coefficients by decimals, errors of any magnitude by significant digits."""
+    return f"CASE WHEN abs({v}) < 1 THEN {R(v, digits - 1)} ELSE {S(v, digits)} END"
+
+
+def metric_rounded(df, digits: int = 10):
+    return df.withColumn("value", F.when(F.abs("value") < 1, rnd("value", digits - 1)).otherwise(sig("value", digits)))
+
+
+def _hits_sql(tp="tp", fp="fp", fn="fn", tn="tn") -> dict[str, str]:
+    """Classification metrics from the four counts; a ratio without cases is 0."""
+    div = lambda a, b: f"coalesce(({a}) / nullif(({b})::DOUBLE, 0), 0)"
+    f1 = lambda p, r: div(f"2 * {p} * {r}", f"{p} + {r}")
+    p1, r1, p0, r0 = div(tp, f"{tp} + {fp}"), div(tp, f"{tp} + {fn}"), div(tn, f"{tn} + {fn}"), div(tn, f"{tn} + {fp}")
+    mean = lambda one, zero: div(f"{one} * ({tp} + {fn}) + {zero} * ({tn} + {fp})",
+                                 f"{tp} + {fp} + {fn} + {tn}")
+    return {"accuracy": div(f"{tp} + {tn}", f"{tp} + {fp} + {fn} + {tn}"), "precision": p1, "recall": r1,
+            "f1": f1(p1, r1), "specificity": r0, "balanced_accuracy": f"({r1} + {r0}) / 2",
+            "weighted_precision": mean(p1, p0), "weighted_recall": mean(r1, r0),
+            "weighted_f1": mean(f1(p1, r1), f1(p0, r0))}
+
+
+@query("baseline_models", f"""WITH {_FORECAST_CTE},
+i AS (SELECT ds, y, row_number() OVER (ORDER BY ds) <= floor(count(*) OVER () * 0.8::DOUBLE) AS train FROM f),
+e AS (SELECT y, y - (SELECT avg(y) FROM i WHERE train) AS r FROM i WHERE NOT train),
+g AS (SELECT {", ".join(f"{x} AS {n}" for n, x in _ERRORS.items())} FROM e),
+{RFM_CTE.strip().replace("tx AS", "tx2 AS").replace("FROM tx", "FROM tx2")},
+s AS (SELECT churn, {_STRATUM} >= 0.2 AS train FROM rfm),
+p AS (SELECT churn, (SELECT churn FROM s WHERE train GROUP BY 1 ORDER BY count(*) DESC, churn LIMIT 1) AS mode
+      FROM s WHERE NOT train),
+k AS (SELECT count(*) FILTER (churn = 1 AND mode = 1) AS tp, count(*) FILTER (churn = 0 AND mode = 1) AS fp,
+        count(*) FILTER (churn = 1 AND mode = 0) AS fn, count(*) FILTER (churn = 0 AND mode = 0) AS tn FROM p)
+{" UNION ALL ".join([f"SELECT 'forecast' AS task, 'mean_baseline' AS model, '{n}' AS metric, {metric_sql(n)} AS value FROM g"
+                     for n in _ERRORS] +
+                    [f"SELECT 'churn', 'most_frequent', '{n}', {metric_sql('v')} FROM (SELECT {x} AS v FROM k)"
+                     for n, x in _hits_sql().items()])}""", covers=("L4", "M9", "M11", "E1", "E3", "E4", "E5"))
 def q_baseline_models(spark, sf_dir):
-    return J.baseline_job(spark, sf_dir)
+    return metric_rounded(J.baseline_job(spark, sf_dir))
+
+
+def _linear_forecast_sql() -> str:
+    steps, last, fit = least_squares_sql("i", J.FORECAST_NUMERIC, "y")
+    each = lambda model: " UNION ALL ".join(
+        f"SELECT 'forecast' AS task, '{model}' AS model, '{n}' AS metric, {metric_sql('v', 6)} AS value "
+        f"FROM (SELECT {x} AS v FROM {model})" for n, x in _ERRORS.items())
+    return f"""WITH {_FORECAST_CTE},
+i AS (SELECT *, row_number() OVER (ORDER BY ds) <= floor(count(*) OVER () * 0.8::DOUBLE) AS train FROM f),
+{steps},
+v AS (SELECT y, train, {fit} AS fitted FROM {last}),
+linear_regression AS (SELECT y, y - fitted AS r FROM v WHERE NOT train),
+mean_baseline AS (SELECT y, y - (SELECT avg(y) FROM i WHERE train) AS r FROM i WHERE NOT train)
+{each("linear_regression")} UNION ALL {each("mean_baseline")}"""
+
+
+@query("forecast_linear", _linear_forecast_sql(), covers=("E20", "L1", "L4", "M9", "E1", "E2"))
+def q_forecast_linear(spark, sf_dir):
+    """The forecast pipeline with its exact model: every metric can be had from SQL."""
+    return metric_rounded(J.forecast_job(spark, sf_dir, models=("linear_regression",)), 6)
 
 
 @query("sampled_lines", f"""WITH tx AS ({tx_sql(_SAMPLE_COLS)})
@@ -371,7 +486,16 @@ def q_series_forecast_moments(spark, sf_dir):
     return rounded(sigd(out, ["mean_fit", "trend_moment"], 6), {"week_moment": 5, "year_moment": 5})
 
 
-@query("unknown_level_encoding", covers=("M3", "M10"))
+_LINE_PART = f"{key_number_sql(['transaction_id', 'line_number', 'product_id', 'supplier_id'], 42)} / 4294967296.0"
+
+
+@query("unknown_level_encoding", f"""WITH tx AS ({tx_sql(["transaction_id", "line_number", "product_id", "supplier_id",
+                                                       "product_brand"])}),
+x AS (SELECT product_brand, {_LINE_PART} >= 0.2 AS train FROM tx),
+k AS (SELECT DISTINCT product_brand FROM x WHERE train AND product_brand IS NOT NULL)
+SELECT CASE WHEN k.product_brand IS NULL THEN 'unknown' ELSE 'known' END AS level_kind, count(*) AS rows,
+  CAST((SELECT count(*) FROM k) + 1 AS INTEGER) AS width
+FROM x LEFT JOIN k USING (product_brand) WHERE NOT train GROUP BY 1""", covers=("M3", "M10"))
 def q_unknown_level_encoding(spark, sf_dir):
     return J.unknown_level_job(spark, sf_dir)
 
