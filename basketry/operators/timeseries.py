@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from ..session import cut_lineage
+
 
 def _w(keys: Sequence[str]):
     return W.partitionBy(*keys) if keys else W.partitionBy()
@@ -122,9 +124,9 @@ def fourier_forecast(daily: DataFrame, ds: str = "ds", y: str = "y", horizon: in
     80% bounds ŷ ± 1.28·σ_resid; ``multiplicative`` fits log y, which days without positive y
     cannot enter: they are forecast like any other day, and fit_metrics gives n_days and n_fitted.
     """
-    start = daily.select(F.min(ds)).scalar()
-    last = daily.select(F.max(ds)).scalar()
-    hist = daily.select(ds, y)
+    hist = cut_lineage(daily.select(ds, y))  # day grain, written once: dates, fit and forecast read it
+    start = hist.select(F.min(ds)).scalar()
+    last = hist.select(F.max(ds)).scalar()
     future = daily.sparkSession.range(1).select(
         F.explode(F.sequence(F.date_add(last, 1), F.date_add(last, horizon))).alias(ds)
     ).withColumn(y, F.lit(None).cast("double"))
