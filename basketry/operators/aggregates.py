@@ -40,6 +40,11 @@ def scalar_of(df: DataFrame, expr: Column) -> Column:
     return df.select(expr).scalar()
 
 
+def _mean_of_sums(name: str) -> Column:
+    """Mean of values that were added up before, as ``name`` (sum) and ``<name>_n`` (count)."""
+    return F.try_divide(F.sum(name).cast("double"), F.sum(f"{name}_n"))
+
+
 def attach_group_stats(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column]) -> DataFrame:
     """Rows of ``df`` with per-group aggregates added (left join back)."""
     keys = list(keys)
@@ -78,12 +83,17 @@ def rfm(df: DataFrame, customer="customer_id", date="transaction_date",
 # ---------------------------------------------------------------- A2
 def customer_metrics(df: DataFrame, customer="customer_id", date="transaction_date",
                      quantity="quantity", price="unit_price", txn="transaction_id",
-                     as_of: Column | None = None) -> DataFrame:
-    """Transactions count, mean spend per line, days since first and last purchase."""
+                     as_of: Column | None = None, line_count: str | None = None,
+                     spent: str | None = None) -> DataFrame:
+    """Transactions count, mean spend per line, days since first and last purchase.
+
+    ``line_count`` and ``spent`` (with ``<spent>_n``) let a caller pass rows that were added up per order.
+    """
     ref = as_of if as_of is not None else scalar_of(df, F.max(date))
+    mean = _mean_of_sums(spent) if spent else F.avg(F.col(quantity) * F.col(price))
     return (_keys_not_null(df, [customer]).groupBy(customer).agg(
-        F.count(txn).alias("transactions_count"),
-        F.avg(F.col(quantity) * F.col(price)).alias("average_spent"),
+        (F.sum(line_count) if line_count else F.count(txn)).alias("transactions_count"),
+        mean.alias("average_spent"),
         F.datediff(ref, F.min(date)).alias("days_since_first_purchase"),
         F.datediff(ref, F.max(date)).alias("days_since_last_purchase")))
 
@@ -196,11 +206,15 @@ def product_feature_stats(df: DataFrame, product="product_id", sales="total_sale
 
 # ---------------------------------------------------------------- A9
 def customer_lifetime_value(df: DataFrame, customer="customer_id", sales="total_sales",
-                            txn="transaction_id", date="transaction_date") -> DataFrame:
-    """AOV × purchase frequency × lifespan_days / 365, in one pass."""
+                            txn="transaction_id", date="transaction_date",
+                            line_count: str | None = None) -> DataFrame:
+    """AOV × purchase frequency × lifespan_days / 365, in one pass.
+
+    With ``line_count`` rows are sums per order: ``sales`` over ``<sales>_n`` lines.
+    """
     g = _keys_not_null(df, [customer]).groupBy(customer).agg(
-        F.avg(sales).alias("avg_order_value"),
-        F.count(txn).alias("purchase_frequency"),
+        (_mean_of_sums(sales) if line_count else F.avg(sales)).alias("avg_order_value"),
+        (F.sum(line_count) if line_count else F.count(txn)).alias("purchase_frequency"),
         F.datediff(F.max(date), F.min(date)).alias("lifespan_days"))
     return g.withColumn("customer_lifetime_value",
                         F.col("avg_order_value") * F.col("purchase_frequency")

@@ -17,6 +17,8 @@ broadcast at runtime only when the measured side is under
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -176,6 +178,24 @@ def order_lines(spark: SparkSession, sf_dir: str, with_geo: bool = False) -> Dat
         *geo, "n_lines", "items", "order_sales", "order_gross_sales")
 
 
+def order_totals(spark: SparkSession, sf_dir: str, totals: Mapping[str, str | Column],
+                 columns: Sequence[str]) -> DataFrame:
+    """Canonical order ``columns`` with sums over the order's lines, a row per order (and order row).
+
+    ``totals`` maps a name to a line expression over canonical line columns; it becomes ``name`` (sum)
+    and ``name_n`` (lines that have it), so means at any coarser grain follow from sums. ``n_lines``
+    counts the lines with an order key. Lines are added up before they meet ``orders``.
+    """
+    li = table(spark, sf_dir, "lineitem").select(*[f().alias(c) for c, f in _LINE.items()])
+    each = [a for name, e in totals.items() for x in [F.expr(e) if isinstance(e, str) else e]
+            for a in (F.sum(x).alias(name), F.count(x).alias(f"{name}_n"))]
+    per_order = li.groupBy("transaction_id").agg(F.count("transaction_id").alias("n_lines"), *each)
+    o = table(spark, sf_dir, "orders")
+    return per_order.join(o, per_order.transaction_id == o.o_orderkey, "left").select(
+        "transaction_id", *[_ORDER[c]().alias(c) for c in columns], "n_lines",
+        *[c for name in totals for c in (name, f"{name}_n")])
+
+
 def part_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Product-grain facts: line items pre-aggregated per part, then joined to
     ``part`` (eager aggregation, about 30 lines per part)."""
