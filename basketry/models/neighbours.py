@@ -2,9 +2,9 @@
 
 Rows are ordered by a k-d split and packed into blocks of bounded size, each with the box of its
 coordinates. A block of queries first reads the reference blocks nearest to its box that hold
-enough rows; the k-th distances found there bound the search. Then it reads only those blocks whose box
-lies within the bound; block pairs beyond it are never read. The result is exact, whatever the
-cuts: they come from a bounded sample and decide only how tight the boxes are.
+enough rows; the k-th distance found there bounds the search of each row. Then a row reads only those blocks
+whose box lies within its own bound; a far row does not make its whole block read on. The result is exact,
+whatever the cuts: they come from a bounded sample and decide only how tight the boxes are.
 
 Of reference rows at one point only the first k + 1 in tie order can ever be chosen, so the others
 are left out beforehand: a point that holds a third of all rows does not fill the blocks.
@@ -106,6 +106,12 @@ def _blocks(df: DataFrame, cols: list[str], cuts, rows: int, name: str) -> DataF
 
 def _distances(q: np.ndarray, r: np.ndarray) -> np.ndarray:
     """Euclidean over the coordinates both have, scaled up to all; inf if there are none."""
+    if np.isfinite(q).all() and np.isfinite(r).all():  # all coordinates known
+        total = np.zeros((len(q), len(r)))
+        for i in range(q.shape[1]):
+            gap = q[:, i][:, None] - r[:, i][None, :]
+            total += gap * gap
+        return np.sqrt(total)
     total, both = np.zeros((len(q), len(r))), np.zeros((len(q), len(r)))
     for i in range(q.shape[1]):
         gap = q[:, i][:, None] - r[:, i][None, :]
@@ -133,6 +139,8 @@ def _compare(d: int, k: int, exclude_same: bool):
                         dist[ids[:, None] == r_rid[None, :]] = np.inf
                     edge = (np.partition(dist, k - 1, axis=1)[:, k - 1:k] if len(r) > k
                             else np.full((len(dist), 1), np.inf))
+                    if row.q_edge is not None:  # rows beyond what was found before are of no use
+                        edge = np.minimum(edge, np.frombuffer(row.q_edge, float)[at:at + SLAB, None])
                     i, j = np.nonzero((dist <= edge) & np.isfinite(dist))
                     # block rows come in tie order, so a stable sort settles ties
                     order = np.lexsort((dist[i, j], i))
@@ -146,20 +154,54 @@ def _compare(d: int, k: int, exclude_same: bool):
     return run
 
 
-def _pairs(boxes, enough: int, first: bool):
-    """Reference blocks that a query block reads: the nearest ones that hold ``enough`` rows, or
-    those within its bound that were not among them."""
+def _nearest(boxes, enough: int, lo: np.ndarray, hi: np.ndarray):
+    """All reference blocks that share a coordinate with a box, nearest first, their distances, and how
+    many of them hold ``enough`` rows."""
+    _, n, los, his = boxes.value
+    far = box_distances(lo, hi, los, his)
+    order = np.argsort(far, kind="stable")
+    order = order[np.isfinite(far[order])]
+    return order, far, int(np.searchsorted(np.cumsum(n[order]), enough)) + 1
+
+
+def _near_pairs(boxes, enough: int):
+    """The nearest reference blocks of a query block that hold ``enough`` rows."""
     def run(frames):
-        blocks, n, los, his = boxes.value
         for frame in frames:
             for row in frame.itertuples(index=False):
                 lo, hi = (np.frombuffer(x, float) for x in (row.q_lo, row.q_hi))
-                far = box_distances(lo, hi, los, his)
-                order = np.argsort(far, kind="stable")
-                order = order[np.isfinite(far[order])]
-                upto = int(np.searchsorted(np.cumsum(n[order]), enough)) + 1
-                take = order[:upto] if first else order[upto:][far[order[upto:]] <= row.bound]
-                yield pd.DataFrame({"q_block": row.q_block, "r_block": blocks[take]})
+                order, _, upto = _nearest(boxes, enough, lo, hi)
+                yield pd.DataFrame({"q_block": row.q_block, "r_block": boxes.value[0][order[:upto]]})
+    return run
+
+
+def _further_pairs(boxes, enough: int, d: int):
+    """The other reference blocks that some rows of a query block must read, with these rows: those
+    whose own k-th distance reaches the block's box."""
+    def run(frames):
+        blocks, _, los, his = boxes.value
+        for frame in frames:
+            for row in frame.itertuples(index=False):
+                lo, hi, x = (np.frombuffer(b, float) for b in (row.q_lo, row.q_hi, row.q_vec))
+                rid, x = np.frombuffer(row.q_rid, np.int64), x.reshape(-1, d)
+                edge = np.full(len(rid), np.inf)
+                if row.found_rid is not None:
+                    found = np.asarray(row.found_rid, np.int64)
+                    by = np.argsort(rid)
+                    edge[by[np.searchsorted(rid, found, sorter=by)]] = np.asarray(row.found_edge, float)
+                order, far, upto = _nearest(boxes, enough, lo, hi)
+                out = []
+                for at in order[upto:]:
+                    if far[at] > edge.max():
+                        break
+                    use = box_distances(los[at], his[at], x, x) <= edge
+                    if use.any():
+                        out.append((row.q_block, blocks[at], rid[use].tobytes(), x[use].tobytes(),
+                                    edge[use].tobytes()))
+                        if len(out) == SLAB:
+                            yield pd.DataFrame(out, columns=["q_block", "r_block", "q_rid", "q_vec", "q_edge"])
+                            out = []
+                yield pd.DataFrame(out, columns=["q_block", "r_block", "q_rid", "q_vec", "q_edge"])
     return run
 
 
@@ -200,20 +242,21 @@ def exact_knn(reference: DataFrame, queries: DataFrame, cols: Sequence[str], k:
     found = "q_block long, q_rid long, distance double, tie long, r_rid long, val double"
 
     def compare(pairs: DataFrame) -> DataFrame:
-        both = pairs.join(qb.select("q_block", "q_rid", "q_vec"), "q_block").join(
-            rb.select("r_block", "r_rid", "r_tie", "r_vec", "r_val"), "r_block")
+        both = pairs.join(rb.select("r_block", "r_rid", "r_tie", "r_vec", "r_val"), "r_block")
         return cut_lineage(both.mapInPandas(_compare(len(cols), k, exclude_same), found))
 
     near = cut_lineage(qb.select("q_block", "q_lo", "q_hi").mapInPandas(
-        _pairs(shared, k + 1, True), pair))
-    one = compare(near)
+        _near_pairs(shared, k + 1), pair))
+    one = compare(near.join(qb.select("q_block", "q_rid", "q_vec", F.lit(None).cast("binary").alias("q_edge")),
+                            "q_block"))
     kth = one.groupBy("q_block", "q_rid").agg(
         F.try_element_at(F.sort_array(F.collect_list("distance")), F.lit(k)).alias("edge"))
-    bound = kth.groupBy("q_block").agg(F.count("edge").alias("full"), F.max("edge").alias("edge"))
-    asked = qb.select("q_block", "q_lo", "q_hi", "q_n").join(bound, "q_block", "left").select(
-        "q_block", "q_lo", "q_hi", F.when(F.col("full") == F.col("q_n"), F.col("edge")).otherwise(
-            F.lit(float("inf"))).alias("bound"))
-    further = cut_lineage(asked.mapInPandas(_pairs(shared, k + 1, False), pair))
+    kth = kth.where("edge IS NOT NULL").groupBy("q_block").agg(  # at most a block's rows
+        F.collect_list(F.struct("q_rid", "edge")).alias("_e")).select(
+        "q_block", F.col("_e.q_rid").alias("found_rid"), F.col("_e.edge").alias("found_edge"))
+    asked = qb.select("q_block", "q_lo", "q_hi", "q_rid", "q_vec").join(kth, "q_block", "left")
+    further = cut_lineage(asked.mapInPandas(_further_pairs(shared, k + 1, len(cols)),
+                                            f"{pair}, q_rid binary, q_vec binary, q_edge binary"))
     if stats is not None:
         stats["pairs_read"] = near.count() + further.count()
         stats["pairs"] = qb.count() * len(boxes)

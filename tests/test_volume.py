@@ -55,3 +55,18 @@ def test_order_totals_give_the_lines_means(spark, star):
                       (A.customer_lifetime_value(tx), A.customer_lifetime_value(per_order, line_count="n_lines"))):
         want, got = (f.toPandas().sort_values("customer_id").reset_index(drop=True) for f in (want, got))
         pd.testing.assert_frame_equal(want, got, check_dtype=False)
+
+
+def test_rows_read_on_by_their_own_bound(spark):
+    """One far row in a block does not make the block's other rows read distant blocks."""
+    import numpy as np
+    from basketry.models import neighbours as N
+    x = np.array([[0.0, 0.0], [0.1, 0.0], [9.0, 0.0]])
+    rid = np.array([7, 8, 9])
+
+    class Boxes:
+        value = (np.array([0, 1]), np.array([2, 2]), np.array([[0.0, 0.0], [10.0, 0.0]]), np.array([[1.0, 0.0], [11.0, 0.0]]))
+    block = pd.DataFrame([{"q_block": 0, "q_lo": x.min(0).tobytes(), "q_hi": x.max(0).tobytes(), "q_rid": rid.tobytes(),
+                           "q_vec": x.tobytes(), "found_rid": [9, 8, 7], "found_edge": [8.0, 0.5, 0.5]}])
+    out = pd.concat(N._further_pairs(Boxes, 2, 2)([block]))
+    assert [list(np.frombuffer(b, np.int64)) for b in out["q_rid"]] == [[9]]
