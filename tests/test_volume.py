@@ -37,7 +37,8 @@ def plan(df) -> str:
     return df._jdf.queryExecution().analyzed().toString()
 
 
-@pytest.mark.parametrize("name", ["clv_top_customers", "daily_fourier_forecast"])
+@pytest.mark.parametrize("name", ["clv_top_customers", "daily_fourier_forecast", "basic_feature_table",
+                                  "advanced_feature_table"])
 def test_lines_are_read_before_the_answer(spark, star, name):
     df = E.queries()[name](spark, star)
     assert "l_orderkey" not in plan(df)
