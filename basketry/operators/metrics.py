@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .windows import prefix_sums, segmented_prefix_sums
+from .windows import broadcast_if_small, group_places, prefix_sums, segmented_prefix_sums
 
 
 def _long(df: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
@@ -216,36 +216,35 @@ def normal_quantile_sql(p: str) -> str:
 
 
 def residual_table(df: DataFrame, y: str, yhat: str, order: Sequence[str],
-                   by: Sequence[str] = ()) -> DataFrame:
+                   by: Sequence[str] = (), size: int | None = None) -> DataFrame:
     """Residual, √|standardised residual|, time index, and normal Q-Q points, per group of ``by``.
 
     Q-Q: the i-th smallest residual against the normal quantile of the
     Filliben order-statistic median (1 − 0.5^(1/n) at i=1, 0.5^(1/n) at
-    i=n, (i − 0.3175)/(n + 0.365) between). Both ranks are segmented prefix counts, so rows of any
-    grain and number will do; ``order`` must be unique within a group.
+    i=n, (i − 0.3175)/(n + 0.365) between). Both ranks are places in ranges of rows, which travel once for
+    each and are written once, so rows of any grain and number will do; ``order`` must be unique within
+    a group. ``size`` is the number of rows, counted if not given.
     """
     by = list(by)
-    d = df.where(F.col(y).isNotNull() & F.col(yhat).isNotNull()).withColumns({
-        "residual": F.col(y) - F.col(yhat), "_one": F.lit(1)})
-    d = segmented_prefix_sums(d, by, order, ["_one"], prefix="_at")
-    d = segmented_prefix_sums(d, by, ["residual", *order], ["_one"], prefix="_rank")
+    d = df.where(F.col(y).isNotNull() & F.col(yhat).isNotNull()).withColumn("residual", F.col(y) - F.col(yhat))
+    d = group_places(d, by, {"_at": order, "_rank": ["residual", *order]}, size=size)
     stats = d.groupBy(*by).agg(F.stddev_pop("residual").alias("_sd"), F.count(F.lit(1)).alias("_n"))
     if by:
         stats = stats.select(*[F.col(c).alias(f"_g_{c}") for c in by], "_sd", "_n")
         same = F.lit(True)
         for c in by:
             same = same & F.col(c).eqNullSafe(F.col(f"_g_{c}"))
-        d = d.join(stats, same).drop(*[f"_g_{c}" for c in by])
+        d = d.join(broadcast_if_small(stats), same).drop(*[f"_g_{c}" for c in by])
     else:
         d = d.withColumns({"_sd": stats.select("_sd").scalar(), "_n": stats.select("_n").scalar()})
     d = d.withColumns({
         "std_residual_sqrt": F.sqrt(F.abs(F.try_divide(F.col("residual"), F.col("_sd")))),
-        "index": F.col("_at__one").cast("int"), "residual_rank": (F.col("_rank__one") + 1).cast("int")})
+        "index": F.col("_at").cast("int"), "residual_rank": (F.col("_rank") + 1).cast("int")})
     i, n = F.col("residual_rank"), F.col("_n")
     mn = F.pow(F.lit(0.5), 1.0 / n)
     m = (F.when(i == 1, 1 - mn).when(i == n, mn).otherwise((i - 0.3175) / (n + 0.365)))
     return d.withColumn("theoretical_quantile", normal_quantile(m)).drop(
-        "_one", "_at__one", "_rank__one", "_sd", "_n")
+        "_at", "_rank", "_sd", "_n")
 
 
 # ---------------------------------------------------------------- L17, L18

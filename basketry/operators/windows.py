@@ -13,7 +13,7 @@ tie-breakers), so results are deterministic.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -249,3 +249,44 @@ def segmented_prefix_sums(df: DataFrame, by: Sequence[str], order: Sequence[str]
     out = d.join(offsets, same).withColumns({
         f"{prefix}_{v}": F.col(f"_o_{v}") + F.coalesce(F.sum(v).over(local), F.lit(0)) for v in values})
     return out.drop("_part", "_p", *[f"_b_{c}" for c in by], *[f"_o_{v}" for v in values])
+
+
+BROADCAST_RUNS = 100_000
+
+
+def broadcast_if_small(df: DataFrame, most: int = BROADCAST_RUNS) -> DataFrame:
+    """``df`` written once, and broadcast if it has at most ``most`` rows."""
+    df = cut_lineage(df)
+    return F.broadcast(df) if df.count() <= most else df
+
+
+def group_places(df: DataFrame, by: Sequence[str], orders: Mapping[str, Sequence[str]],
+                 rows: int = ROWS_PER_BUCKET, size: int | None = None) -> DataFrame:
+    """0-based place of every row in its group of ``by``, a column per named order.
+
+    For each order the rows are dealt by ranges of (by, order) and numbered in their sorted range, so a group
+    of any size spans as many tasks as it needs. The numbered rows are written once, after the last order;
+    rows of a group in earlier ranges and the first number in the own range turn numbers
+    into places. Null is a group. ``order`` must be unique within a group; ``size`` is the number of rows if known.
+    """
+    by = list(by)
+    n = max(1, -(-(df.count() if size is None else size) // rows))
+    d = df
+    for name, order in orders.items():
+        d = d.repartitionByRange(n, *by, *order).sortWithinPartitions(*by, *order).withColumn(
+            f"_no_{name}", F.monotonically_increasing_id())
+    d = numbered = cut_lineage(d)
+    for name in orders:
+        no = F.col(f"_no_{name}")
+        part = F.shiftright(no, 33)  # the range's number, above the row's number in it
+        runs = numbered.groupBy(*by, part.alias("_part")).agg(
+            F.min(no).alias("_first"), F.count(F.lit(1)).alias("_n"))
+        before = W.partitionBy(*by).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+        starts = runs.select(*[F.col(c).alias(f"_b_{c}") for c in by], "_part", (
+            F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"))
+        same = part == F.col("_part")
+        for c in by:
+            same = same & F.col(c).eqNullSafe(F.col(f"_b_{c}"))
+        d = d.join(broadcast_if_small(starts), same).withColumn(name, no + F.col("_shift")).drop(
+            "_part", "_shift", f"_no_{name}", *[f"_b_{c}" for c in by])
+    return d
