@@ -14,11 +14,13 @@ DataFrame. Rules followed throughout:
 * "rows with a group value attached" use aggregate-then-join, so a hot key
   is combined map-side rather than held as one window partition; the
   joined aggregate has one row per key and AQE splits a skewed fact side.
+  Operators with ``by`` also serve rows that are dealt by that key already: there a window saves
+  moving every line once more, and a hot key is one (spilling) window partition.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -52,6 +54,15 @@ def attach_group_stats(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column
     return df.join(stats, on=keys, how="left")
 
 
+def with_group_values(df: DataFrame, key: str, by: Sequence[str], values: Mapping[str, Callable]) -> DataFrame:
+    """Rows, dealt by ``windows.laid_out``, with aggregates of their ``key``; null for rows without it.
+
+    ``values`` maps a name to a function from a window to a column.
+    """
+    w = W.partitionBy(*by)
+    return df.withColumns({n: F.when(F.col(key).isNotNull(), v(w)) for n, v in values.items()})
+
+
 # ---------------------------------------------------------------- A1, P17
 def rfm(df: DataFrame, customer="customer_id", date="transaction_date",
         amount="total_sales", txn="transaction_id", churn_days=90,
@@ -207,15 +218,21 @@ def product_feature_stats(df: DataFrame, product="product_id", sales="total_sale
 # ---------------------------------------------------------------- A9
 def customer_lifetime_value(df: DataFrame, customer="customer_id", sales="total_sales",
                             txn="transaction_id", date="transaction_date",
-                            line_count: str | None = None) -> DataFrame:
+                            line_count: str | None = None, by: Sequence[str] = ()) -> DataFrame:
     """AOV × purchase frequency × lifespan_days / 365, in one pass.
 
-    With ``line_count`` rows are sums per order: ``sales`` over ``<sales>_n`` lines.
+    With ``line_count`` rows are sums per order: ``sales`` over ``<sales>_n`` lines. With ``by`` the rows, dealt
+    by ``windows.laid_out``, get the values of their customer.
     """
-    g = _keys_not_null(df, [customer]).groupBy(customer).agg(
-        (_mean_of_sums(sales) if line_count else F.avg(sales)).alias("avg_order_value"),
-        (F.sum(line_count) if line_count else F.count(txn)).alias("purchase_frequency"),
-        F.datediff(F.max(date), F.min(date)).alias("lifespan_days"))
+    if by:
+        g = with_group_values(df, customer, by, {
+            "avg_order_value": lambda w: F.avg(sales).over(w), "purchase_frequency": lambda w: F.count(txn).over(w),
+            "lifespan_days": lambda w: F.datediff(F.max(date).over(w), F.min(date).over(w))})
+    else:
+        g = _keys_not_null(df, [customer]).groupBy(customer).agg(
+            (_mean_of_sums(sales) if line_count else F.avg(sales)).alias("avg_order_value"),
+            (F.sum(line_count) if line_count else F.count(txn)).alias("purchase_frequency"),
+            F.datediff(F.max(date), F.min(date)).alias("lifespan_days"))
     return g.withColumn("customer_lifetime_value",
                         F.col("avg_order_value") * F.col("purchase_frequency")
                         * (F.col("lifespan_days") / 365.0))
@@ -242,12 +259,18 @@ def seasonal_trend_feature(df: DataFrame, date="transaction_date", sales="total_
 
 # ---------------------------------------------------------------- A12
 def category_variety(df: DataFrame, customer="customer_id", category="product_category",
-                     quantity="quantity") -> DataFrame:
+                     quantity="quantity", by: Sequence[str] = ()) -> DataFrame:
     """Rows with ``quantity × distinct categories of the customer``.
 
     Distinct windows are not supported; distinct (customer, category) pairs
-    are counted with two partial aggregations and joined back.
+    are counted with two partial aggregations and joined back. Rows that ``windows.laid_out`` has dealt
+    by ``by`` stay where they are: the size of a set of categories per window is the count.
     """
+    if by:
+        n = F.size(F.collect_set(category).over(W.partitionBy(*by))).cast("long")
+        out = df.withColumn("product_variety", F.when(F.col(customer).isNotNull() & (n > 0), n))
+        return out.withColumn("average_basket_size",
+                              F.col(quantity) * F.coalesce(F.col("product_variety"), F.lit(0)))
     pairs = _keys_not_null(df, [customer, category]).select(customer, category).distinct()
     variety = pairs.groupBy(customer).agg(F.count(F.lit(1)).alias("product_variety"))
     out = df.join(variety, customer, "left")

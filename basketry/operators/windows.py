@@ -27,6 +27,19 @@ def _window(partition: Sequence[str], order: Sequence[str]):
     return w.orderBy(*order)
 
 
+SPREAD, SPREAD_OVER = "_spread", 1024
+
+
+def laid_out(df: DataFrame, key: str) -> tuple[DataFrame, list[str]]:
+    """Rows dealt by ``key``, and the columns that windows per ``key`` are to be partitioned by.
+
+    Rows without a key belong to no group; they are spread over the tasks by a hash of the row.
+    """
+    spread = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(*df.columns), F.lit(SPREAD_OVER))).otherwise(F.lit(0))
+    by = [key, SPREAD]
+    return df.withColumn(SPREAD, spread.cast("int")).repartition(*by), by
+
+
 # ---------------------------------------------------------------- W1–W3
 def lag_features(df: DataFrame, value: str, lags: Sequence[int], order: Sequence[str],
                  partition: Sequence[str] = (), prefix: str = "lag") -> DataFrame:
@@ -83,16 +96,25 @@ def moving_average_signal(df: DataFrame, value: str, order: Sequence[str], n: in
 # ---------------------------------------------------------------- W8
 def days_between_purchases(df: DataFrame, customer="customer_id", date="transaction_date",
                            order: Sequence[str] = ("transaction_id",),
-                           out: str = "days_between_purchases") -> DataFrame:
+                           out: str = "days_between_purchases", by: Sequence[str] = ()) -> DataFrame:
     """Days since the customer's previous purchase day; 0 for the first purchase
     for further rows on the same day, and for rows without a customer or a date.
 
     Skew-safe form: rows are first reduced to distinct (customer, day) with the
     first row of each day (``min`` of a struct of the order columns, a partial
     aggregation). The lag runs over distinct days of one customer (bounded by
-    the calendar), and the result is joined back on (customer, day).
+    the calendar), and the result is joined back on (customer, day). Rows that ``laid_out`` has dealt by
+    ``by`` stay where they are: windows over ``by`` take the place of the join.
     """
     key = F.struct(*[F.col(c) for c in order])
+    if by:
+        first = (F.col(customer).isNotNull() & F.col(date).isNotNull()
+                 & (key == F.min(key).over(W.partitionBy(*by, date))))
+        keys = ", ".join(f"`{c}`" for c in by)
+        earlier = F.expr(f"max(`{date}`) OVER (PARTITION BY {keys} ORDER BY `{date}` "
+                         "RANGE BETWEEN UNBOUNDED PRECEDING AND INTERVAL '1' DAY PRECEDING)")
+        return df.withColumn(out, F.when(first, F.coalesce(F.datediff(F.col(date), earlier), F.lit(0)))
+                             .otherwise(F.lit(0)))
     days = (df.where(F.col(customer).isNotNull() & F.col(date).isNotNull())
               .groupBy(customer, date).agg(F.min(key).alias("_first")))
     w = W.partitionBy(customer).orderBy(date)

@@ -71,3 +71,32 @@ def test_rows_read_on_by_their_own_bound(spark):
                            "q_vec": x.tobytes(), "found_rid": [9, 8, 7], "found_edge": [8.0, 0.5, 0.5]}])
     out = pd.concat(N._further_pairs(Boxes, 2, 2)([block]))
     assert [list(np.frombuffer(b, np.int64)) for b in out["q_rid"]] == [[9]]
+
+
+def same_rows(a, b, by):
+    a, b = (f.toPandas().sort_values(by).reset_index(drop=True) for f in (a, b))
+    pd.testing.assert_frame_equal(a, b[list(a.columns)], check_dtype=False)
+
+
+def test_basic_features_do_not_move_the_written_lines(spark, star):
+    df = E.queries()["basic_feature_table"](spark, star)
+    assert "SortMergeJoin" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_customer_values_of_dealt_lines(spark, star):
+    """Windows over rows that are dealt by customer give what the joins give, without a customer or a date too."""
+    from basketry.operators import aggregates as A
+    from basketry.operators import windows as Wn
+    from basketry.sources.tables import transactions
+    line = ["transaction_id", "line_number", "product_id", "supplier_id", "quantity", "extended_price"]
+    tx = transactions(spark, star, line + ["customer_id", "transaction_date", "total_sales", "product_category"])
+    assert tx.where("customer_id IS NULL").count() > 0
+    assert tx.where("customer_id IS NOT NULL AND transaction_date IS NULL").count() > 0
+    dealt, by = Wn.laid_out(tx, "customer_id")
+    joined = A.category_variety(Wn.days_between_purchases(tx, order=line))
+    joined = joined.join(A.customer_lifetime_value(tx), "customer_id", "left")
+    windows = A.category_variety(Wn.days_between_purchases(dealt, order=line, by=by), by=by)
+    windows = A.customer_lifetime_value(windows, by=by).drop(Wn.SPREAD)
+    assert dict(joined.dtypes) == dict(windows.dtypes)
+    assert joined.where("days_between_purchases > 0").count() > 0
+    same_rows(joined, windows, [*line, "customer_id", "transaction_date", "days_between_purchases"])
