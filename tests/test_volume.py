@@ -4,6 +4,7 @@ import datetime as dt
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 
@@ -78,8 +79,9 @@ def same_rows(a, b, by):
     pd.testing.assert_frame_equal(a, b[list(a.columns)], check_dtype=False)
 
 
-def test_basic_features_do_not_move_the_written_lines(spark, star):
-    df = E.queries()["basic_feature_table"](spark, star)
+@pytest.mark.parametrize("name", ["basic_feature_table", "advanced_feature_table"])
+def test_features_come_without_joins_of_lines(spark, star, name):
+    df = E.queries()[name](spark, star)
     assert "SortMergeJoin" not in df._jdf.queryExecution().executedPlan().toString()
 
 
@@ -100,3 +102,23 @@ def test_customer_values_of_dealt_lines(spark, star):
     assert dict(joined.dtypes) == dict(windows.dtypes)
     assert joined.where("days_between_purchases > 0").count() > 0
     same_rows(joined, windows, [*line, "customer_id", "transaction_date", "days_between_purchases"])
+
+
+def test_stats_of_dealt_lines(spark, star):
+    """Customer and product stats of dealt rows are those that an aggregation joins to the rows."""
+    from basketry.operators import aggregates as A
+    from basketry.operators import windows as Wn
+    from basketry.sources.tables import line_prices, transactions
+    line = ["transaction_id", "line_number", "customer_id", "transaction_date", "quantity", "extended_price", "discount"]
+    raw = transactions(spark, star, line + ["product_id"]).withColumn(
+        "product_id", F.when(F.col("product_id") != 8, F.col("product_id")))
+    given = transactions(spark, star, ["customer_id", "quantity", "unit_price", "discount_applied", "total_sales"])
+    tx = raw.withColumns(line_prices())
+    same_rows(given, tx.select(given.columns), given.columns)
+    for key, stats in (("product_id", A.product_feature_stats), ("customer_id", A.customer_feature_stats)):
+        dealt, by = Wn.laid_out(raw, key)
+        assert tx.where(F.col(key).isNull()).count() > 1
+        joined, more = tx.join(stats(tx), key, "left"), {"counted": tx} if key == "product_id" else {}
+        windows = stats(dealt.withColumns(line_prices()), by=by, **more).drop(Wn.SPREAD)
+        assert dict(joined.dtypes) == dict(windows.dtypes)
+        same_rows(joined, windows, [*line, "product_id"])
